@@ -103,8 +103,3 @@ def merge_snapshot(stored: DataFrame, changed: DataFrame, key: str = "po_line_id
     """
     kept = stored.join(changed.select(key), key, "left_anti")
     return kept.select(*stored.columns).unionByName(changed)
-
-
-def affected_years(changed: DataFrame) -> DataFrame:
-    """The ``po_year`` partitions a change set touches, for rewriting no others."""
-    return changed.select("po_year").distinct()

@@ -1,6 +1,7 @@
 """The analytic reports over the marts. Output column names and labels are the published ones.
 
-Each report scans the fact once, reads only the columns it names and shuffles grouped rows.
+Each report scans the fact once, reads only the columns it names and reduces it before it looks a
+dimension up.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.numeric import count_where, in_units, mean, percent
+from ledgerlane.functions.numeric import count_where, in_units, mean, percent, ratio
+from ledgerlane.operators.rollup import Lookup, flag, grouped, hundredths, present
 from ledgerlane.plans.warehouse import Marts
 
 MILLION, BILLION = 6, 9
@@ -20,22 +22,20 @@ def not_cancelled(fact: DataFrame) -> DataFrame:
     return fact.filter("NOT is_cancelled")
 
 
-def counted() -> list[Column]:
-    """Distinct orders and lines of a group, as nearly every report shows them."""
-    return [
-        F.countDistinct("po_id").alias("jumlah_po"),
-        F.count("po_line_id").alias("jumlah_po_line"),
-    ]
-
-
 def punctual() -> Column:
     return F.col("is_on_time") & F.col("has_goods_receipt")
 
 
+def average(total: str, rows: str, places: int, scale: int = 0) -> Column:
+    """Rounded ``total / rows`` of summed columns, the total in units of ``10 ** -scale``."""
+    return ratio(F.col(total), F.col(rows) * F.lit(10**scale), places)
+
+
 def monthly_order_value(m: Marts) -> DataFrame:
     net, gross, discount = (F.col(c) for c in ("net", "gross", "discount"))
     months = not_cancelled(m.fact).groupBy("po_year", "po_month", "po_year_month").agg(
-        *counted(),
+        F.countDistinct("po_id").alias("jumlah_po"),
+        F.count("po_line_id").alias("jumlah_po_line"),
         F.sum("net_total_ordered_idr").alias("net"),
         mean(F.col("net_total_ordered_idr"), 0).alias("average"),
         F.sum("gross_total_ordered_idr").alias("gross"),
@@ -58,27 +58,33 @@ def monthly_order_value(m: Marts) -> DataFrame:
 
 def top_vendors(m: Marts, limit: int = 5) -> DataFrame:
     """Ranks only the rows kept: whatever outranks a kept row is kept as well."""
-    renamed = {"city": "kota", "province": "provinsi", "payment_terms": "syarat_pembayaran"}
-    attributes = ["vendor_id", "vendor_name", "vendor_category", "vendor_type", *renamed.values()]
-    vendors = m.vendors.withColumnsRenamed(renamed).select("vendor_sk", *attributes)
-    fact = not_cancelled(m.fact).drop("vendor_id")
-    grouped = fact.join(vendors, "vendor_sk").groupBy(*attributes).agg(
-        *counted(),
-        F.sum("net_total_ordered_idr").alias("total_nilai_neto_idr"),
-        mean(F.col("fulfillment_pct"), 1, scale=2).alias("avg_fulfillment_pct"),
-        count_where(F.col("has_goods_receipt")).alias("jumlah_line_ada_gr"),
-        count_where(F.col("is_fully_fulfilled")).alias("jumlah_line_terpenuhi"),
-        count_where(punctual()).alias("jumlah_on_time"),
+    attributes = ("vendor_id", "vendor_name", "vendor_category", "vendor_type", "city",
+                  "province", "payment_terms")
+    totals = grouped(
+        not_cancelled(m.fact), [],
+        [Lookup(m.vendors, "vendor_sk", attributes)],
+        {
+            "lines": present("po_line_id"),
+            "net": F.col("net_total_ordered_idr"),
+            "fulfilled_pct": hundredths("fulfillment_pct"),
+            "jumlah_line_ada_gr": flag(F.col("has_goods_receipt")),
+            "jumlah_line_terpenuhi": flag(F.col("is_fully_fulfilled")),
+            "jumlah_on_time": flag(punctual()),
+        },
+        distinct=["po_id"],
     )
-    best = grouped.orderBy(F.desc("total_nilai_neto_idr"), "vendor_id").limit(limit)
-    place = F.rank().over(Window.orderBy(F.desc("total_nilai_neto_idr")))
+    best = totals.orderBy(F.desc("net"), "vendor_id").limit(limit)
+    place = F.rank().over(Window.orderBy(F.desc("net")))
     return best.withColumn("ranking_nilai", place).select(
-        *attributes,
-        "jumlah_po",
-        "jumlah_po_line",
-        "total_nilai_neto_idr",
-        in_units(F.col("total_nilai_neto_idr"), MILLION).alias("total_nilai_neto_juta"),
-        "avg_fulfillment_pct",
+        *attributes[:4],
+        F.col("city").alias("kota"),
+        F.col("province").alias("provinsi"),
+        F.col("payment_terms").alias("syarat_pembayaran"),
+        F.col("n_po_id").alias("jumlah_po"),
+        F.col("lines").alias("jumlah_po_line"),
+        F.col("net").alias("total_nilai_neto_idr"),
+        in_units(F.col("net"), MILLION).alias("total_nilai_neto_juta"),
+        average("fulfilled_pct", "lines", 1, scale=2).alias("avg_fulfillment_pct"),
         "jumlah_line_ada_gr",
         "jumlah_line_terpenuhi",
         "jumlah_on_time",
@@ -99,26 +105,37 @@ LATENESS_COLUMNS = {
 
 
 def lead_time_by_category(m: Marts) -> DataFrame:
-    expected, actual = F.col("expected_lead_time_days"), F.col("actual_lead_time_days")
-    items = m.items.select("item_sk", F.col("item_category").alias("kategori_item"))
-    grouped = not_cancelled(m.fact).join(items, "item_sk").groupBy("kategori_item").agg(
-        F.count("po_line_id").alias("total_po_line"),
-        count_where(F.col("has_goods_receipt")).alias("po_line_ada_gr"),
-        mean(expected, 1).alias("rata_expected_lead_time_hari"),
-        F.min(expected).alias("min_expected_lead_time"),
-        F.max(expected).alias("max_expected_lead_time"),
-        mean(actual, 1).alias("rata_actual_lead_time_hari"),
-        F.min(actual).alias("min_actual_lead_time"),
-        F.max(actual).alias("max_actual_lead_time"),
-        mean(F.col("lead_time_variance_days"), 1).alias("rata_variansi_lead_time_hari"),
-        percent(count_where(punctual()), count_where(F.col("has_goods_receipt")), 1)
-        .alias("pct_on_time"),
-        *[
-            count_where(F.col("delivery_timeliness") == label).alias(name)
-            for name, label in LATENESS_COLUMNS.items()
-        ],
+    expected, actual = "expected_lead_time_days", "actual_lead_time_days"
+    variance = "lead_time_variance_days"
+    totals = grouped(
+        not_cancelled(m.fact), [], [Lookup(m.items, "item_sk", ["item_category"])],
+        {
+            "total_po_line": present("po_line_id"),
+            "po_line_ada_gr": flag(F.col("has_goods_receipt")),
+            "on_time": flag(punctual()),
+            **{f"sum_{name}": F.col(name) for name in (expected, actual, variance)},
+            **{f"n_{name}": present(name) for name in (expected, actual, variance)},
+            **{
+                name: flag(F.col("delivery_timeliness") == label)
+                for name, label in LATENESS_COLUMNS.items()
+            },
+        },
+        extremes=[expected, actual],
     )
-    return grouped.orderBy(F.desc_nulls_last("rata_actual_lead_time_hari"), "kategori_item")
+    return totals.select(
+        F.col("item_category").alias("kategori_item"),
+        "total_po_line",
+        "po_line_ada_gr",
+        average(f"sum_{expected}", f"n_{expected}", 1).alias("rata_expected_lead_time_hari"),
+        F.col(f"min_{expected}").alias("min_expected_lead_time"),
+        F.col(f"max_{expected}").alias("max_expected_lead_time"),
+        average(f"sum_{actual}", f"n_{actual}", 1).alias("rata_actual_lead_time_hari"),
+        F.col(f"min_{actual}").alias("min_actual_lead_time"),
+        F.col(f"max_{actual}").alias("max_actual_lead_time"),
+        average(f"sum_{variance}", f"n_{variance}", 1).alias("rata_variansi_lead_time_hari"),
+        percent(F.col("on_time"), F.col("po_line_ada_gr"), 1).alias("pct_on_time"),
+        *LATENESS_COLUMNS,
+    ).orderBy(F.desc_nulls_last("rata_actual_lead_time_hari"), "kategori_item")
 
 
 # Report heading and the row labels below it, in published order.
@@ -159,7 +176,7 @@ def mismatch_by_severity(m: Marts) -> DataFrame:
     The published order names labels that never occur, so every row ties in it; the label itself
     settles the order. The total window runs over these few grouped rows only.
     """
-    grouped = not_cancelled(m.fact).groupBy(
+    totals = not_cancelled(m.fact).groupBy(
         F.col("shortage_severity").alias("tingkat_kekurangan")
     ).agg(
         F.count("po_line_id").alias("jumlah_po_line"),
@@ -174,11 +191,9 @@ def mismatch_by_severity(m: Marts) -> DataFrame:
         count_where(F.col("is_rejected_by_inspection")).alias("jumlah_line_ada_penolakan"),
     )
     everything = F.sum("jumlah_po_line").over(Window.partitionBy())
-    shared = grouped.withColumn(
-        "pct_dari_total", percent(F.col("jumlah_po_line"), everything, 1)
-    )
+    shared = totals.withColumn("pct_dari_total", percent(F.col("jumlah_po_line"), everything, 1))
     first = ["tingkat_kekurangan", "jumlah_po_line", "pct_dari_total"]
-    rest = [name for name in grouped.columns if name not in first]
+    rest = [name for name in totals.columns if name not in first]
     return shared.select(*first, *rest).orderBy(F.asc_nulls_last("tingkat_kekurangan"))
 
 
@@ -200,35 +215,36 @@ def spend_by_department(m: Marts) -> DataFrame:
     """Cancelled lines count here. The ranking window sees one row per department."""
     ordered, received = F.col("ordered"), F.col("received")
     budget = F.col("budget_annual_idr")
-    names = {
-        "department_name": "nama_departemen",
-        "cost_center": "kode_cost_center",
-        "location": "lokasi",
-        "manager_name": "manajer",
-        "budget_tier": "segmen_anggaran",
-    }
-    keys = ["department_id", *names.values(), "budget_annual_idr"]
-    departments = m.departments.withColumnsRenamed(names).select("department_sk", *keys)
+    attributes = ("department_id", "department_name", "cost_center", "location", "manager_name",
+                  "budget_tier", "budget_annual_idr")
     waiting = ~F.col("has_goods_receipt") & ~F.col("is_cancelled") & ~F.col("is_completed")
-    fact = m.fact.drop("department_id")
-    grouped = fact.join(departments, "department_sk").groupBy(*keys).agg(
-        *counted(),
-        F.sum("net_total_ordered_idr").alias("ordered"),
-        F.sum("net_total_received_idr").alias("received"),
-        F.sum("value_shortfall_idr").alias("shortfall"),
-        F.sum("rejected_goods_value_idr").alias("rejected"),
-        count_where(F.col("is_completed")).alias("po_line_selesai"),
-        count_where(F.col("is_cancelled")).alias("po_line_dibatalkan"),
-        count_where(waiting).alias("po_line_dalam_proses"),
+    totals = grouped(
+        m.fact, [], [Lookup(m.departments, "department_sk", attributes)],
+        {
+            "lines": present("po_line_id"),
+            "ordered": F.col("net_total_ordered_idr"),
+            "received": F.col("net_total_received_idr"),
+            "shortfall": F.col("value_shortfall_idr"),
+            "rejected": F.col("rejected_goods_value_idr"),
+            "po_line_selesai": flag(F.col("is_completed")),
+            "po_line_dibatalkan": flag(F.col("is_cancelled")),
+            "po_line_dalam_proses": flag(waiting),
+        },
+        distinct=["po_id"],
     )
-    ranked = grouped.withColumn(
+    ranked = totals.withColumn(
         "ranking_pengeluaran", F.rank().over(Window.orderBy(F.desc("received")))
     ).orderBy(F.desc("received"), "department_id")
     return ranked.select(
-        *keys[:-1],
+        "department_id",
+        F.col("department_name").alias("nama_departemen"),
+        F.col("cost_center").alias("kode_cost_center"),
+        F.col("location").alias("lokasi"),
+        F.col("manager_name").alias("manajer"),
+        F.col("budget_tier").alias("segmen_anggaran"),
         in_units(budget, MILLION, 1).alias("anggaran_tahunan_juta_idr"),
-        "jumlah_po",
-        "jumlah_po_line",
+        F.col("n_po_id").alias("jumlah_po"),
+        F.col("lines").alias("jumlah_po_line"),
         in_units(ordered, MILLION).alias("total_dipesan_juta_idr"),
         in_units(received, MILLION).alias("total_diterima_juta_idr"),
         in_units(F.col("shortfall"), MILLION).alias("total_shortfall_juta_idr"),

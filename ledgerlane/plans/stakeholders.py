@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.dates import days_between, year_month
-from ledgerlane.functions.numeric import count_where, in_units, mean, percent, ratio
-from ledgerlane.plans.reports import BILLION, not_cancelled
+from ledgerlane.functions.numeric import in_units, percent, ratio
+from ledgerlane.operators.rollup import Lookup, flag, grouped, hundredths, present
+from ledgerlane.plans.reports import BILLION, average, not_cancelled
 from ledgerlane.plans.warehouse import Marts
 from ledgerlane.schemas import MONEY
 
@@ -29,8 +30,15 @@ SINGLE_SOURCE, HIGH_RISK, MEDIUM_RISK, SPREAD = (
     "Single Source", "Risiko Tinggi", "Risiko Sedang", "Tersebar",
 )
 
-_NET = F.sum("net_total_ordered_idr")
-_RECEIVED = F.sum("net_total_received_idr")
+_LINE = F.lit(1)
+
+
+def _net() -> Column:
+    return F.col("net_total_ordered_idr")
+
+
+def _received_value() -> Column:
+    return F.col("net_total_received_idr")
 
 
 def _billions(column: str, name: str) -> Column:
@@ -41,48 +49,60 @@ def _received(m: Marts) -> DataFrame:
     return not_cancelled(m.fact).filter("has_goods_receipt")
 
 
-def _with_items(fact: DataFrame, m: Marts, *attributes: str) -> DataFrame:
-    return fact.join(m.items.select("item_sk", *attributes), "item_sk")
+def _items(m: Marts, *attributes: str) -> Lookup:
+    return Lookup(m.items, "item_sk", attributes)
 
 
-def _with_vendors(fact: DataFrame, m: Marts, *attributes: str) -> DataFrame:
-    return fact.join(m.vendors.select("vendor_sk", *attributes), "vendor_sk")
+def _vendors(m: Marts, *attributes: str) -> Lookup:
+    return Lookup(m.vendors, "vendor_sk", attributes)
 
 
-def _with_departments(fact: DataFrame, m: Marts, *attributes: str) -> DataFrame:
-    return fact.join(m.departments.select("department_sk", *attributes), "department_sk")
+def _departments(m: Marts, *attributes: str) -> Lookup:
+    return Lookup(m.departments, "department_sk", attributes)
 
 
-def _with_quarter(fact: DataFrame, m: Marts) -> DataFrame:
-    """The calendar is broadcast; its size is fixed by its end dates."""
-    quarters = m.dates.select(F.col("date_key").alias("date_key_po_date"), "year_quarter")
-    return fact.join(F.broadcast(quarters), "date_key_po_date")
+def _quarters(m: Marts) -> Lookup:
+    """The calendar's size is fixed by its end dates."""
+    dates = m.dates.withColumnRenamed("date_key", "date_key_po_date")
+    return Lookup(dates, "date_key_po_date", ["year_quarter"], bounded=True)
 
 
 def value_by_period(m: Marts, limit: int = 12) -> DataFrame:
-    """Months and quarters together, both from rows grouped once by order."""
+    """Months and quarters from one scan: each order counts in its month and in its quarter.
+
+    An order dated outside the calendar has no quarter and counts in its month alone.
+    """
     orders = not_cancelled(m.fact).groupBy("po_year_month", "date_key_po_date", "po_id").agg(
         F.count("po_line_id").alias("lines"),
-        _NET.alias("net"),
+        F.sum(_net()).alias("net"),
         F.sum("discount_amount_idr").alias("discount"),
     )
+    dated = orders.join(_quarters(m).columns(), "date_key_po_date", "left")
 
-    def by(rows: DataFrame, kind: str, period: str) -> DataFrame:
-        return rows.groupBy(F.col(period).alias("periode")).agg(
+    def period(kind: str, column: str) -> Column:
+        return F.struct(F.lit(kind).alias("tipe_periode"), F.col(column).alias("periode"))
+
+    month, quarter = period(MONTHLY, "po_year_month"), period(QUARTERLY, "year_quarter")
+    periods = F.when(F.col("year_quarter").isNull(), F.array(month)).otherwise(
+        F.array(month, quarter)
+    )
+    return (
+        dated.select("po_id", "lines", "net", "discount", F.explode(periods).alias("p"))
+        .select("*", "p.*")
+        .groupBy("tipe_periode", "periode")
+        .agg(
             F.countDistinct("po_id").alias("jumlah_po"),
             F.sum("lines").alias("jumlah_line"),
             F.sum("net").alias("net"),
             F.sum("discount").alias("discount"),
-        ).withColumn("tipe_periode", F.lit(kind))
-
-    months = by(orders, MONTHLY, "po_year_month")
-    quarters = by(_with_quarter(orders, m), QUARTERLY, "year_quarter")
-    return months.unionByName(quarters).orderBy(F.desc("periode"), "tipe_periode").limit(
-        limit
-    ).select(
-        "tipe_periode", "periode", "jumlah_po", "jumlah_line",
-        _billions("net", "total_neto_miliar_idr"),
-        _billions("discount", "total_diskon_miliar_idr"),
+        )
+        .orderBy(F.desc("periode"), "tipe_periode")
+        .limit(limit)
+        .select(
+            "tipe_periode", "periode", "jumlah_po", "jumlah_line",
+            _billions("net", "total_neto_miliar_idr"),
+            _billions("discount", "total_diskon_miliar_idr"),
+        )
     )
 
 
@@ -90,38 +110,58 @@ def top_vendors_latest_year(m: Marts, limit: int = 10) -> DataFrame:
     """The latest year is a scalar subquery on the partition column, so only its files are read."""
     fact = not_cancelled(m.fact)
     latest = fact.agg(F.max("po_year")).scalar()
-    year = _with_vendors(fact.filter(F.col("po_year") == latest), m, "vendor_name",
-                         "vendor_category")
-    return year.groupBy(F.col("po_year").alias("tahun"), "vendor_name", "vendor_category").agg(
-        F.countDistinct("po_id").alias("jumlah_po"),
-        F.count("po_line_id").alias("jumlah_line"),
-        _NET.alias("net"),
-        mean(F.col("fulfillment_pct"), 1, scale=2).alias("avg_fulfillment_pct"),
-    ).orderBy(F.desc("net"), "vendor_name", "vendor_category").limit(limit).select(
-        "tahun", "vendor_name", "vendor_category", "jumlah_po", "jumlah_line",
-        _billions("net", "total_neto_miliar_idr"), "avg_fulfillment_pct",
+    totals = grouped(
+        fact.filter(F.col("po_year") == latest), ["po_year"],
+        [_vendors(m, "vendor_name", "vendor_category")],
+        {
+            "lines": present("po_line_id"),
+            "net": _net(),
+            "fulfilled_pct": hundredths("fulfillment_pct"),
+        },
+        distinct=["po_id"],
+    )
+    return totals.orderBy(F.desc("net"), "vendor_name", "vendor_category").limit(limit).select(
+        F.col("po_year").alias("tahun"), "vendor_name", "vendor_category",
+        F.col("n_po_id").alias("jumlah_po"), F.col("lines").alias("jumlah_line"),
+        _billions("net", "total_neto_miliar_idr"),
+        average("fulfilled_pct", "lines", 1, scale=2).alias("avg_fulfillment_pct"),
     )
 
 
 def order_to_receipt_days(m: Marts) -> DataFrame:
-    return _with_items(_received(m), m, "item_category").groupBy("item_category").agg(
-        F.count(F.lit(1)).alias("jumlah_line_gr"),
-        mean(F.col("expected_lead_time_days"), 1).alias("avg_expected_days"),
-        mean(F.col("actual_lead_time_days"), 1).alias("avg_actual_days"),
-        mean(F.col("lead_time_variance_days"), 1).alias("avg_variance_days"),
-        percent(count_where(F.col("is_on_time")), F.count(F.lit(1)), 1).alias("pct_on_time"),
-        F.avg("actual_lead_time_days").alias("order"),
-    ).orderBy(F.desc_nulls_first("order"), "item_category").drop("order")
+    days = {
+        "expected": "expected_lead_time_days",
+        "actual": "actual_lead_time_days",
+        "variance": "lead_time_variance_days",
+    }
+    totals = grouped(
+        _received(m), [], [_items(m, "item_category")],
+        {
+            "lines": _LINE,
+            "on_time": flag(F.col("is_on_time")),
+            **{name: F.col(column) for name, column in days.items()},
+            **{f"n_{name}": present(column) for name, column in days.items()},
+        },
+    )
+    return totals.orderBy(
+        F.desc_nulls_first(F.col("actual") / F.nullif(F.col("n_actual"), F.lit(0))),
+        "item_category",
+    ).select(
+        "item_category",
+        F.col("lines").alias("jumlah_line_gr"),
+        *[average(name, f"n_{name}", 1).alias(f"avg_{name}_days") for name in days],
+        percent(F.col("on_time"), F.col("lines"), 1).alias("pct_on_time"),
+    )
 
 
 def timeliness_split(m: Marts) -> DataFrame:
     """The share window sees one row per timeliness label."""
     label = F.coalesce("delivery_timeliness", F.lit(NO_RECEIPT)).alias("status_ketepatan")
-    grouped = not_cancelled(m.fact).groupBy(label).agg(
-        F.count(F.lit(1)).alias("jumlah_line"), _NET.alias("net")
+    totals = not_cancelled(m.fact).groupBy(label).agg(
+        F.count(_LINE).alias("jumlah_line"), F.sum(_net()).alias("net")
     )
     everything = F.sum("jumlah_line").over(Window.partitionBy())
-    return grouped.select(
+    return totals.select(
         "status_ketepatan",
         "jumlah_line",
         percent(F.col("jumlah_line"), everything, 1).alias("pct_dari_total"),
@@ -132,18 +172,21 @@ def timeliness_split(m: Marts) -> DataFrame:
 def price_rises(m: Marts, limit: int = 10) -> DataFrame:
     """Each month is compared with the category's last month that has lines."""
     now, before = F.col("avg_net_unit_price_idr"), F.col("prev_avg_net_unit_price_idr")
-    months = _with_items(not_cancelled(m.fact), m, "item_category").groupBy(
-        F.col("po_year_month").alias("tahun_bulan"), "item_category"
-    ).agg(
-        mean(F.col("net_unit_price_idr"), 0).alias("avg_net_unit_price_idr"),
-        F.count(F.lit(1)).alias("jumlah_line"),
-    )
-    line = Window.partitionBy("item_category").orderBy("tahun_bulan")
+    months = grouped(
+        not_cancelled(m.fact), ["po_year_month"], [_items(m, "item_category")],
+        {
+            "jumlah_line": _LINE,
+            "price": F.col("net_unit_price_idr"),
+            "priced": present("net_unit_price_idr"),
+        },
+    ).withColumn("avg_net_unit_price_idr", average("price", "priced", 0))
+    line = Window.partitionBy("item_category").orderBy("po_year_month")
     compared = months.withColumn(
         "prev_avg_net_unit_price_idr", F.lag("avg_net_unit_price_idr").over(line)
     )
     return compared.filter(now > before).select(
-        "tahun_bulan", "item_category", "prev_avg_net_unit_price_idr", "avg_net_unit_price_idr",
+        F.col("po_year_month").alias("tahun_bulan"), "item_category",
+        "prev_avg_net_unit_price_idr", "avg_net_unit_price_idr",
         percent(now - before, before, 1).alias("pct_kenaikan_harga"), "jumlah_line",
     ).orderBy(F.desc_nulls_last("pct_kenaikan_harga"), "tahun_bulan", "item_category").limit(limit)
 
@@ -151,15 +194,15 @@ def price_rises(m: Marts, limit: int = 10) -> DataFrame:
 def actual_against_budget(m: Marts, limit: int = 15) -> DataFrame:
     """The monthly budget is a twelfth of the year's; the twelfth is taken inside the ratios."""
     budget = F.col("budget_annual_idr")
-    grouped = _with_departments(
-        not_cancelled(m.fact), m, "department_name", "budget_annual_idr"
-    ).groupBy(
-        F.col("po_year_month").alias("tahun_bulan"), "department_name", "budget_annual_idr"
-    ).agg(_RECEIVED.alias("actual"))
-    return grouped.orderBy(
-        F.desc("tahun_bulan"), F.desc("actual"), "department_name", "budget_annual_idr"
+    totals = grouped(
+        not_cancelled(m.fact), ["po_year_month"],
+        [_departments(m, "department_name", "budget_annual_idr")],
+        {"actual": _received_value()},
+    )
+    return totals.orderBy(
+        F.desc("po_year_month"), F.desc("actual"), "department_name", "budget_annual_idr"
     ).limit(limit).select(
-        "tahun_bulan", "department_name",
+        F.col("po_year_month").alias("tahun_bulan"), "department_name",
         _billions("actual", "actual_miliar_idr"),
         ratio(budget, F.lit(12 * 10**BILLION), 2).alias("budget_proxy_miliar_idr"),
         percent(F.col("actual") * 12, budget, 1).alias("pct_realisasi_budget_proxy"),
@@ -167,61 +210,65 @@ def actual_against_budget(m: Marts, limit: int = 15) -> DataFrame:
 
 
 def payables_ageing(m: Marts, as_of: date | None = None, limit: int = 10) -> DataFrame:
-    """Ages are taken on ``as_of``, today when it is not given."""
+    """Ages are taken on ``as_of``, today when it is not given.
+
+    The terms on the order count, not those of the vendor.
+    """
     today = F.lit(as_of) if as_of else F.current_date()
-    terms = F.col("payment_terms")
-    due = F.coalesce(
-        F.element_at(F.create_map(*[F.lit(x) for pair in DUE_DAYS.items() for x in pair]), terms),
-        F.lit(OTHER_DUE_DAYS),
-    )
-    age = days_between(today, F.col("gr_date"))
-    # the terms on the order count, not those of the vendor
-    lines = _with_vendors(_received(m), m, "vendor_name")
-    return lines.groupBy("vendor_name", "payment_terms").agg(
-        F.count(F.lit(1)).alias("jumlah_line_gr"),
-        _RECEIVED.alias("owed"),
-        F.sum(F.when(age > due, F.col("net_total_received_idr"))).alias("overdue"),
-        F.max(age).alias("max_age_days"),
-    ).orderBy(F.desc("owed"), "vendor_name", "payment_terms").limit(limit).select(
+    terms = F.create_map(*[F.lit(part) for pair in DUE_DAYS.items() for part in pair])
+    due = F.coalesce(terms[F.col("payment_terms")], F.lit(OTHER_DUE_DAYS))
+    aged = _received(m).withColumn("age", days_between(today, F.col("gr_date")))
+    totals = grouped(
+        aged, ["payment_terms"], [_vendors(m, "vendor_name")],
+        {
+            "jumlah_line_gr": _LINE,
+            "owed": _received_value(),
+            "overdue": F.when(F.col("age") > due, _received_value()),
+        },
+        extremes=["age"],
+    )
+    return totals.orderBy(F.desc("owed"), "vendor_name", "payment_terms").limit(limit).select(
         "vendor_name", "payment_terms", "jumlah_line_gr",
         _billions("owed", "outstanding_proxy_miliar_idr"),
         _billions("overdue", "overdue_proxy_miliar_idr"),
-        "max_age_days",
+        F.col("max_age").alias("max_age_days"),
     )
 
 
 def discount_frequency(m: Marts, limit: int = 10) -> DataFrame:
     discounted = F.col("jumlah_line_diskon")
-    grouped = _with_vendors(
-        not_cancelled(m.fact), m, "vendor_name", "vendor_category"
-    ).groupBy("vendor_name", "vendor_category").agg(
-        count_where(F.col("has_discount")).alias("jumlah_line_diskon"),
-        F.count(F.lit(1)).alias("jumlah_line_total"),
-        F.sum("discount_amount_idr").alias("discount"),
-        mean(F.col("discount_pct"), 2, scale=2).alias("avg_discount_pct"),
+    totals = grouped(
+        not_cancelled(m.fact), [], [_vendors(m, "vendor_name", "vendor_category")],
+        {
+            "jumlah_line_diskon": flag(F.col("has_discount")),
+            "jumlah_line_total": _LINE,
+            "discount": F.col("discount_amount_idr"),
+            "rate": hundredths("discount_pct"),
+            "rated": present("discount_pct"),
+        },
     )
-    return grouped.filter(discounted > 0).orderBy(
+    return totals.filter(discounted > 0).orderBy(
         F.desc("jumlah_line_diskon"), F.desc("discount"), "vendor_name", "vendor_category"
     ).limit(limit).select(
         "vendor_name", "vendor_category", "jumlah_line_diskon", "jumlah_line_total",
         percent(discounted, F.col("jumlah_line_total"), 1).alias("pct_line_diskon"),
         _billions("discount", "total_diskon_miliar_idr"),
-        "avg_discount_pct",
+        average("rate", "rated", 2, scale=2).alias("avg_discount_pct"),
     )
 
 
 def spend_share_by_category(m: Marts) -> DataFrame:
     """The share window sees one row per item category."""
-    grouped = _with_items(not_cancelled(m.fact), m, "item_category").groupBy("item_category").agg(
-        _RECEIVED.alias("spend"),
-        F.countDistinct("po_id").alias("jumlah_po"),
-        F.count("po_line_id").alias("jumlah_line"),
+    totals = grouped(
+        not_cancelled(m.fact), [], [_items(m, "item_category")],
+        {"spend": _received_value(), "lines": present("po_line_id")},
+        distinct=["po_id"],
     )
     everything = F.sum("spend").over(Window.partitionBy())
-    shared = grouped.withColumn("pct_total_spend", percent(F.col("spend"), everything, 1))
+    shared = totals.withColumn("pct_total_spend", percent(F.col("spend"), everything, 1))
     return shared.orderBy(F.desc("spend"), "item_category").select(
-        "item_category", _billions("spend", "spend_miliar_idr"), "pct_total_spend", "jumlah_po",
-        "jumlah_line",
+        "item_category", _billions("spend", "spend_miliar_idr"), "pct_total_spend",
+        F.col("n_po_id").alias("jumlah_po"), F.col("lines").alias("jumlah_line"),
     )
 
 
@@ -231,44 +278,50 @@ def unusual_spend(m: Marts, limit: int = 10) -> DataFrame:
     The deviation is a double; a department whose months are all alike is measured against its
     average instead.
     """
-    months = _with_departments(not_cancelled(m.fact), m, "department_name").groupBy(
-        F.col("po_year_month").alias("tahun_bulan"), "department_name"
-    ).agg(_NET.alias("spend"))
+    months = grouped(
+        not_cancelled(m.fact), ["po_year_month"], [_departments(m, "department_name")],
+        {"spend": _net()},
+    )
     own = Window.partitionBy("department_name")
     spend = F.col("spend").cast("double")
-    average, deviation = F.col("average"), F.nullif(F.col("deviation"), F.lit(0.0))
+    usual, deviation = F.col("usual"), F.nullif(F.col("deviation"), F.lit(0.0))
     scored = months.withColumns({
         "total": F.sum("spend").over(own),
-        "months": F.count(F.lit(1)).over(own),
+        "months": F.count(_LINE).over(own),
         "deviation": F.stddev_pop(spend).over(own),
-    }).withColumn("average", F.col("total").cast("double") / F.col("months"))
-    return scored.filter(spend > average + 2 * F.coalesce(deviation, average)).select(
-        "tahun_bulan", "department_name", "spend",
+    }).withColumn("usual", F.col("total").cast("double") / F.col("months"))
+    return scored.filter(spend > usual + 2 * F.coalesce(deviation, usual)).select(
+        F.col("po_year_month").alias("tahun_bulan"), "department_name", "spend",
         _billions("spend", "spend_miliar_idr"),
         ratio(F.col("total"), F.col("months") * 10**BILLION, 2).alias("baseline_miliar_idr"),
-        F.round((spend - average) / deviation, 2).alias("z_score_proxy"),
+        F.round((spend - usual) / deviation, 2).alias("z_score_proxy"),
     ).orderBy(
         F.desc_nulls_last("z_score_proxy"), F.desc("spend"), "tahun_bulan", "department_name"
     ).limit(limit).drop("spend")
 
 
 def vendor_quarter_trend(m: Marts, limit: int = 15) -> DataFrame:
-    quarters = _with_vendors(_with_quarter(_received(m), m), m, "vendor_name").groupBy(
-        "year_quarter", "vendor_name"
-    ).agg(
-        F.count(F.lit(1)).alias("jumlah_line_gr"),
-        mean(F.col("fulfillment_pct"), 1, scale=2).alias("avg_fulfillment_pct"),
-        percent(count_where(F.col("is_on_time")), F.count(F.lit(1)), 1).alias("pct_on_time"),
-        mean(F.col("lead_time_variance_days"), 1).alias("avg_variance_days"),
-        _NET.alias("net"),
-    )
+    quarters = grouped(
+        _received(m), [], [_quarters(m), _vendors(m, "vendor_name")],
+        {
+            "lines": _LINE,
+            "on_time": flag(F.col("is_on_time")),
+            "fulfilled_pct": hundredths("fulfillment_pct"),
+            "variance": F.col("lead_time_variance_days"),
+            "n_variance": present("lead_time_variance_days"),
+            "net": _net(),
+        },
+    ).withColumn("pct_on_time", percent(F.col("on_time"), F.col("lines"), 1))
     line = Window.partitionBy("vendor_name").orderBy("year_quarter")
     compared = quarters.withColumn("prev_q_pct_on_time", F.lag("pct_on_time").over(line))
     return compared.orderBy(F.desc("year_quarter"), F.desc("net"), "vendor_name").limit(
         limit
     ).select(
-        "year_quarter", "vendor_name", "jumlah_line_gr", "avg_fulfillment_pct", "pct_on_time",
-        "prev_q_pct_on_time", "avg_variance_days", _billions("net", "total_neto_miliar_idr"),
+        "year_quarter", "vendor_name", F.col("lines").alias("jumlah_line_gr"),
+        average("fulfilled_pct", "lines", 1, scale=2).alias("avg_fulfillment_pct"),
+        "pct_on_time", "prev_q_pct_on_time",
+        average("variance", "n_variance", 1).alias("avg_variance_days"),
+        _billions("net", "total_neto_miliar_idr"),
     )
 
 
@@ -279,17 +332,17 @@ def supplier_dependence(m: Marts, limit: int = 10) -> DataFrame:
     the suppliers of a hot item are combined task by task and never sorted in one place.
     """
     item = ("item_category", "item_name")
-    fact = _with_vendors(_with_items(not_cancelled(m.fact), m, *item), m, "vendor_name")
-    pairs = fact.groupBy(*item, "vendor_name").agg(
-        F.count(F.lit(1)).alias("jumlah_line"), _NET.alias("spend")
+    pairs = grouped(
+        not_cancelled(m.fact), [], [_items(m, *item), _vendors(m, "vendor_name")],
+        {"jumlah_line": _LINE, "spend": _net()},
     )
-    first = F.min_by(
+    largest = F.min_by(
         F.struct("vendor_name", "jumlah_line", "spend"), F.struct(-F.col("spend"), "vendor_name")
     )
     items = pairs.groupBy(*item).agg(
-        F.count(F.lit(1)).alias("jumlah_vendor_item"),
+        F.count(_LINE).alias("jumlah_vendor_item"),
         F.sum("spend").alias("total"),
-        first.alias("top"),
+        largest.alias("top"),
     ).select("*", "top.*")
     spend, whole = F.col("spend"), F.nullif(F.col("total"), F.lit(0))
     share = spend.cast("double") / whole.cast("double")
@@ -311,15 +364,23 @@ def supplier_dependence(m: Marts, limit: int = 10) -> DataFrame:
 
 
 def negotiation_savings(m: Marts, limit: int = 10) -> DataFrame:
-    """What lines cost below the list price; lines above it save nothing."""
-    listed, quantity = F.col("current_unit_price_idr"), F.col("quantity_ordered").cast(MONEY)
-    saved = F.greatest(listed - F.col("net_unit_price_idr"), F.lit(0)) * quantity
-    fact = _with_items(not_cancelled(m.fact), m, "item_category", "current_unit_price_idr")
-    return _with_vendors(fact, m, "vendor_name").groupBy("vendor_name", "item_category").agg(
-        F.count(F.lit(1)).alias("jumlah_line"),
+    """What lines cost below the list price; lines above it save nothing.
+
+    Lines of an item and vendor at the same price are added up before the list price is met.
+    """
+    listed, quantity = F.col("current_unit_price_idr"), F.col("quantity").cast(MONEY)
+    paid = "net_unit_price_idr"
+    prices = grouped(
+        not_cancelled(m.fact), [paid],
+        [_items(m, "item_category", "current_unit_price_idr"), _vendors(m, "vendor_name")],
+        {"lines": _LINE, "quantity": F.col("quantity_ordered"), "net": _net()},
+    )
+    saved = F.greatest(listed - F.col(paid), F.lit(0)) * quantity
+    return prices.groupBy("vendor_name", "item_category").agg(
+        F.sum("lines").alias("jumlah_line"),
         F.sum(saved).alias("saved"),
         F.sum(listed * quantity).alias("listed"),
-        _NET.alias("net"),
+        F.sum("net").alias("net"),
     ).orderBy(F.desc("saved"), "vendor_name", "item_category").limit(limit).select(
         "vendor_name", "item_category", "jumlah_line",
         _billions("saved", "savings_proxy_miliar_idr"),
@@ -330,32 +391,34 @@ def negotiation_savings(m: Marts, limit: int = 10) -> DataFrame:
 
 
 def requests_by_department(m: Marts, limit: int = 10) -> DataFrame:
-    fact = _with_departments(not_cancelled(m.fact), m, "department_name", "location")
-    return fact.groupBy("department_name", "location").agg(
-        F.countDistinct("pr_id").alias("jumlah_pr_proxy"),
-        F.countDistinct("po_id").alias("jumlah_po"),
-        F.count("po_line_id").alias("jumlah_line"),
-        _NET.alias("net"),
-    ).orderBy(F.desc("jumlah_pr_proxy"), F.desc("net"), "department_name", "location").limit(
-        limit
-    ).select(
-        "department_name", "location", "jumlah_pr_proxy", "jumlah_po", "jumlah_line",
-        _billions("net", "total_ordered_miliar_idr"),
+    totals = grouped(
+        not_cancelled(m.fact), [], [_departments(m, "department_name", "location")],
+        {"lines": present("po_line_id"), "net": _net()},
+        distinct=["pr_id", "po_id"],
+    )
+    return totals.orderBy(
+        F.desc("n_pr_id"), F.desc("net"), "department_name", "location"
+    ).limit(limit).select(
+        "department_name", "location",
+        F.col("n_pr_id").alias("jumlah_pr_proxy"), F.col("n_po_id").alias("jumlah_po"),
+        F.col("lines").alias("jumlah_line"), _billions("net", "total_ordered_miliar_idr"),
     )
 
 
 def received_by_item_month(m: Marts, limit: int = 15) -> DataFrame:
     keys = ("tahun_bulan_gr", "item_category", "item_name", "unit_of_measure")
-    lines = _with_items(_received(m), m, "item_category", "item_name").withColumn(
-        "tahun_bulan_gr", year_month(F.col("gr_date"))
-    )
-    return lines.groupBy(*keys).agg(
-        F.sum("quantity_received_calc").alias("total_qty_diterima"),
-        F.count("po_line_id").alias("jumlah_line_gr"),
-        _RECEIVED.alias("received"),
-    ).orderBy(F.desc("tahun_bulan_gr"), F.desc("total_qty_diterima"), *keys[1:]).limit(
-        limit
-    ).select(
+    lines = _received(m).withColumn("tahun_bulan_gr", year_month(F.col("gr_date")))
+    totals = grouped(
+        lines, ["tahun_bulan_gr", "unit_of_measure"], [_items(m, "item_category", "item_name")],
+        {
+            "total_qty_diterima": F.col("quantity_received_calc"),
+            "jumlah_line_gr": present("po_line_id"),
+            "received": _received_value(),
+        },
+    )
+    return totals.orderBy(
+        F.desc("tahun_bulan_gr"), F.desc("total_qty_diterima"), *keys[1:]
+    ).limit(limit).select(
         *keys, "total_qty_diterima", "jumlah_line_gr",
         _billions("received", "nilai_diterima_miliar_idr"),
     )
@@ -363,35 +426,46 @@ def received_by_item_month(m: Marts, limit: int = 15) -> DataFrame:
 
 def quantity_mismatches(m: Marts, limit: int = 15) -> DataFrame:
     keys = ("item_category", "item_name", "receipt_status", "shortage_severity")
-    lines = _with_items(_received(m).filter("quantity_variance_gr <> 0"), m, *keys[:2])
-    return lines.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("jumlah_line"),
-        F.sum("quantity_ordered").alias("total_qty_dipesan"),
-        F.sum("quantity_received_calc").alias("total_qty_diterima"),
-        F.sum("quantity_variance_gr").alias("total_variance_gr"),
-        mean(F.col("fulfillment_pct"), 1, scale=2).alias("avg_fulfillment_pct"),
-        F.sum("value_shortfall_idr").alias("shortfall"),
-    ).orderBy(F.desc(F.abs("total_variance_gr")), F.desc("shortfall"), *keys).limit(limit).select(
+    totals = grouped(
+        _received(m).filter("quantity_variance_gr <> 0"), keys[2:], [_items(m, *keys[:2])],
+        {
+            "jumlah_line": _LINE,
+            "total_qty_dipesan": F.col("quantity_ordered"),
+            "total_qty_diterima": F.col("quantity_received_calc"),
+            "total_variance_gr": F.col("quantity_variance_gr"),
+            "fulfilled_pct": hundredths("fulfillment_pct"),
+            "shortfall": F.col("value_shortfall_idr"),
+        },
+    )
+    return totals.orderBy(
+        F.desc(F.abs("total_variance_gr")), F.desc("shortfall"), *keys
+    ).limit(limit).select(
         *keys, "jumlah_line", "total_qty_dipesan", "total_qty_diterima", "total_variance_gr",
-        "avg_fulfillment_pct", _billions("shortfall", "shortfall_miliar_idr"),
+        average("fulfilled_pct", "jumlah_line", 1, scale=2).alias("avg_fulfillment_pct"),
+        _billions("shortfall", "shortfall_miliar_idr"),
     )
 
 
 def stock_out_risk(m: Marts, limit: int = 15) -> DataFrame:
     short, late = F.col("is_short_delivery"), ~F.col("is_on_time")
-    lines = _with_items(_received(m).filter(short | late), m, "item_category", "item_name")
-    return lines.groupBy("item_category", "item_name").agg(
-        count_where(short).alias("jumlah_short_delivery"),
-        count_where(late).alias("jumlah_terlambat"),
-        F.sum("unfulfilled_qty").alias("total_unfulfilled_qty"),
-        mean(F.col("lead_time_variance_days"), 1).alias("avg_delay_days"),
-        F.sum("value_shortfall_idr").alias("shortfall"),
-        F.avg("lead_time_variance_days").alias("delay"),
-    ).orderBy(
-        F.desc("total_unfulfilled_qty"), F.desc_nulls_last("delay"), "item_category", "item_name"
+    totals = grouped(
+        _received(m).filter(short | late), [], [_items(m, "item_category", "item_name")],
+        {
+            "jumlah_short_delivery": flag(short),
+            "jumlah_terlambat": flag(late),
+            "total_unfulfilled_qty": F.col("unfulfilled_qty"),
+            "variance": F.col("lead_time_variance_days"),
+            "n_variance": present("lead_time_variance_days"),
+            "shortfall": F.col("value_shortfall_idr"),
+        },
+    )
+    delay = F.col("variance") / F.nullif(F.col("n_variance"), F.lit(0))
+    return totals.orderBy(
+        F.desc("total_unfulfilled_qty"), F.desc_nulls_last(delay), "item_category", "item_name"
     ).limit(limit).select(
         "item_category", "item_name", "jumlah_short_delivery", "jumlah_terlambat",
-        "total_unfulfilled_qty", "avg_delay_days",
+        "total_unfulfilled_qty",
+        average("variance", "n_variance", 1).alias("avg_delay_days"),
         _billions("shortfall", "value_shortfall_miliar_idr"),
     )
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import threading
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlane.operators import dimensions, snapshot, staging
+from ledgerlane.operators import dimensions, lifecycle, snapshot, staging
 from ledgerlane.schemas import LOAD_ORDER
 from ledgerlane.sources.layers import MARTS, RAW, LayerStore, shared_folder
 from ledgerlane.sources.sample import SampleTables
@@ -37,14 +38,15 @@ class Warehouse:
     def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame],
                  store: LayerStore | None = None) -> None:
         self.spark, self._source, self._store = spark, source, store
-        self._marts: Marts | None = None
+        self._building = threading.RLock()
 
     def _kept(self, layer: str, table: str, build: Callable[[], DataFrame],
-              partition_by=()) -> DataFrame:
+              partition_by: Sequence[str] = ()) -> DataFrame:
         if self._store is None:
             return build()
-        if not self._store.has(layer, table):
-            self._store.write(layer, table, build(), partition_by)
+        with self._building:
+            if not self._store.has(layer, table):
+                self._store.write(layer, table, build(), partition_by)
         return self._store.read(layer, table)
 
     def raw(self, table: str) -> DataFrame:
@@ -57,12 +59,10 @@ class Warehouse:
         return getattr(staging, table)(self.raw(table))
 
     def lifecycle(self) -> DataFrame:
-        from ledgerlane.operators.lifecycle import latest_receipts, order_lifecycle
-
-        return order_lifecycle(
+        return lifecycle.order_lifecycle(
             self.staged("purchase_order_lines"),
             self.staged("purchase_orders"),
-            latest_receipts(self.staged("goods_receipts")),
+            lifecycle.latest_receipts(self.staged("goods_receipts")),
         )
 
     def _dimension(self, name: str) -> DataFrame:
