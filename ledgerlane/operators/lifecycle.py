@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.numeric import fulfilment
+from ledgerlane.functions.numeric import fulfilment, value_of
 from ledgerlane.schemas import LIFECYCLE_STAGES, MONEY, PERCENT
 
 
@@ -65,7 +65,7 @@ def order_lifecycle(
     counted = F.coalesce(received, F.lit(0))
     has_receipt = F.col("gr.gr_id").isNotNull()
     # a whole count times a whole price: nothing is left to round
-    value = (counted.cast(MONEY) * F.col("line.net_unit_price_idr")).cast(MONEY)
+    value = value_of(F.col("line.net_unit_price_idr"), counted)
     rejected = F.coalesce(F.col("gr.is_rejected_by_inspection"), F.lit(False))
 
     return joined.select(

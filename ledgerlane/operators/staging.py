@@ -5,13 +5,11 @@ No staging step shuffles. Key filters reach the Parquet scan; the blank-name fil
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.dates import date_parts, days_between
-from ledgerlane.functions.numeric import fulfilment
+from ledgerlane.functions.numeric import fulfilment, rate_of
 from ledgerlane.functions.text import blank_to_null, is_filled, is_status, trimmed
 from ledgerlane.schemas import (
     DISCOUNT_TIERS,
@@ -24,8 +22,6 @@ from ledgerlane.schemas import (
     TIMELINESS,
 )
 
-_CENT = Decimal("0.01")
-
 
 def _loaded_at() -> Column:
     return F.col(INGESTED_AT).cast("timestamp_ntz").alias("loaded_at")
@@ -155,9 +151,8 @@ def purchase_order_lines(raw: DataFrame) -> DataFrame:
     """Discounted prices are rounded from the undiscounted product, each on its own."""
     discount = F.coalesce(F.col("discount_pct"), F.lit(0))
     rate = discount.cast("decimal(5,2)")
-    price = F.col("unit_price").cast(MONEY)
-    gross = price * F.col("quantity_ordered").cast(MONEY)
-    kept_share = (F.lit(100) - rate) * F.lit(_CENT)
+    price, quantity = F.col("unit_price"), F.col("quantity_ordered")
+    off = (discount * 100).cast("long")
     none, small, medium, large = DISCOUNT_TIERS
     kept = raw.filter(_present("line_id", "po_id", "item_id") & (F.col("quantity_ordered") > 0))
     return kept.select(
@@ -167,12 +162,12 @@ def purchase_order_lines(raw: DataFrame) -> DataFrame:
         "line_number",
         "quantity_ordered",
         *trimmed("unit_of_measure"),
-        price.alias("unit_price_idr"),
+        price.cast(MONEY).alias("unit_price_idr"),
         rate.alias("discount_pct"),
-        F.round(price * kept_share, 0).cast(MONEY).alias("net_unit_price_idr"),
+        rate_of(price, F.lit(1), 10_000 - off).alias("net_unit_price_idr"),
         F.col("total_price").cast(MONEY).alias("gross_total_price_idr"),
-        F.round(gross * kept_share, 0).cast(MONEY).alias("net_total_price_idr"),
-        F.round(gross * (rate * F.lit(_CENT)), 0).cast(MONEY).alias("discount_amount_idr"),
+        rate_of(price, quantity, 10_000 - off).alias("net_total_price_idr"),
+        rate_of(price, quantity, off).alias("discount_amount_idr"),
         (discount > 0).alias("has_discount"),
         F.when(discount == 0, none)
         .when(discount.between(1, 5), small)

@@ -30,7 +30,8 @@ SINGLE_SOURCE, HIGH_RISK, MEDIUM_RISK, SPREAD = (
     "Single Source", "Risiko Tinggi", "Risiko Sedang", "Tersebar",
 )
 
-_LINE = F.lit(1)
+def _line() -> Column:
+    return F.lit(1)
 
 
 def _net() -> Column:
@@ -137,7 +138,7 @@ def order_to_receipt_days(m: Marts) -> DataFrame:
     totals = grouped(
         _received(m), [], [_items(m, "item_category")],
         {
-            "lines": _LINE,
+            "lines": _line(),
             "on_time": flag(F.col("is_on_time")),
             **{name: F.col(column) for name, column in days.items()},
             **{f"n_{name}": present(column) for name, column in days.items()},
@@ -158,7 +159,7 @@ def timeliness_split(m: Marts) -> DataFrame:
     """The share window sees one row per timeliness label."""
     label = F.coalesce("delivery_timeliness", F.lit(NO_RECEIPT)).alias("status_ketepatan")
     totals = not_cancelled(m.fact).groupBy(label).agg(
-        F.count(_LINE).alias("jumlah_line"), F.sum(_net()).alias("net")
+        F.count(_line()).alias("jumlah_line"), F.sum(_net()).alias("net")
     )
     everything = F.sum("jumlah_line").over(Window.partitionBy())
     return totals.select(
@@ -175,7 +176,7 @@ def price_rises(m: Marts, limit: int = 10) -> DataFrame:
     months = grouped(
         not_cancelled(m.fact), ["po_year_month"], [_items(m, "item_category")],
         {
-            "jumlah_line": _LINE,
+            "jumlah_line": _line(),
             "price": F.col("net_unit_price_idr"),
             "priced": present("net_unit_price_idr"),
         },
@@ -221,7 +222,7 @@ def payables_ageing(m: Marts, as_of: date | None = None, limit: int = 10) -> Dat
     totals = grouped(
         aged, ["payment_terms"], [_vendors(m, "vendor_name")],
         {
-            "jumlah_line_gr": _LINE,
+            "jumlah_line_gr": _line(),
             "owed": _received_value(),
             "overdue": F.when(F.col("age") > due, _received_value()),
         },
@@ -241,7 +242,7 @@ def discount_frequency(m: Marts, limit: int = 10) -> DataFrame:
         not_cancelled(m.fact), [], [_vendors(m, "vendor_name", "vendor_category")],
         {
             "jumlah_line_diskon": flag(F.col("has_discount")),
-            "jumlah_line_total": _LINE,
+            "jumlah_line_total": _line(),
             "discount": F.col("discount_amount_idr"),
             "rate": hundredths("discount_pct"),
             "rated": present("discount_pct"),
@@ -287,7 +288,7 @@ def unusual_spend(m: Marts, limit: int = 10) -> DataFrame:
     usual, deviation = F.col("usual"), F.nullif(F.col("deviation"), F.lit(0.0))
     scored = months.withColumns({
         "total": F.sum("spend").over(own),
-        "months": F.count(_LINE).over(own),
+        "months": F.count(_line()).over(own),
         "deviation": F.stddev_pop(spend).over(own),
     }).withColumn("usual", F.col("total").cast("double") / F.col("months"))
     return scored.filter(spend > usual + 2 * F.coalesce(deviation, usual)).select(
@@ -304,7 +305,7 @@ def vendor_quarter_trend(m: Marts, limit: int = 15) -> DataFrame:
     quarters = grouped(
         _received(m), [], [_quarters(m), _vendors(m, "vendor_name")],
         {
-            "lines": _LINE,
+            "lines": _line(),
             "on_time": flag(F.col("is_on_time")),
             "fulfilled_pct": hundredths("fulfillment_pct"),
             "variance": F.col("lead_time_variance_days"),
@@ -334,13 +335,13 @@ def supplier_dependence(m: Marts, limit: int = 10) -> DataFrame:
     item = ("item_category", "item_name")
     pairs = grouped(
         not_cancelled(m.fact), [], [_items(m, *item), _vendors(m, "vendor_name")],
-        {"jumlah_line": _LINE, "spend": _net()},
+        {"jumlah_line": _line(), "spend": _net()},
     )
     largest = F.min_by(
         F.struct("vendor_name", "jumlah_line", "spend"), F.struct(-F.col("spend"), "vendor_name")
     )
     items = pairs.groupBy(*item).agg(
-        F.count(_LINE).alias("jumlah_vendor_item"),
+        F.count(_line()).alias("jumlah_vendor_item"),
         F.sum("spend").alias("total"),
         largest.alias("top"),
     ).select("*", "top.*")
@@ -373,7 +374,7 @@ def negotiation_savings(m: Marts, limit: int = 10) -> DataFrame:
     prices = grouped(
         not_cancelled(m.fact), [paid],
         [_items(m, "item_category", "current_unit_price_idr"), _vendors(m, "vendor_name")],
-        {"lines": _LINE, "quantity": F.col("quantity_ordered"), "net": _net()},
+        {"lines": _line(), "quantity": F.col("quantity_ordered"), "net": _net()},
     )
     saved = F.greatest(listed - F.col(paid), F.lit(0)) * quantity
     return prices.groupBy("vendor_name", "item_category").agg(
@@ -429,7 +430,7 @@ def quantity_mismatches(m: Marts, limit: int = 15) -> DataFrame:
     totals = grouped(
         _received(m).filter("quantity_variance_gr <> 0"), keys[2:], [_items(m, *keys[:2])],
         {
-            "jumlah_line": _LINE,
+            "jumlah_line": _line(),
             "total_qty_dipesan": F.col("quantity_ordered"),
             "total_qty_diterima": F.col("quantity_received_calc"),
             "total_variance_gr": F.col("quantity_variance_gr"),

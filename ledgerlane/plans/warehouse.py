@@ -17,6 +17,10 @@ from ledgerlane.sources.sample import SampleTables
 FACT_PARTITIONS = ("po_year",)
 
 
+#: Gives a raw table by name; the second argument gives other raw tables it may be derived from.
+Source = Callable[[str, Callable[[str], DataFrame]], DataFrame]
+
+
 @dataclass(frozen=True)
 class Marts:
     """The tables reports read."""
@@ -35,8 +39,8 @@ class Warehouse:
     staging and lifecycle stay plans. Without one everything stays a plan.
     """
 
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame],
-                 store: LayerStore | None = None) -> None:
+    def __init__(self, spark: SparkSession, source: Source, store: LayerStore | None = None
+                 ) -> None:
         self.spark, self._source, self._store = spark, source, store
         self._building = threading.RLock()
 
@@ -50,7 +54,7 @@ class Warehouse:
         return self._store.read(layer, table)
 
     def raw(self, table: str) -> DataFrame:
-        return self._kept(RAW, table, lambda: self._source(table))
+        return self._kept(RAW, table, lambda: self._source(table, self.raw))
 
     def raw_tables(self) -> dict[str, DataFrame]:
         return {table: self.raw(table) for table in LOAD_ORDER}

@@ -7,6 +7,8 @@ names, missing dates, zero and negative quantities are put in on purpose to reac
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +41,12 @@ NOTES = (None, "  ", " catatan ")
 
 
 class SampleTables:
-    """Lazy raw tables over one test-data folder."""
+    """Lazy raw tables over one test-data folder.
+
+    ``raw`` gives the finished raw tables, so one table can be derived from another: orders take
+    their totals from the lines, requests from the orders, and receipts come from the lines. The
+    order lines of the given tables are grouped once.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self._spark, self._folder = spark, folder
@@ -47,14 +54,14 @@ class SampleTables:
     def _given(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, raw: Callable[[str], DataFrame]) -> DataFrame:
         """A raw table in its declared column order, with the audit column."""
         schema = RAW_SCHEMAS[name]
-        rows = getattr(self, name)()
+        rows = getattr(self, name)(raw)
         typed = [F.col(field.name).cast(field.dataType) for field in schema.fields]
         return rows.select(*typed, F.lit(LOADED).alias(INGESTED_AT))
 
-    def departments(self) -> DataFrame:
+    def departments(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         joined = self._given("nation").join(
             self._given("region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
@@ -74,7 +81,7 @@ class SampleTables:
             .alias("created_at"),
         )
 
-    def vendors(self) -> DataFrame:
+    def vendors(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         key = F.col("s_suppkey")
         number = key + 1
         registered = F.date_add(F.lit("2018-01-01").cast("date"), ((key * 37) % 2000).cast("int"))
@@ -105,7 +112,7 @@ class SampleTables:
             registered.alias("created_at"),
         )
 
-    def items(self) -> DataFrame:
+    def items(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         key, size = F.col("p_partkey"), F.col("p_size")
         return self._given("part").select(
             (key + 1).alias("item_id"),
@@ -154,8 +161,8 @@ class SampleTables:
             day.alias("created_at"),
         )
 
-    def purchase_requests(self) -> DataFrame:
-        return with_request_totals(self._requests(), self.purchase_orders())
+    def purchase_requests(self, raw: Callable[[str], DataFrame]) -> DataFrame:
+        return with_request_totals(self._requests(), raw("purchase_orders"))
 
     def _orders(self) -> DataFrame:
         """Orders of approved requests; some share a request, a few lack their date."""
@@ -183,8 +190,8 @@ class SampleTables:
             self._order_day().alias("created_at"),
         )
 
-    def purchase_orders(self) -> DataFrame:
-        return with_order_totals(self._orders(), self._lines())
+    def purchase_orders(self, raw: Callable[[str], DataFrame]) -> DataFrame:
+        return with_order_totals(self._orders(), raw("purchase_order_lines"))
 
     def _lines(self) -> DataFrame:
         """One line per order and line number.
@@ -193,61 +200,59 @@ class SampleTables:
         every given row counts and the line key needs no numbering within an order.
         """
         parts = self._given("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            "l_orderkey", "l_linenumber", "l_partkey",
             F.col("l_quantity").cast("long").alias("quantity"),
             F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
             F.round(F.col("l_discount") * 100).cast("long").alias("discount"),
         )
         merged = parts.groupBy("l_orderkey", "l_linenumber").agg(
             F.min("l_partkey").alias("part"),
-            F.min("l_suppkey").alias("supplier"),
             F.sum("quantity").alias("quantity"),
             F.sum("cents").alias("cents"),
             F.max("discount").alias("discount"),
         )
+        order, part, discount = F.col("l_orderkey"), F.col("part"), F.col("discount")
         price = F.call_function("div", F.col("cents"), F.col("quantity"))
-        ordered = F.when((F.col("part") + F.col("supplier")) % 97 == 0, 0).otherwise(
-            F.col("quantity")
-        )
+        ordered = F.when((part + order) % 97 == 0, 0).otherwise(F.col("quantity"))
         return merged.select(
-            ((F.col("l_orderkey") + 1) * 10 + F.col("l_linenumber")).alias("line_id"),
-            (F.col("l_orderkey") + 1).alias("po_id"),
-            (F.col("part") + 1).alias("item_id"),
+            ((order + 1) * 10 + F.col("l_linenumber")).alias("line_id"),
+            (order + 1).alias("po_id"),
+            (part + 1).alias("item_id"),
             F.col("l_linenumber").alias("line_number"),
             ordered.alias("quantity_ordered"),
-            pick(F.col("part") % 5, UNITS).alias("unit_of_measure"),
+            pick(part % 5, UNITS).alias("unit_of_measure"),
             price.alias("unit_price"),
-            (F.col("discount") + F.call_function("div", F.col("discount"), F.lit(2)))
-            .alias("discount_pct"),
+            (discount + F.call_function("div", discount, F.lit(2))).alias("discount_pct"),
             (price * ordered).alias("total_price"),
-            pick(F.col("part") % 3, NOTES).alias("notes"),
-            "part",
-            "supplier",
+            pick(part % 3, NOTES).alias("notes"),
         )
 
-    def _ordered_lines(self) -> DataFrame:
+    def purchase_order_lines(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         order = self._orders().select(
-            "po_id", "po_date", "expected_delivery_date", "status",
-            F.col("created_at").alias("ordered_at"),
+            "po_id",
+            F.col("expected_delivery_date").alias("delivery_date_expected"),
+            F.col("status").alias("line_status"),
+            "created_at",
         )
         return self._lines().join(order, "po_id")
 
-    def purchase_order_lines(self) -> DataFrame:
-        return self._ordered_lines().withColumnsRenamed({
-            "expected_delivery_date": "delivery_date_expected",
-            "status": "line_status",
-            "ordered_at": "created_at",
-        })
+    def goods_receipts(self, raw: Callable[[str], DataFrame]) -> DataFrame:
+        """One receipt per receivable line and, for one line in ten, an earlier partial one.
 
-    def goods_receipts(self) -> DataFrame:
-        """One receipt per receivable line and, for one line in ten, an earlier partial one."""
-        part, supplier, line = F.col("part"), F.col("supplier"), F.col("line_number")
+        A line repeats its order's status and dates (no promised date means no order date), so
+        receipts are derived line by line.
+        """
+        order, part, line = F.col("po_id") - 1, F.col("item_id") - 1, F.col("line_number")
         ordered = F.col("quantity_ordered")
-        day, expected = F.col("po_date"), F.col("expected_delivery_date")
-        lines = self._ordered_lines().filter(F.col("status").isin(*RECEIVABLE)).withColumns({
-            "h": (part * 31 + supplier * 17 + line * 7) % 100,
+        lines = raw("purchase_order_lines").filter(F.col("line_status").isin(*RECEIVABLE))
+        lines = lines.withColumnRenamed("delivery_date_expected", "expected_delivery_date")
+        day = F.when(F.col("expected_delivery_date").isNotNull(), F.col("created_at"))
+        lines = lines.withColumns({
+            "po_date": day,
+            "h": (part * 31 + order * 17 + line * 7) % 100,
             "k": (part * 13 + line * 5) % 100,
         })
+        day, expected = F.col("po_date"), F.col("expected_delivery_date")
         h, k = F.col("h"), F.col("k")
 
         def share(hundredths: int) -> Column:

@@ -75,13 +75,13 @@ _RAW = {
         FROM orders WHERE o_orderkey % 10 >= 2""",
     "base_lines": f"""
         SELECT (l_orderkey + 1) * 10 + l_linenumber AS line_id, l_orderkey + 1 AS po_id,
-               part + 1 AS item_id, CAST(l_linenumber AS BIGINT) AS line_number, part, supplier,
-               CASE WHEN (part + supplier) % 97 = 0 THEN 0 ELSE quantity END AS quantity_ordered,
+               part + 1 AS item_id, CAST(l_linenumber AS BIGINT) AS line_number, part,
+               CASE WHEN (part + l_orderkey) % 97 = 0 THEN 0 ELSE quantity END AS quantity_ordered,
                {pick('part % 5', *_UNITS)} AS unit_of_measure, cents // quantity AS unit_price,
                discount + discount // 2 AS discount_pct,
                unit_price * quantity_ordered AS total_price,
                {pick('part % 3', *_NOTES)} AS notes
-        FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part, min(l_suppkey) AS supplier,
+        FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part,
                      CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,
                      CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
                      max(CAST(round(l_discount * 100) AS BIGINT)) AS discount
@@ -126,7 +126,7 @@ _RAW = {
         FROM ordered_lines""",
     "receipt_seeds": """
         SELECT *, quantity_ordered AS q,
-               (part * 31 + supplier * 17 + line_number * 7) % 100 AS h,
+               (part * 31 + (po_id - 1) * 17 + line_number * 7) % 100 AS h,
                (part * 13 + line_number * 5) % 100 AS k,
                CASE WHEN k < 72 THEN CASE WHEN po_date IS NOT NULL THEN
                         greatest(po_date + 1, expected_delivery_date - CAST(k % 4 AS INTEGER)) END
