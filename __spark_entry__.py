@@ -83,19 +83,14 @@ def _vendor_of_the_day(w: Warehouse) -> DataFrame:
 
 def _merged_snapshot(w: Warehouse) -> DataFrame:
     """The fact as of a day, brought up to date with everything that happened since."""
-    lines, orders, receipts = (
-        w.staged(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts")
-    )
-    shared = (w.dates(), w.vendors(), w.departments(), w.items())
     since = F.lit(SNAPSHOT_SINCE)
     stored = snapshot.order_lines_fact(
-        lines, orders.filter(F.col("po_date") < since), receipts.filter(F.col("gr_date") < since),
-        *shared,
-    )
-    touched = snapshot.changed_lines(lines, orders, receipts, SNAPSHOT_SINCE)
-    return snapshot.merge_snapshot(
-        stored, snapshot.order_lines_fact(touched, orders, receipts, *shared)
+        w.staged("purchase_order_lines"),
+        w.staged("purchase_orders").filter(F.col("po_date") < since),
+        w.staged("goods_receipts").filter(F.col("gr_date") < since),
+        w.dates(), w.vendors(), w.departments(), w.items(),
     )
+    return w.refreshed_fact(stored, SNAPSHOT_SINCE)
 
 
 def _eligible(w: Warehouse) -> DataFrame:

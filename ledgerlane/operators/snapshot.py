@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,7 +81,8 @@ def order_lines_fact(
     )
 
 
-def changed_lines(lines: DataFrame, orders: DataFrame, receipts: DataFrame, since) -> DataFrame:
+def changed_lines(lines: DataFrame, orders: DataFrame, receipts: DataFrame, since: date
+                  ) -> DataFrame:
     """Lines whose order was placed, or which got a receipt, on or after ``since``.
 
     Both key lists are small next to the lines when ``since`` is recent; semi joins keep the
@@ -103,3 +106,26 @@ def merge_snapshot(stored: DataFrame, changed: DataFrame, key: str = "po_line_id
     """
     kept = stored.join(changed.select(key), key, "left_anti")
     return kept.select(*stored.columns).unionByName(changed)
+
+
+def refresh(
+    stored: DataFrame,
+    lines: DataFrame,
+    orders: DataFrame,
+    receipts: DataFrame,
+    since: date,
+    *dimensions: DataFrame,
+) -> DataFrame:
+    """Rebuild the lines that changed ``since`` and merge them into the stored fact.
+
+    Orders and receipts are first cut down to the changed lines, so only these are joined.
+    ``dimensions`` are dates, vendors, departments and items.
+    """
+    touched = changed_lines(lines, orders, receipts, since)
+    own_orders = orders.join(touched.select("po_id"), "po_id", "left_semi")
+    own_receipts = receipts.join(
+        touched.select(F.col("line_id").alias("po_line_id")), "po_line_id", "left_semi"
+    )
+    return merge_snapshot(
+        stored, order_lines_fact(touched, own_orders, own_receipts, *dimensions)
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,12 +37,14 @@ class Warehouse:
     """Raw tables, staging views and marts over one source.
 
     With a store, raw tables and marts are written once, on first use, and read back from then on;
-    staging and lifecycle stay plans. Without one everything stays a plan.
+    staging and lifecycle stay plans. Without one everything stays a plan. ``keep_raw`` is off for
+    a source that is stored already.
     """
 
-    def __init__(self, spark: SparkSession, source: Source, store: LayerStore | None = None
-                 ) -> None:
+    def __init__(self, spark: SparkSession, source: Source, store: LayerStore | None = None, *,
+                 keep_raw: bool = True) -> None:
         self.spark, self._source, self._store = spark, source, store
+        self._keep_raw = keep_raw
         self._building = threading.RLock()
 
     def _kept(self, layer: str, table: str, build: Callable[[], DataFrame],
@@ -49,11 +52,13 @@ class Warehouse:
         if self._store is None:
             return build()
         with self._building:
-            if not self._store.has(layer, table):
+            if not self._store.written(layer, table):
                 self._store.write(layer, table, build(), partition_by)
         return self._store.read(layer, table)
 
     def raw(self, table: str) -> DataFrame:
+        if not self._keep_raw:
+            return self._source(table, self.raw)
         return self._kept(RAW, table, lambda: self._source(table, self.raw))
 
     def raw_tables(self) -> dict[str, DataFrame]:
@@ -98,6 +103,32 @@ class Warehouse:
             self.items(),
         )
 
+    def refreshed_fact(self, stored: DataFrame, since: date) -> DataFrame:
+        """A stored fact brought up to date with orders and receipts dated ``since`` or later."""
+        return snapshot.refresh(
+            stored,
+            self.staged("purchase_order_lines"),
+            self.staged("purchase_orders"),
+            self.staged("goods_receipts"),
+            since,
+            self.dates(),
+            self.vendors(),
+            self.departments(),
+            self.items(),
+        )
+
+    def register_views(self) -> None:
+        """Make staging, lifecycle and marts known to SQL under their model names."""
+        for table in LOAD_ORDER:
+            self.staged(table).createOrReplaceTempView(f"stg_{table}")
+        self.lifecycle().createOrReplaceTempView("int_po_lifecycle")
+        m = self.marts()
+        m.dates.createOrReplaceTempView("dim_date")
+        m.departments.createOrReplaceTempView("dim_departments")
+        m.items.createOrReplaceTempView("dim_items")
+        m.vendors.createOrReplaceTempView("dim_vendors")
+        m.fact.createOrReplaceTempView("fct_purchase_order_lines")
+
     def fact(self) -> DataFrame:
         stored = self._kept(MARTS, "fct_purchase_order_lines", self.build_fact, FACT_PARTITIONS)
         return stored.select(*snapshot.FACT_COLUMNS)

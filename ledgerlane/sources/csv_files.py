@@ -49,10 +49,13 @@ def read_csv(
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
-    """One directory of headed CSV parts, no index column."""
+    """One directory of headed CSV parts, no index column. Blanks are written as they are, and a
+    missing value and an empty text alike as nothing."""
     (
         rows.write.mode("overwrite")
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
         .option("emptyValue", "")
         .csv(path)
