@@ -41,6 +41,16 @@ def hundredths(column: str) -> Column:
     return (F.col(column) * 100).cast("long")
 
 
+def _summed(rows: DataFrame, keys: Sequence[str], sums: Mapping[str, Column],
+            lows: Mapping[str, Column], highs: Mapping[str, Column], *counts: Column) -> DataFrame:
+    return rows.groupBy(*keys).agg(
+        *[F.sum(column).alias(name) for name, column in sums.items()],
+        *[F.min(column).alias(name) for name, column in lows.items()],
+        *[F.max(column).alias(name) for name, column in highs.items()],
+        *counts,
+    )
+
+
 def grouped(
     fact: DataFrame,
     own: Sequence[str],
@@ -49,28 +59,29 @@ def grouped(
     *,
     extremes: Sequence[str] = (),
     distinct: Sequence[str] = (),
+    reduce_first: bool = True,
 ) -> DataFrame:
     """Sum ``sums`` by the fact columns ``own`` and the attributes of ``lookups``.
 
     The fact is first summed by the dimension keys (and the ``distinct`` columns), so the rows of
     a key that holds a large part of the fact are combined in every task before any shuffle, and
-    the dimensions are joined to the reduced rows only. Then the attributes are grouped.
+    the dimensions are joined to the reduced rows only. Then the attributes are grouped. Turn
+    ``reduce_first`` off where those keys tell nearly all rows apart or the dimension is tiny.
 
     ``extremes`` adds ``min_<column>`` and ``max_<column>``; ``distinct`` adds ``n_<column>``, the
     exact count of distinct values. Rows whose key no dimension has are left out.
     """
+    lows = {f"min_{column}": F.col(column) for column in extremes}
+    highs = {f"max_{column}": F.col(column) for column in extremes}
     keys = [lookup.key for lookup in lookups]
-    rows = fact.groupBy(*keys, *own, *distinct).agg(
-        *[F.sum(column).alias(name) for name, column in sums.items()],
-        *[F.min(column).alias(f"min_{column}") for column in extremes],
-        *[F.max(column).alias(f"max_{column}") for column in extremes],
-    )
+    groups = [*own, *(name for lookup in lookups for name in lookup.attributes)]
+    counts = [F.countDistinct(column).alias(f"n_{column}") for column in distinct]
+    if reduce_first:
+        rows = _summed(fact, [*keys, *own, *distinct], sums, lows, highs)
+    else:
+        measures = {**sums, **lows, **highs}.items()
+        rows = fact.select(*keys, *own, *distinct, *[c.alias(name) for name, c in measures])
+    sums, lows, highs = ({name: F.col(name) for name in part} for part in (sums, lows, highs))
     for lookup in lookups:
         rows = rows.join(lookup.columns(), lookup.key)
-    attributes = [name for lookup in lookups for name in lookup.attributes]
-    return rows.groupBy(*own, *attributes).agg(
-        *[F.sum(name).alias(name) for name in sums],
-        *[F.min(f"min_{column}").alias(f"min_{column}") for column in extremes],
-        *[F.max(f"max_{column}").alias(f"max_{column}") for column in extremes],
-        *[F.countDistinct(column).alias(f"n_{column}") for column in distinct],
-    )
+    return _summed(rows, groups, sums, lows, highs, *counts)

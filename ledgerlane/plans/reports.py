@@ -231,6 +231,7 @@ def spend_by_department(m: Marts) -> DataFrame:
             "po_line_dalam_proses": flag(waiting),
         },
         distinct=["po_id"],
+        reduce_first=False,
     )
     ranked = totals.withColumn(
         "ranking_pengeluaran", F.rank().over(Window.orderBy(F.desc("received")))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.dates import days_between, year_month
-from ledgerlane.functions.numeric import in_units, percent, ratio
+from ledgerlane.functions.numeric import in_units, percent, ratio, value_of
 from ledgerlane.operators.rollup import Lookup, flag, grouped, hundredths, present
 from ledgerlane.plans.reports import BILLION, average, not_cancelled
 from ledgerlane.plans.warehouse import Marts
@@ -264,6 +264,7 @@ def spend_share_by_category(m: Marts) -> DataFrame:
         not_cancelled(m.fact), [], [_items(m, "item_category")],
         {"spend": _received_value(), "lines": present("po_line_id")},
         distinct=["po_id"],
+        reduce_first=False,
     )
     everything = F.sum("spend").over(Window.partitionBy())
     shared = totals.withColumn("pct_total_spend", percent(F.col("spend"), everything, 1))
@@ -367,22 +368,24 @@ def supplier_dependence(m: Marts, limit: int = 10) -> DataFrame:
 def negotiation_savings(m: Marts, limit: int = 10) -> DataFrame:
     """What lines cost below the list price; lines above it save nothing.
 
-    Lines of an item and vendor at the same price are added up before the list price is met.
+    The list price is met line by line, since prices tell nearly all lines of an item apart.
     """
-    listed, quantity = F.col("current_unit_price_idr"), F.col("quantity").cast(MONEY)
-    paid = "net_unit_price_idr"
-    prices = grouped(
-        not_cancelled(m.fact), [paid],
-        [_items(m, "item_category", "current_unit_price_idr"), _vendors(m, "vendor_name")],
-        {"lines": _line(), "quantity": F.col("quantity_ordered"), "net": _net()},
-    )
-    saved = F.greatest(listed - F.col(paid), F.lit(0)) * quantity
-    return prices.groupBy("vendor_name", "item_category").agg(
-        F.sum("lines").alias("jumlah_line"),
-        F.sum(saved).alias("saved"),
-        F.sum(listed * quantity).alias("listed"),
-        F.sum("net").alias("net"),
-    ).orderBy(F.desc("saved"), "vendor_name", "item_category").limit(limit).select(
+    listed, quantity = F.col("current_unit_price_idr"), F.col("quantity_ordered")
+    below = F.greatest(listed - F.col("net_unit_price_idr"), F.lit(0)).cast(MONEY)
+    items = _items(m, "item_category", "current_unit_price_idr")
+    lines = not_cancelled(m.fact).select(
+        "item_sk", "vendor_sk", "net_unit_price_idr", "quantity_ordered", "net_total_ordered_idr"
+    ).join(items.columns(), items.key)
+    totals = grouped(
+        lines, ["item_category"], [_vendors(m, "vendor_name")],
+        {
+            "jumlah_line": _line(),
+            "saved": value_of(below, quantity),
+            "listed": value_of(listed, quantity),
+            "net": _net(),
+        },
+    )
+    return totals.orderBy(F.desc("saved"), "vendor_name", "item_category").limit(limit).select(
         "vendor_name", "item_category", "jumlah_line",
         _billions("saved", "savings_proxy_miliar_idr"),
         _billions("listed", "nilai_referensi_miliar_idr"),
@@ -396,6 +399,7 @@ def requests_by_department(m: Marts, limit: int = 10) -> DataFrame:
         not_cancelled(m.fact), [], [_departments(m, "department_name", "location")],
         {"lines": present("po_line_id"), "net": _net()},
         distinct=["pr_id", "po_id"],
+        reduce_first=False,
     )
     return totals.orderBy(
         F.desc("n_pr_id"), F.desc("net"), "department_name", "location"
