@@ -25,7 +25,7 @@ def ratio(numerator: Column, denominator: Column, places: int, times: int = 1) -
     top, bottom = numerator.cast(_WIDE), denominator.cast(_WIDE)
     doubled = F.abs(top) * F.lit(2 * times * 10**places) + bottom
     units = F.call_function("div", doubled, bottom * F.lit(2))
-    signed = F.when(top < 0, -units).otherwise(units).cast("decimal(18,0)")
+    signed = F.when(top < 0, -units).otherwise(units).cast("decimal(20,0)")
     return F.when(bottom > 0, signed * F.lit(Decimal(1).scaleb(-places)) if places else signed)
 
 

@@ -73,7 +73,8 @@ def with_receipt_measures(receipts: DataFrame) -> DataFrame:
     variance = F.col("quantity_received") - ordered
     full, short, shorter, shortest, over = RECEIPT_STATUSES
     # percent to two digits with the sign kept apart, so that halves round away from zero
-    size = F.call_function("div", F.abs(variance) * 20000 + ordered, F.nullif(ordered * 2, F.lit(0)))
+    base = F.nullif(ordered * 2, F.lit(0))
+    size = F.call_function("div", F.abs(variance) * 20000 + ordered, base)
     return receipts.withColumns({
         "quantity_variance": variance,
         "variance_pct": F.when(variance < 0, -size).otherwise(size) / F.lit(100.0),

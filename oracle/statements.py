@@ -523,8 +523,8 @@ _DOCUMENTS = {
                'OK' AS status
         FROM loads GROUP BY ROLLUP ("table")""",
     "V6": _union(
-        f"SELECT '{name}' AS \"table\", '2025-01-01 00:00:00' AS newest, CAST(30 AS BIGINT) AS age_hours, "
-        f"'warn' AS status FROM raw_{name} HAVING count(*) > 0" for name in _RAW_NAMES
+        f"SELECT '{name}' AS \"table\", '2025-01-01 00:00:00' AS newest, "
+        f"CAST(30 AS BIGINT) AS age_hours, 'warn' AS status FROM raw_{name} HAVING count(*) > 0" for name in _RAW_NAMES
     ),
 }
 
