@@ -89,7 +89,9 @@ def with_receipt_measures(receipts: DataFrame) -> DataFrame:
 
 
 def value_counts(rows: DataFrame, column: str) -> DataFrame:
-    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+    """How often each value occurs; missing values are not counted."""
+    found = rows.filter(F.col(column).isNotNull())
+    counts = found.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
     return counts.select(F.lit(column).alias("column"), "value", "rows")
 
 

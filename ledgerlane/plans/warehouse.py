@@ -137,6 +137,13 @@ class Warehouse:
         return Marts(self.dates(), self.departments(), self.items(), self.vendors(), self.fact())
 
 
+    def discard(self) -> None:
+        """Delete the stored tables; they are written again on their next use."""
+        if self._store is not None:
+            with self._building:
+                self._store.discard()
+
+
 _warehouses: dict[tuple[str, str], Warehouse] = {}
 
 

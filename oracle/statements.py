@@ -495,9 +495,9 @@ _DOCUMENTS = {
         UNION ALL SELECT 'GR', gr_id, gr_number FROM raw_goods_receipts""",
     "G8": """
         SELECT 'status' AS "column", status AS value, count(*) AS "rows"
-        FROM raw_purchase_orders GROUP BY status
+        FROM raw_purchase_orders WHERE status IS NOT NULL GROUP BY status
         UNION ALL SELECT 'receipt_status', receipt_status, count(*)
-        FROM raw_goods_receipts GROUP BY receipt_status""",
+        FROM raw_goods_receipts WHERE receipt_status IS NOT NULL GROUP BY receipt_status""",
     "G9": f"""
         SELECT min(lead_time_days) AS lead_min,
                CAST(median(lead_time_days) AS DOUBLE) AS lead_median,

@@ -85,4 +85,4 @@ def test_profile_and_shapes(raw):
         "a": (3, 21), "b": (1, 21), documents.GRAND_TOTAL: (4, 42)
     }
     counts = documents.value_counts(receipts, "is_on_time").collect()
-    assert {row.value: row.rows for row in counts} == {True: 1, False: 1, None: 1}
+    assert {row.value: row.rows for row in counts} == {True: 1, False: 1}

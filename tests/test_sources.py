@@ -97,3 +97,12 @@ def test_a_failed_load_leaves_the_old_table(spark, file, tmp_path):
     file(f"{HEADER}\n1,D1,N,C,L,M,5,2024-01-02\n2,D2,N,C,L,M,5,2024-01-02\n")
     load_table(spark, store, str(tmp_path), "departments", LOADED)
     assert store.read(RAW, "departments").count() == 2
+
+
+def test_a_discarded_store_is_empty(spark, raw, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "store"))
+    store.write(RAW, "vendors", raw("vendors"))
+    assert store.written(RAW, "vendors")
+    store.discard()
+    assert not store.written(RAW, "vendors") and not (tmp_path / "store").exists()
+    assert store.write(RAW, "vendors", raw("vendors")) == 1
