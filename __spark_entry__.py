@@ -25,6 +25,14 @@ from ledgerlane.plans.warehouse import Warehouse, sample_warehouse
 from ledgerlane.sources.csv_files import infer_types
 from ledgerlane.sources.layers import LayerStore, shared_folder
 
+try:  # the package may be left out
+    from ledgerlane.llm.queries import ORACLE_SQL as _LLM_ORACLE_SQL
+    from ledgerlane.llm.queries import QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("ledgerlane.llm"):
+        raise
+    _LLM_QUERIES, _LLM_ORACLE_SQL = {}, {}
+
 SMALLEST = "/root/testdata/sf0.001"
 LOADED = datetime(2025, 1, 1)
 CHECKED_AT = datetime(2025, 1, 2, 6)
@@ -220,6 +228,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "FIN2": functools.partial(payables_ageing, as_of=PAYABLES_AS_OF),
     }
     return {
+        **_LLM_QUERIES,
         "S1": lambda spark, folder: portable(_csv_round_trip(spark, folder)),
         **{key: over_warehouse(build) for key, build in _OVER_WAREHOUSE.items()},
         **{key: over_marts(report) for key, report in reports.items()},
@@ -230,4 +239,4 @@ def oracle_sql() -> dict[str, str]:
     """The expected result of each query in DuckDB SQL; random sampling (G5) has none."""
     from oracle.statements import statements
 
-    return statements()
+    return {**_LLM_ORACLE_SQL, **statements()}
