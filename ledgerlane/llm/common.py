@@ -17,14 +17,13 @@ BLANK_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a local one in local mode."""
+    """The folder all executors share: ``spark.checkpoint.dir``, or one in the warehouse in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        root = f"{warehouse.rstrip('/')}/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
