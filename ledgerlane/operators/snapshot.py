@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import date
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.operators.dimensions import surrogate_key
@@ -47,7 +47,68 @@ def _with_key(df: DataFrame, dimension: DataFrame, natural: str, key: str) -> Da
     return df.join(dimension.select(natural, key), natural, "left")
 
 
-def order_lines_fact(
+#: What a stored row remembers of its sources, besides the columns above.
+SOURCE_HASH = "source_hash"
+
+# Columns of staged tables that do not reach the fact.
+_APART = frozenset({"loaded_at", "created_at", "notes"})
+
+
+@dataclass(frozen=True)
+class Sources:
+    """Lines, orders and latest receipts with the keys and the hash the fact takes from each."""
+
+    lines: DataFrame
+    orders: DataFrame
+    receipts: DataFrame
+
+    def fact(self) -> DataFrame:
+        """The whole fact with its source hash."""
+        lifecycle = order_lifecycle(
+            self.lines, self.orders, self.receipts,
+            line_extras=("item_sk", "date_key_delivery_expected", "line_hash"),
+            order_extras=("vendor_sk", "department_sk", "date_key_po_date", "order_hash"),
+            receipt_extras=("date_key_gr_date", "receipt_hash"),
+        )
+        keyed = lifecycle.withColumnsRenamed({"quantity_received_coalesced": "quantity_received_calc"})
+        return keyed.withColumns({
+            "fct_po_line_sk": surrogate_key(F.col("po_line_id")),
+            SOURCE_HASH: _joined_hash(),
+        }).select(*FACT_COLUMNS, SOURCE_HASH)
+
+    def hashes(self) -> DataFrame:
+        """Per line of the fact: po_line_id, po_id, new_year, new_hash; moves a few numbers a row."""
+        orders = self.orders.select("po_id", F.col("po_year").alias("new_year"), "order_hash")
+        receipts = self.receipts.select("po_line_id", "receipt_hash")
+        lines = self.lines.select(F.col("line_id").alias("po_line_id"), "po_id", "line_hash")
+        joined = lines.join(orders, "po_id").join(receipts, "po_line_id", "left")
+        return joined.select("po_line_id", "po_id", "new_year", _joined_hash().alias("new_hash"))
+
+    def only(self, changed: DataFrame) -> Sources:
+        """Cut down to the changed lines, so only these are joined."""
+        ids = changed.where("new_hash IS NOT NULL").select(F.col("po_line_id").alias("line_id"))
+        orders = changed.where("new_hash IS NOT NULL").select("po_id").distinct()
+        return Sources(
+            self.lines.join(ids, "line_id", "left_semi"),
+            self.orders.join(orders, "po_id", "left_semi"),
+            self.receipts.join(ids.withColumnRenamed("line_id", "po_line_id"), "po_line_id", "left_semi"),
+        )
+
+
+def _joined_hash() -> Column:
+    return F.xxhash64("line_hash", "order_hash", F.coalesce("receipt_hash", F.lit(0)))
+
+
+def _hashed(rows: DataFrame, name: str) -> DataFrame:
+    """Add a hash of all columns that reach the fact; a missing value counts as such."""
+    parts = []
+    for column in rows.columns:
+        if column not in _APART:
+            parts += [F.col(column), F.col(column).isNull()]
+    return rows.withColumn(name, F.xxhash64(*parts))
+
+
+def sources(
     lines: DataFrame,
     orders: DataFrame,
     receipts: DataFrame,
@@ -55,12 +116,11 @@ def order_lines_fact(
     vendors: DataFrame,
     departments: DataFrame,
     items: DataFrame,
-) -> DataFrame:
-    """Build the whole fact from staged tables and dimensions.
+) -> Sources:
+    """Look every dimension up on the smallest table that has its key.
 
-    Every dimension is looked up on the smallest table that has its key: vendor, department and
-    order date on orders, item and promised date on lines, receipt date on the latest receipts.
-    The wide joined rows are then never shuffled for a lookup.
+    Vendor, department and order date on orders, item and promised date on lines, receipt date on
+    the latest receipts. The wide joined rows are then never shuffled for a lookup.
     """
     current = vendors.filter("is_current_record")
     orders = with_date_key(orders, dates, "po_date", "date_key_po_date")
@@ -69,63 +129,41 @@ def order_lines_fact(
     lines = with_date_key(lines, dates, "delivery_date_expected", "date_key_delivery_expected")
     lines = _with_key(lines, items, "item_id", "item_sk")
     newest = with_date_key(latest_receipts(receipts), dates, "gr_date", "date_key_gr_date")
-    lifecycle = order_lifecycle(
-        lines, orders, newest,
-        line_extras=("item_sk", "date_key_delivery_expected"),
-        order_extras=("vendor_sk", "department_sk", "date_key_po_date"),
-        receipt_extras=("date_key_gr_date",),
-    )
-    keyed = lifecycle.withColumnsRenamed({"quantity_received_coalesced": "quantity_received_calc"})
-    return keyed.withColumn("fct_po_line_sk", surrogate_key(F.col("po_line_id"))).select(
-        *FACT_COLUMNS
+    return Sources(
+        _hashed(lines, "line_hash"), _hashed(orders, "order_hash"), _hashed(newest, "receipt_hash")
     )
 
 
-def changed_lines(lines: DataFrame, orders: DataFrame, receipts: DataFrame, since: date
-                  ) -> DataFrame:
-    """Lines whose order was placed, or which got a receipt, on or after ``since``.
+def order_lines_fact(*tables: DataFrame) -> DataFrame:
+    """Build the whole fact; the tables are those of ``sources``."""
+    return sources(*tables).fact().select(*FACT_COLUMNS)
+
+
+def changes(stored: DataFrame, given: Sources) -> DataFrame:
+    """Lines that differ from the stored fact, are new, or are gone at the source.
 
-    Both key lists are small next to the lines when ``since`` is recent; semi joins keep the
-    lines from multiplying.
+    (po_line_id, po_id, old_year, new_year, new_hash): one full outer join of key and hash. A line
+    that is gone has a null ``new_hash``, a new one a null ``old_year``.
     """
-    placed = orders.filter(F.col("po_date") >= F.lit(since)).select("po_id")
-    received = receipts.filter(F.col("gr_date") >= F.lit(since)).select(
-        F.col("po_line_id").alias("line_id")
+    old = stored.select(
+        "po_line_id", F.col("po_year").alias("old_year"), F.col(SOURCE_HASH).alias("old_hash")
     )
-    touched = (
-        lines.join(placed, "po_id", "left_semi").select("line_id").unionByName(received).distinct()
-    )
-    return lines.join(touched, "line_id", "left_semi")
+    joined = old.join(given.hashes(), "po_line_id", "full_outer")
+    differs = ~F.col("old_hash").eqNullSafe(F.col("new_hash"))
+    return joined.where(differs).select("po_line_id", "po_id", "old_year", "new_year", "new_hash")
 
 
-def merge_snapshot(stored: DataFrame, changed: DataFrame, key: str = "po_line_id") -> DataFrame:
-    """The stored fact with changed lines replaced and new lines added.
+def merged(stored: DataFrame, changed: DataFrame, given: Sources) -> DataFrame:
+    """The stored rows without those that changed or are gone, and the changed ones built anew.
 
-    ``changed`` holds complete rows, so a row is replaced as a whole. Only its key column is
-    shuffled or broadcast against the stored rows; the stored rows themselves are not re-sorted.
+    ``changed`` is used several times, so the caller stores it first. Only key columns meet the
+    stored rows; the stored rows themselves are not sorted again.
     """
-    kept = stored.join(changed.select(key), key, "left_anti")
-    return kept.select(*stored.columns).unionByName(changed)
+    kept = stored.join(changed.select("po_line_id"), "po_line_id", "left_anti")
+    return kept.select(*FACT_COLUMNS, SOURCE_HASH).unionByName(given.only(changed).fact())
 
 
-def refresh(
-    stored: DataFrame,
-    lines: DataFrame,
-    orders: DataFrame,
-    receipts: DataFrame,
-    since: date,
-    *dimensions: DataFrame,
-) -> DataFrame:
-    """Rebuild the lines that changed ``since`` and merge them into the stored fact.
-
-    Orders and receipts are first cut down to the changed lines, so only these are joined.
-    ``dimensions`` are dates, vendors, departments and items.
-    """
-    touched = changed_lines(lines, orders, receipts, since)
-    own_orders = orders.join(touched.select("po_id"), "po_id", "left_semi")
-    own_receipts = receipts.join(
-        touched.select(F.col("line_id").alias("po_line_id")), "po_line_id", "left_semi"
-    )
-    return merge_snapshot(
-        stored, order_lines_fact(touched, own_orders, own_receipts, *dimensions)
-    )
+def touched_years(changed: DataFrame) -> list[int]:
+    """The values of ``po_year`` whose rows an update must write, as many as there are years."""
+    years = F.explode(F.array("old_year", "new_year"))
+    return sorted(row[0] for row in changed.select(years).distinct().where("col IS NOT NULL").collect())

@@ -8,12 +8,15 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlane.operators import dimensions, lifecycle, snapshot, staging
+from ledgerlane.operators import dimensions, history, lifecycle, snapshot, staging
 from ledgerlane.schemas import LOAD_ORDER
-from ledgerlane.sources.layers import MARTS, RAW, LayerStore, shared_folder
+from ledgerlane.sources.layers import MARTS, RAW, SCRATCH, LayerStore, shared_folder
 from ledgerlane.sources.sample import SampleTables
 
+FACT = "fct_purchase_order_lines"
+
 #: Columns the fact is partitioned by when stored: reports on one year read that year only.
 FACT_PARTITIONS = ("po_year",)
 
@@ -91,9 +94,8 @@ class Warehouse:
     def vendors(self) -> DataFrame:
         return self._dimension("vendors")
 
-    def build_fact(self) -> DataFrame:
-        """The fact as a plan over raw tables and stored dimensions."""
-        return snapshot.order_lines_fact(
+    def fact_sources(self) -> snapshot.Sources:
+        return snapshot.sources(
             self.staged("purchase_order_lines"),
             self.staged("purchase_orders"),
             self.staged("goods_receipts"),
@@ -103,19 +105,52 @@ class Warehouse:
             self.items(),
         )
 
-    def refreshed_fact(self, stored: DataFrame, since: date) -> DataFrame:
-        """A stored fact brought up to date with orders and receipts dated ``since`` or later."""
-        return snapshot.refresh(
-            stored,
-            self.staged("purchase_order_lines"),
-            self.staged("purchase_orders"),
-            self.staged("goods_receipts"),
-            since,
-            self.dates(),
-            self.vendors(),
-            self.departments(),
-            self.items(),
-        )
+    def build_fact(self) -> DataFrame:
+        """The fact as a plan over raw tables and stored dimensions."""
+        return self.fact_sources().fact().select(*snapshot.FACT_COLUMNS)
+
+    def _changes(self, stored: DataFrame, given: snapshot.Sources) -> DataFrame:
+        """The changed lines, found once and stored."""
+        changed = snapshot.changes(stored, given)
+        if self._store is None:
+            return changed
+        self._store.write(SCRATCH, "changed_lines", changed)
+        return self._store.read(SCRATCH, "changed_lines")
+
+    def refreshed_fact(self, stored: DataFrame) -> DataFrame:
+        """A fact of earlier sources, brought up to date with the present ones."""
+        given = self.fact_sources()
+        changed = self._changes(stored, given)
+        return snapshot.merged(stored, changed, given).select(*snapshot.FACT_COLUMNS)
+
+    def update_fact(self) -> list[int]:
+        """Bring the stored fact up to date: only years that hold a changed line are written.
+
+        Without a stored fact the whole one is built. Returns the years written.
+        """
+        with self._building:
+            if not self._store.exists(MARTS, FACT):
+                self._store.write(MARTS, FACT, self.fact_sources().fact(), FACT_PARTITIONS)
+                return []
+            stored, given = self._store.read(MARTS, FACT), self.fact_sources()
+            changed = self._changes(stored, given)
+            years = snapshot.touched_years(changed)
+            if years:
+                old = stored.where(F.col("po_year").isin(years))
+                self._store.replace(MARTS, FACT, snapshot.merged(old, changed, given), "po_year", years)
+            self._store.fresh.add((MARTS, FACT))
+            return years
+
+    def update_vendors(self, load_date: date) -> None:
+        """Apply the staged vendors to the stored history, or begin one."""
+        with self._building:
+            if self._store.exists(MARTS, "dim_vendors"):
+                stored = self._store.read(MARTS, "dim_vendors")
+                self._store.write(
+                    MARTS, "dim_vendors", history.apply_changes(stored, self.staged("vendors"), load_date)
+                )
+            else:
+                self._dimension("vendors")
 
     def register_views(self) -> None:
         """Make staging, lifecycle and marts known to SQL under their model names."""
@@ -130,13 +165,12 @@ class Warehouse:
         m.fact.createOrReplaceTempView("fct_purchase_order_lines")
 
     def fact(self) -> DataFrame:
-        stored = self._kept(MARTS, "fct_purchase_order_lines", self.build_fact, FACT_PARTITIONS)
+        stored = self._kept(MARTS, FACT, lambda: self.fact_sources().fact(), FACT_PARTITIONS)
         return stored.select(*snapshot.FACT_COLUMNS)
 
     def marts(self) -> Marts:
         return Marts(self.dates(), self.departments(), self.items(), self.vendors(), self.fact())
 
-
     def discard(self) -> None:
         """Delete the stored tables; they are written again on their next use."""
         if self._store is not None:
@@ -151,16 +185,12 @@ def sample_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     """The warehouse over a test-data folder; one per application and folder.
 
     Stored tables live under the shared folder in a directory named after the application, so
-    tables of an earlier run are never read.
+    tables of an earlier run are never read; the directory is deleted when the application ends.
     """
     application = spark.sparkContext.applicationId
     if (application, folder) not in _warehouses:
-        shared = shared_folder(spark)
-        store = None
-        if shared is not None:
-            number = len(_warehouses)
-            store = LayerStore(spark, f"{shared.rstrip('/')}/ledgerlane-{application}/{number}")
+        root = f"{shared_folder(spark)}/ledgerlane-{application}/{len(_warehouses)}"
         _warehouses[application, folder] = Warehouse(
-            spark, SampleTables(spark, folder).table, store
+            spark, SampleTables(spark, folder).table, LayerStore(spark, root, transient=True)
         )
     return _warehouses[application, folder]

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlane.operators import dimensions, snapshot, staging
-from ledgerlane.plans.warehouse import sample_warehouse
+from ledgerlane.plans.warehouse import FACT, Warehouse, sample_warehouse
+from ledgerlane.sources.layers import MARTS, RAW, LayerStore
 from tests.conftest import SAMPLE
 
 
@@ -84,23 +85,94 @@ def test_every_vendor_has_one_current_version_and_versions_do_not_overlap(wareho
     assert overlapping.count() == 0
 
 
-def test_merging_changes_gives_the_full_rebuild(warehouse):
+def earlier(warehouse):
+    """Sources as they were: another status of old orders, other lines, other and missing receipts."""
     lines, orders, receipts = (
         warehouse.staged(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts")
     )
-    shared = (warehouse.dates(), warehouse.vendors(), warehouse.departments(), warehouse.items())
-    since = date(2021, 6, 1)
-    stored = snapshot.order_lines_fact(
-        lines, orders.filter(F.col("po_date") < F.lit(since)),
-        receipts.filter(F.col("gr_date") < F.lit(since)), *shared,
+    gone = lines.where("line_id % 3 = 0").withColumn("line_id", -F.col("line_id"))
+    return (
+        lines.where("line_id % 5 <> 0").unionByName(gone),
+        orders.withColumn("po_status", F.when(F.col("po_date") < "2019-06-01", "Terbuka").otherwise(F.col("po_status"))),
+        receipts.where("gr_id % 7 <> 0").withColumn("inspection_status", F.lit("Lulus")),
     )
-    touched = snapshot.changed_lines(lines, orders, receipts, since)
-    merged = warehouse.refreshed_fact(stored, since)
-    full = warehouse.fact()
-    assert 0 < touched.count() < full.count()
+
+
+def dimensions_of(warehouse):
+    return warehouse.dates(), warehouse.vendors(), warehouse.departments(), warehouse.items()
+
+
+def test_merging_changes_gives_the_full_rebuild(warehouse):
+    stored = snapshot.sources(*earlier(warehouse), *dimensions_of(warehouse)).fact()
+    merged, full = warehouse.refreshed_fact(stored), warehouse.fact()
     assert merged.exceptAll(full).count() == full.exceptAll(merged).count() == 0
 
 
+def test_only_changed_lines_are_found(warehouse):
+    given = warehouse.fact_sources()
+    assert snapshot.changes(given.fact(), given).count() == 0
+    orders = given.orders.withColumn("po_status", F.lit("Dibatalkan")).where("po_id > 0")
+    one = given.orders.select(F.max("po_id")).first()[0]
+    changed = given.fact().where(F.col("po_id") != one)
+    found = snapshot.changes(changed, given)
+    assert {row.po_id for row in found.collect()} == {one} and orders.count() > 1
+
+
+def test_an_update_writes_only_touched_years(spark, warehouse, tmp_path):
+    """One order of one year is cancelled; other years keep their files, and so does nobody's reader."""
+    store = LayerStore(spark, str(tmp_path / "store"))
+    for name, rows in warehouse.raw_tables().items():
+        store.write(RAW, name, rows)
+
+    def open_warehouse():
+        opened = LayerStore(spark, str(tmp_path / "store"))
+        return Warehouse(spark, lambda table, _: opened.read(RAW, table), opened, keep_raw=False), opened
+
+    first, _ = open_warehouse()
+    assert first.update_fact() == []
+    before = first.fact()
+    rows = before.count()
+    orders = store.read(RAW, "purchase_orders")
+    chosen = before.where("po_year = 2020 AND NOT is_cancelled").first().po_id
+    status = F.when(F.col("po_id") == chosen, "Dibatalkan").otherwise(F.col("status"))
+    store.write(RAW, "purchase_orders", orders.withColumn("status", status))
+    second, opened = open_warehouse()
+    old_parts = opened._state(MARTS, FACT)["parts"]
+    assert second.update_fact() == [2020]
+    parts = opened._state(MARTS, FACT)["parts"]
+    assert sum(part.startswith(old_parts[0]) for part in parts) == len(parts) - 1
+    assert before.count() == rows  # files of the former state are still there
+    after, full = second.fact(), second.build_fact()
+    assert after.exceptAll(full).count() == full.exceptAll(after).count() == 0
+    assert after.where("is_cancelled").count() > before.where("is_cancelled").count()
+    third, _ = open_warehouse()
+    assert third.update_fact() == []
+
+
+def test_an_order_with_a_third_of_the_lines(spark, warehouse):
+    lines, orders, receipts = (
+        warehouse.staged(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts")
+    )
+    hot = orders.select(F.min("po_id")).first()[0]
+    lines = lines.withColumn("po_id", F.when(F.col("line_id") % 3 == 0, hot).otherwise(F.col("po_id")))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        given = snapshot.sources(lines, orders, receipts, *dimensions_of(warehouse))
+        was = snapshot.sources(
+            lines, orders.withColumn("po_status", F.lit("Terbuka")), receipts, *dimensions_of(warehouse)
+        ).fact()
+        changed = snapshot.changes(was, given)
+        merged, full = snapshot.merged(was, changed, given), given.fact()
+        assert merged.exceptAll(full).count() == full.exceptAll(merged).count() == 0
+        assert changed.where(F.col("po_id") == hot).count() > full.count() / 4
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
 def test_only_bounded_tables_are_broadcast_by_request(spark, warehouse):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
