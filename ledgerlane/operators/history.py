@@ -34,41 +34,64 @@ def apply_changes(
 
     A changed key has its open version closed the day before ``load_date`` and a new one opened on
     it; a new key opens its first version; an unchanged or vanished key keeps its version. Closed
-    versions pass through untouched, outside the join.
+    versions pass through untouched, outside the join. A second change on the day the open version
+    began replaces that version in place, so a load can be run again with other values.
+
+    Running the result fails if a key of the load has an open version that began after
+    ``load_date``, or if rows of the load share a key and differ; equal ones count once.
     """
     columns = versions.columns
     closed = versions.filter("NOT is_current_record")
     old = versions.filter("is_current_record").alias("old")
-    new = incoming.alias("new")
+    new = _one_row_per_key(incoming, key).alias("new")
     known, arrived = F.col(f"old.{key}").isNotNull(), F.col(f"new.{key}").isNotNull()
+    began, day = F.col("old.dbt_valid_from"), F.lit(load_date)
     changed = known & arrived & _differs(tracked)
 
     paired = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
-    marked = paired.withColumns({"_changed": changed, "_new": ~known})
+    marked = paired.withColumns({"_changed": changed, "_new": ~known, "_again": changed & (began == day)})
 
+    version = F.coalesce(F.col("old.record_version"), F.lit(0))
     fresh = {
-        "dbt_valid_from": F.lit(load_date),
+        "dbt_valid_from": day,
         "dbt_valid_to": F.lit(None).cast("date"),
         "is_current_record": F.lit(True),
-        "record_version": F.coalesce(F.col("old.record_version"), F.lit(0)) + 1,
-        surrogate: surrogate_key(F.col(f"new.{key}"), F.lit(load_date)),
+        "record_version": version + F.when(F.col("_again"), 0).otherwise(1),
+        surrogate: surrogate_key(F.col(f"new.{key}"), day),
     }
     ended = {
-        "dbt_valid_to": F.when(F.col("_changed"), F.date_sub(F.lit(load_date), 1)).otherwise(
-            F.col("old.dbt_valid_to")
-        ),
+        "dbt_valid_to": F.when(F.col("_changed"), F.date_sub(day, 1)).otherwise(F.col("old.dbt_valid_to")),
         "is_current_record": ~F.col("_changed"),
     }
     keep = F.struct(*[ended.get(c, F.col(f"old.{c}")).alias(c) for c in columns])
     opened = F.struct(*[fresh.get(c, F.col(f"new.{c}")).alias(c) for c in columns])
+    late = F.concat(F.lit("load of "), day.cast("string"), F.lit(" is older than an open version of key "),
+                    F.col(f"new.{key}").cast("string"))
     # one joined row yields its kept version, its new version, or both
-    rows = F.when(F.col("_new"), F.array(opened)).when(
-        F.col("_changed"), F.array(keep, opened)
-    ).otherwise(F.array(keep))
+    rows = (
+        F.when(known & arrived & (began > day), F.array(keep, F.raise_error(late).cast(_type_of(keep, marked))))
+        .when(F.col("_new") | F.col("_again"), F.array(opened))
+        .when(F.col("_changed"), F.array(keep, opened))
+        .otherwise(F.array(keep))
+    )
     merged = marked.select(F.explode(rows).alias("version")).select("version.*")
     return closed.unionByName(merged)
 
 
+def _type_of(column: Column, rows: DataFrame):
+    return rows.select(column.alias("c")).schema["c"].dataType
+
+
+def _one_row_per_key(incoming: DataFrame, key: str) -> DataFrame:
+    """Equal rows once; an error when rows of one key differ."""
+    whole = F.struct(*incoming.columns)
+    grouped = incoming.groupBy(F.col(key).alias("_key")).agg(F.min(whole).alias("_low"), F.max(whole).alias("_high"))
+    twice = F.concat(F.lit("several rows in one load for key "), F.col("_key").cast("string"))
+    kind = grouped.schema["_low"].dataType
+    only = F.when(F.col("_low").eqNullSafe(F.col("_high")), F.col("_low")).otherwise(F.raise_error(twice).cast(kind))
+    return grouped.select(only.alias("_row")).select("_row.*")
+
+
 def as_of(
     facts: DataFrame,
     versions: DataFrame,

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from ledgerlane.operators import dimensions, staging
 from ledgerlane.operators.history import apply_changes, as_of
@@ -70,3 +72,53 @@ def test_as_of_finds_the_version_of_the_day(spark, raw):
     facts = spark.createDataFrame([(3, day) for day in days] + [(9, days[0])], "vendor_id long, day date")
     found = as_of(facts, versions, "day").orderBy("vendor_id", "day").collect()
     assert [row.record_version for row in found] == [None, 1, 1, 2, None]
+
+
+def staged(raw, *rows):
+    return staging.vendors(raw("vendors", *rows))
+
+
+def test_a_second_load_of_the_same_day_replaces_the_first(raw):
+    base = dimensions.vendors(staged(raw, dict(vendor_id=1, city="A"), dict(vendor_id=2, city="A")))
+    once = apply_changes(base, staged(raw, dict(vendor_id=1, city="B"), dict(vendor_id=5, city="X")), LOAD)
+    twice = apply_changes(once, staged(raw, dict(vendor_id=1, city="C"), dict(vendor_id=5, city="Y")), LOAD)
+    rows = {(r.vendor_id, r.record_version): r for r in twice.collect()}
+    assert (rows[1, 2].city, rows[1, 2].dbt_valid_from, rows[1, 2].is_current_record) == ("C", LOAD, True)
+    assert rows[1, 1].dbt_valid_to == date(2024, 6, 30) and rows[5, 1].city == "Y"
+    assert len(rows) == 4 == len({r.vendor_sk for r in rows.values()})
+
+
+def test_an_earlier_load_is_refused(raw):
+    base = dimensions.vendors(staged(raw, dict(vendor_id=1, city="A")))
+    after = apply_changes(base, staged(raw, dict(vendor_id=1, city="B")), LOAD)
+    with pytest.raises(Exception, match="older than an open version of key 1"):
+        apply_changes(after, staged(raw, dict(vendor_id=1, city="C")), date(2019, 1, 1)).collect()
+
+
+def test_rows_of_one_key(raw):
+    base = dimensions.vendors(staged(raw, dict(vendor_id=1, city="A")))
+    same = staged(raw, dict(vendor_id=1, city="B"), dict(vendor_id=1, city="B"))
+    assert apply_changes(base, same, LOAD).count() == 2
+    with pytest.raises(Exception, match="several rows in one load for key 1"):
+        apply_changes(base, staged(raw, dict(vendor_id=1, city="B"), dict(vendor_id=1, city="C")), LOAD).collect()
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.lists(st.tuples(st.integers(1, 3), st.sampled_from("ABC")), max_size=4)),
+                min_size=1, max_size=4))
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+def test_versions_of_any_loads(raw, loads):
+    """Keys are unique, intervals do not overlap, and each vendor has one open version."""
+    versions, day = dimensions.vendors(staged(raw, dict(vendor_id=1), dict(vendor_id=2))), LOAD
+    for days, cities in loads:
+        day += timedelta(days=days)
+        rows = [dict(vendor_id=k, city=c) for k, c in dict(cities).items()]
+        if rows:
+            versions = apply_changes(versions, staged(raw, *rows), day)
+    found = versions.collect()
+    assert len({r.vendor_sk for r in found}) == len(found)
+    for vendor in {r.vendor_id for r in found}:
+        own = sorted((r for r in found if r.vendor_id == vendor), key=lambda r: r.record_version)
+        assert [r.is_current_record for r in own] == [False] * (len(own) - 1) + [True]
+        assert own[-1].dbt_valid_to is None
+        for a, b in zip(own, own[1:]):
+            assert a.dbt_valid_from <= a.dbt_valid_to < b.dbt_valid_from
