@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.dates import days_between
@@ -52,15 +52,47 @@ def receivable_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
     return lines.join(eligible, "po_id", "left_semi")
 
 
-def sample_rows(rows: DataFrame, wanted: int, available: int, seed: int) -> DataFrame:
-    """About ``wanted`` rows, drawn with replacement only when more are wanted than there are.
+#: Buckets of the sampling histogram: the first four hexadecimal digits.
+_PREFIX = 4
 
-    Each task samples its own rows, so the size is met on average, not exactly. As many rows are
-    drawn as there are when more are wanted.
+# How many sixteen-millionths of a Poisson variable of mean one are at most 0, 1, ... 8.
+_AT_MOST = (6171993, 12343987, 15429983, 16458649, 16715816, 16767249, 16775821, 16777046, 16777199)
+
+
+def sample_rows(rows: DataFrame, wanted: int | Column, key: str, seed: int) -> DataFrame:
+    """``wanted`` rows, chosen by the md5 of seed and key: the same ones however rows are dealt.
+
+    Rows are taken in the order of that hash, then of the key, which must be unique. A histogram of
+    hash prefixes finds the bucket in which the last row lies, and only that bucket is ordered, so
+    no task ever sorts more than about one row in 65,536. ``wanted`` may be an expression of one
+    row, such as a count taken in the same plan; the whole table comes if it is wanted or more.
     """
-    size = min(wanted, available)
-    fraction = size / available if available else 0.0
-    return rows.sample(withReplacement=wanted > available, fraction=fraction, seed=seed)
+    hashed = rows.withColumn("_hash", _hash(key, seed)).withColumn("_bucket", F.substring("_hash", 1, _PREFIX))
+    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_held"))
+    order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_held").over(order), F.lit(0)))
+    limit = wanted if isinstance(wanted, Column) else F.lit(wanted)
+    reached = before.withColumn("_left", limit - F.col("_before")).where("_left > 0")
+    # at most 16^4 rows, whatever the table holds
+    dealt = hashed.join(F.broadcast(reached), "_bucket")
+    inside = dealt.where("_left >= _held").select(*rows.columns)
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", key))
+    edge = dealt.where("_left < _held").withColumn("_rank", rank).where("_rank <= _left").select(*rows.columns)
+    return inside.unionByName(edge)
+
+
+def sample_with_replacement(rows: DataFrame, key: str, seed: int) -> DataFrame:
+    """As many rows as there are, on average, drawn with replacement: each row none, one or more times.
+
+    How often follows from the hash of seed and key, by the distribution of such draws.
+    """
+    drawn = F.conv(F.substring(_hash(key, seed), 1, 6), 16, 10).cast("int")
+    times = sum(((drawn >= bound).cast("int") for bound in _AT_MOST), F.lit(0))
+    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
+
+
+def _hash(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")).cast("binary"))
 
 
 def with_receipt_measures(receipts: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from datetime import date
 from decimal import Decimal
 
@@ -65,11 +66,32 @@ def test_numbers_are_padded_but_never_cut(spark):
     assert [tuple(row) for row in found] == [("00007", "PO-202403-00007"), ("1234567", None)]
 
 
-def test_sample_size(spark):
+@pytest.mark.parametrize("wanted", [0, 1, 17, 2_000, 9_999, 10_000, 50_000])
+def test_sample_has_its_size_and_is_the_same_however_rows_are_dealt(spark, wanted):
     rows = spark.range(10_000)
-    assert abs(documents.sample_rows(rows, 2_000, 10_000, seed=1).count() - 2_000) < 200
-    more = documents.sample_rows(rows, 50_000, 10_000, seed=1)
-    assert abs(more.count() - 10_000) < 500 and more.distinct().count() < more.count()
+    drawn = documents.sample_rows(rows, wanted, "id", seed=1)
+    found = sorted(row.id for row in drawn.collect())
+    by_hash = sorted(range(10_000), key=lambda k: (hashlib.md5(f"1|{k}".encode()).hexdigest(), k))
+    assert found == sorted(by_hash[:wanted])
+    again = documents.sample_rows(rows.repartition(7), wanted, "id", seed=1)
+    assert sorted(row.id for row in again.collect()) == found
+
+
+def test_samples_of_other_seeds_differ(spark):
+    one, two = (
+        {row.id for row in documents.sample_rows(spark.range(1000), 500, "id", seed).collect()} for seed in (1, 2)
+    )
+    assert 150 < len(one & two) < 350
+
+
+def test_drawing_with_replacement(spark):
+    rows = spark.range(10_000)
+    drawn = documents.sample_with_replacement(rows, "id", seed=1)
+    counts = sorted((row.id, row["count"]) for row in drawn.groupBy("id").count().collect())
+    assert abs(sum(n for _, n in counts) - 10_000) < 400
+    assert abs(len(counts) - 6_321) < 250  # a share of 1/e is never drawn
+    again = documents.sample_with_replacement(rows.repartition(5), "id", seed=1)
+    assert sorted((row.id, row["count"]) for row in again.groupBy("id").count().collect()) == counts
 
 
 def test_profile_and_shapes(raw):
