@@ -17,6 +17,11 @@ from ledgerlane.schemas import MONEY
 _WIDE = "decimal(38,0)"
 
 
+def exact(column: Column) -> Column:
+    """A double's shortest decimal text as a decimal, so that one rounding of it is the only one."""
+    return column.cast("string").cast("decimal(38,18)")
+
+
 def ratio(numerator: Column, denominator: Column, places: int, times: int = 1) -> Column:
     """``times * numerator / denominator`` to ``places`` digits; NULL unless the divisor is above 0.
 

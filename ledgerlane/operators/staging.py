@@ -5,11 +5,13 @@ No staging step shuffles. Key filters reach the Parquet scan; the blank-name fil
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.dates import date_parts, days_between
-from ledgerlane.functions.numeric import fulfilment, rate_of
+from ledgerlane.functions.numeric import exact, fulfilment, rate_of, ratio
 from ledgerlane.functions.text import blank_to_null, is_filled, is_status, trimmed
 from ledgerlane.schemas import (
     DISCOUNT_TIERS,
@@ -60,8 +62,7 @@ def vendors(raw: DataFrame) -> DataFrame:
         *trimmed("phone"),
         F.lower(F.trim(F.col("email"))).alias("email"),
         *trimmed("npwp", "payment_terms"),
-        # the shortest decimal text of the double is rounded, not its binary value
-        F.round(F.col("rating").cast("decimal(18,9)"), 1).cast("decimal(3,1)")
+        F.round(exact(F.col("rating")), 1).cast("decimal(3,1)")
         .alias("vendor_rating"),
         "is_active",
         is_status(kind, "Barang", "Barang & Jasa").alias("is_goods_vendor"),
@@ -209,7 +210,7 @@ def shortage_severity(variance: Column, ordered: Column) -> Column:
 def goods_receipts(raw: DataFrame) -> DataFrame:
     ordered, received = F.col("quantity_ordered"), F.col("quantity_received")
     variance = F.col("quantity_variance")
-    price = F.coalesce(F.col("unit_price"), F.lit(0.0)).cast(PRICE)
+    price = F.coalesce(exact(F.col("unit_price")), F.lit(0)).cast(PRICE)
     inspection = _status("inspection_status")
     kept = raw.filter(
         _present("gr_id", "po_id", "po_line_id", "item_id", "gr_date") & (received >= 0)
@@ -225,7 +226,7 @@ def goods_receipts(raw: DataFrame) -> DataFrame:
         "quantity_ordered",
         "quantity_received",
         "quantity_variance",
-        F.round(F.col("variance_pct").cast("decimal(18,6)"), 2).cast(PERCENT)
+        F.round(exact(F.col("variance_pct")), 2).cast(PERCENT)
         .alias("variance_pct"),
         F.when(ordered > 0, fulfilment(received, ordered)).alias("quantity_fulfillment_pct"),
         *trimmed("receipt_status"),
@@ -240,7 +241,10 @@ def goods_receipts(raw: DataFrame) -> DataFrame:
         price.alias("unit_price_idr"),
         F.coalesce(F.col("total_received_value"), F.lit(0)).cast(MONEY)
         .alias("total_received_value_idr"),
-        F.when(variance < 0, F.round(F.abs(variance).cast(MONEY) * price, 0).cast(MONEY))
+        F.when(variance < 0, ratio(
+            F.abs(variance).cast("decimal(10,0)") * (price * F.lit(10**PRICE.scale)).cast("decimal(30,0)"),
+            F.lit(Decimal(10**PRICE.scale)), 0,
+        ).cast(MONEY))
         .otherwise(F.lit(0).cast(MONEY))
         .alias("shortage_value_idr"),
         *trimmed("warehouse_location", "received_by", "inspection_status"),

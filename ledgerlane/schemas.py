@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 0)
-PRICE = T.DecimalType(18, 4)
+PRICE = T.DecimalType(30, 12)
 PERCENT = T.DecimalType(18, 2)
 
 _TYPES = {

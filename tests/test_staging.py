@@ -134,3 +134,17 @@ def test_receipt_values_and_filters(raw):
     a, b, c = staging.goods_receipts(rows).orderBy("gr_id").collect()
     assert (a.shortage_value_idr, b.shortage_value_idr, b.unit_price_idr) == (32, 0, 0)
     assert (c.is_rejected_by_inspection, a.needs_reinspection) == (True, False)
+
+
+def test_values_near_a_half_are_rounded_once(raw):
+    rows = raw("goods_receipts", dict(gr_id=1, variance_pct=0.0049999996), dict(gr_id=2, variance_pct=-0.005),
+               dict(gr_id=3, variance_pct=1.005), dict(gr_id=4, variance_pct=1.0e-7))
+    found = {row.gr_id: row.variance_pct for row in staging.goods_receipts(rows).collect()}
+    assert found == {1: Decimal("0.00"), 2: Decimal("-0.01"), 3: Decimal("1.01"), 4: Decimal("0.00")}
+    rated = staging.vendors(raw("vendors", dict(rating=3.04999999999))).first()
+    assert rated.vendor_rating == Decimal("3.0")
+
+
+def test_prices_keep_their_decimals(raw):
+    row = staging.goods_receipts(raw("goods_receipts", dict(unit_price=1.00004, quantity_variance=-99_995))).first()
+    assert (row.unit_price_idr, row.shortage_value_idr) == (Decimal("1.00004"), 99_999)
