@@ -7,12 +7,16 @@ from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlane.schemas import LOAD_ORDER, RAW_SCHEMAS
-from ledgerlane.sources.csv_files import nan_to_null, read_csv, with_ingest_time, write_csv
+from ledgerlane.sources.csv_files import CORRUPT, nan_to_null, read_csv, with_ingest_time, write_csv
 from ledgerlane.sources.layers import RAW, LayerStore
 
-SUMMARY = "table string, rows long, status string, elapsed_s double"
+SUMMARY = "table string, rows long, bad_rows long, status string, elapsed_s double"
+
+#: Layer of the rows that did not fit, kept as text when a load is told to.
+REJECTED = "rejected"
 
 
 def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
@@ -21,26 +25,44 @@ def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
         write_csv(rows.select(*RAW_SCHEMAS[name].fieldNames()), f"{folder}/{name}.csv")
 
 
-def load_table(spark: SparkSession, store: LayerStore, folder: str, table: str, loaded: datetime
-               ) -> tuple[str, int, str, float]:
-    """Load one table; a missing file is skipped, any other failure raises and changes nothing."""
+def load_table(
+    spark: SparkSession, store: LayerStore, folder: str, table: str, loaded: datetime, *,
+    keep_bad_rows: bool = False, multi_line: bool = False,
+) -> tuple[str, int, int, str, float]:
+    """Load one table; a missing file is skipped, any other failure raises and changes nothing.
+
+    With ``keep_bad_rows`` rows that do not fit go to the layer ``rejected`` instead of failing the
+    load, and the summary counts them.
+    """
     started = time.perf_counter()
     try:
-        rows = read_csv(spark, f"{folder}/{table}.csv", RAW_SCHEMAS[table])
+        rows = read_csv(spark, f"{folder}/{table}.csv", RAW_SCHEMAS[table],
+                        keep_bad_rows=keep_bad_rows, multi_line=multi_line)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-        return table, 0, "SKIPPED", 0.0
+        return table, 0, 0, "SKIPPED", 0.0
+    bad = 0
+    if keep_bad_rows:
+        unfit = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+        bad = store.write(REJECTED, table, with_ingest_time(unfit, loaded))
+        rows = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     count = store.write(RAW, table, with_ingest_time(nan_to_null(rows), loaded))
-    return table, count, "OK", round(time.perf_counter() - started, 2)
+    return table, count, bad, "OK", round(time.perf_counter() - started, 2)
 
 
-def ingest(spark: SparkSession, store: LayerStore, folder: str, loaded: datetime) -> DataFrame:
-    """Load all tables, parents first, and summarise: (table, rows, status, elapsed_s).
+def ingest(
+    spark: SparkSession, store: LayerStore, folder: str, loaded: datetime, *,
+    keep_bad_rows: bool = False, multi_line: bool = False,
+) -> DataFrame:
+    """Load all tables, parents first, and summarise: (table, rows, bad_rows, status, elapsed_s).
 
     The last row is the grand total. Each table is committed by itself, so a failing one leaves
     the earlier ones loaded and its own former content in place.
     """
-    loads = [load_table(spark, store, folder, table, loaded) for table in LOAD_ORDER]
-    total = ("GRAND TOTAL", sum(load[1] for load in loads), "OK", sum(load[3] for load in loads))
+    loads = [
+        load_table(spark, store, folder, table, loaded, keep_bad_rows=keep_bad_rows, multi_line=multi_line)
+        for table in LOAD_ORDER
+    ]
+    total = ("GRAND TOTAL", *(sum(load[k] for load in loads) for k in (1, 2)), "OK", sum(load[4] for load in loads))
     return spark.createDataFrame([*loads, total], SUMMARY)

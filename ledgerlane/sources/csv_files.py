@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,6 +14,27 @@ from ledgerlane.schemas import INGESTED_AT
 CORRUPT = "_corrupt_record"
 
 
+# Texts that stand for a missing value.
+MISSING_WORDS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+def _value(name: str, kind: T.DataType) -> Column:
+    """A cell's text as its declared type, NULL where it does not fit."""
+    text = F.col(f"`{name}`")
+    if isinstance(kind, T.LongType):
+        # whole numbers may come with a decimal point and zeros behind it
+        return F.regexp_replace(F.trim(text), r"\.0*$", "").try_cast("long")
+    if isinstance(kind, T.BooleanType):
+        lower = F.lower(F.trim(text))
+        return F.when(lower == "true", True).when(lower == "false", False)
+    if isinstance(kind, T.DateType):
+        return F.when(F.trim(text).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.trim(text)).try_cast("date")
+    return text if isinstance(kind, T.StringType) else F.trim(text).try_cast(kind)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -23,29 +45,39 @@ def read_csv(
 ) -> DataFrame:
     """Scan a headed UTF-8 CSV (a leading byte-order mark is skipped) with a declared schema.
 
-    Header names are checked against the schema, so swapped columns fail instead of being read
-    into each other. A row that does not fit fails the load, or is kept in ``_corrupt_record``
-    when asked for. ``multi_line`` reads each file in one task; leave it off for large files
-    without line breaks inside fields.
+    Cells are read as text; words for a missing value become NULL in every column, and the rest is
+    cast to the declared type. Header names are checked against the schema, so swapped columns fail
+    instead of being read into each other. A row that does not fit fails the load, or is kept with
+    its text in ``_corrupt_record`` when asked for. ``multi_line`` reads each file in one task;
+    leave it off for large files without line breaks inside fields.
     """
-    reader = (
+    texts = T.StructType([T.StructField(field.name, T.StringType()) for field in schema.fields])
+    rows = (
         spark.read.option("header", True)
         .option("encoding", "UTF-8")
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("nullValue", "")
         .option("multiLine", multi_line)
-    )
-    if not keep_bad_rows:
-        return reader.option("mode", "FAILFAST").schema(schema).csv(path)
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (
-        reader.option("mode", "PERMISSIVE")
+        .option("mode", "PERMISSIVE" if keep_bad_rows else "FAILFAST")
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("enforceSchema", True)
-        .schema(wide)
+        .schema(T.StructType([*texts.fields, T.StructField(CORRUPT, T.StringType())]) if keep_bad_rows else texts)
         .csv(path)
     )
+    rows = rows.withColumns({
+        name: F.when(~F.col(f"`{name}`").isin(*MISSING_WORDS), F.col(f"`{name}`"))
+        for name in texts.fieldNames()
+    })
+    values = {field.name: _value(field.name, field.dataType) for field in schema.fields}
+    unfit = reduce(
+        lambda a, b: a | b, [F.col(f"`{name}`").isNotNull() & value.isNull() for name, value in values.items()]
+    )
+    whole = F.concat_ws(",", *[F.coalesce(f"`{name}`", F.lit("")) for name in texts.fieldNames()])
+    typed = [value.alias(name) for name, value in values.items()]
+    if keep_bad_rows:
+        corrupt = F.coalesce(F.col(CORRUPT), F.when(unfit, whole)).alias(CORRUPT)
+        return rows.select(*typed, corrupt)
+    problem = F.raise_error(F.concat(F.lit("malformed row: "), whole)).cast("boolean")
+    return rows.where(F.when(unfit, problem).otherwise(True)).select(*typed)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

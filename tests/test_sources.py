@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlane.plans.ingest import export_csv, ingest, load_table
+from ledgerlane.plans.ingest import REJECTED, export_csv, ingest, load_table
 from ledgerlane.schemas import INGESTED_AT, LOAD_ORDER, RAW_SCHEMAS
 from ledgerlane.sources.csv_files import CORRUPT, infer_types, nan_to_null, read_csv
 from ledgerlane.sources.layers import RAW, LayerStore
@@ -38,12 +38,29 @@ def test_swapped_columns_fail(spark, file):
 
 
 def test_bad_rows_fail_or_are_kept(spark, file):
-    path = file(f"{HEADER}\nabc,D1,N,C,L,M,5,2024-01-02\n2,D2,N,C,L,M,5,2024-01-02\n")
+    path = file(f"{HEADER}\nabc,D1,N,C,L,M,5,2024-01-02\n2,D2,N,C,L,M,5,2024-01-02\n3,D3,N,C,L,M,5.5,kemarin\n")
     with pytest.raises(Exception, match="(?i)malformed"):
         read_csv(spark, path, SCHEMA).collect()
     rows = read_csv(spark, path, SCHEMA, keep_bad_rows=True).cache()
-    assert rows.filter(F.col(CORRUPT).isNotNull()).count() == 1
-    assert rows.count() == 2
+    bad = [row[CORRUPT] for row in rows.filter(F.col(CORRUPT).isNotNull()).orderBy("department_code").collect()]
+    assert bad == ["abc,D1,N,C,L,M,5,2024-01-02", "3,D3,N,C,L,M,5.5,kemarin"]
+    assert rows.count() == 3
+
+
+def test_missing_words_and_whole_numbers_with_a_point(spark, file):
+    path = file(f'{HEADER}\n1.0,NA,"N/A",null,None,n/a,NaN,\n2,D2,NAN,na,-,#N/A,-5.00,2024-01-02\n')
+    a, b = read_csv(spark, path, SCHEMA).orderBy("department_id").collect()
+    assert tuple(a) == (1, None, None, None, None, None, None, None)
+    assert tuple(b)[:7] == (2, "D2", "NAN", "na", "-", None, -5)
+
+
+def test_a_load_sets_bad_rows_aside(spark, file, tmp_path):
+    file(f'{HEADER}\n1,D1,"dua\nbaris",C,L,M,5,2024-01-02\nx,D2,N,C,L,M,5,2024-01-02\n')
+    store = LayerStore(spark, str(tmp_path / "store"))
+    done = load_table(spark, store, str(tmp_path), "departments", LOADED, keep_bad_rows=True, multi_line=True)
+    assert done[:4] == ("departments", 1, 1, "OK")
+    assert store.read(RAW, "departments").first().department_name == "dua\nbaris"
+    assert store.read(REJECTED, "departments").first()[CORRUPT].startswith("x,D2")
 
 
 def test_line_breaks_inside_fields(spark, file):
@@ -89,7 +106,7 @@ def test_round_trip_and_missing_files(spark, raw, tmp_path):
 def test_a_failed_load_leaves_the_old_table(spark, file, tmp_path):
     store = LayerStore(spark, str(tmp_path / "store"))
     file(f"{HEADER}\n1,D1,N,C,L,M,5,2024-01-02\n")
-    assert load_table(spark, store, str(tmp_path), "departments", LOADED)[:3] == ("departments", 1, "OK")
+    assert load_table(spark, store, str(tmp_path), "departments", LOADED)[:4] == ("departments", 1, 0, "OK")
     file(f"{HEADER}\n1,D1,N,C,L,M,5,2024-01-02\nx,D2,N,C,L,M,5,2024-01-02\n")
     with pytest.raises(Exception, match="(?i)malformed"):
         load_table(spark, store, str(tmp_path), "departments", LOADED)
@@ -106,3 +123,40 @@ def test_a_discarded_store_is_empty(spark, raw, tmp_path):
     store.discard()
     assert not store.written(RAW, "vendors") and not (tmp_path / "store").exists()
     assert store.write(RAW, "vendors", raw("vendors")) == 1
+
+
+def test_former_loads_are_deleted_but_for_one(spark, raw, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "store"))
+    for _ in range(4):
+        store.write(RAW, "vendors", raw("vendors"))
+    assert len(list((tmp_path / "store" / "raw" / "vendors").glob("load=*"))) == 2
+    alone = LayerStore(spark, str(tmp_path / "alone"), keep=0)
+    for _ in range(2):
+        alone.write(RAW, "vendors", raw("vendors"))
+    assert len(list((tmp_path / "alone" / "raw" / "vendors").glob("load=*"))) == 1
+
+
+def test_a_new_session_finds_stored_tables(spark, raw, tmp_path):
+    LayerStore(spark, str(tmp_path)).write(RAW, "vendors", raw("vendors"))
+    later = LayerStore(spark, str(tmp_path))
+    assert later.exists(RAW, "vendors") and not later.written(RAW, "vendors")
+    assert later.read(RAW, "vendors").schema == raw("vendors").schema
+    with pytest.raises(FileNotFoundError):
+        later.read(RAW, "items")
+
+
+def test_replacing_partitions(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path), publish=False)
+    rows = spark.createDataFrame([(k, k % 4 if k % 4 else None) for k in range(40)], "id long, part int")
+    store.write(RAW, "t", rows, ("part",))
+    new = spark.createDataFrame([(100, 1), (101, None)], "id long, part int")
+    assert store.replace(RAW, "t", new, "part", [1, 2, None]) == 2
+    found = sorted((row.id, row.part or 0) for row in store.read(RAW, "t").collect())
+    assert found == sorted([(k, 3) for k in range(3, 40, 4)] + [(100, 1), (101, 0)])
+
+
+def test_a_partitioned_write_leaves_few_files(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path))
+    rows = spark.range(2000).select("id", (F.col("id") % 3).alias("part")).repartition(16)
+    store.write(RAW, "t", rows, ("part",))
+    assert len(list(tmp_path.glob("raw/t/load=*/part=*/*.parquet"))) <= 6
