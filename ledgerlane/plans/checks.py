@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -31,56 +31,70 @@ from ledgerlane.schemas import (
 
 # Columns whose values must not repeat.
 UNIQUE = {
-    "departments": "department_id department_code",
-    "vendors": "vendor_id vendor_code",
-    "items": "item_id item_code",
-    "purchase_requests": "pr_id pr_number",
-    "purchase_orders": "po_id po_number",
-    "purchase_order_lines": "line_id",
-    "goods_receipts": "gr_id gr_number",
-    "dim_date": "date_key full_date",
-    "dim_departments": "department_sk department_id department_code",
-    "dim_items": "item_sk item_id item_code",
-    "dim_vendors": "vendor_sk",
-    "fct_purchase_order_lines": "fct_po_line_sk po_line_id",
+    "departments": ("department_id", "department_code"),
+    "vendors": ("vendor_id", "vendor_code"),
+    "items": ("item_id", "item_code"),
+    "purchase_requests": ("pr_id", "pr_number"),
+    "purchase_orders": ("po_id", "po_number"),
+    "purchase_order_lines": ("line_id",),
+    "goods_receipts": ("gr_id", "gr_number"),
+    "dim_date": ("date_key", "full_date"),
+    "dim_departments": ("department_sk", "department_id", "department_code"),
+    "dim_items": ("item_sk", "item_id", "item_code"),
+    "dim_vendors": ("vendor_sk",),
+    "fct_purchase_order_lines": ("fct_po_line_sk", "po_line_id"),
 }
 
 # Columns that must be filled.
 NOT_NULL = {
-    "departments": "department_id department_code department_name",
-    "vendors": "vendor_id vendor_code vendor_name vendor_type is_active",
-    "items": "item_id item_code item_name unit_of_measure is_active",
-    "purchase_requests": "pr_id pr_number pr_date department_id requester_name status",
-    "purchase_orders":
-        "po_id po_number po_date pr_id vendor_id department_id expected_delivery_date status",
-    "purchase_order_lines": "line_id po_id item_id line_number quantity_ordered unit_price",
-    "goods_receipts":
-        "gr_id gr_number gr_date po_id po_line_id item_id quantity_received receipt_status "
-        "lead_time_days",
-    "dim_date":
-        "date_key full_date date_label year iso_year quarter_number quarter_label year_quarter "
-        "month_number month_name_id year_month week_of_year day_of_month day_of_week_iso "
-        "day_name_id is_weekend is_weekday is_first_day_of_month is_last_day_of_month "
-        "is_last_day_of_quarter fiscal_year fiscal_quarter",
-    "dim_departments":
-        "department_sk department_id department_code department_name cost_center location "
-        "budget_annual_idr budget_tier loaded_at",
-    "dim_items":
-        "item_sk item_id item_code item_name item_category unit_of_measure "
-        "current_unit_price_idr price_tier min_order_qty standard_lead_time_days is_active "
-        "is_fast_moving last_updated_at",
-    "dim_vendors":
-        "vendor_sk vendor_id dbt_valid_from is_current_record record_version vendor_name city "
-        "province payment_terms vendor_code vendor_category vendor_type is_active "
-        "is_goods_vendor is_service_vendor",
-    "fct_purchase_order_lines":
-        "fct_po_line_sk date_key_po_date date_key_delivery_expected vendor_sk department_sk "
-        "item_sk po_line_id po_id vendor_id department_id item_id po_date po_year po_month "
-        "po_year_month delivery_date_expected quantity_ordered quantity_received_calc "
-        "quantity_variance_gr unfulfilled_qty fulfillment_pct unit_price_idr net_unit_price_idr "
-        "discount_pct gross_total_ordered_idr net_total_ordered_idr net_total_received_idr "
-        "value_shortfall_idr discount_amount_idr expected_lead_time_days po_status "
-        "lifecycle_stage has_goods_receipt is_fully_fulfilled has_discount",
+    "departments": ("department_id", "department_code", "department_name"),
+    "vendors": ("vendor_id", "vendor_code", "vendor_name", "vendor_type", "is_active"),
+    "items": ("item_id", "item_code", "item_name", "unit_of_measure", "is_active"),
+    "purchase_requests": (
+        "pr_id", "pr_number", "pr_date", "department_id", "requester_name", "status",
+    ),
+    "purchase_orders": (
+        "po_id", "po_number", "po_date", "pr_id", "vendor_id", "department_id",
+        "expected_delivery_date", "status",
+    ),
+    "purchase_order_lines": (
+        "line_id", "po_id", "item_id", "line_number", "quantity_ordered", "unit_price",
+    ),
+    "goods_receipts": (
+        "gr_id", "gr_number", "gr_date", "po_id", "po_line_id", "item_id", "quantity_received",
+        "receipt_status", "lead_time_days",
+    ),
+    "dim_date": (
+        "date_key", "full_date", "date_label", "year", "iso_year", "quarter_number",
+        "quarter_label", "year_quarter", "month_number", "month_name_id", "year_month",
+        "week_of_year", "day_of_month", "day_of_week_iso", "day_name_id", "is_weekend",
+        "is_weekday", "is_first_day_of_month", "is_last_day_of_month", "is_last_day_of_quarter",
+        "fiscal_year", "fiscal_quarter",
+    ),
+    "dim_departments": (
+        "department_sk", "department_id", "department_code", "department_name", "cost_center",
+        "location", "budget_annual_idr", "budget_tier", "loaded_at",
+    ),
+    "dim_items": (
+        "item_sk", "item_id", "item_code", "item_name", "item_category", "unit_of_measure",
+        "current_unit_price_idr", "price_tier", "min_order_qty", "standard_lead_time_days",
+        "is_active", "is_fast_moving", "last_updated_at",
+    ),
+    "dim_vendors": (
+        "vendor_sk", "vendor_id", "dbt_valid_from", "is_current_record", "record_version",
+        "vendor_name", "city", "province", "payment_terms", "vendor_code", "vendor_category",
+        "vendor_type", "is_active", "is_goods_vendor", "is_service_vendor",
+    ),
+    "fct_purchase_order_lines": (
+        "fct_po_line_sk", "date_key_po_date", "date_key_delivery_expected", "vendor_sk",
+        "department_sk", "item_sk", "po_line_id", "po_id", "vendor_id", "department_id",
+        "item_id", "po_date", "po_year", "po_month", "po_year_month", "delivery_date_expected",
+        "quantity_ordered", "quantity_received_calc", "quantity_variance_gr", "unfulfilled_qty",
+        "fulfillment_pct", "unit_price_idr", "net_unit_price_idr", "discount_pct",
+        "gross_total_ordered_idr", "net_total_ordered_idr", "net_total_received_idr",
+        "value_shortfall_idr", "discount_amount_idr", "expected_lead_time_days", "po_status",
+        "lifecycle_stage", "has_goods_receipt", "is_fully_fulfilled", "has_discount",
+    ),
 }
 
 # The only values a column may hold, besides none.
@@ -152,7 +166,7 @@ def mart_tables(m: Marts) -> dict[str, DataFrame]:
 
 def _unique(tables: dict[str, DataFrame]) -> Iterator[DataFrame]:
     for name, rows in tables.items():
-        for column in UNIQUE[name].split():
+        for column in UNIQUE[name]:
             yield quality.unique(rows, name, column)
 
 
@@ -161,13 +175,17 @@ def unique_checks(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def column_checks(
-    tables: dict[str, DataFrame], *, not_null: bool = True, accepted: bool = True
+    tables: dict[str, DataFrame], *, not_null: bool = True, accepted: bool = True,
+    values: dict[str, dict[str, Sequence]] | None = None,
 ) -> DataFrame:
-    """Not-null and accepted-values checks: one scan per table for all its columns."""
+    """Not-null and accepted-values checks: one scan per table for all its columns.
+
+    ``values`` replaces the accepted values of the columns it names.
+    """
     results = []
     for name, rows in tables.items():
-        filled = NOT_NULL[name].split() if not_null else []
-        allowed = ACCEPTED.get(name, {}) if accepted else {}
+        filled = list(NOT_NULL[name]) if not_null else []
+        allowed = {**ACCEPTED.get(name, {}), **(values or {}).get(name, {})} if accepted else {}
         if filled or allowed:
             results.append(quality.column_checks(rows, name, filled, allowed, WARNINGS))
     return quality.combine(results)
@@ -186,15 +204,18 @@ def freshness_checks(raw: dict[str, DataFrame], as_of: datetime) -> DataFrame:
     return quality.combine([quality.freshness(rows, name, as_of) for name, rows in raw.items()])
 
 
-def all_checks(raw: dict[str, DataFrame], m: Marts) -> DataFrame:
+def all_checks(raw: dict[str, DataFrame], m: Marts,
+               values: dict[str, dict[str, Sequence]] | None = None) -> DataFrame:
     tables = {**raw, **mart_tables(m)}
-    return quality.combine([unique_checks(tables), column_checks(tables), relationship_checks(m)])
+    return quality.combine(
+        [unique_checks(tables), column_checks(tables, values=values), relationship_checks(m)]
+    )
 
 
 def smoke_checks(m: Marts, bounds: dict[str, tuple[int | None, int | None]] | None = None
                  ) -> DataFrame:
     """Row and orphan counts against allowed bounds: (name, value, lower, upper, ok)."""
-    bounds = bounds or SMOKE_BOUNDS
+    bounds = {**SMOKE_BOUNDS, **(bounds or {})}
     everything = F.lit(True)
     measured = [
         (m.dates, {"dim_date rows": everything}),

@@ -65,8 +65,8 @@ def test_bounds(spark):
 
 def test_declared_checks_are_complete():
     count = {
-        "unique": sum(len(v.split()) for v in checks.UNIQUE.values()),
-        "not_null": sum(len(v.split()) for v in checks.NOT_NULL.values()),
+        "unique": sum(len(v) for v in checks.UNIQUE.values()),
+        "not_null": sum(len(v) for v in checks.NOT_NULL.values()),
         "accepted": sum(len(v) for v in checks.ACCEPTED.values()),
         "relationships": len(checks.RELATIONSHIPS),
     }
