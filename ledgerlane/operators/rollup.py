@@ -60,6 +60,7 @@ def grouped(
     extremes: Sequence[str] = (),
     distinct: Sequence[str] = (),
     reduce_first: bool = True,
+    distinct_by_key: bool = False,
 ) -> DataFrame:
     """Sum ``sums`` by the fact columns ``own`` and the attributes of ``lookups``.
 
@@ -69,14 +70,19 @@ def grouped(
     ``reduce_first`` off where those keys tell nearly all rows apart or the dimension is tiny.
 
     ``extremes`` adds ``min_<column>`` and ``max_<column>``; ``distinct`` adds ``n_<column>``, the
-    exact count of distinct values. Rows whose key no dimension has are left out.
+    exact count of distinct values. Rows whose key no dimension has are left out. With
+    ``distinct_by_key`` a distinct value belongs to one set of keys alone, as an order to its
+    vendor: it is then counted by key, so that one row per key meets the dimension.
     """
     lows = {f"min_{column}": F.col(column) for column in extremes}
     highs = {f"max_{column}": F.col(column) for column in extremes}
     keys = [lookup.key for lookup in lookups]
     groups = [*own, *(name for lookup in lookups for name in lookup.attributes)]
     counts = [F.countDistinct(column).alias(f"n_{column}") for column in distinct]
-    if reduce_first:
+    if distinct_by_key:
+        rows = _summed(fact, [*keys, *own], sums, lows, highs, *counts)
+        sums, counts = {**sums, **{f"n_{column}": F.col(f"n_{column}") for column in distinct}}, []
+    elif reduce_first:
         rows = _summed(fact, [*keys, *own, *distinct], sums, lows, highs)
     else:
         measures = {**sums, **lows, **highs}.items()

@@ -72,6 +72,7 @@ def top_vendors(m: Marts, limit: int = 5) -> DataFrame:
             "jumlah_on_time": flag(punctual()),
         },
         distinct=["po_id"],
+        distinct_by_key=True,
     )
     best = totals.orderBy(F.desc("net"), "vendor_id").limit(limit)
     place = F.rank().over(Window.orderBy(F.desc("net")))

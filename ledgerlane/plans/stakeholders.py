@@ -120,6 +120,7 @@ def top_vendors_latest_year(m: Marts, limit: int = 10) -> DataFrame:
             "fulfilled_pct": hundredths("fulfillment_pct"),
         },
         distinct=["po_id"],
+        distinct_by_key=True,
     )
     return totals.orderBy(F.desc("net"), "vendor_name", "vendor_category").limit(limit).select(
         F.col("po_year").alias("tahun"), "vendor_name", "vendor_category",
@@ -327,30 +328,56 @@ def vendor_quarter_trend(m: Marts, limit: int = 15) -> DataFrame:
     )
 
 
+def _numbers(dimension: DataFrame, key: str, names: tuple[str, ...], number: str) -> DataFrame:
+    """A number for each key, the same for equal names and ascending with them.
+
+    Numbers come from a distributed sort of the distinct names. They are good for comparing within
+    one plan and never leave it.
+    """
+    ordered = dimension.select(*names).distinct().orderBy(*names)
+    numbered = ordered.withColumn(number, F.monotonically_increasing_id())
+    return dimension.select(key, *names).join(numbered, list(names)).select(key, number)
+
+
 def supplier_dependence(m: Marts, limit: int = 10) -> DataFrame:
     """The largest supplier of each item and its share.
 
-    The supplier count, the item total and the largest supplier are one mergeable aggregate, so
-    the suppliers of a hot item are combined task by task and never sorted in one place.
+    Item and vendor names are numbered first, so that pairs of them travel as numbers; names are
+    fetched for the rows kept. The supplier count, the item total and the largest supplier are one
+    mergeable aggregate, so the suppliers of a hot item are combined task by task and never sorted
+    in one place.
     """
     item = ("item_category", "item_name")
-    pairs = grouped(
-        not_cancelled(m.fact), [], [_items(m, *item), _vendors(m, "vendor_name")],
-        {"jumlah_line": _line(), "spend": _net()},
+    vendors = m.vendors.where("is_current_record")
+    pairs = (
+        not_cancelled(m.fact).groupBy("item_id", "vendor_id")
+        .agg(F.count(_line()).alias("jumlah_line"), F.sum(_net()).alias("spend"))
+        .join(_numbers(m.items, "item_id", item, "item_no"), "item_id")
+        .join(_numbers(vendors, "vendor_id", ("vendor_name",), "vendor_no"), "vendor_id")
+        .groupBy("item_no", "vendor_no")
+        .agg(
+            F.sum("jumlah_line").alias("jumlah_line"), F.sum("spend").alias("spend"),
+            F.min("item_id").alias("item_id"), F.min("vendor_id").alias("vendor_id"),
+        )
     )
     largest = F.min_by(
-        F.struct("vendor_name", "jumlah_line", "spend"), F.struct(-F.col("spend"), "vendor_name")
+        F.struct("vendor_id", "jumlah_line", "spend"), F.struct(-F.col("spend"), "vendor_no")
     )
-    items = pairs.groupBy(*item).agg(
+    items = pairs.groupBy("item_no").agg(
+        F.min("item_id").alias("item_id"),
         F.count(_line()).alias("jumlah_vendor_item"),
         F.sum("spend").alias("total"),
         largest.alias("top"),
     ).select("*", "top.*")
     spend, whole = F.col("spend"), F.nullif(F.col("total"), F.lit(0))
     share = spend.cast("double") / whole.cast("double")
-    return items.withColumn("share", share).orderBy(
-        F.desc_nulls_last("share"), F.desc("spend"), *item
-    ).limit(limit).select(
+    kept = items.withColumn("share", share).orderBy(
+        F.desc_nulls_last("share"), F.desc("spend"), "item_no"
+    ).limit(limit)
+    named = kept.join(m.items.select("item_id", *item), "item_id").join(
+        vendors.select("vendor_id", "vendor_name"), "vendor_id"
+    )
+    return named.orderBy(F.desc_nulls_last("share"), F.desc("spend"), *item).select(
         *item,
         F.col("vendor_name").alias("vendor_dominan"),
         "jumlah_vendor_item",
@@ -399,7 +426,6 @@ def requests_by_department(m: Marts, limit: int = 10) -> DataFrame:
         not_cancelled(m.fact), [], [_departments(m, "department_name", "location")],
         {"lines": present("po_line_id"), "net": _net()},
         distinct=["pr_id", "po_id"],
-        reduce_first=False,
     )
     return totals.orderBy(
         F.desc("n_pr_id"), F.desc("net"), "department_name", "location"
