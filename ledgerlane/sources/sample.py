@@ -30,7 +30,17 @@ from ledgerlane.schemas import (
 
 #: Moves the test data's 1995-2001 dates into the calendar, 1995-01-01 to 2018-01-01.
 DAYS_FORWARD = 8401
-LOADED = "2025-01-01 00:00:00"
+
+#: Day and key of each table's load stamps; the hour is the key's remainder by 24.
+LOAD_STAMPS = {
+    "departments": ("2025-01-01", "department_id"),
+    "vendors": ("2024-12-31", "vendor_id"),
+    "items": ("2025-01-01", "item_id"),
+    "purchase_requests": ("2024-12-30", "pr_id"),
+    "purchase_orders": ("2025-01-01", "po_id"),
+    "purchase_order_lines": ("2025-01-01", "line_id"),
+    "goods_receipts": ("2024-12-31", "gr_id"),
+}
 
 NAME_TAILS = (" Tbk.", " PT Tbk", "", " (Persero) Tbk")
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
@@ -59,7 +69,9 @@ class SampleTables:
         schema = RAW_SCHEMAS[name]
         rows = getattr(self, name)(raw)
         typed = [F.col(field.name).cast(field.dataType) for field in schema.fields]
-        return rows.select(*typed, F.lit(LOADED).alias(INGESTED_AT))
+        day, key = LOAD_STAMPS[name]
+        stamp = F.concat(F.lit(f"{day} "), zero_filled(F.col(key) % 24, 2), F.lit(":00:00"))
+        return rows.select(*typed, stamp.alias(INGESTED_AT))
 
     def departments(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         joined = self._given("nation").join(
@@ -194,28 +206,28 @@ class SampleTables:
         return with_order_totals(self._orders(), raw("purchase_order_lines"))
 
     def _lines(self) -> DataFrame:
-        """One line per order and line number.
+        """One line per order, line number and part.
 
-        Test rows that repeat both are parts of one line: quantities and amounts are added up, so
-        every given row counts and the line key needs no numbering within an order.
+        Test rows that repeat all three are deliveries of one line: quantities and amounts are
+        added up. No part of an order is lost, and the line key is built from the three numbers
+        without numbering rows within an order.
         """
-        parts = self._given("lineitem").select(
-            "l_orderkey", "l_linenumber", "l_partkey",
+        merged = self._given("lineitem").select(
+            "l_orderkey", "l_linenumber", F.col("l_partkey").alias("part"),
             F.col("l_quantity").cast("long").alias("quantity"),
             F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
             F.round(F.col("l_discount") * 100).cast("long").alias("discount"),
-        )
-        merged = parts.groupBy("l_orderkey", "l_linenumber").agg(
-            F.min("l_partkey").alias("part"),
+        ).groupBy("l_orderkey", "l_linenumber", "part").agg(
             F.sum("quantity").alias("quantity"),
             F.sum("cents").alias("cents"),
             F.max("discount").alias("discount"),
         )
+        parts = self._given("part").agg(F.max("p_partkey") + 1).scalar()
         order, part, discount = F.col("l_orderkey"), F.col("part"), F.col("discount")
         price = F.call_function("div", F.col("cents"), F.col("quantity"))
         ordered = F.when((part + order) % 97 == 0, 0).otherwise(F.col("quantity"))
         return merged.select(
-            ((order + 1) * 10 + F.col("l_linenumber")).alias("line_id"),
+            (((order + 1) * 10 + F.col("l_linenumber")) * parts + part).alias("line_id"),
             (order + 1).alias("po_id"),
             (part + 1).alias("item_id"),
             F.col("l_linenumber").alias("line_number"),
@@ -283,6 +295,9 @@ class SampleTables:
         rows = lines.select("*", F.explode(deliveries).alias("delivery")).select(
             "*", "delivery.gr_id", "delivery.gr_date", "delivery.quantity_received"
         )
+        # some measures lie just below a half of their last digit, some prices have five decimals
+        near_half = F.when(h % 17 == 3, F.col("variance_pct") + F.lit(0.0049999996)).otherwise(F.col("variance_pct"))
+        price = (F.col("unit_price") * 100_000 + part % 7 * 4) / F.lit(100_000.0)
         return with_receipt_measures(rows).select(
             "gr_id",
             document_number("GR", F.col("gr_date"), F.col("gr_id"), 10).alias("gr_number"),
@@ -293,11 +308,11 @@ class SampleTables:
             "quantity_ordered",
             "quantity_received",
             "quantity_variance",
-            "variance_pct",
+            near_half.alias("variance_pct"),
             "receipt_status",
             "lead_time_days",
             "is_on_time",
-            F.col("unit_price").cast("double").alias("unit_price"),
+            price.alias("unit_price"),
             (F.col("unit_price") * F.col("quantity_received")).alias("total_received_value"),
             pick(h % 8, WAREHOUSES).alias("warehouse_location"),
             F.concat(F.lit("Clerk "), part % 50).alias("received_by"),

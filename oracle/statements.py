@@ -2,38 +2,38 @@
 
 from __future__ import annotations
 
-from oracle.tables import with_tables
+from oracle.tables import stamp, with_tables
 from oracle.text import mean, percent, ratio, typed, units
 
 MILLION, BILLION = 6, 9
 
 DEPARTMENT = (
     "department_id:i department_code:s department_name:s cost_center:s location:s "
-    "manager_name:s budget_annual_idr:d created_at:s loaded_at:s"
+    "manager_name:s budget_annual_idr:d created_at:t loaded_at:s"
 )
 VENDOR = (
     "vendor_id:i vendor_code:s vendor_name:s vendor_category:s vendor_type:s address:s city:s "
     "province:s postal_code:s phone:s email:s npwp:s payment_terms:s vendor_rating:d "
-    "is_active:s is_goods_vendor:s is_service_vendor:s registered_date:s created_at:s"
+    "is_active:b is_goods_vendor:b is_service_vendor:b registered_date:t created_at:t"
 )
 ITEM = (
     "item_id:i item_code:s item_name:s item_category:s unit_of_measure:s {price}:d "
-    "min_order_qty:i {lead}:i is_active:s price_tier:s is_fast_moving:s created_at:s {loaded}:s"
+    "min_order_qty:i {lead}:i is_active:b price_tier:s is_fast_moving:b created_at:t {loaded}:s"
 )
-VERSION = "dbt_valid_from:s dbt_valid_to:s is_current_record:s record_version:i"
+VERSION = "dbt_valid_from:t dbt_valid_to:t is_current_record:b record_version:i"
 LIFECYCLE = (
     "po_line_id:i po_id:i pr_id:i vendor_id:i department_id:i item_id:i gr_id:i po_number:s "
-    "gr_number:s line_number:i po_date:s delivery_date_expected:s gr_date:s po_year:i po_month:i "
+    "gr_number:s line_number:i po_date:t delivery_date_expected:t gr_date:t po_year:i po_month:i "
     "po_year_month:s quantity_ordered:i quantity_received:i {counted}:i quantity_variance_gr:i "
     "unfulfilled_qty:i fulfillment_pct:d unit_price_idr:d net_unit_price_idr:d discount_pct:d "
-    "discount_amount_idr:d has_discount:s discount_tier:s gross_total_ordered_idr:d "
+    "discount_amount_idr:d has_discount:b discount_tier:s gross_total_ordered_idr:d "
     "net_total_ordered_idr:d net_total_received_idr:d value_shortfall_idr:d "
     "rejected_goods_value_idr:d expected_lead_time_days:i actual_lead_time_days:i "
     "lead_time_variance_days:i po_status:s line_status:s lifecycle_stage:s receipt_status:s "
-    "delivery_timeliness:s shortage_severity:s is_on_time:s is_short_delivery:s "
-    "is_over_delivery:s is_full_delivery:s has_goods_receipt:s is_fully_fulfilled:s "
-    "is_rejected_by_inspection:s needs_reinspection:s unit_of_measure:s warehouse_location:s "
-    "inspection_status:s payment_terms:s is_cancelled:s is_completed:s"
+    "delivery_timeliness:s shortage_severity:s is_on_time:b is_short_delivery:b "
+    "is_over_delivery:b is_full_delivery:b has_goods_receipt:b is_fully_fulfilled:b "
+    "is_rejected_by_inspection:b needs_reinspection:b unit_of_measure:s warehouse_location:s "
+    "inspection_status:s payment_terms:s is_cancelled:b is_completed:b"
 )
 FACT_KEYS = (
     "fct_po_line_sk:s date_key_po_date:i date_key_delivery_expected:i date_key_gr_date:i "
@@ -41,13 +41,22 @@ FACT_KEYS = (
 )
 FACT = f"{FACT_KEYS} {LIFECYCLE.format(counted='quantity_received_calc')}"
 RECEIPT = (
-    "gr_id:i gr_number:s gr_date:s gr_year:i gr_month:i gr_year_month:s po_id:i po_line_id:i "
+    "gr_id:i gr_number:s gr_date:t gr_year:i gr_month:i gr_year_month:s po_id:i po_line_id:i "
     "item_id:i quantity_ordered:i quantity_received:i quantity_variance:i variance_pct:d "
-    "quantity_fulfillment_pct:d receipt_status:s lead_time_days:i is_on_time:s "
-    "delivery_timeliness:s is_short_delivery:s is_over_delivery:s is_full_delivery:s "
+    "quantity_fulfillment_pct:d receipt_status:s lead_time_days:i is_on_time:b "
+    "delivery_timeliness:s is_short_delivery:b is_over_delivery:b is_full_delivery:b "
     "shortage_severity:s unit_price_idr:d total_received_value_idr:d shortage_value_idr:d "
-    "warehouse_location:s received_by:s inspection_status:s is_rejected_by_inspection:s "
-    "needs_reinspection:s notes:s created_at:s loaded_at:s"
+    "warehouse_location:s received_by:s inspection_status:s is_rejected_by_inspection:b "
+    "needs_reinspection:b notes:s created_at:t loaded_at:s"
+)
+_CALENDAR = (
+    "date_key:i full_date:t date_label:s year:i iso_year:i quarter_number:i quarter_label:s "
+    "year_quarter:s month_number:i month_short_en:s month_name_id:s year_month:s "
+    "week_of_year:i year_week:s day_of_month:i day_of_year:i day_of_week_sun0:i "
+    "day_of_week_iso:i day_name_id:s day_short_id:s is_weekend:b is_weekday:b "
+    "is_first_day_of_month:b is_last_day_of_month:b is_last_day_of_quarter:b "
+    "is_first_day_of_year:b is_last_day_of_year:b fiscal_year:i fiscal_quarter:i "
+    "fiscal_month:i"
 )
 
 
@@ -62,36 +71,35 @@ _ROW = {
                                         loaded="loaded_at")),
     "T4": _table(
         "s_purchase_requests",
-        "pr_id:i pr_number:s pr_date:s pr_year:i pr_month:i pr_year_month:s department_id:i "
+        "pr_id:i pr_number:s pr_date:t pr_year:i pr_month:i pr_year_month:s department_id:i "
         "requester_name:s requester_email:s purpose:s priority:s pr_status:s approved_by:s "
-        "approval_date:s is_approved:s is_rejected:s is_pending:s approval_lead_days:i "
-        "total_amount_idr:d notes:s created_at:s loaded_at:s"),
+        "approval_date:t is_approved:b is_rejected:b is_pending:b approval_lead_days:i "
+        "total_amount_idr:d notes:s created_at:t loaded_at:s"),
     "T5": _table(
         "s_purchase_orders",
-        "po_id:i po_number:s po_date:s po_year:i po_month:i po_year_month:s pr_id:i vendor_id:i "
-        "department_id:i expected_delivery_date:s expected_lead_time_days:i payment_terms:s "
-        "po_status:s shipping_address:s approved_by:s approval_date:s approval_lag_days:i "
-        "is_open:s is_partial:s is_completed:s is_cancelled:s is_active_po:s "
-        "total_amount_idr:d notes:s created_at:s loaded_at:s"),
+        "po_id:i po_number:s po_date:t po_year:i po_month:i po_year_month:s pr_id:i vendor_id:i "
+        "department_id:i expected_delivery_date:t expected_lead_time_days:i payment_terms:s "
+        "po_status:s shipping_address:s approved_by:s approval_date:t approval_lag_days:i "
+        "is_open:b is_partial:b is_completed:b is_cancelled:b is_active_po:b "
+        "total_amount_idr:d notes:s created_at:t loaded_at:s"),
     "T6": _table(
         "s_purchase_order_lines",
         "line_id:i po_id:i item_id:i line_number:i quantity_ordered:i unit_of_measure:s "
         "unit_price_idr:d discount_pct:d net_unit_price_idr:d gross_total_price_idr:d "
-        "net_total_price_idr:d discount_amount_idr:d has_discount:s discount_tier:s "
-        "delivery_date_expected:s line_status:s notes:s created_at:s loaded_at:s"),
+        "net_total_price_idr:d discount_amount_idr:d has_discount:b discount_tier:s "
+        "delivery_date_expected:t line_status:s notes:s created_at:t loaded_at:s"),
     "T7": _table("s_goods_receipts", RECEIPT),
     "L1": _table("latest_receipts", RECEIPT),
     "L2": _table("lifecycle", LIFECYCLE.format(counted="quantity_received_coalesced")),
-    "S11": "SELECT CAST(full_date AS VARCHAR) AS full_date FROM dim_date",
-    "D1": _table(
-        "dim_date",
-        "date_key:i full_date:s date_label:s year:i iso_year:i quarter_number:i quarter_label:s "
-        "year_quarter:s month_number:i month_short_en:s month_name_id:s year_month:s "
-        "week_of_year:i year_week:s day_of_month:i day_of_year:i day_of_week_sun0:i "
-        "day_of_week_iso:i day_name_id:s day_short_id:s is_weekend:s is_weekday:s "
-        "is_first_day_of_month:s is_last_day_of_month:s is_last_day_of_quarter:s "
-        "is_first_day_of_year:s is_last_day_of_year:s fiscal_year:i fiscal_quarter:i "
-        "fiscal_month:i"),
+    "D1": " UNION ALL ".join(
+        f"SELECT '{role}' AS date_role, CAST({key} AS BIGINT) AS document_id, {typed(_CALENDAR)} "
+        f"FROM {source} JOIN dim_date ON {day} = full_date"
+        for role, key, source, day in (
+            ("order", "po_id", "raw_purchase_orders", "po_date"),
+            ("promised", "po_id", "raw_purchase_orders", "expected_delivery_date"),
+            ("receipt", "gr_id", "raw_goods_receipts", "gr_date"),
+        )
+    ),
     "D2": _table("dim_departments", f"department_sk:s {DEPARTMENT} budget_tier:s"),
     "D3": _table("dim_items", "item_sk:s " + ITEM.format(
         price="current_unit_price_idr", lead="standard_lead_time_days",
@@ -101,34 +109,47 @@ _ROW = {
     "X6": _table("fact", FACT),
 }
 
-# The load applied in D5: from 2024-07-01 every fifth vendor pays in 45 days, every seventh moved,
-# and one vendor in eleven comes again under a new number.
-_LOAD = "DATE '2024-07-01'"
-_D5 = f"""
-    SELECT {typed(f"vendor_sk:s {VERSION} {VENDOR}")} FROM (
-        WITH incoming AS (
-            SELECT * REPLACE (CASE WHEN vendor_id % 5 = 0 THEN 'Net 45' ELSE payment_terms END
-                                  AS payment_terms,
-                              CASE WHEN vendor_id % 7 = 0 THEN 'Bandung' ELSE city END AS city)
-            FROM s_vendors
-            UNION ALL
-            SELECT * REPLACE (-vendor_id AS vendor_id) FROM s_vendors WHERE vendor_id % 11 = 0),
+# The loads applied in D5. One of 2024-07-01 is run twice; of the first run nothing is left, since the
+# second has other values for the same vendors. A third of 2024-10-01 follows. One vendor in eleven
+# comes again under a new number.
+def _incoming(**changed: str) -> str:
+    replaced = ", ".join(f"{expression} AS {name}" for name, expression in changed.items())
+    return f"""
+        SELECT * REPLACE ({replaced}) FROM (
+            SELECT * FROM s_vendors
+            UNION ALL SELECT * REPLACE (-vendor_id AS vendor_id) FROM s_vendors WHERE vendor_id % 11 = 0)"""
+
+
+def _applied(versions: str, incoming: str, day: str) -> str:
+    return f"""
+        WITH known AS ({versions}), incoming AS ({incoming}),
         compared AS (
             SELECT n.vendor_id, o.record_version,
-                   o.vendor_id IS NOT NULL AND (o.payment_terms, o.city) IS DISTINCT FROM
-                       (n.payment_terms, n.city) AS changed,
+                   o.vendor_id IS NOT NULL AND (o.payment_terms, o.city, o.province) IS DISTINCT FROM
+                       (n.payment_terms, n.city, n.province) AS changed,
                    o.vendor_id IS NULL AS fresh
-            FROM incoming n LEFT JOIN dim_vendors o
-                 ON n.vendor_id = o.vendor_id AND o.is_current_record)
+            FROM incoming n LEFT JOIN known o ON n.vendor_id = o.vendor_id AND o.is_current_record)
         SELECT d.* REPLACE (
-                   CASE WHEN d.is_current_record AND c.changed THEN {_LOAD} - 1
+                   CASE WHEN d.is_current_record AND c.changed THEN {day} - 1
                         ELSE d.dbt_valid_to END AS dbt_valid_to,
                    d.is_current_record AND NOT coalesce(c.changed, false) AS is_current_record)
-        FROM dim_vendors d LEFT JOIN compared c USING (vendor_id)
+        FROM known d LEFT JOIN compared c USING (vendor_id)
         UNION ALL
-        SELECT md5(vendor_id || '|' || CAST({_LOAD} AS VARCHAR)), i.*, {_LOAD}, NULL, true,
+        SELECT md5(vendor_id || '|' || CAST({day} AS VARCHAR)), i.*, {day}, NULL, true,
                coalesce(c.record_version, 0) + 1
-        FROM incoming i JOIN compared c USING (vendor_id) WHERE c.changed OR c.fresh)"""
+        FROM incoming i JOIN compared c USING (vendor_id) WHERE c.changed OR c.fresh"""
+
+
+_TERMS = "CASE WHEN abs(vendor_id) % 5 = 0 THEN 'Net 45' ELSE payment_terms END"
+_SECOND = _applied("SELECT * FROM dim_vendors", _incoming(
+    payment_terms=_TERMS, city="CASE WHEN abs(vendor_id) % 7 = 0 THEN 'Medan' ELSE city END",
+    province="CASE WHEN abs(vendor_id) % 13 = 0 THEN 'Sumatera' ELSE province END",
+), "DATE '2024-07-01'")
+_THIRD = _applied(_SECOND, _incoming(
+    payment_terms=_TERMS, city="CASE WHEN abs(vendor_id) % 7 < 2 THEN 'Bogor' ELSE city END",
+    province="CASE WHEN abs(vendor_id) % 13 = 0 THEN 'Sumatera' ELSE province END",
+), "DATE '2024-10-01'")
+_D5 = f"""SELECT {typed(f"vendor_sk:s {VERSION} {VENDOR}")} FROM ({_THIRD})"""
 
 _ROW["D5"] = _D5
 _ROW["D6"] = """
@@ -485,10 +506,16 @@ _DOCUMENTS = {
         SELECT line_id, po_id FROM raw_purchase_order_lines
         WHERE po_id IN (SELECT po_id FROM raw_purchase_orders
                         WHERE status IN ('Selesai', 'Sebagian Diterima'))""",
+    "G5": """
+        SELECT pr_id FROM (
+            SELECT pr_id, row_number() OVER (ORDER BY md5('42|' || pr_id), pr_id) AS place,
+                   count(*) OVER () AS available
+            FROM raw_purchase_requests WHERE status = 'Disetujui')
+        WHERE place <= available // 2""",
     "G6": f"""
         SELECT {typed("gr_id:i quantity_variance:i variance_pct:d receipt_status:s "
-                      "lead_time_days:i is_on_time:s")}
-        FROM raw_goods_receipts""",
+                      "lead_time_days:i is_on_time:b")}
+        FROM (SELECT * REPLACE (measured_pct AS variance_pct) FROM raw_goods_receipts)""",
     "G7": """
         SELECT 'PR' AS kind, pr_id AS id, pr_number AS number FROM raw_purchase_requests
         UNION ALL SELECT 'PO', po_id, po_number FROM raw_purchase_orders
@@ -507,7 +534,8 @@ _DOCUMENTS = {
                CAST(min(variance_pct) AS DOUBLE) AS variance_min,
                {mean('variance_pct', 2, scale=2)} AS variance_mean,
                CAST(max(variance_pct) AS DOUBLE) AS variance_max
-        FROM raw_goods_receipts""",
+        FROM (SELECT * REPLACE (round(CAST(CAST(variance_pct AS VARCHAR) AS DECIMAL(38, 18)), 2)
+                                    AS variance_pct) FROM raw_goods_receipts)""",
     "G10": "WITH shapes AS (" + _union(
         f"SELECT '{name}' AS \"table\", (SELECT count(*) FROM raw_{name}) AS n, {columns} AS c"
         for name, columns in _RAW_NAMES.items()
@@ -515,34 +543,74 @@ _DOCUMENTS = {
         SELECT coalesce("table", 'GRAND TOTAL') AS "table", CAST(sum(n) AS BIGINT) AS "rows",
                CAST(sum(c) AS BIGINT) AS "columns"
         FROM shapes GROUP BY ROLLUP ("table")""",
-    "S1": "WITH loads AS (" + _union(
-        f"SELECT '{name}' AS \"table\", (SELECT count(*) FROM raw_{name}) AS n"
-        for name in _RAW_NAMES
-    ) + """)
-        SELECT coalesce("table", 'GRAND TOTAL') AS "table", CAST(sum(n) AS BIGINT) AS "rows",
-               'OK' AS status
-        FROM loads GROUP BY ROLLUP ("table")""",
     "V6": _union(
-        f"SELECT '{name}' AS \"table\", '2025-01-01 00:00:00' AS newest, "
-        f"CAST(30 AS BIGINT) AS age_hours, 'warn' AS status FROM raw_{name} HAVING count(*) > 0" for name in _RAW_NAMES
+        f"""SELECT '{name}' AS "table", CAST(max({stamp(name)}) AS VARCHAR) AS newest,
+                   date_diff('second', max({stamp(name)}), TIMESTAMP '2025-01-02 06:00:00') // 3600
+                       AS age_hours,
+                   CASE WHEN age_hours > 49 THEN 'error' WHEN age_hours > 25 THEN 'warn' ELSE 'pass' END
+                       AS status
+            FROM raw_{name} HAVING count(*) > 0"""
+        for name in _RAW_NAMES
     ),
 }
 
+# Columns of each raw table by kind of cell.
+_CELLS = {
+    "departments": "department_id:i department_code:s department_name:s cost_center:s location:s "
+                   "manager_name:s budget_annual:i created_at:t",
+    "vendors": "vendor_id:i vendor_code:s vendor_name:s vendor_category:s vendor_type:s address:s "
+               "city:s province:s postal_code:i phone:s email:s npwp:s payment_terms:s rating:d "
+               "is_active:b registered_date:t created_at:t",
+    "items": "item_id:i item_code:s item_name:s item_category:s unit_of_measure:s unit_price:i "
+             "min_order_qty:i lead_time_days:i is_active:b created_at:t",
+    "purchase_requests": "pr_id:i pr_number:s pr_date:t department_id:i requester_name:s "
+                         "requester_email:s purpose:s priority:s status:s approved_by:s "
+                         "approval_date:t notes:s created_at:t total_amount:i",
+    "purchase_orders": "po_id:i po_number:s po_date:t pr_id:i vendor_id:i department_id:i "
+                       "expected_delivery_date:t payment_terms:s status:s shipping_address:s "
+                       "approved_by:s approval_date:t notes:s created_at:t total_amount:i",
+    "purchase_order_lines": "line_id:i po_id:i item_id:i line_number:i quantity_ordered:i "
+                            "unit_of_measure:s unit_price:i discount_pct:i total_price:i "
+                            "delivery_date_expected:t line_status:s notes:s created_at:t",
+    "goods_receipts": "gr_id:i gr_number:s gr_date:t po_id:i po_line_id:i item_id:i "
+                      "quantity_ordered:i quantity_received:i quantity_variance:i variance_pct:d "
+                      "receipt_status:s lead_time_days:i is_on_time:b unit_price:d "
+                      "total_received_value:i warehouse_location:s received_by:s "
+                      "inspection_status:s notes:s created_at:t",
+}
+
+
+def _names(table: str, kinds: str) -> list[str]:
+    return [pair.split(":")[0] for pair in _CELLS[table].split() if pair.split(":")[1] in kinds]
+
+
+def _loaded(table: str) -> str:
+    """Measures of one table after its way through CSV: missing cells, characters, key figures."""
+    missing = " + ".join(f"count(*) - count({name})" for name in _names(table, "sidbt"))
+    chars = " + ".join(f"coalesce(sum(length({name})), 0)" for name in _names(table, "s"))
+    whole = " + ".join(f"coalesce(sum({name} % 1000003), 0)" for name in _names(table, "i"))
+    return (
+        f"SELECT '{table}' AS \"table\", count(*) AS n, {missing} AS missing, {chars} AS chars, "
+        f"{whole} AS whole FROM raw_{table}"
+    )
+
 
-_ORDER_COLUMNS = (
-    "po_id po_number po_date pr_id vendor_id department_id expected_delivery_date payment_terms "
-    "status shipping_address approved_by approval_date notes created_at total_amount"
-).split()
+_DOCUMENTS["S1"] = "WITH loads AS (" + _union(_loaded(name) for name in _RAW_NAMES) + """)
+    SELECT coalesce("table", 'GRAND TOTAL') AS "table", CAST(sum(n) AS BIGINT) AS "rows",
+           CAST(0 AS BIGINT) AS bad_rows, 'OK' AS status, CAST(sum(missing) AS BIGINT) AS missing,
+           CAST(sum(chars) AS BIGINT) AS chars, CAST(sum(whole) AS BIGINT) AS whole,
+           '2025-01-01 00:00:00' AS ingested_at
+    FROM loads GROUP BY ROLLUP ("table")"""
 
 
-def _type_of(name: str, source: str) -> str:
+def _type_of(table: str, name: str) -> str:
     """The type rule of S3 for one column, over all its values."""
 
     def every(pattern: str) -> str:
         return f"coalesce(bool_and(regexp_matches(v, '{pattern}')), false)"
 
     return f"""
-        SELECT '{name}' AS "column",
+        SELECT '{table}' AS "table", '{name}' AS "column",
                CASE WHEN count(v) = 0 THEN 'DOUBLE PRECISION'
                     WHEN {every('^(True|False|TRUE|FALSE|true|false)$')} AND count(v) = count(*)
                     THEN 'BOOLEAN'
@@ -550,12 +618,12 @@ def _type_of(name: str, source: str) -> str:
                     WHEN {every('^[+-]?[0-9]+([.][0-9]*)?$')} THEN 'DOUBLE PRECISION'
                     WHEN {every('^[0-9]{4}-[0-9]{2}-[0-9]{2}$')} THEN 'DATE'
                     ELSE 'TEXT' END AS "type"
-        FROM (SELECT CAST({name} AS VARCHAR) AS v FROM {source})"""
+        FROM (SELECT CAST({name} AS VARCHAR) AS v FROM raw_{table})"""
 
 
 _DOCUMENTS["S3"] = _union(
-    [_type_of(name, "raw_purchase_orders") for name in _ORDER_COLUMNS]
-    + ["SELECT '_ingested_at', 'TEXT' FROM raw_purchase_orders HAVING count(*) > 0"]
+    [_type_of(table, name) for table in _RAW_NAMES for name in _names(table, "idsbt")]
+    + [f"SELECT '{table}', '_ingested_at', 'TEXT' FROM raw_{table} HAVING count(*) > 0" for table in _RAW_NAMES]
 )
 
 

@@ -8,7 +8,22 @@ _DAY = "CAST(o_orderdate AS DATE) + 8401"
 _TERMS = ("Net 15", "Net 30", "Net 45", "Net 60", "COD", "DP 50%")
 _UNITS = ("Pcs", "Unit", "Box", "Set", "Kg")
 _NOTES = (None, "  ", " catatan ")
-_LOADED = "TIMESTAMP '2025-01-01 00:00:00' AS loaded_at"
+
+# Day and key of each raw table's load stamps; the hour is the key's remainder by 24.
+STAMPS = {
+    "departments": ("2025-01-01", "department_id"),
+    "vendors": ("2024-12-31", "vendor_id"),
+    "items": ("2025-01-01", "item_id"),
+    "purchase_requests": ("2024-12-30", "pr_id"),
+    "purchase_orders": ("2025-01-01", "po_id"),
+    "purchase_order_lines": ("2025-01-01", "line_id"),
+    "goods_receipts": ("2024-12-31", "gr_id"),
+}
+
+
+def stamp(table: str) -> str:
+    day, key = STAMPS[table]
+    return f"(TIMESTAMP '{day} 00:00:00' + to_hours(CAST({key} % 24 AS INTEGER)))"
 
 
 def _flag(condition: str) -> str:
@@ -74,14 +89,16 @@ _RAW = {
                {pick('o_orderkey % 3', *_NOTES)} AS notes, {_DAY} AS created_at
         FROM orders WHERE o_orderkey % 10 >= 2""",
     "base_lines": f"""
-        SELECT (l_orderkey + 1) * 10 + l_linenumber AS line_id, l_orderkey + 1 AS po_id,
+        SELECT ((l_orderkey + 1) * 10 + l_linenumber) * (SELECT max(p_partkey) + 1 FROM part) + part
+                   AS line_id,
+               l_orderkey + 1 AS po_id,
                part + 1 AS item_id, CAST(l_linenumber AS BIGINT) AS line_number, part,
                CASE WHEN (part + l_orderkey) % 97 = 0 THEN 0 ELSE quantity END AS quantity_ordered,
                {pick('part % 5', *_UNITS)} AS unit_of_measure, cents // quantity AS unit_price,
                discount + discount // 2 AS discount_pct,
                unit_price * quantity_ordered AS total_price,
                {pick('part % 3', *_NOTES)} AS notes
-        FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS part,
+        FROM (SELECT l_orderkey, l_linenumber, l_partkey AS part,
                      CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity,
                      CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS cents,
                      max(CAST(round(l_discount * 100) AS BIGINT)) AS discount
@@ -149,8 +166,11 @@ _RAW = {
                    AS gr_number,
                gr_date, po_id, line_id AS po_line_id, item_id, quantity_ordered,
                quantity_received, quantity_received - q AS quantity_variance,
-               CASE WHEN q > 0 THEN sign(quantity_variance) *
-                   ((abs(quantity_variance) * 20000 + q) // (2 * q)) / 100.0 END AS variance_pct,
+               CASE WHEN q > 0 THEN CAST(sign(quantity_variance) *
+                   ((abs(quantity_variance) * 20000 + q) // (2 * q)) AS DOUBLE) / 100 END
+                   AS measured_pct,
+               CASE WHEN h % 17 = 3 THEN measured_pct + CAST(0.0049999996 AS DOUBLE)
+                    ELSE measured_pct END AS variance_pct,
                CASE WHEN quantity_variance = 0 THEN 'Lengkap'
                     WHEN quantity_variance > 0 THEN 'Lebih'
                     WHEN -quantity_variance * 10 <= q THEN 'Kurang'
@@ -158,8 +178,9 @@ _RAW = {
                     ELSE 'Barang Sangat Kurang' END AS receipt_status,
                CAST(gr_date - po_date AS BIGINT) AS lead_time_days,
                gr_date <= expected_delivery_date AS is_on_time,
-               CAST(unit_price AS DOUBLE) AS unit_price,
-               unit_price * quantity_received AS total_received_value,
+               unit_price * 100000 + part % 7 * 4 AS price_units,
+               CAST(unit_price * quantity_received AS BIGINT) AS total_received_value,
+               CAST(price_units AS DOUBLE) / 100000 AS unit_price,
                {pick('h % 8', 'WH-A01', 'WH-A02', 'WH-A03', 'WH-B01', 'WH-B02', 'WH-C01',
                      'WH-C02', 'WH-D01')} AS warehouse_location,
                'Clerk ' || (part % 50) AS received_by,
@@ -173,7 +194,7 @@ _STAGED = {
     "s_departments": f"""
         SELECT department_id, department_code, trim(department_name) AS department_name,
                cost_center, location, manager_name, budget_annual AS budget_annual_idr,
-               created_at, {_LOADED}
+               created_at, {stamp('departments')} AS loaded_at
         FROM raw_departments WHERE trim(department_name) <> ''""",
     "s_vendors": f"""
         SELECT vendor_id, vendor_code, trim(vendor_name) AS vendor_name, vendor_category,
@@ -181,14 +202,14 @@ _STAGED = {
                lpad(CAST(postal_code AS VARCHAR), 5, '0') AS postal_code, phone,
                lower(trim(email)) AS email, npwp, payment_terms, rating AS vendor_rating,
                is_active, vendor_type <> 'Jasa' AS is_goods_vendor,
-               vendor_type <> 'Barang' AS is_service_vendor, registered_date, created_at, {_LOADED}
+               vendor_type <> 'Barang' AS is_service_vendor, registered_date, created_at, {stamp('vendors')} AS loaded_at
         FROM raw_vendors WHERE trim(vendor_name) <> ''""",
     "s_items": f"""
         SELECT item_id, item_code, trim(item_name) AS item_name, item_category, unit_of_measure,
                unit_price AS unit_price_idr, min_order_qty, lead_time_days, is_active,
                CASE WHEN unit_price < 100000 THEN 'Murah' WHEN unit_price > 1000000 THEN 'Mahal'
                     ELSE 'Menengah' END AS price_tier,
-               lead_time_days <= 3 AS is_fast_moving, created_at, {_LOADED}
+               lead_time_days <= 3 AS is_fast_moving, created_at, {stamp('items')} AS loaded_at
         FROM raw_items WHERE trim(item_name) <> ''""",
     "s_purchase_requests": f"""
         SELECT pr_id, pr_number, pr_date, year(pr_date) AS pr_year, month(pr_date) AS pr_month,
@@ -198,7 +219,7 @@ _STAGED = {
                status = 'Disetujui' AS is_approved, status = 'Ditolak' AS is_rejected,
                status = 'Pending Approval' AS is_pending,
                approval_date - pr_date AS approval_lead_days, total_amount AS total_amount_idr,
-               nullif(trim(notes), '') AS notes, created_at, {_LOADED}
+               nullif(trim(notes), '') AS notes, created_at, {stamp('purchase_requests')} AS loaded_at
         FROM raw_purchase_requests WHERE pr_date IS NOT NULL""",
     "s_purchase_orders": f"""
         SELECT po_id, po_number, po_date, year(po_date) AS po_year, month(po_date) AS po_month,
@@ -211,7 +232,7 @@ _STAGED = {
                status = 'Selesai' AS is_completed, status = 'Dibatalkan' AS is_cancelled,
                status IN ('Terbuka', 'Sebagian Diterima') AS is_active_po,
                total_amount AS total_amount_idr, nullif(trim(notes), '') AS notes, created_at,
-               {_LOADED}
+               {stamp('purchase_orders')} AS loaded_at
         FROM raw_purchase_orders WHERE po_date IS NOT NULL""",
     "s_purchase_order_lines": f"""
         SELECT line_id, po_id, item_id, line_number, quantity_ordered, unit_of_measure,
@@ -226,12 +247,13 @@ _STAGED = {
                     THEN 'Diskon Kecil' WHEN discount_pct <= 10 THEN 'Diskon Sedang'
                     ELSE 'Diskon Besar' END AS discount_tier,
                delivery_date_expected, line_status, nullif(trim(notes), '') AS notes, created_at,
-               {_LOADED}
+               {stamp('purchase_order_lines')} AS loaded_at
         FROM raw_purchase_order_lines WHERE quantity_ordered > 0""",
     "s_goods_receipts": f"""
         SELECT gr_id, gr_number, gr_date, year(gr_date) AS gr_year, month(gr_date) AS gr_month,
                strftime(gr_date, '%Y-%m') AS gr_year_month, po_id, po_line_id, item_id,
-               quantity_ordered, quantity_received, quantity_variance, variance_pct,
+               quantity_ordered, quantity_received, quantity_variance,
+               round(CAST(CAST(variance_pct AS VARCHAR) AS DECIMAL(38, 18)), 2) AS variance_pct,
                CASE WHEN quantity_ordered > 0 THEN ((quantity_received * 20000 + quantity_ordered)
                     // (2 * quantity_ordered)) / 100.0 END AS quantity_fulfillment_pct,
                receipt_status, lead_time_days, is_on_time,
@@ -250,11 +272,12 @@ _STAGED = {
                     THEN 'Kurang Sedang (10–25%)'
                     ELSE 'Kurang Parah (>25%)' END AS shortage_severity,
                unit_price AS unit_price_idr, total_received_value AS total_received_value_idr,
-               greatest(-quantity_variance, 0) * unit_price AS shortage_value_idr,
+               (2 * greatest(-quantity_variance, 0) * price_units + 100000) // 200000
+                   AS shortage_value_idr,
                warehouse_location, received_by, inspection_status,
                inspection_status = 'Ditolak' AS is_rejected_by_inspection,
                inspection_status = 'Perlu Pemeriksaan Ulang' AS needs_reinspection,
-               nullif(trim(notes), '') AS notes, created_at, {_LOADED}
+               nullif(trim(notes), '') AS notes, created_at, {stamp('goods_receipts')} AS loaded_at
         FROM raw_goods_receipts WHERE gr_date IS NOT NULL AND quantity_received >= 0""",
 }
 

@@ -25,8 +25,11 @@ def units(total: str, exponent: int, places: int = 2) -> str:
 
 
 def typed(columns: str) -> str:
-    """``name:kind`` pairs to a select list; kinds are i (BIGINT), d (DOUBLE), s (VARCHAR)."""
-    kinds = {"i": "BIGINT", "d": "DOUBLE", "s": "VARCHAR"}
+    """``name:kind`` pairs to a select list.
+
+    Kinds are i (BIGINT), d (DOUBLE), s (VARCHAR), b (BOOLEAN) and t (DATE).
+    """
+    kinds = {"i": "BIGINT", "d": "DOUBLE", "s": "VARCHAR", "b": "BOOLEAN", "t": "DATE"}
     pairs = (pair.split(":") for pair in columns.split())
     return ", ".join(f"CAST({name} AS {kinds[kind]}) AS {name}" for name, kind in pairs)
 
