@@ -3,12 +3,13 @@
 Raw purchasing tables are derived from the given tables by whole-number formulas
 (``ledgerlane/sources/sample.py``; the same formulas in SQL in ``oracle/tables.py``). Results leave
 here with plain types, so that two engines can be compared: decimals as doubles, whole numbers as
-longs, dates, times and flags as text.
+longs, times as text; dates and flags stay what they are.
 """
 
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -22,8 +23,9 @@ from ledgerlane.plans import checks, ingest
 from ledgerlane.plans.reports import REPORTS, monthly_order_value
 from ledgerlane.plans.stakeholders import STAKEHOLDER_REPORTS, payables_ageing
 from ledgerlane.plans.warehouse import Warehouse, sample_warehouse
-from ledgerlane.sources.csv_files import infer_types
-from ledgerlane.sources.layers import LayerStore, shared_folder
+from ledgerlane.schemas import INGESTED_AT, LOAD_ORDER, RAW_SCHEMAS
+from ledgerlane.sources.csv_files import infer_types, write_csv
+from ledgerlane.sources.layers import RAW, LayerStore, shared_folder
 
 try:  # the package may be left out
     from ledgerlane.llm.queries import ORACLE_SQL as _LLM_ORACLE_SQL
@@ -37,49 +39,114 @@ SMALLEST = "/root/testdata/sf0.001"
 LOADED = datetime(2025, 1, 1)
 CHECKED_AT = datetime(2025, 1, 2, 6)
 PAYABLES_AS_OF = date(2024, 12, 31)
-SNAPSHOT_SINCE = date(2022, 1, 1)
-VENDOR_LOAD = date(2024, 7, 1)
+VENDOR_LOADS = (date(2024, 7, 1), date(2024, 7, 1), date(2024, 10, 1))
 
 
 def portable(rows: DataFrame) -> DataFrame:
-    """Reduce column types to long, double and string."""
+    """Reduce column types to long, double, string, date and boolean."""
     def plain(field: T.StructField):
         column, kind = F.col(f"`{field.name}`"), field.dataType
         if isinstance(kind, (T.DecimalType, T.FloatType, T.DoubleType)):
             return column.cast("double").alias(field.name)
         if isinstance(kind, T.IntegralType):
             return column.cast("long").alias(field.name)
+        if isinstance(kind, (T.DateType, T.BooleanType)):
+            return column.alias(field.name)
         return column.cast("string").alias(field.name)
 
     return rows.select(*[plain(field) for field in rows.schema.fields])
 
 
+def _as_found_in_files(rows: DataFrame) -> DataFrame:
+    """Cells as other programs write them: words for missing values, whole numbers with a point,
+    line breaks inside texts."""
+    first = F.col(rows.columns[0])
+    word = F.element_at(F.array(*[F.lit(w) for w in ("", "NA", "NaN", "null")]), (first % 4 + 1).cast("int"))
+    cells = {}
+    for field in rows.schema.fields:
+        cell = F.col(field.name)
+        if field.name == "notes":
+            cells[field.name] = F.coalesce(F.replace(cell, F.lit(" catatan "), F.lit(" cat\ntan ")), word)
+        elif isinstance(field.dataType, T.LongType):
+            whole = cell.cast("string")
+            cells[field.name] = F.coalesce(F.when(first % 3 == 0, F.concat(whole, F.lit(".0"))).otherwise(whole), word)
+        else:
+            cells[field.name] = F.coalesce(cell.cast("string"), word)
+    return rows.select(*[cell.alias(name) for name, cell in cells.items()])
+
+
 def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    """Write all raw tables as CSV, load them into a raw layer, summarise the load."""
+    """Write all raw tables as CSV, load them into a raw layer, summarise and measure the load."""
     w = sample_warehouse(spark, folder)
-    shared = shared_folder(spark)
-    if shared is None:
-        raise RuntimeError("CSV round trip needs a shared folder: set spark.checkpoint.dir")
-    root = f"{shared.rstrip('/')}/ledgerlane-{spark.sparkContext.applicationId}/csv"
-    ingest.export_csv(w.raw_tables(), root)
-    loads = ingest.ingest(spark, LayerStore(spark, f"{root}/layers"), root, LOADED)
-    return loads.select("table", "rows", "status")
+    root = f"{shared_folder(spark)}/ledgerlane-{spark.sparkContext.applicationId}/csv-{uuid.uuid4().hex}"
+    store = LayerStore(spark, root, transient=True)
+    for name, rows in w.raw_tables().items():
+        declared = rows.select(*RAW_SCHEMAS[name].fieldNames())
+        write_csv(_as_found_in_files(declared), f"{root}/files/{name}.csv")
+    loads = ingest.ingest(spark, store, f"{root}/files", LOADED, keep_bad_rows=True, multi_line=True)
+    parts = [_measured(store.read(RAW, name), name) for name in LOAD_ORDER]
+    measured = functools.reduce(DataFrame.unionByName, parts)
+    sums = {name: F.sum(name).alias(name) for name in ("missing", "chars", "whole")}
+    total = measured.agg(F.lit("GRAND TOTAL").alias("table"), *sums.values(), F.min("ingested_at").alias("ingested_at"))
+    summary = loads.select("table", "rows", "bad_rows", "status")
+    return summary.join(measured.unionByName(total), "table")
+
+
+def _measured(rows: DataFrame, table: str) -> DataFrame:
+    """Missing cells, characters of all texts, and whole numbers of one loaded table."""
+    def total(columns):
+        return functools.reduce(lambda a, b: a + b, columns, F.lit(0).cast("long"))
+
+    fields = RAW_SCHEMAS[table].fields
+    texts = [f.name for f in fields if isinstance(f.dataType, T.StringType)]
+    numbers = [f.name for f in fields if isinstance(f.dataType, T.LongType)]
+    return rows.agg(
+        F.lit(table).alias("table"),
+        total([F.count(F.lit(1)) - F.count(f.name) for f in fields]).alias("missing"),
+        total([F.coalesce(F.sum(F.length(name)), F.lit(0)) for name in texts]).alias("chars"),
+        total([F.coalesce(F.sum(F.col(name) % 1_000_003), F.lit(0)) for name in numbers]).alias("whole"),
+        F.min(INGESTED_AT).alias("ingested_at"),
+    )
 
 
 def _types(w: Warehouse) -> DataFrame:
-    orders = w.raw("purchase_orders")
-    return infer_types(orders.select(*[F.col(c).cast("string").alias(c) for c in orders.columns]))
+    """The inferred type of every column of every raw table, from all its values as text."""
+    found = []
+    for name, rows in w.raw_tables().items():
+        texts = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+        found.append(infer_types(texts).select(F.lit(name).alias("table"), "column", "type"))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def _calendar_days(w: Warehouse) -> DataFrame:
+    """The calendar's attributes of each order, promised and receipt date."""
+    orders, receipts = w.raw("purchase_orders"), w.raw("goods_receipts")
+    days = (
+        orders.select(F.lit("order").alias("date_role"), F.col("po_id").alias("document_id"), F.col("po_date").alias("day"))
+        .unionAll(orders.select(F.lit("promised"), "po_id", "expected_delivery_date"))
+        .unionAll(receipts.select(F.lit("receipt"), "gr_id", "gr_date"))
+    )
+    calendar = w.dates()
+    # the calendar's two end dates fix its size
+    return days.join(F.broadcast(calendar), F.col("day") == F.col("full_date")).drop("day")
 
 
 def _loaded_vendors(w: Warehouse) -> DataFrame:
-    staged = w.staged("vendors")
-    key = F.col("vendor_id")
-    changed = staged.withColumns({
-        "payment_terms": F.when(key % 5 == 0, "Net 45").otherwise(F.col("payment_terms")),
-        "city": F.when(key % 7 == 0, "Bandung").otherwise(F.col("city")),
-    })
-    arrived = staged.filter(key % 11 == 0).withColumn("vendor_id", -key)
-    return history.apply_changes(w.vendors(), changed.unionByName(arrived), VENDOR_LOAD)
+    """The vendor history after three loads, the second on the day of the first."""
+    staged, key = w.staged("vendors"), F.col("vendor_id")
+    staged = staged.unionByName(staged.filter(key % 11 == 0).withColumn("vendor_id", -key))
+    number = F.abs(key)
+    terms = F.when(number % 5 == 0, "Net 45").otherwise(F.col("payment_terms"))
+    province = F.when(number % 13 == 0, "Sumatera").otherwise(F.col("province"))
+    moved = (
+        {"city": F.when(number % 7 == 0, "Bandung").otherwise(F.col("city"))},
+        {"city": F.when(number % 7 == 0, "Medan").otherwise(F.col("city")), "province": province},
+        {"city": F.when(number % 7 < 2, "Bogor").otherwise(F.col("city")), "province": province},
+    )
+    versions = w.vendors()
+    for day, columns in zip(VENDOR_LOADS, moved, strict=True):
+        versions = history.apply_changes(versions, staged.withColumns({"payment_terms": terms, **columns}), day)
+    return versions
 
 
 def _vendor_of_the_day(w: Warehouse) -> DataFrame:
@@ -90,15 +157,24 @@ def _vendor_of_the_day(w: Warehouse) -> DataFrame:
 
 
 def _merged_snapshot(w: Warehouse) -> DataFrame:
-    """The fact as of a day, brought up to date with everything that happened since."""
-    since = F.lit(SNAPSHOT_SINCE)
-    stored = snapshot.order_lines_fact(
-        w.staged("purchase_order_lines"),
-        w.staged("purchase_orders").filter(F.col("po_date") < since),
-        w.staged("goods_receipts").filter(F.col("gr_date") < since),
-        w.dates(), w.vendors(), w.departments(), w.items(),
+    """A fact of other sources brought up to date: older orders had another status, lines another
+    quantity, some receipts were missing or had another count, and some lines are gone since."""
+    lines, orders, receipts = (
+        w.staged(table) for table in ("purchase_order_lines", "purchase_orders", "goods_receipts")
+    )
+    gone = lines.where("line_id % 13 = 0").withColumn("line_id", -F.col("line_id"))
+    before = lines.where("line_id % 17 <> 0").unionByName(gone).withColumn(
+        "quantity_ordered", F.col("quantity_ordered") + (F.col("line_id") % 11 == 0).cast("int")
     )
-    return w.refreshed_fact(stored, SNAPSHOT_SINCE)
+    statuses = F.when(F.col("po_id") % 7 == 0, "Terbuka").otherwise(F.col("po_status"))
+    other = receipts.where("gr_id % 5 <> 0").withColumn(
+        "quantity_received", F.col("quantity_received") + (F.col("gr_id") % 19 == 0).cast("int")
+    )
+    stored = snapshot.sources(
+        before, orders.withColumn("po_status", statuses), other,
+        w.dates(), w.vendors(), w.departments(), w.items(),
+    ).fact()
+    return w.refreshed_fact(stored)
 
 
 def _eligible(w: Warehouse) -> DataFrame:
@@ -112,9 +188,10 @@ def _eligible(w: Warehouse) -> DataFrame:
 
 
 def _sampled(w: Warehouse) -> DataFrame:
+    """Half of the approved requests."""
     requests = documents.approved_requests(w.raw("purchase_requests"))
-    available = requests.count()
-    return documents.sample_rows(requests, available // 2, available, seed=42).select("pr_id")
+    half = requests.agg(F.call_function("div", F.count(F.lit(1)), F.lit(2))).scalar()
+    return documents.sample_rows(requests, half, "pr_id", seed=42).select("pr_id")
 
 
 def _receipt_measures(w: Warehouse) -> DataFrame:
@@ -168,7 +245,6 @@ def _checked_tables(w: Warehouse) -> dict[str, DataFrame]:
 
 _OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "S3": _types,
-    "S11": lambda w: dimensions.date_spine(w.spark),
     "T1": lambda w: w.staged("departments"),
     "T2": lambda w: w.staged("vendors"),
     "T3": lambda w: w.staged("items"),
@@ -178,7 +254,7 @@ _OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
     "T7": lambda w: w.staged("goods_receipts"),
     "L1": lambda w: lifecycle.latest_receipts(w.staged("goods_receipts")),
     "L2": lambda w: w.lifecycle(),
-    "D1": lambda w: dimensions.calendar(w.spark),
+    "D1": _calendar_days,
     "D2": lambda w: dimensions.departments(w.staged("departments")),
     "D3": lambda w: dimensions.items(w.staged("items")),
     "D4": lambda w: dimensions.vendors(w.staged("vendors")),
@@ -236,7 +312,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The expected result of each query in DuckDB SQL; random sampling (G5) has none."""
+    """The expected result of each query in DuckDB SQL, where SQL can express it."""
     from oracle.statements import statements
 
     return {**_LLM_ORACLE_SQL, **statements()}
