@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -47,7 +48,8 @@ IMPLIED_END = {
 }
 IMPLIED_END["tbody"] = IMPLIED_END["tfoot"] = IMPLIED_END["colgroup"] = IMPLIED_END["thead"]
 
-_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>", re.S)
+_CUT_OFF = re.compile(r"<[a-zA-Z/]")
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _HIDES = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
@@ -66,18 +68,32 @@ def parse(page: str) -> Node:
     """The tree of a page; texts are str children."""
     root = Node("html", {})
     stack = [root]
+    opened: Counter[str] = Counter()  # elements on the stack by name
+
+    def push(node: Node) -> None:
+        stack[-1].children.append(node)
+        stack.append(node)
+        opened[node.tag] += 1
+
+    def cut(depth: int) -> None:
+        opened.subtract(node.tag for node in stack[depth:])
+        del stack[depth:]
 
     def close(names: frozenset[str], fence: frozenset[str]) -> None:
+        """Close the outermost of these elements on this side of the fence."""
+        left = sum(opened[name] for name in names)
+        outermost = 0
         for depth in range(len(stack) - 1, 0, -1):
+            if not left or stack[depth].tag in fence:
+                break
             if stack[depth].tag in names:
-                del stack[depth:]
-                return close(names, fence)
-            if stack[depth].tag in fence:
-                return None
-        return None
+                outermost, left = depth, left - 1
+        if outermost:
+            cut(outermost)
 
-    def nearest(names: frozenset[str]) -> str | None:
-        return next((node.tag for node in reversed(stack) if node.tag in names), None)
+    def in_row() -> bool:
+        inner = next((node.tag for node in reversed(stack) if node.tag in ("tr", "table")), None)
+        return inner == "tr"
 
     def text(piece: str) -> None:
         if piece:
@@ -87,19 +103,21 @@ def parse(page: str) -> Node:
     while at < size:
         found = _TOKEN.search(page, at)
         if not found:
-            text(page[at:])
+            rest = page[at:]
+            over = _CUT_OFF.search(rest)  # a tag that never ends is none
+            text(rest[:over.start()] if over else rest)
             break
         text(page[at:found.start()])
         at = found.end()
         end_tag, start_tag = found.group(1), found.group(2)
         if end_tag:
             tag = end_tag.lower()
-            if tag == "p" and not any(node.tag == "p" for node in stack):
+            if tag == "p" and not opened["p"]:
                 stack[-1].children.append(Node("p", {}))
-            elif tag not in ("html", "body"):
+            elif opened[tag]:
                 for depth in range(len(stack) - 1, 0, -1):
                     if stack[depth].tag == tag:
-                        del stack[depth:]
+                        cut(depth)
                         break
                     if stack[depth].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
                         break
@@ -114,24 +132,22 @@ def parse(page: str) -> Node:
                 close(frozenset({"head"}), frozenset())
                 continue
             if stack[-1].tag == "head" and tag not in UNSEEN | {"noscript"}:
-                stack.pop()
+                cut(len(stack) - 1)
             if tag in CLOSES_P:
                 close(frozenset({"p"}), frozenset({"button", "table", "td", "th", "caption"}))
             if tag in IMPLIED_END:
                 close(*IMPLIED_END[tag])
-            if tag in ("td", "th") and nearest(frozenset({"tr", "table"})) != "tr":
-                row = Node("tr", {})
-                stack[-1].children.append(row)
-                stack.append(row)
+            if tag in ("td", "th") and not (opened["tr"] and in_row()):
+                push(Node("tr", {}))
             node = Node(tag, attributes)
-            stack[-1].children.append(node)
+            push(node)
             if tag in RAW:
                 over = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 body = page[at:over.start()] if over else page[at:]
                 node.children.append(html.unescape(body) if tag in ("textarea", "title") else body)
                 at = over.end() if over else size
-            elif tag not in VOID and not (found.group(4) and tag in ("svg", "math")):
-                stack.append(node)
+            if tag in RAW or tag in VOID or (tag in ("svg", "math") and raw.endswith("/")):
+                cut(len(stack) - 1)
     return root
 
 
