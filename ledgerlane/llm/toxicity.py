@@ -101,7 +101,11 @@ def _words(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarr
     blank = np.isin(data, np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8))
     cut = np.zeros(len(data), bool)
     cut[1:] = blank[:-1] & ~blank[1:]
-    return (*chunked(data, rows, cut), data, rows)
+    distinct, numbers, first = chunked(data, rows, cut)
+    if len(numbers):  # blanks before a row's first word are no word
+        kept = ~np.array([raw.isspace() for raw in distinct.to_pylist()])[numbers]
+        first, numbers = np.concatenate([[0], np.cumsum(kept)])[first], numbers[kept]
+    return distinct, numbers, first, data, rows
 
 
 _KIND = np.zeros(256, np.uint8)  # 1 capital, 2 punctuation, 3 digit, 4 other sign, 5 small letter
