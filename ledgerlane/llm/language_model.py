@@ -6,8 +6,8 @@ word in its class. All other words fall into ``TAIL`` classes by a hash of their
 inside which a word has its add-one share of the training count; a class keeps one share for any
 unseen word. The state picks the class, so each text has one probability.
 
-Training is truncated backpropagation through time in numpy, over at most ``FIT_DOCUMENTS`` training
-documents in the order of a hash of their id: the only bound. Word counts, classes and shares are
+Training is truncated backpropagation through time in numpy, over training documents in the order of
+a hash of their id, at most ``FIT_DOCUMENTS`` and no more than reach ``FIT_CHARACTERS``: the only bound. Word counts, classes and shares are
 those of all training documents. In scoring, a block of documents is dealt over lanes; a lane runs
 through its documents in windows, carries its state from window to window and clears it between
 documents.
@@ -27,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.llm.common import chunked, pieces, stored, text_slices, utf8
@@ -37,6 +37,7 @@ CLASS_WORDS = 32
 TAIL = 64
 STATE = 24
 FIT_DOCUMENTS = 2500
+FIT_CHARACTERS = 16_000_000
 BLOCK_TOKENS = 1_500_000
 LANES = 512
 WINDOW = 48
@@ -317,10 +318,14 @@ def _with_ends(numbers: np.ndarray, first: np.ndarray, end: int) -> tuple[np.nda
 
 
 def _fitted(training: DataFrame, head: list[str]) -> Network:
-    chosen = (
-        training.where("doc_id is not null").select("doc_id").distinct()
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
+    first = (
+        training.where("doc_id is not null").select("doc_id", F.length("text").alias("size"))
+        .groupBy("doc_id").agg(F.sum("size").alias("size"))
+        .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(FIT_DOCUMENTS)
     )
+    before = Window.orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # of those few
+    chosen = first.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    chosen = chosen.where(F.col("before") < FIT_CHARACTERS).select("doc_id")
     sample = training.join(F.broadcast(chosen), "doc_id").select("doc_id", "text")
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
