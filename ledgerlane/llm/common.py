@@ -30,8 +30,11 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder name under the shared root."""
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new folder name under the shared root; what is put there goes when the application ends."""
+    folder = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
 
 
 def stored(rows: DataFrame, name: str) -> DataFrame:
