@@ -18,10 +18,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Goes: null text, no letter, or a cosine below ``LEAST_COSINE`` with every language, which means
     letter sequences like none of the languages learned.
     """
-    found = language_id.with_language(docs, language_id.prototypes(docs.where(~held_out("doc_id", 4, 2))))
-    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_COSINE))
+    known = language_id.prototypes(docs.where(~held_out("doc_id", 4, 2)))
+    found = language_id.with_language(docs, known, "__predicted__", "__cosine__")
+    certain = F.col("__cosine__") >= LEAST_COSINE
+    kept = found.where((F.col("__predicted__") != language_id.UNDETERMINED) & certain)
     return kept.select(*[
-        F.col("lang_pred").alias("lang") if name == "lang" else F.col(f"`{name}`") for name in docs.columns
+        F.col("__predicted__").alias("lang") if name == "lang" else F.col(f"`{name}`") for name in docs.columns
     ])
 
 

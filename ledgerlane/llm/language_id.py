@@ -162,18 +162,20 @@ def prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
     return found
 
 
-def with_language(documents: DataFrame, known: dict[str, np.ndarray]) -> DataFrame:
-    """Add lang_pred and score (the largest cosine, between 0 and 1) to every row.
+def with_language(
+    documents: DataFrame, known: dict[str, np.ndarray], predicted: str = "lang_pred", cosine: str = "score"
+) -> DataFrame:
+    """Add the language predicted and its score (the largest cosine, between 0 and 1) to every row.
 
     ``und`` with score 0 where the text is null or has no letter, or where no language is known.
-    Equal cosines go to the language that sorts first. All other columns stay; columns of these two
-    names are replaced.
+    Equal cosines go to the language that sorts first. All other columns stay; columns of the two
+    new names are replaced.
     """
     from pyspark.sql import types as T
 
     names = list(known)
     matrix = np.stack(list(known.values())) if known else np.zeros((0, DIMENSIONS), np.float32)
-    kept = [f for f in documents.schema.fields if f.name not in ("lang_pred", "score")]
+    kept = [f for f in documents.schema.fields if f.name not in (predicted, cosine)]
 
     def predict(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors = _Vectors()
@@ -187,10 +189,10 @@ def with_language(documents: DataFrame, known: dict[str, np.ndarray]) -> DataFra
                 [*(piece.column(f.name) for f in kept),
                  pa.array([names[k] if ok else UNDETERMINED for k, ok in zip(best.tolist(), some.tolist())]),
                  pa.array(score)],
-                names=[*(f.name for f in kept), "lang_pred", "score"],
+                names=[*(f.name for f in kept), predicted, cosine],
             )
 
-    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*kept, T.StructField(predicted, T.StringType()), T.StructField(cosine, T.DoubleType())])
     return documents.select(*[f"`{f.name}`" for f in kept]).mapInArrow(predict, schema)
 
 

@@ -173,18 +173,18 @@ def redacted(documents: DataFrame, owner: str = "source", repository: str = "doc
         live.withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
         .withColumn("island", F.sum("new").over(order))
         .groupBy("row", "mark", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .groupBy("row", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_spans"))
-        .groupBy("mark").agg(F.any_value("_spans").alias("_spans"))  # equal texts have equal spans
-        .withColumnRenamed("mark", "_mark")
+        .groupBy("row", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans__"))
+        .groupBy("mark").agg(F.any_value("__spans__").alias("__spans__"))  # equal texts have equal spans
+        .withColumnRenamed("mark", "__mark__")
     )
     text = F.col("text")
-    ends = F.concat(F.array(F.lit(0)), F.col("_spans.end"))
-    begins = F.concat(F.col("_spans.start"), F.array(F.length(text)))
+    ends = F.concat(F.array(F.lit(0)), F.col("__spans__.end"))
+    begins = F.concat(F.col("__spans__.start"), F.array(F.length(text)))
     between = F.transform(F.arrays_zip(ends.alias("a"), begins.alias("b")), lambda x: F.substring(text, x["a"] + 1, x["b"] - x["a"]))
-    new = F.when(F.col("_spans").isNull(), text).otherwise(F.array_join(between, REDACTED))
+    new = F.when(F.col("__spans__").isNull(), text).otherwise(F.array_join(between, REDACTED))
     columns = [F.col(f"`{name}`") for name in documents.columns]
-    joined = documents.withColumn("_mark", _mark()).join(spans, "_mark", "left").withColumn("_new", new)
-    replaced = {"text": F.col("_new"), "n_chars": F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("_new")).cast("long")} if "n_chars" in documents.columns else {"text": F.col("_new")}
+    joined = documents.withColumn("__mark__", _mark()).join(spans, "__mark__", "left").withColumn("__new__", new)
+    replaced = {"text": F.col("__new__"), "n_chars": F.when(F.col("__spans__").isNull(), F.col("n_chars")).otherwise(F.length("__new__")).cast("long")} if "n_chars" in documents.columns else {"text": F.col("__new__")}
     return joined.select(*[
         replaced[name].alias(name) if name in replaced else column
         for name, column in zip(documents.columns, columns, strict=True)

@@ -68,10 +68,15 @@ def test_run(spark, stages):
 
 
 def test_odd_rows(spark, docs, odd_rows):
-    frame = docs(*odd_rows).select("doc_id", "text", "lang", "source", "n_chars", F.col("score").alias("lang_pred"))
+    """Every stage takes odd rows and further columns, whose values stay."""
+    frame = docs(*odd_rows, (40, "the thon of a longer text " * 9)).withColumns({
+        name: F.lit(f"own {name}") for name in ("lang_pred", "score", "mark", "row", "_mark", "owner", "fp")
+    })
     for given_ in (frame, frame.limit(0)):
         rows = given_
-        for _, stage in corpus_pipeline.STAGES:
+        for _, stage in corpus_pipeline.STAGES[:-1]:
             rows = stage(spark, rows, SAMPLE)
-        rows.collect()
-        assert set(rows.columns) >= {"doc_id", "ids"}
+            assert rows.columns == frame.columns
+        for row in rows.collect():
+            assert all(row[name] == f"own {name}" for name in ("lang_pred", "score", "mark", "row", "_mark", "owner", "fp"))
+        corpus_pipeline.STAGES[-1][1](spark, rows, SAMPLE).collect()
