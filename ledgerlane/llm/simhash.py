@@ -116,7 +116,11 @@ def _linked(
 
 
 def _forest(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The smallest row number reachable from each row through the pairs."""
+    """The smallest row number reachable from each row through the pairs.
+
+    Rows are in the order of their fingerprints, so links lead from the smallest one of a group: no
+    node has many smaller neighbours, whose minimum ``components`` would gather at it.
+    """
     label = np.arange(n)
     while len(left):
         low = np.minimum(label[left], label[right])
@@ -220,7 +224,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, parts: int = PARTS, piv
 
     return (
         units.repartition("choice", "key", "a", "b")
-        .sortWithinPartitions("choice", "key", "a", "b")
+        .sortWithinPartitions("choice", "key", "a", "b", "fp")
         .mapInArrow(compare, "src long, dst long")
         .distinct()
     )
@@ -304,6 +308,6 @@ def representatives(documents: DataFrame, width: int = SHINGLE, distance: int =
         hashed.groupBy("fp").agg(first).join(rooted, "fp").groupBy("root").agg(F.min("first").alias("first"))
         .select(F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_chosen")).distinct()
     )
-    rows = documents.withColumn("_mark", _mark())
-    same = rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["_mark"] == chosen["_chosen"])
-    return rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "_mark"]).drop("_mark")
+    rows = documents.withColumn("__mark__", _mark())
+    same = rows["doc_id"].eqNullSafe(chosen["_id"]) & (rows["__mark__"] == chosen["_chosen"])
+    return rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", "__mark__"]).drop("__mark__")
