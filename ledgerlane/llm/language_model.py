@@ -6,9 +6,10 @@ word in its class. All other words fall into ``TAIL`` classes by a hash of their
 inside which a word has its add-one share of the training count; a class keeps one share for any
 unseen word. The state picks the class, so each text has one probability.
 
-Training is truncated backpropagation through time in numpy, over training documents in the order of
-a hash of their id, at most ``FIT_DOCUMENTS`` and no more than reach ``FIT_CHARACTERS``: the only bound. Word counts, classes and shares are
-those of all training documents. In scoring, a block of documents is dealt over lanes; a lane runs
+Training is truncated backpropagation through time in numpy, ``EPOCHS`` times over all training
+documents. They are dealt into parts of about ``PART_TOKENS``; in each round every part trains on its
+share of the round from common weights, and the parts' weights and moments, whose size is fixed, are
+averaged by tokens. Word counts, classes and shares are those of all training documents. In scoring, a block of documents is dealt over lanes; a lane runs
 through its documents in windows, carries its state from window to window and clears it between
 documents.
 
@@ -27,17 +28,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunked, pieces, stored, text_slices, utf8
+from ledgerlane.llm.common import chunked, pieces, stored, text_slices, utf8, work_folder
 
 HEAD = 1024
 CLASS_WORDS = 32
 TAIL = 64
 STATE = 24
-FIT_DOCUMENTS = 2500
-FIT_CHARACTERS = 16_000_000
+EPOCHS = 2
+ROUNDS = 8
+PART_TOKENS = 4_000_000
+MERGED = 32
 BLOCK_TOKENS = 1_500_000
 LANES = 512
 WINDOW = 48
@@ -139,32 +142,55 @@ def _output_gradient(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     return logits
 
 
-def fit(network: Network, texts: list[np.ndarray], end: int, epochs: int = 2, lanes: int = 128, window: int = 20, rate: float = 6e-3) -> Network:
-    """Truncated backpropagation over code sequences, each of which ends in the code ``end``."""
-    codes = np.concatenate([np.empty(0, np.int64), *texts])
-    if not len(codes):
-        return network
+@dataclass
+class Moments:
+    """Running first and second moments of the gradients, one array a parameter."""
+
+    first: list[np.ndarray]
+    second: list[np.ndarray]
+    updates: int = 0
+
+    @classmethod
+    def fresh(cls, network: Network) -> Moments:
+        return cls(*([np.zeros_like(p) for p in network.parameters()] for _ in range(2)))
+
+
+def learn(
+    network: Network, moments: Moments, codes: np.ndarray, end: int, begin: float = 0.0, finish: float = 1.0,
+    lanes: int = 128, window: int = 20, rate: float = 6e-3,
+) -> None:
+    """One pass over the codes, from the share ``begin`` of the whole training to ``finish``.
+
+    Lanes of equal length cover every code; where the length does not divide, neighbours share some.
+    """
     before = np.concatenate([[end], codes[:-1]])  # a document's first input is the end of another
     lanes = max(1, min(lanes, len(codes) // (2 * window)))
-    length = len(codes) // lanes
-    target, given = (x[:lanes * length].reshape(lanes, length).T for x in (codes, before))
+    length = -(-len(codes) // lanes)
+    starts = np.arange(lanes) * (len(codes) - length) // max(1, lanes - 1)
+    places = starts + np.arange(length)[:, None]
+    state = np.zeros((lanes, STATE), np.float32)
     parameters = network.parameters()
-    first, second = ([np.zeros_like(p) for p in parameters] for _ in range(2))
-    updates, total = 0, epochs * max(1, length // window)
-    for _ in range(epochs):
-        state = np.zeros((lanes, STATE), np.float32)
-        for at in range(0, length, window):
-            x, y = given[at:at + window], target[at:at + window]
-            gradients, state = _window_gradients(network, x, y, state, end)
-            size = np.sqrt(sum(float((g * g).sum()) for g in gradients))
-            scale = min(1.0, 1.0 / size) if size else 1.0
-            updates += 1
-            pace = rate * (1 - 0.9 * updates / (total + 2))
-            for p, g, m, v in zip(parameters, gradients, first, second, strict=True):
-                g *= scale
-                m += 0.1 * (g - m)
-                v += 0.005 * (g * g - v)
-                p -= pace * (m / (1 - 0.9**updates)) / (np.sqrt(v / (1 - 0.995**updates)) + 1e-8)
+    for at in range(0, length, window):
+        some = places[at:at + window]
+        gradients, state = _window_gradients(network, before[some], codes[some], state, end)
+        size = np.sqrt(sum(float((g * g).sum()) for g in gradients))
+        scale = min(1.0, 1.0 / size) if size else 1.0
+        moments.updates += 1
+        pace = rate * (1 - 0.9 * (begin + (finish - begin) * at / length))
+        first_part, second_part = 1 - 0.9**moments.updates, 1 - 0.995**moments.updates
+        for p, g, m, v in zip(parameters, gradients, moments.first, moments.second, strict=True):
+            g *= scale
+            m += 0.1 * (g - m)
+            v += 0.005 * (g * g - v)
+            p -= pace * (m / first_part) / (np.sqrt(v / second_part) + 1e-8)
+
+
+def fit(network: Network, texts: list[np.ndarray], end: int, epochs: int = EPOCHS, lanes: int = 128, window: int = 20, rate: float = 6e-3) -> Network:
+    """Truncated backpropagation over code sequences, each of which ends in the code ``end``."""
+    codes = np.concatenate([np.empty(0, np.int64), *texts])
+    moments = Moments.fresh(network)
+    for k in range(epochs if len(codes) else 0):
+        learn(network, moments, codes, end, k / epochs, (k + 1) / epochs, lanes, window, rate)
     return network
 
 
@@ -184,8 +210,12 @@ def _window_gradients(network: Network, x: np.ndarray, y: np.ndarray, state: np.
     by_class = _output_gradient(every @ network.classes + network.class_bias, group) * share
     d_states = by_class @ network.classes.T
     d_words, d_word_bias = np.zeros_like(network.words), np.zeros_like(network.word_bias)
-    for k in np.unique(group[codes < len(network.head)]).tolist():
-        some = np.flatnonzero((group == k) & (codes < len(network.head)))
+    order = np.argsort(group, kind="stable")
+    bounds = np.searchsorted(group[order], np.arange(len(network.words) + 1)).tolist()  # head classes come first
+    for k, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        if low == high:
+            continue
+        some = order[low:high]
         by_word = _output_gradient(every[some] @ network.words[k] + network.word_bias[k], codes[some] % CLASS_WORDS) * share
         d_words[k], d_word_bias[k] = every[some].T @ by_word, by_word.sum(0)
         d_states[some] += by_word @ network.words[k].T
@@ -205,7 +235,10 @@ def _window_gradients(network: Network, x: np.ndarray, y: np.ndarray, state: np.
         d_bias += d_inner.sum(0)
         ahead = (d * keep + d_gates @ network.recur.T) * open_
     d_table = np.zeros_like(network.table)
-    np.add.at(d_table, x.ravel(), inputs.reshape(-1, 3 * STATE))
+    given = x.ravel()
+    order = np.argsort(given, kind="stable")
+    rows, firsts = np.unique(given[order], return_index=True)
+    d_table[rows] = np.add.reduceat(inputs.reshape(-1, 3 * STATE)[order], firsts)
     return [d_table, d_recur, d_bias, every.T @ by_class, by_class.sum(0), d_words, d_word_bias], state
 
 
@@ -290,7 +323,7 @@ def scored(documents: DataFrame, held: Column) -> DataFrame:
         for row in counts.where(~F.col("word").isin(head)).groupBy(tail_of.cast("int").alias("k"))
         .agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     }
-    network = _fitted(documents.where("training"), head)
+    network = _fitted(documents.where("training"), head, tokens)
     held_model = documents.sparkSession.sparkContext.broadcast(pickle.dumps((network, tails)))
     known = lexicon.join(counts, "word", "left").select("block", "word", F.coalesce("c", F.lit(0)).alias("c"))
 
@@ -317,41 +350,119 @@ def _with_ends(numbers: np.ndarray, first: np.ndarray, end: int) -> tuple[np.nda
     return np.insert(numbers, first[1:], end), first + np.arange(len(first))
 
 
-def _fitted(training: DataFrame, head: list[str]) -> Network:
-    first = (
-        training.where("doc_id is not null").select("doc_id", F.length("text").alias("size"))
-        .groupBy("doc_id").agg(F.sum("size").alias("size"))
-        .withColumn("place", F.xxhash64("doc_id")).orderBy("place", "doc_id").limit(FIT_DOCUMENTS)
-    )
-    before = Window.orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, -1)  # of those few
-    chosen = first.withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
-    chosen = chosen.where(F.col("before") < FIT_CHARACTERS).select("doc_id")
-    sample = training.join(F.broadcast(chosen), "doc_id").select("doc_id", "text")
+def _fitted(training: DataFrame, head: list[str], tokens: int) -> Network:
+    """Train on all rows given: rounds of training in every part, weights averaged after each.
+
+    The encoded rows are stored once, dealt by a hash of id and text into parts and rounds; repeated
+    rows of a slice go to different parts. A round passes over its share of each part.
+    """
+    network = Network.fresh(head)
+    if not tokens:
+        return network
+    moments = Moments.fresh(network)
+    parts = pieces(tokens, PART_TOKENS)
+    rounds = min(ROUNDS, parts)
+    spark = training.sparkSession
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_slices(batches):
             words, numbers, first = words_of(piece.column("text"))
             codes, bounds = _with_ends(_codes(words, head)[numbers], first, 0)
+            place = piece.column("place").to_numpy()
+            dealt = place + _repeats(place)
             yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(codes.astype(np.int32)))],
-                names=["doc_id", "codes"],
+                [pa.array(dealt % parts), pa.array((dealt // parts % rounds).astype(np.int32)), piece.column("place"),
+                 pa.Array.from_buffers(pa.binary(), len(place), [
+                     None, pa.py_buffer((2 * bounds).astype(np.int32)), pa.py_buffer(codes.astype(np.int16)),
+                 ])],
+                names=["part", "round", "place", "codes"],
             )
 
-    def learn(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [row for batch in batches for row in zip(batch.column("doc_id").to_pylist(), batch.column("codes"), strict=True)]
-        rows.sort(key=lambda row: (zlib.crc32(str(row[0]).encode()), row[0]))
-        texts = [row[1].values.to_numpy().astype(np.int64) for row in rows]
-        network = fit(Network.fresh(head), texts, 0)
-        yield pa.RecordBatch.from_pydict({"weights": [pickle.dumps(network.parameters())]})
-
-    coded = sample.mapInArrow(encode, "doc_id long, codes array<int>").repartition(1)
-    rows = coded.mapInArrow(learn, "weights binary").collect()
-    network = Network.fresh(head)
-    if rows:
-        network = Network(head, *pickle.loads(bytes(rows[0]["weights"])))
+    folder = work_folder(spark, "lm-codes")
+    coded = training.select(F.xxhash64("doc_id", "text").alias("place"), "text")
+    coded = coded.mapInArrow(encode, "part long, round int, place long, codes binary").repartition(parts, "part")
+    coded.sortWithinPartitions("round", "part", "place").write.partitionBy("round").parquet(folder)
+    coded = spark.read.schema(coded.schema).parquet(folder)
+    for k in range(EPOCHS * rounds):
+        network, moments = _round(
+            coded.where(F.col("round") == k % rounds).select("part", "codes"), parts, network, moments,
+            k / (EPOCHS * rounds), (k + 1) / (EPOCHS * rounds),
+        )
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
     return network
 
 
+def _repeats(values: np.ndarray) -> np.ndarray:
+    """How often each value has come before in the array."""
+    order = np.argsort(values, kind="stable")
+    new = np.ones(len(values), bool)
+    new[1:] = np.diff(values[order]) != 0
+    out = np.empty(len(values), np.int64)
+    every = np.arange(len(values))
+    out[order] = every - np.maximum.accumulate(np.where(new, every, 0))
+    return out
+
+
+_WEIGHTS = "part long, tokens long, updates long, weights binary"
+
+
+def _weights(part: int, tokens: int, updates: int, arrays: list[np.ndarray]) -> dict:
+    return {"part": [part], "tokens": [tokens], "updates": [updates], "weights": [pickle.dumps(arrays)]}
+
+
+def _merged(tokens: list[int], updates: list[int], weights: Iterable[bytes]) -> tuple[int, int, list[np.ndarray]]:
+    """The mean of weights, by tokens."""
+    total, mean = sum(tokens), None
+    for n, held in zip(tokens, weights, strict=True):
+        arrays = [x * (n / total) for x in pickle.loads(held)]
+        mean = arrays if mean is None else [a + b for a, b in zip(mean, arrays, strict=True)]
+    return total, max(updates), mean
+
+
+def _round(
+    coded: DataFrame, parts: int, network: Network, moments: Moments, begin: float, finish: float
+) -> tuple[Network, Moments]:
+    """Each part trains from the given weights on its rows; then the parts are averaged as a tree."""
+    head, count = network.head, len(network.parameters())
+    now = coded.sparkSession.sparkContext.broadcast(pickle.dumps((network, moments)))
+
+    def train(part: int, texts: list[np.ndarray]) -> pa.RecordBatch:
+        own, its = pickle.loads(now.value)
+        codes = np.concatenate(texts).astype(np.int64)
+        learn(own, its, codes, 0, begin, finish)
+        return pa.RecordBatch.from_pydict(_weights(part, len(codes), its.updates, [*own.parameters(), *its.first, *its.second]))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, texts = -1, []
+        for batch in batches:
+            for number, codes in zip(batch.column("part").to_pylist(), batch.column("codes"), strict=True):
+                if number != part and texts:
+                    yield train(part, texts)
+                    texts = []
+                part = number
+                texts.append(np.frombuffer(codes.as_buffer(), np.int16))
+        if texts:
+            yield train(part, texts)
+
+    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        columns = (rows.column(name).to_pylist() for name in ("tokens", "updates", "weights"))
+        return pa.table(_weights(key[0].as_py(), *_merged(*columns)))
+
+    trained = coded.mapInArrow(run, _WEIGHTS)
+    while parts > MERGED:
+        parts = pieces(parts, MERGED)
+        trained = trained.groupBy(F.floor(F.col("part") / MERGED).alias("part")).applyInArrow(merge, _WEIGHTS)
+    rows = trained.collect()
+    now.destroy()
+    if not rows:
+        return network, moments
+    rows.sort(key=lambda row: (row["part"], row["tokens"]))
+    _, updates, mean = _merged(*([row[name] for row in rows] for name in ("tokens", "updates", "weights")))
+    mean = [x.astype(np.float32) for x in mean]
+    return Network(head, *mean[:count]), Moments(mean[count:2 * count], mean[2 * count:], updates)
+
+
 def _score_block(network: Network, shares: dict, tokens: int, distinct: int, texts: pa.Table, known: pa.Table) -> pa.Table:
     words, numbers, first = words_of(texts.column("text").combine_chunks())
     words = pa.concat_arrays([words.cast(pa.string()), pa.array([END])])

@@ -138,3 +138,24 @@ def test_training_learns_an_order():
     network = lm.fit(lm.Network.fresh([f"w{k}" for k in range(10)]), [text] * 4, 0, epochs=8, lanes=4)
     per_token = lm.document_logs(network, text, np.array([0, len(text)]), 0)[0] / len(text)
     assert per_token > -0.3
+
+
+def test_every_training_document_is_learned(docs, monkeypatch):
+    """Also those past the first 2,500 ids by their hash, in several parts and rounds."""
+    monkeypatch.setattr(lm, "PART_TOKENS", 150_000)
+    ids = docs(*((k, "") for k in range(3000))).orderBy(F.xxhash64("doc_id"), "doc_id").select("doc_id").collect()
+    rows = [(r["doc_id"], "a b " * 20 if k < 2500 else "p q " * 400) for k, r in enumerate(ids)]
+    found = lm.scored(docs(*rows, (-1, "p q " * 400)), F.col("doc_id") < 0).where("doc_id = -1").first()
+    assert found["train_tokens"] == 2500 * 41 + 500 * 801 and found["score"] > found["base_score"] / 2
+
+
+def test_lanes_cover_every_code(network, monkeypatch):
+    seen = []
+    whole = lm._window_gradients
+    monkeypatch.setattr(lm, "_window_gradients", lambda n, x, y, *rest: (seen.extend(y.ravel()), whole(n, x, y, *rest))[1])
+    lm.learn(network, lm.Moments.fresh(network), np.arange(997) % 100, 0, lanes=7)
+    assert len(seen) < 997 + 7 and collections.Counter(seen) >= collections.Counter((np.arange(997) % 100).tolist())
+
+
+def test_repeated_rows_are_told_apart():
+    assert lm._repeats(np.array([5, 7, 5, 5, 7, -1])).tolist() == [0, 0, 1, 2, 1, 0]
