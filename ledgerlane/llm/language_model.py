@@ -42,6 +42,8 @@ ROUNDS = 8
 PART_TOKENS = 4_000_000
 MERGED = 32
 BLOCK_TOKENS = 1_500_000
+BLOCK_BYTES = 32_000_000
+OFTEN = 1000
 LANES = 512
 WINDOW = 48
 END = " "  # no word holds a blank
@@ -285,17 +287,42 @@ def _lexicon(rows: DataFrame) -> DataFrame:
     """Per block: its distinct words and their training counts, the end of a document among them."""
     def list_words(key: tuple, given: pa.Table) -> pa.Table:
         words, numbers, first = words_of(given.column("text").combine_chunks())
-        training = given.column("training").to_numpy()
-        counted = np.bincount(numbers[np.repeat(training, np.diff(first))], minlength=len(words))
+        weights = np.where(given.column("training").to_numpy(), given.column("n").to_numpy(), 0)
+        counted = np.bincount(numbers, np.repeat(weights, np.diff(first)), minlength=len(words))
         return pa.table({
             "block": pa.array(np.full(len(words) + 1, key[0].as_py())),
             "word": pa.concat_arrays([words.cast(pa.string()), pa.array([END])]),
-            "n": pa.array(np.append(counted, training.sum()).astype(np.int64)),
+            "n": pa.array(np.append(counted, weights.sum()).astype(np.int64)),
         })
 
     return rows.groupBy("block").applyInArrow(list_words, "block long, word string, n long")
 
 
+def _block_count(documents: DataFrame) -> int:
+    """Blocks by tokens, an end for each row among them, or by bytes: whichever takes more."""
+    blanks = F.length("text") - F.length(F.translate("text", _BLANKS, ""))
+    size = documents.agg(F.sum(blanks + 1).alias("tokens"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
+    return max(pieces(size["tokens"] or 0, BLOCK_TOKENS), pieces(size["bytes"] or 0, BLOCK_BYTES))
+
+
+def _dealt(documents: DataFrame) -> DataFrame:
+    """Rows with a block by id and text and the number of rows they stand for.
+
+    A row that comes more than ``OFTEN`` times, and in more than one of 100,000 rows, becomes one;
+    so at most 100,000 keys are broadcast.
+    """
+    blocks = F.lit(_block_count(documents))
+    keyed = documents.withColumn("key", F.xxhash64("doc_id", "text"))
+    counted = stored(keyed.groupBy("key").count().where(F.col("count") > OFTEN), "lm-often")
+    least = keyed.count() // 100_000 if counted.head(1) else 0
+    often = counted.where(F.col("count") > least).select("key")
+    rows = keyed.withColumn("n", F.lit(1).cast("long"))
+    if often.head(1):
+        one = keyed.join(F.broadcast(often), "key", "left_semi").groupBy(*keyed.columns).agg(F.count("*").alias("n"))
+        rows = rows.join(F.broadcast(often), "key", "left_anti").unionByName(one)
+    return rows.withColumn("block", F.pmod("key", blocks)).drop("key")
+
+
 def scored(documents: DataFrame, held: Column) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
@@ -306,9 +333,7 @@ def scored(documents: DataFrame, held: Column) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         (~held).alias("training"),
     )
-    size = documents.agg(F.sum(F.length("text") - F.length(F.translate("text", _BLANKS, "")))).first()[0] or 0
-    blocks = pieces(size, BLOCK_TOKENS)
-    dealt = documents.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)))
+    dealt = _dealt(documents)
     lexicon = stored(_lexicon(dealt), "lm-lexicon")
     counts = stored(
         lexicon.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm-counts"
@@ -485,4 +510,4 @@ def _score_block(network: Network, shares: dict, tokens: int, distinct: int, tex
         "train_tokens": pa.array(np.full(texts.num_rows, tokens, np.int64)),
         "base_score": pa.array(per_row(base)),
         "score": pa.array((logs + per_row(tail)) / _LN10),
-    })
+    }).take(pa.array(np.repeat(np.arange(texts.num_rows), texts.column("n").to_numpy())))

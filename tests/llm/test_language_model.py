@@ -159,3 +159,19 @@ def test_lanes_cover_every_code(network, monkeypatch):
 
 def test_repeated_rows_are_told_apart():
     assert lm._repeats(np.array([5, 7, 5, 5, 7, -1])).tolist() == [0, 0, 1, 2, 1, 0]
+
+
+def test_blocks_count_ends_and_bytes(docs, monkeypatch):
+    """Texts without blanks, empty ones too, are more than one block."""
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 10)
+    assert lm._block_count(docs(*((k, "") for k in range(40)))) == 4
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 60)
+    assert lm._block_count(docs((1, "東京" * 40))) == 4
+
+
+def test_rows_that_come_often(docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(lm, "OFTEN", 3)
+    frame = docs(*odd_rows, *[(4, "The heed")] * 9, *[(20, "の" * 50)] * 30, *[(None, None)] * 5)
+    key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)) == 0
+    assert lm._dealt(frame.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("training"))).count() == 13
+    check(frame, F.lit(False), lambda rows: [True] * len(rows))
