@@ -3,7 +3,8 @@
 Per text: densities of three fixed word lists and of a list learned from the training labels, how
 often a listed word stands near the second person, and the rates of capitals, punctuation, digits
 and disguised spellings. Trees are grown on histograms of at most ``FIT_ROWS`` labelled training
-rows, the only bound here; predictions of rows a fold did not see calibrate the score.
+rows, the only bound here, while the learned list is counted over all of them; predictions of rows a
+fold did not see calibrate the score.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 from ledgerlane.llm.common import chunked, text_slices, utf8
 
 FIT_ROWS = 20_000
-LEARNED_WORDS = 300
 NEAR = 5
 THRESHOLD = 0.3
 
@@ -258,7 +258,10 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, rate: float = 0.1, folds:
 
 
 def learned_words(rows: DataFrame) -> dict[str, float]:
-    """Log-odds of the words that speak most for label 1, from (text, toxic) rows."""
+    """Log-odds of all words that surely speak for label 1, from (text, toxic) rows.
+
+    Fewer than five documents of that label are too few for the test of their share.
+    """
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_slices(batches):
             distinct, numbers, first, _, _ = _words(piece.column("text"))
@@ -285,24 +288,22 @@ def learned_words(rows: DataFrame) -> dict[str, float]:
     rise = F.log((F.col("ones") + 0.5 * share) / (F.col("n") - F.col("ones") + 0.5 * (1 - share))) - F.lit(float(np.log(share / (1 - share))) if share < 1 else 0.0)
     sure = (F.col("ones") - F.col("n") * share) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-9))
     best = (
-        counted.where("ones >= 5").withColumns({"rise": rise, "sure": sure}).where("sure > 5 and rise > 1")
-        .orderBy(F.desc("sure"), "word").limit(LEARNED_WORDS).collect()
+        counted.where("ones >= 5").withColumns({"rise": rise, "sure": sure}).where("sure > 5 and rise > 1").collect()
     )
     return {row["word"]: float(row["rise"]) for row in best}
 
 
 def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Forest, dict[str, float]]:
-    """Fit on the labelled rows given, at most ``fit_rows`` of them, in the order of a hash of the id."""
-    chosen = (
+    """Count words over all labelled rows given; fit trees on at most ``fit_rows`` of them, in the
+    order of a hash of the id."""
+    labelled = (
         labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    )
-    rows = (
-        documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-        .join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
     )
-    learned = learned_words(rows)
+    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    learned = learned_words(texts.join(labelled, "doc_id").select("text", "toxic"))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(learned)

@@ -70,3 +70,11 @@ def test_the_fit_is_bounded(spark, docs):
     labels = spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")
     forest, _ = toxicity.train(frame, labels, fit_rows=20)
     assert 0 <= forest.score(np.zeros((1, len(toxicity.FEATURES))))[0] <= 1
+
+
+def test_words_are_learned_from_all_labelled_rows(spark, docs):
+    """Not from the fitted sample alone, and more than 300 of them."""
+    words = [f"bad{chr(97 + k // 26)}{chr(97 + k % 26)}x" for k in range(400)]
+    frame = docs(*((k, " ".join(words) if k % 10 == 0 else "fine day") for k in range(400)))
+    labels = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(400)], "doc_id long, toxic int")
+    assert set(toxicity.train(frame, labels, fit_rows=20)[1]) == set(words)
