@@ -3,7 +3,7 @@
 Candidates of three base kinds and of some further kinds are found by patterns. Places follow from
 the lengths of the matches and of the text between them. The hash of each candidate's value is
 counted by distinct repositories and owners over the whole corpus: a value that many owners hold is
-a copied example, one that few hold and that looks random is live. Base spans are always reported;
+a copied example, one that few hold, in however many copies, and that looks random is live. Base spans are always reported;
 further kinds only where their value is live.
 """
 
@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ledgerlane.llm.common import stored
 
 MANY_OWNERS = 4
-MANY_REPOSITORIES = 20
 REDACTED = "[secret]"
 
 
@@ -106,9 +105,14 @@ def candidates(documents: DataFrame, owner: str = "source", repository: str = "d
 
 
 def _random_looking(value: Column) -> Column:
-    """At least eight different characters, a digit among them, and no long run of one character."""
-    different = F.size(F.array_distinct(F.split(value, "")))
-    return (different >= 8) & value.rlike("[0-9]") & ~value.rlike(r"(.)\1{5}") & ~value.rlike("(?i)example|xxxx|1234567|placeholder")
+    """Different characters for two thirds of the length, or eight; no long run of one character.
+
+    Also a digit, or at least twenty characters with letters of both cases.
+    """
+    different, length = F.size(F.array_distinct(F.split(value, ""))), F.length(value)
+    varied = (different >= 8) | (different * 3 >= length * 2)
+    mixed = value.rlike("[0-9]") | ((length >= 20) & value.rlike("[a-z]") & value.rlike("[A-Z]"))
+    return varied & mixed & ~value.rlike(r"(.)\1{5}") & ~value.rlike("(?i)example|xxxx|1234567|placeholder")
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -116,8 +120,8 @@ def ownership(found: DataFrame) -> DataFrame:
     counted = found.where("kind is not null").groupBy("digest", "value").agg(
         F.countDistinct("owner").alias("owners"), F.countDistinct("repository").alias("repositories")
     )
-    few = (F.col("owners") < MANY_OWNERS) & (F.col("repositories") < MANY_REPOSITORIES)
-    return counted.withColumn("live", few & _random_looking(F.col("value")))
+    # Copies by the same owners, in however many documents, do not make an example.
+    return counted.withColumn("live", (F.col("owners") < MANY_OWNERS) & _random_looking(F.col("value")))
 
 
 def weighed(documents: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:

@@ -91,3 +91,15 @@ def test_redacted(docs):
     by = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in found.collect()), key=str)
     new = 'é🙂 [secret]" then [secret]host/ end'
     assert by == sorted([(1, new, len(new))] * 2 + [(2, "nothing", 7), (3, None, 0), (None, "[secret]", 8)], key=str)
+
+
+def test_many_documents_of_one_owner_do_not_make_an_example(docs):
+    text = "https://bob:pa55w0rd9xz@host/"
+    frame = docs(*((k, text, "en", "hot") for k in range(45)))
+    assert all(row["n_live"] == 1 and row["spans"] == "login:0:24" for row in secrets_scan.scan(frame).collect())
+    assert all(row["text"] == "[secret]host/" for row in secrets_scan.redacted(frame).collect())
+
+
+def test_short_passwords_can_be_live(docs):
+    found = secrets_scan.scan(docs((1, "https://bob:x7Kq2p@host/"), (2, "password=required"), (3, "https://eve:aaa111@host/")))
+    assert {row["doc_id"]: row["n_live"] for row in found.collect()} == {1: 1, 2: 0, 3: 0}
