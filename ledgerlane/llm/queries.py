@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm import (
-    byte_bpe, decontamination, html_render, language_id, language_model, secrets_scan, simhash, token_files, topk,
-    toxicity,
+    byte_bpe, conversation_trie, decontamination, html_render, importance, language_id, language_model, quality_kernel,
+    secrets_scan, simhash, token_files, topk, toxicity,
 )
 from ledgerlane.llm.common import held_out
 
@@ -63,6 +63,21 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identified(documents, held).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(table(spark, folder, "conversations"))
+
+
+def op12_quality(spark: SparkSession, folder: str) -> DataFrame:
+    held = held_out("doc_id", 5, 0)
+    found = quality_kernel.quality(table(spark, folder, "documents"), table(spark, folder, "labels"), held)
+    return found.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op13_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    found = importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,7 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_token_files, op2_html_text, op3_lm_scores, op4_toxicity, op5_decontamination, op6_simhash, op7_top_k,
-        op8_byte_bpe, op9_secrets, op10_language, pipeline,
+        op8_byte_bpe, op9_secrets, op10_language, op11_prefix_trie, op12_quality, op13_resampling, pipeline,
     )
 }
 
