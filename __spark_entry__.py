@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlane.functions.text import document_number
-from ledgerlane.operators import dimensions, documents, history, lifecycle, snapshot
+from ledgerlane.operators import dimensions, documents, history, lifecycle, snapshot, staging, tracking
 from ledgerlane.plans import checks, ingest
 from ledgerlane.plans.reports import REPORTS, monthly_order_value
 from ledgerlane.plans.stakeholders import STAKEHOLDER_REPORTS, payables_ageing
@@ -159,22 +159,23 @@ def _vendor_of_the_day(w: Warehouse) -> DataFrame:
 def _merged_snapshot(w: Warehouse) -> DataFrame:
     """A fact of other sources brought up to date: older orders had another status, lines another
     quantity, some receipts were missing or had another count, and some lines are gone since."""
-    lines, orders, receipts = (
-        w.staged(table) for table in ("purchase_order_lines", "purchase_orders", "goods_receipts")
-    )
+    lines, orders, receipts = (w.raw(table) for table in ("purchase_order_lines", "purchase_orders", "goods_receipts"))
     gone = lines.where("line_id % 13 = 0").withColumn("line_id", -F.col("line_id"))
     before = lines.where("line_id % 17 <> 0").unionByName(gone).withColumn(
         "quantity_ordered", F.col("quantity_ordered") + (F.col("line_id") % 11 == 0).cast("int")
     )
-    statuses = F.when(F.col("po_id") % 7 == 0, "Terbuka").otherwise(F.col("po_status"))
+    statuses = F.when(F.col("po_id") % 7 == 0, "Terbuka").otherwise(F.col("status"))
     other = receipts.where("gr_id % 5 <> 0").withColumn(
         "quantity_received", F.col("quantity_received") + (F.col("gr_id") % 19 == 0).cast("int")
     )
-    stored = snapshot.sources(
-        before, orders.withColumn("po_status", statuses), other,
-        w.dates(), w.vendors(), w.departments(), w.items(),
-    ).fact()
-    return w.refreshed_fact(stored)
+    former = before, orders.withColumn("status", statuses), other
+    keyed = w.dates(), w.vendors(), w.departments(), w.items()
+    known = w.track(tracking.fingerprints(*former, *keyed), f"former/{uuid.uuid4().hex}")
+    cleaned = [
+        getattr(staging, table)(rows)
+        for table, rows in zip(("purchase_order_lines", "purchase_orders", "goods_receipts"), former, strict=True)
+    ]
+    return w.refreshed_fact(snapshot.sources(*cleaned, *keyed).fact(), known)
 
 
 def _eligible(w: Warehouse) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.schemas import LOAD_ORDER, RAW_SCHEMAS
+from ledgerlane.schemas import BUCKET_KEYS, LOAD_ORDER, RAW_SCHEMAS
 from ledgerlane.sources.csv_files import CORRUPT, nan_to_null, read_csv, with_ingest_time, write_csv
 from ledgerlane.sources.layers import RAW, LayerStore
 
@@ -47,7 +47,9 @@ def load_table(
         unfit = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
         bad = store.write(REJECTED, table, with_ingest_time(unfit, loaded))
         rows = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    count = store.write(RAW, table, with_ingest_time(nan_to_null(rows), loaded))
+    count = store.write(
+        RAW, table, with_ingest_time(nan_to_null(rows), loaded), bucket_key=BUCKET_KEYS.get(table)
+    )
     return table, count, bad, "OK", round(time.perf_counter() - started, 2)
 
 

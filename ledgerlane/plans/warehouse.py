@@ -3,20 +3,25 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.operators import dimensions, history, lifecycle, snapshot, staging
-from ledgerlane.schemas import LOAD_ORDER
+from ledgerlane.operators import dimensions, history, lifecycle, snapshot, staging, tracking
+from ledgerlane.schemas import BUCKET_KEYS, LOAD_ORDER
 from ledgerlane.sources.layers import MARTS, RAW, SCRATCH, LayerStore, shared_folder
 from ledgerlane.sources.sample import SampleTables
 
 FACT = "fct_purchase_order_lines"
 
+#: Layer of the fingerprints that belong to the stored fact.
+TRACKED = "tracked"
+
 #: Columns the fact is partitioned by when stored: reports on one year read that year only.
 FACT_PARTITIONS = ("po_year",)
 
@@ -51,18 +56,20 @@ class Warehouse:
         self._building = threading.RLock()
 
     def _kept(self, layer: str, table: str, build: Callable[[], DataFrame],
-              partition_by: Sequence[str] = ()) -> DataFrame:
+              partition_by: Sequence[str] = (), bucket_key: str | None = None) -> DataFrame:
         if self._store is None:
             return build()
         with self._building:
             if not self._store.written(layer, table):
-                self._store.write(layer, table, build(), partition_by)
+                self._store.write(layer, table, build(), partition_by, bucket_key)
         return self._store.read(layer, table)
 
     def raw(self, table: str) -> DataFrame:
         if not self._keep_raw:
             return self._source(table, self.raw)
-        return self._kept(RAW, table, lambda: self._source(table, self.raw))
+        return self._kept(
+            RAW, table, lambda: self._source(table, self.raw), bucket_key=BUCKET_KEYS.get(table)
+        )
 
     def raw_tables(self) -> dict[str, DataFrame]:
         return {table: self.raw(table) for table in LOAD_ORDER}
@@ -94,50 +101,96 @@ class Warehouse:
     def vendors(self) -> DataFrame:
         return self._dimension("vendors")
 
+    def _staged_sources(self) -> tuple[DataFrame, ...]:
+        return tuple(self.staged(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts"))
+
+    def _dimensions(self) -> tuple[DataFrame, ...]:
+        return self.dates(), self.vendors(), self.departments(), self.items()
+
     def fact_sources(self) -> snapshot.Sources:
-        return snapshot.sources(
-            self.staged("purchase_order_lines"),
-            self.staged("purchase_orders"),
-            self.staged("goods_receipts"),
-            self.dates(),
-            self.vendors(),
-            self.departments(),
-            self.items(),
-        )
+        return snapshot.sources(*self._staged_sources(), *self._dimensions())
 
     def build_fact(self) -> DataFrame:
         """The fact as a plan over raw tables and stored dimensions."""
         return self.fact_sources().fact().select(*snapshot.FACT_COLUMNS)
 
-    def _changes(self, stored: DataFrame, given: snapshot.Sources) -> DataFrame:
-        """The changed lines, found once and stored."""
-        changed = snapshot.changes(stored, given)
-        if self._store is None:
-            return changed
-        self._store.write(SCRATCH, "changed_lines", changed)
-        return self._store.read(SCRATCH, "changed_lines")
+    def refreshed_fact(self, stored: DataFrame, former: Mapping[str, DataFrame] | None = None) -> DataFrame:
+        """A fact of earlier sources, brought up to date with the present ones.
 
-    def refreshed_fact(self, stored: DataFrame) -> DataFrame:
-        """A fact of earlier sources, brought up to date with the present ones."""
-        given = self.fact_sources()
-        changed = self._changes(stored, given)
-        return snapshot.merged(stored, changed, given).select(*snapshot.FACT_COLUMNS)
+        With the earlier sources' fingerprints only what changed is looked at; without them the whole
+        fact is compared with the present sources.
+        """
+        if former is None:
+            given = self.fact_sources()
+            changed = snapshot.changes(stored, given)
+            if self._store is not None:
+                changed = self._scratch()("changed_lines", changed)[0]
+            return snapshot.merged(stored, changed, given).select(*snapshot.FACT_COLUMNS)
+        changes = tracking.Changes(former, self._fingerprints(), self._scratch())
+        if changes.everything:
+            return self.build_fact()
+        kept = tracking.among(stored, changes.lines.toDF("po_line_id"), changes.count, "po_line_id", "left_anti")
+        return kept.select(*snapshot.FACT_COLUMNS).unionByName(self._built(changes).select(*snapshot.FACT_COLUMNS))
+
+    def _fingerprints(self) -> dict[str, DataFrame]:
+        sources = (self.raw(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts"))
+        return tracking.fingerprints(*sources, *self._dimensions())
+
+    def track(self, given: Mapping[str, DataFrame], layer: str = TRACKED) -> dict[str, DataFrame]:
+        """Store fingerprints in buckets of their keys."""
+        def write(name: str) -> int:
+            return self._store.write(layer, name, given[name], bucket_key=tracking.KEYS[name])
+
+        with ThreadPoolExecutor(len(tracking.KEYS)) as pool:
+            list(pool.map(write, given))
+        return {name: self._store.read(layer, name) for name in given}
+
+    def _scratch(self) -> Callable[[str, DataFrame], tuple[DataFrame, int]]:
+        """Stores rows of one update; plans over them stay good until the store is discarded."""
+        layer = f"{SCRATCH}/{uuid.uuid4().hex}"
+
+        def keep(name: str, rows: DataFrame) -> tuple[DataFrame, int]:
+            if self._store is None:
+                return rows, rows.count()
+            count = self._store.write(layer, name, rows)
+            return self._store.read(layer, name), count
+
+        return keep
+
+    def _built(self, changes: tracking.Changes) -> DataFrame:
+        """The touched lines of the fact from the present sources, and no others."""
+        lines, orders, receipts = self._staged_sources()
+        ids, count = changes.lines, changes.count
+        lines = tracking.among(lines, ids, count, "line_id")
+        orders = tracking.among(orders, lines.select("po_id").distinct(), count, "po_id")
+        receipts = tracking.among(receipts, ids.toDF("po_line_id"), count, "po_line_id")
+        return snapshot.sources(lines, orders, receipts, *self._dimensions()).fact()
 
     def update_fact(self) -> list[int]:
         """Bring the stored fact up to date: only years that hold a changed line are written.
 
-        Without a stored fact the whole one is built. Returns the years written.
+        Rows of these years that did not change are copied as they lie. Without a stored fact, or with
+        another calendar, the whole one is built. Returns the years written.
         """
         with self._building:
-            if not self._store.exists(MARTS, FACT):
+            stored = self._store.exists(MARTS, FACT) and self._store.exists(TRACKED, "lines")
+            since = self._store.version(MARTS, FACT)
+            present = self._fingerprints()
+            changes = stored and tracking.Changes(
+                {name: self._store.read(TRACKED, name) for name in present}, present, self._scratch()
+            )
+            if not stored or changes.everything:
                 self._store.write(MARTS, FACT, self.fact_sources().fact(), FACT_PARTITIONS)
+                self.track(present)
                 return []
-            stored, given = self._store.read(MARTS, FACT), self.fact_sources()
-            changed = self._changes(stored, given)
-            years = snapshot.touched_years(changed)
+            years = changes.years()
             if years:
-                old = stored.where(F.col("po_year").isin(years))
-                self._store.replace(MARTS, FACT, snapshot.merged(old, changed, given), "po_year", years)
+                old = self._store.read(MARTS, FACT, since).where(F.col("po_year").isin(years))
+                kept = tracking.among(old, changes.lines.toDF("po_line_id"), changes.count, "po_line_id", "left_anti")
+                self._store.replace(MARTS, FACT, self._built(changes), "po_year", years,
+                                    kept=kept.select(*old.columns), since=since)
+            # a failure before this line has the next update build the same lines again
+            self.track({name: present[name] for name in changes.sources})
             self._store.fresh.add((MARTS, FACT))
             return years
 

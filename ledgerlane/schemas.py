@@ -122,3 +122,11 @@ MONTHS_ID = (
 )
 DAYS_ID = ("Senin", "Selasa", "Rabu", "Kamis", "Jumat", "Sabtu", "Minggu")
 DAYS_SHORT_ID = ("Sen", "Sel", "Rab", "Kam", "Jum", "Sab", "Min")
+
+#: The key by which a raw table is stored in buckets: lines meet receipts on it without a shuffle, and
+#: each table its own former state.
+BUCKET_KEYS = {
+    "purchase_orders": "po_id",
+    "purchase_order_lines": "line_id",
+    "goods_receipts": "po_line_id",
+}

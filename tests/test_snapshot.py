@@ -5,8 +5,9 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlane.operators import dimensions, snapshot, staging
+from ledgerlane.operators import dimensions, snapshot, staging, tracking
 from ledgerlane.plans.warehouse import FACT, Warehouse, sample_warehouse
+from ledgerlane.schemas import BUCKET_KEYS
 from ledgerlane.sources.layers import MARTS, RAW, LayerStore
 from tests.conftest import SAMPLE
 
@@ -140,7 +141,8 @@ def test_an_update_writes_only_touched_years(spark, warehouse, tmp_path):
     old_parts = opened._state(MARTS, FACT)["parts"]
     assert second.update_fact() == [2020]
     parts = opened._state(MARTS, FACT)["parts"]
-    assert sum(part.startswith(old_parts[0]) for part in parts) == len(parts) - 1
+    written = {part.split("/")[1] for part in parts if not part.startswith(old_parts[0])}
+    assert written == {"po_year=2020"} and len(parts) > 2
     assert before.count() == rows  # files of the former state are still there
     after, full = second.fact(), second.build_fact()
     assert after.exceptAll(full).count() == full.exceptAll(after).count() == 0
@@ -149,6 +151,100 @@ def test_an_update_writes_only_touched_years(spark, warehouse, tmp_path):
     assert third.update_fact() == []
 
 
+def shuffled(spark) -> int:
+    return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+
+@pytest.fixture()
+def kept(spark, warehouse, tmp_path):
+    """Opens a warehouse over one stored root, each time as a later session would."""
+    store = LayerStore(spark, str(tmp_path / "store"))
+    for name, rows in warehouse.raw_tables().items():
+        store.write(RAW, name, rows, bucket_key=BUCKET_KEYS.get(name))
+
+    def load(table, change):
+        store.write(RAW, table, change(store.read(RAW, table)), bucket_key=BUCKET_KEYS.get(table))
+
+    def opened():
+        found = LayerStore(spark, store.root)
+        return Warehouse(spark, lambda table, _: found.read(RAW, table), found, keep_raw=False)
+
+    return load, opened
+
+
+def test_fingerprints_find_every_kind_of_change(spark, kept):
+    """Lines, orders, receipts and keys of dimensions; new, changed and gone; moved to another order."""
+    load, opened = kept
+    opened().update_fact()
+    two = opened().staged("purchase_orders").orderBy("po_id").limit(2).collect()
+
+    def lines(rows):
+        moved = F.when(F.col("po_id") == two[0].po_id, two[1].po_id).otherwise(F.col("po_id"))
+        more = rows.where("line_id % 50 = 1").withColumn("line_id", -F.col("line_id"))
+        return rows.where("line_id % 50 <> 2").withColumn("po_id", moved).unionByName(more)
+
+    def newer(rows):
+        again = rows.where("gr_id % 40 = 3").withColumns({"gr_id": -F.col("gr_id"), "gr_date": F.date_add("gr_date", 1)})
+        return rows.where("gr_id % 40 <> 5").unionByName(again)
+
+    other = F.when(F.col("po_id") % 30 == 0, F.lit("Dibatalkan")).otherwise(F.col("status"))
+    steps = (
+        ("purchase_order_lines", lines), ("goods_receipts", newer),
+        ("purchase_orders", lambda rows: rows.where("po_id % 60 <> 7").withColumn("status", other)),
+        ("vendors", lambda rows: rows.where("vendor_id <> 3")), ("items", lambda rows: rows.where("item_id % 20 <> 3")),
+    )
+    for table, change in steps:
+        load(table, change)
+    later = opened()
+    later.update_fact()
+    found, full = later.fact(), later.build_fact()
+    assert found.exceptAll(full).count() == full.exceptAll(found).count() == 0
+    assert opened().update_fact() == []
+
+
+def test_what_an_update_shuffles_follows_the_change(spark, kept):
+    load, opened = kept
+    start = shuffled(spark)
+    opened().update_fact()
+    built = shuffled(spark) - start
+    one = opened().staged("purchase_orders").select(F.min("po_id")).first()[0]
+    status = F.when(F.col("po_id") == one, "Dibatalkan").otherwise(F.col("status"))
+    load("purchase_orders", lambda rows: rows.withColumn("status", status))
+    later = opened()
+    for dimension in (later.dates, later.vendors, later.departments, later.items):
+        dimension()
+    start = shuffled(spark)
+    assert len(later.update_fact()) == 1
+    assert shuffled(spark) - start < built / 10
+    assert later.fact().where(F.col("po_id") == one).first().is_cancelled
+
+
+def test_many_changed_keys_meet_their_tables_in_buckets(spark, warehouse, kept, monkeypatch):
+    monkeypatch.setattr(tracking, "FEW_KEYS", 0)
+    load, opened = kept
+    opened().update_fact()
+    load("purchase_order_lines", lambda rows: rows.withColumn("quantity_ordered", F.col("quantity_ordered") + 1))
+    later = opened()
+    later.update_fact()
+    found, full = later.fact(), later.build_fact()
+    assert found.exceptAll(full).count() == full.exceptAll(found).count() == 0
+
+
+def test_a_source_meets_its_former_state_without_a_shuffle(spark, kept):
+    _, opened = kept
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        first = opened()
+        old = first.track(first._fingerprints(), "former")
+        for name in ("lines", "orders", "receipts"):
+            found = tracking.differing(old[name], first._fingerprints()[name], tracking.KEYS[name])
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange" not in plan, name
+            assert found.count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_an_order_with_a_third_of_the_lines(spark, warehouse):
     lines, orders, receipts = (
         warehouse.staged(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts")
