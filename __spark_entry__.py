@@ -40,6 +40,7 @@ LOADED = datetime(2025, 1, 1)
 CHECKED_AT = datetime(2025, 1, 2, 6)
 PAYABLES_AS_OF = date(2024, 12, 31)
 VENDOR_LOADS = (date(2024, 7, 1), date(2024, 7, 1), date(2024, 10, 1))
+VENDOR_ARRIVALS = (2, 0, 1)
 
 
 def portable(rows: DataFrame) -> DataFrame:
@@ -132,7 +133,8 @@ def _calendar_days(w: Warehouse) -> DataFrame:
 
 
 def _loaded_vendors(w: Warehouse) -> DataFrame:
-    """The vendor history after three loads, the second on the day of the first."""
+    """The vendor history after three loads; those of July, the second of them in place of the first,
+    arrive after that of October."""
     staged, key = w.staged("vendors"), F.col("vendor_id")
     staged = staged.unionByName(staged.filter(key % 11 == 0).withColumn("vendor_id", -key))
     number = F.abs(key)
@@ -144,9 +146,11 @@ def _loaded_vendors(w: Warehouse) -> DataFrame:
         {"city": F.when(number % 7 < 2, "Bogor").otherwise(F.col("city")), "province": province},
     )
     versions = w.vendors()
-    for day, columns in zip(VENDOR_LOADS, moved, strict=True):
-        versions = history.apply_changes(versions, staged.withColumns({"payment_terms": terms, **columns}), day)
-    return versions
+    for number in VENDOR_ARRIVALS:
+        load = staged.withColumns({"payment_terms": terms, **moved[number]})
+        # each state is stored, as between the days of a real history
+        versions = w.keep("vendors", history.apply_load(versions, load, VENDOR_LOADS[number]))
+    return versions.drop(history.SEEN_ON)
 
 
 def _vendor_of_the_day(w: Warehouse) -> DataFrame:

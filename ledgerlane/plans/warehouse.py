@@ -99,7 +99,7 @@ class Warehouse:
         return self._dimension("items")
 
     def vendors(self) -> DataFrame:
-        return self._dimension("vendors")
+        return self._dimension("vendors").drop(history.SEEN_ON)
 
     def _staged_sources(self) -> tuple[DataFrame, ...]:
         return tuple(self.staged(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts"))
@@ -157,6 +157,10 @@ class Warehouse:
 
         return keep
 
+    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows of an intermediate state, stored if there is a store."""
+        return rows if self._store is None else self._scratch()(name, rows)[0]
+
     def _built(self, changes: tracking.Changes) -> DataFrame:
         """The touched lines of the fact from the present sources, and no others."""
         lines, orders, receipts = self._staged_sources()
@@ -195,15 +199,16 @@ class Warehouse:
             return years
 
     def update_vendors(self, load_date: date) -> None:
-        """Apply the staged vendors to the stored history, or begin one."""
+        """Apply the staged vendors to the stored history, or begin one. Loads may come in any order."""
         with self._building:
             if self._store.exists(MARTS, "dim_vendors"):
                 stored = self._store.read(MARTS, "dim_vendors")
                 self._store.write(
-                    MARTS, "dim_vendors", history.apply_changes(stored, self.staged("vendors"), load_date)
+                    MARTS, "dim_vendors", history.apply_load(stored, self.staged("vendors"), load_date)
                 )
             else:
-                self._dimension("vendors")
+                first = history.observed(dimensions.vendors(self.staged("vendors")))
+                self._store.write(MARTS, "dim_vendors", history.seen(first, self.staged("vendors"), load_date))
 
     def register_views(self) -> None:
         """Make staging, lifecycle and marts known to SQL under their model names."""

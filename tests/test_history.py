@@ -5,9 +5,10 @@ from datetime import date, timedelta
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerlane.operators import dimensions, staging
-from ledgerlane.operators.history import apply_changes, as_of
+from ledgerlane.operators.history import SEEN_ON, apply_changes, apply_load, as_of
 
 LOAD = date(2024, 7, 1)
 
@@ -122,3 +123,67 @@ def test_versions_of_any_loads(raw, loads):
         assert own[-1].dbt_valid_to is None
         for a, b in zip(own, own[1:]):
             assert a.dbt_valid_from <= a.dbt_valid_to < b.dbt_valid_from
+
+
+def plain(versions):
+    return sorted(tuple(r) for r in versions.drop(SEEN_ON).select(
+        "vendor_id", "record_version", "dbt_valid_from", "dbt_valid_to", "is_current_record", "city", "vendor_sk").collect())
+
+
+@given(st.permutations(range(4)), st.lists(
+    st.lists(st.tuples(st.integers(1, 3), st.sampled_from("AB")), max_size=4), min_size=4, max_size=4))
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+def test_loads_in_any_order_give_one_history(raw, order, loads):
+    base = dimensions.vendors(staged(raw, dict(vendor_id=1), dict(vendor_id=2)))
+    rows = [[dict(vendor_id=k, city=c) for k, c in dict(cities).items()] for cities in loads]
+
+    def after(numbers):
+        versions = base
+        for k in numbers:
+            if rows[k]:
+                after_load = apply_load(versions, staged(raw, *rows[k]), LOAD + timedelta(days=k))
+                versions = after_load.sparkSession.createDataFrame(after_load.collect(), after_load.schema)
+        return plain(versions)
+
+    assert after(order) == after(range(4))
+
+
+def test_a_late_load_splits_the_version_that_covers_it(raw):
+    """Seen before and after the late load, the old values come back on the day they were seen again."""
+    versions = dimensions.vendors(staged(raw, dict(vendor_id=1, city="A"), dict(vendor_id=2, city="A")))
+    versions = apply_load(versions, staged(raw, dict(vendor_id=1, city="A"), dict(vendor_id=2, city="A")), LOAD + timedelta(days=9))
+    late = apply_load(versions, staged(raw, dict(vendor_id=1, city="B")), LOAD)
+    rows = {r.vendor_id: [] for r in late.collect()}
+    for r in late.orderBy("dbt_valid_from").collect():
+        rows[r.vendor_id].append((r.city, r.record_version, r.dbt_valid_from, r.dbt_valid_to))
+    began = rows[2][0][2]
+    assert rows[2] == [("A", 1, began, None)]
+    assert rows[1] == [
+        ("A", 1, began, LOAD - timedelta(days=1)), ("B", 2, LOAD, LOAD + timedelta(days=8)), ("A", 3, LOAD + timedelta(days=9), None),
+    ]
+
+
+def test_a_thousand_versions_of_a_vendor_with_a_third_of_the_rows(spark):
+    """The same versions as from comparing each row with all of them, without comparing."""
+    first = date(2020, 1, 1)
+    versions = spark.createDataFrame(
+        [(1, k, first + timedelta(days=3 * k), first + timedelta(days=3 * k + 1 + k % 2), f"v{k}") for k in range(1000)]
+        + [(v, 1, first, None, f"w{v}") for v in range(2, 50)] + [(60, 1, first + timedelta(days=5), None, "late")],
+        "vendor_id long, record_version int, dbt_valid_from date, dbt_valid_to date, vendor_sk string",
+    )
+    facts = spark.createDataFrame(
+        [(k, 1 if k % 3 == 0 else k % 64, first + timedelta(days=k * 7 % 3100 - 5)) for k in range(6000)]
+        + [(-1, None, first), (-2, 1, None), (-3, 1, first), (-3, 1, first)],
+        "id long, vendor_id long, day date",
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = as_of(facts, versions, "day")
+        assert found._jdf.queryExecution().optimizedPlan().toString().count(" Join ") == 1
+        want = facts.alias("f").join(versions.alias("v"), F.expr(
+            "f.vendor_id = v.vendor_id AND day >= dbt_valid_from AND (dbt_valid_to IS NULL OR day <= dbt_valid_to)"), "left")
+        want = want.select("f.*", "v.vendor_sk", "v.record_version")
+        got, expected = (sorted(map(tuple, rows.collect()), key=str) for rows in (found, want))
+        assert got == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
