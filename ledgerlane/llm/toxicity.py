@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from ledgerlane.llm.common import chunked, text_slices, utf8
 
 FIT_ROWS = 20_000
+#: Copies of the labels of an id, so that rows of a repeated id are dealt to as many tasks.
+SALTS = 8
 NEAR = 5
 THRESHOLD = 0.3
 
@@ -294,16 +296,23 @@ def learned_words(rows: DataFrame) -> dict[str, float]:
 
 
 def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Forest, dict[str, float]]:
-    """Count words over all labelled rows given; fit trees on at most ``fit_rows`` of them, in the
-    order of a hash of the id."""
+    """Count words over all labelled rows given; fit trees on at most ``fit_rows`` of them.
+
+    Labelled documents are taken in the order of a hash of the id, then of the features. Rows with one
+    id and equal features count once in the trees, however often they come. Labels without a document
+    take no place. Texts meet the labels by one kind of join at every size.
+    """
     labelled = (
         labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    met = labelled.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
+    chosen = met.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
-    learned = learned_words(texts.join(labelled, "doc_id").select("text", "toxic"))
+    salted = labelled.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("shuffle_hash")
+    dealt = texts.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
+    learned = learned_words(dealt.join(salted, ["doc_id", "salt"]).select("text", "toxic"))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(learned)
@@ -315,7 +324,9 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
                 names=["doc_id", "toxic", "x"],
             )
 
-    table = rows.mapInArrow(measure, "doc_id long, toxic int, x array<float>").toArrow().sort_by("doc_id")
+    measured = rows.mapInArrow(measure, "doc_id long, toxic int, x array<float>").distinct()
+    bounded = measured.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(fit_rows)
+    table = bounded.toArrow()
     x = table.column("x").combine_chunks()
     x = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)).astype(np.float64)
     return fit(x, table.column("toxic").to_numpy().astype(np.float64)), learned

@@ -78,3 +78,13 @@ def test_words_are_learned_from_all_labelled_rows(spark, docs):
     frame = docs(*((k, " ".join(words) if k % 10 == 0 else "fine day") for k in range(400)))
     labels = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(400)], "doc_id long, toxic int")
     assert set(toxicity.train(frame, labels, fit_rows=20)[1]) == set(words)
+
+
+def test_an_id_with_a_third_of_the_rows(spark, docs):
+    """Its repeated rows count once in the trees, and no more rows are collected than the bound says."""
+    frame = docs(*([(1, "you idiot")] * 60), *((k, "you idiot" if k % 2 else f"fine day {'so ' * k}") for k in range(2, 60)))
+    labels = spark.createDataFrame([(k, k % 2) for k in range(60)] + [(900 + k, 1) for k in range(40)], "doc_id long, toxic int")
+    forest, learned = toxicity.train(frame, labels, fit_rows=50)
+    assert learned and 0 <= forest.score(np.zeros((1, len(toxicity.FEATURES))))[0] <= 1
+    rows = toxicity.toxicity(frame, labels, F.lit(False)).collect()
+    assert len(rows) == 118 and all(row["predicted"] == row["doc_id"] % 2 for row in rows)
