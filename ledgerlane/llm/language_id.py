@@ -23,6 +23,7 @@ from ledgerlane.llm.common import text_slices
 
 UNDETERMINED = "und"
 DIMENSIONS = 1024
+_CODES = 8_192  # distinct trigrams made vectors at once
 _GROUP = 256  # documents whose trigram counts are multiplied at once
 _BLANK = 0x20
 
@@ -91,7 +92,7 @@ class _Vectors:
 
     def _of(self, codes: np.ndarray) -> np.ndarray:
         keys = (codes[:, 0] << 42 | codes[:, 1] << 21 | codes[:, 2]).tolist()
-        if len(self._rows) > self.MOST:
+        if len(self._rows) + len(keys) > self.MOST:
             self.__init__()
         new = [k for k, key in enumerate(keys) if key not in self._rows]
         if new:
@@ -100,22 +101,35 @@ class _Vectors:
         return self._bound[[self._rows[key] for key in keys]]
 
     def documents(self, texts: pa.Array) -> np.ndarray:
-        """One vector of length one per row; zero for a text without letters."""
+        """One vector of length one per row; zero for a text without letters.
+
+        Distinct trigrams are gone through in groups of ``_CODES``, so memory does not follow how many
+        of them the texts hold. Sums are whole numbers, the same in any order.
+        """
         out = np.zeros((len(texts), DIMENSIONS), np.float32)
         codes, rows, numbers = trigrams(texts)
-        if not len(codes):
-            return out
+        if len(codes) > _CODES:
+            order = np.argsort(numbers // _CODES, kind="stable")  # rows stay ascending inside a group
+            rows, numbers = rows[order], numbers[order]
+        cuts = np.searchsorted(numbers // _CODES, np.arange(len(codes) // _CODES + 2))
+        for group, low in enumerate(range(0, len(codes), _CODES)):
+            inside = slice(cuts[group], cuts[group + 1])
+            self._add(out, codes[low:low + _CODES], rows[inside], numbers[inside] - low)
+        length = np.linalg.norm(out, axis=1, keepdims=True)
+        return np.divide(out, length, out=out, where=length > 0)
+
+    def _add(self, out: np.ndarray, codes: np.ndarray, rows: np.ndarray, numbers: np.ndarray) -> None:
         bound = self._of(codes).astype(np.float32)
-        starts = np.searchsorted(rows, np.arange(0, len(texts) + _GROUP, _GROUP))
-        for k, first in enumerate(range(0, len(texts), _GROUP)):
-            last = min(first + _GROUP, len(texts))
+        starts = np.searchsorted(rows, np.arange(0, len(out) + _GROUP, _GROUP))
+        for k, first in enumerate(range(0, len(out), _GROUP)):
             here = slice(starts[k], starts[k + 1])
+            if here.start == here.stop:
+                continue
+            last = min(first + _GROUP, len(out))
             flat = (rows[here].astype(np.int64) - first) * len(codes) + numbers[here]
             counts = np.bincount(flat, minlength=(last - first) * len(codes))
             used = counts.reshape(last - first, len(codes)).astype(np.float32)
-            out[first:last] = used @ bound
-        length = np.linalg.norm(out, axis=1, keepdims=True)
-        return np.divide(out, length, out=out, where=length > 0)
+            out[first:last] += used @ bound
 
 
 def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,10 @@
 from __future__ import annotations
 
+import os
+import random
+import subprocess
+import sys
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -7,6 +12,8 @@ from pyspark.sql import functions as F
 from ledgerlane.llm import language_id
 from ledgerlane.llm.common import held_out
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def test_held_out_rows_of_the_sample(given):
     rows = language_id.identified(given("documents"), held_out("doc_id", 4, 2))
@@ -56,3 +63,31 @@ def test_prototypes_do_not_depend_on_the_partitions(given):
     one = language_id.prototypes(given("documents").repartition(1))
     many = language_id.prototypes(given("documents").repartition(7))
     assert list(one) == list(many) and all(np.allclose(one[k], many[k], atol=1e-4) for k in one)
+
+
+def test_groups_of_trigrams_give_the_same_vectors(monkeypatch):
+    draw = random.Random(4)
+    texts = pa.array(["".join(draw.choice("abcdé 東京都 ") for _ in range(draw.randrange(80))) for _ in range(700)] + [None, ""])
+    whole = language_id._Vectors().documents(texts)
+    monkeypatch.setattr(language_id, "_CODES", 37)
+    monkeypatch.setattr(language_id._Vectors, "MOST", 50)
+    assert np.array_equal(language_id._Vectors().documents(texts), whole)
+
+
+MANY = """
+import random, resource
+import pyarrow as pa
+from ledgerlane.llm import language_id
+draw = random.Random(1)
+weights = [1 / (k + 1) for k in range(4000)]
+text = "".join(chr(0x4E00 + k) for k in draw.choices(range(4000), weights, k=1_400_000))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+assert language_id._Vectors().documents(pa.array([text])).any()
+print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+
+
+def test_memory_with_very_many_different_trigrams():
+    """A text of 4 MB with some million different trigrams stays under 1.5 GB."""
+    found = subprocess.run([sys.executable, "-c", MANY], capture_output=True, text=True, check=True, cwd=ROOT)
+    assert int(found.stdout) < 1500
