@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import threading
 from concurrent.futures import ThreadPoolExecutor
-
 from datetime import datetime
 
 import pytest
