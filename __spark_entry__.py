@@ -199,6 +199,15 @@ def _sampled(w: Warehouse) -> DataFrame:
     return documents.sample_rows(requests, half, "pr_id", seed=42).select("pr_id")
 
 
+def _sampled_again(w: Warehouse) -> DataFrame:
+    """As many draws as there are orders, from the approved requests, with replacement: how often each
+    request was drawn."""
+    requests = documents.approved_requests(w.raw("purchase_requests"))
+    wanted = w.raw("purchase_orders").count()
+    drawn = documents.sample_with_replacement(requests, wanted, "pr_id", seed=42)
+    return drawn.groupBy("pr_id").agg(F.count(F.lit(1)).alias("times"))
+
+
 def _receipt_measures(w: Warehouse) -> DataFrame:
     orders = w.raw("purchase_orders").select("po_id", "po_date", "expected_delivery_date")
     receipts = w.raw("goods_receipts").select(
@@ -281,6 +290,7 @@ _OVER_WAREHOUSE: dict[str, Callable[[Warehouse], DataFrame]] = {
         w.raw("purchase_order_lines"), w.raw("purchase_orders")
     ).select("line_id", "po_id"),
     "G5": _sampled,
+    "G5_replacement": _sampled_again,
     "G6": _receipt_measures,
     "G7": _numbers,
     "G8": _status_counts,

@@ -91,3 +91,51 @@ def value_of(price: Column, count: Column) -> Column:
 def count_where(condition: Column) -> Column:
     """Rows of a group for which ``condition`` is true; NULL counts as false."""
     return F.count_if(F.coalesce(condition, F.lit(False)))
+
+
+# Wide whole numbers as three parts (high, middle, low) in units of 10^26, 10^13 and 1.
+_LIMB = 10**13
+
+
+def square(number: Column) -> tuple[Column, Column, Column]:
+    """The exact square, as three parts, of a whole number below 10^26 in size."""
+    size = F.abs(number.cast(_WIDE))
+    high = F.call_function("div", size, F.lit(_LIMB)).cast(_WIDE)
+    low = (size - high * F.lit(_LIMB)).cast(_WIDE)
+    parts = high * high, high * low * F.lit(2), low * low
+    return tuple(part.cast(_WIDE) for part in parts)
+
+
+def _part(column: Column) -> Column:
+    return column.cast(_WIDE)
+
+
+def at_least(left: tuple[Column, ...], times: Column, right: tuple[Column, ...], by: Column) -> Column:
+    """``times * left >= by * right`` for wide numbers, without rounding; factors are below 10^8."""
+    high, middle, low = (_part(_part(a * _part(times)) - _part(b * _part(by)))
+                         for a, b in zip(left, right, strict=True))
+
+    def carry(value: Column) -> Column:  # of the part below, rounded down; the quotient is whole
+        return _part((value - F.pmod(value, F.lit(_LIMB).cast(_WIDE))) / F.lit(_LIMB))
+
+    return high + carry(middle + carry(low)) >= 0
+
+
+def deviations(distance: Column, squares: tuple[Column, ...], count: Column) -> Column:
+    """``distance`` in population standard deviations, in hundredths, halves up; NULL if all are alike.
+
+    Of ``count`` values x with the sum s, ``distance`` is ``count * x - s`` of one that lies above the
+    average and ``squares`` the sum of the squares of these over all of them, as three parts. No figure
+    is rounded but the last: the hundredths found in doubles are off by one at most, and the right
+    ones are the largest k with (2k - 1)^2 * squares <= 40000 * count * distance^2.
+    """
+    own = square(distance)
+    wide = sum(part.cast("double") * float(_LIMB) ** power for part, power in zip(squares, (2, 1, 0), strict=True))
+    near = F.floor(F.lit(100.0) * distance.cast("double") * F.sqrt(count.cast("double") / F.nullif(wide, F.lit(0.0))))
+    k = F.lit(0).cast("long")
+    for step in (-1, 0, 1):
+        tried = F.greatest(near + step, F.lit(0)).cast("long")
+        odd = tried * 2 - 1
+        reached = (tried == 0) | at_least(own, count * 40_000, squares, odd * odd)
+        k = F.when(reached, F.greatest(k, tried)).otherwise(k)
+    return F.when(wide > 0, k)

@@ -55,8 +55,14 @@ def receivable_lines(lines: DataFrame, orders: DataFrame) -> DataFrame:
 #: Buckets of the sampling histogram: the first four hexadecimal digits.
 _PREFIX = 4
 
-# How many sixteen-millionths of a Poisson variable of mean one are at most 0, 1, ... 8.
-_AT_MOST = (6171993, 12343987, 15429983, 16458649, 16715816, 16767249, 16775821, 16777046, 16777199)
+
+def _numbered(rows: DataFrame, key: str, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with hash and bucket, and per bucket (at most 16^4 of them, whatever the table holds) how
+    many rows it holds and how many lie before it."""
+    hashed = rows.withColumn("_hash", _hash(key, seed)).withColumn("_bucket", F.substring("_hash", 1, _PREFIX))
+    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_held"))
+    order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    return hashed, counts.withColumn("_before", F.coalesce(F.sum("_held").over(order), F.lit(0)))
 
 
 def sample_rows(rows: DataFrame, wanted: int | Column, key: str, seed: int) -> DataFrame:
@@ -67,10 +73,7 @@ def sample_rows(rows: DataFrame, wanted: int | Column, key: str, seed: int) -> D
     no task ever sorts more than about one row in 65,536. ``wanted`` may be an expression of one
     row, such as a count taken in the same plan; the whole table comes if it is wanted or more.
     """
-    hashed = rows.withColumn("_hash", _hash(key, seed)).withColumn("_bucket", F.substring("_hash", 1, _PREFIX))
-    counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_held"))
-    order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.withColumn("_before", F.coalesce(F.sum("_held").over(order), F.lit(0)))
+    hashed, before = _numbered(rows, key, seed)
     limit = wanted if isinstance(wanted, Column) else F.lit(wanted)
     reached = before.withColumn("_left", limit - F.col("_before")).where("_left > 0")
     # at most 16^4 rows, whatever the table holds
@@ -81,18 +84,31 @@ def sample_rows(rows: DataFrame, wanted: int | Column, key: str, seed: int) -> D
     return inside.unionByName(edge)
 
 
-def sample_with_replacement(rows: DataFrame, key: str, seed: int) -> DataFrame:
-    """As many rows as there are, on average, drawn with replacement: each row none, one or more times.
+def sample_with_replacement(rows: DataFrame, wanted: int, key: str, seed: int) -> DataFrame:
+    """Exactly ``wanted`` rows drawn with replacement: each draw may take any row, so a row comes none,
+    one or more times. The same ones however rows are dealt; none from an empty table.
 
-    How often follows from the hash of seed and key, by the distribution of such draws.
+    Rows are numbered from 0 in the order of ``sample_rows``, inside buckets of their hash and after the
+    rows of the buckets before. Draw j takes the row whose number is the md5 of seed and j, of which
+    sixty bits are taken, modulo the rows. Draws of one number are counted before they meet the row.
     """
-    drawn = F.conv(F.substring(_hash(key, seed), 1, 6), 16, 10).cast("int")
-    times = sum(((drawn >= bound).cast("int") for bound in _AT_MOST), F.lit(0))
-    return rows.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), times))).drop("_copy")
+    hashed, before = _numbered(rows, key, seed)
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_hash", key))
+    placed = hashed.join(F.broadcast(before), "_bucket").withColumn("_number", F.col("_before") + rank - 1)
+    held = rows.agg(F.count(F.lit(1))).scalar()
+    drawn = F.md5(F.concat(F.lit(f"{seed}|draw|"), F.col("id").cast("string")).cast("binary"))
+    number = F.conv(F.substring(drawn, 1, 15), 16, 10).cast("long") % F.nullif(held, F.lit(0))
+    draws = rows.sparkSession.range(wanted).select(number.alias("_number"))
+    times = draws.groupBy("_number").agg(F.count(F.lit(1)).alias("_times"))
+    met = placed.join(times, "_number")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))
+    return met.withColumn("_copy", copies).select(*rows.columns)
 
 
 def _hash(key: str, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}|"), F.col(key).cast("string")).cast("binary"))
+    """A missing key counts as an empty one."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.md5(F.concat(F.lit(f"{seed}|"), text).cast("binary"))
 
 
 def with_receipt_measures(receipts: DataFrame) -> DataFrame:

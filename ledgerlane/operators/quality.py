@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ERROR, WARN = "error", "warn"
 
@@ -23,17 +24,62 @@ def _result(check: str, table: str, column: str, severity: str, failing: Column)
     ]
 
 
-def unique(rows: DataFrame, table: str, column: str, severity: str = ERROR) -> DataFrame:
-    """Values that occur more than once. Counts are combined in each task before the shuffle, so
-    one value held by many rows stays small."""
+def _comparable(rows: DataFrame, column: str) -> tuple[Column, Column]:
+    """A value as a whole number or as text, whichever tells its values apart; the other is missing."""
+    kind, value = rows.schema[column].dataType, F.col(f"`{column}`")
+    number, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        number = value.cast("long")
+    elif isinstance(kind, T.DateType):
+        number = F.unix_date(value).cast("long")
+    elif isinstance(kind, T.TimestampType):
+        number = F.unix_micros(value)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        text = (value + F.lit(0.0)).cast("string")  # both zeros are one value
+    elif isinstance(kind, T.BinaryType):
+        text = F.hex(value)
+    else:
+        text = value.cast("string")
+    return number, text
+
+
+def unique_values(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], severity: str = ERROR) -> DataFrame:
+    """Values that occur more than once, for some columns of each table; missing values do not count.
+
+    Each table is scanned once and all checks share one shuffle, of (check, value). A value is compared
+    as a whole, so the result is exact. Counts are combined in each task before the shuffle, so one
+    value held by many rows stays small. A table without columns gives no row.
+    """
+    declared = [(table, column) for table, (_, columns) in tables.items() for column in columns]
+    scans = []
+    for table, (rows, columns) in tables.items():
+        values = []
+        for column in columns:
+            number, text = _comparable(rows, column)
+            named = F.lit(declared.index((table, column))).alias("nth")
+            values.append(F.struct(named, number.alias("number"), text.alias("text")))
+        if values:
+            scans.append(rows.select(F.inline(F.array(*values))))
+    if not scans:
+        raise ValueError("no column is named")
     repeated = (
-        rows.filter(F.col(column).isNotNull())
-        .groupBy(column)
+        reduce(DataFrame.unionAll, scans)
+        .where("number IS NOT NULL OR text IS NOT NULL")
+        .groupBy("nth", "number", "text")
         .agg(F.count(F.lit(1)).alias("occurrences"))
-        .filter("occurrences > 1")
+        .where("occurrences > 1")
     )
-    found = repeated.agg(F.count(F.lit(1)).alias("failing"))
-    return found.select(*_result("unique", table, column, severity, F.col("failing")))
+    counts = repeated.agg(*[F.count_if(F.col("nth") == i).alias(f"c{i}") for i in range(len(declared))])
+    results = [
+        F.struct(*_result("unique", table, column, severity, F.col(f"c{i}")))
+        for i, (table, column) in enumerate(declared)
+    ]
+    return counts.select(F.inline(F.array(*results)))
+
+
+def unique(rows: DataFrame, table: str, column: str, severity: str = ERROR) -> DataFrame:
+    """Values of one column that occur more than once."""
+    return unique_values({table: (rows, (column,))}, severity)
 
 
 def column_checks(

@@ -7,12 +7,13 @@ grouped rows whose number per partition is bounded by the months or quarters of
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.dates import days_between, year_month
-from ledgerlane.functions.numeric import in_units, percent, ratio, value_of
+from ledgerlane.functions.numeric import at_least, deviations, in_units, percent, ratio, square, value_of
 from ledgerlane.operators.rollup import Lookup, flag, grouped, hundredths, present
 from ledgerlane.plans.reports import BILLION, average, not_cancelled
 from ledgerlane.plans.warehouse import Marts
@@ -278,26 +279,32 @@ def spend_share_by_category(m: Marts) -> DataFrame:
 def unusual_spend(m: Marts, limit: int = 10) -> DataFrame:
     """Months above a department's average by more than two standard deviations.
 
-    The deviation is a double; a department whose months are all alike is measured against its
-    average instead.
+    A department whose months are all alike is measured against its average instead. Sums of squares
+    are whole numbers of any width, so nothing depends on the order of rows and only the result is
+    rounded. A department's sum over its months times their number must stay below 10^26.
     """
     months = grouped(
         not_cancelled(m.fact), ["po_year_month"], [_departments(m, "department_name")],
         {"spend": _net()},
     )
     own = Window.partitionBy("department_name")
-    spend = F.col("spend").cast("double")
-    usual, deviation = F.col("usual"), F.nullif(F.col("deviation"), F.lit(0.0))
     scored = months.withColumns({
-        "total": F.sum("spend").over(own),
-        "months": F.count(_line()).over(own),
-        "deviation": F.stddev_pop(spend).over(own),
-    }).withColumn("usual", F.col("total").cast("double") / F.col("months"))
-    return scored.filter(spend > usual + 2 * F.coalesce(deviation, usual)).select(
+        "total": F.sum("spend").over(own), "months": F.count(_line()).over(own),
+    }).withColumn("above", F.col("spend").cast("decimal(38,0)") * F.col("months") - F.col("total"))
+    parts = [f"square_{i}" for i in range(3)]
+    scored = scored.withColumns(dict(zip(parts, square(F.col("above")), strict=True)))
+    scored = scored.withColumns({part: F.sum(part).over(own) for part in parts})
+    above, count, squares = F.col("above"), F.col("months"), tuple(map(F.col, parts))
+    alike = (squares[0] == 0) & (squares[1] == 0) & (squares[2] == 0)
+    # above^2 / months^2 > 4 * squares / months^3
+    beyond = ~at_least(squares, F.lit(4), square(above), count)
+    unusual = F.when(alike, above > F.col("total") * 2).otherwise((above > 0) & beyond)
+    hundredths_of = deviations(above, squares, count)
+    return scored.filter(unusual).select(
         F.col("po_year_month").alias("tahun_bulan"), "department_name", "spend",
         _billions("spend", "spend_miliar_idr"),
         ratio(F.col("total"), F.col("months") * 10**BILLION, 2).alias("baseline_miliar_idr"),
-        F.round((spend - usual) / deviation, 2).alias("z_score_proxy"),
+        (hundredths_of.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).alias("z_score_proxy"),
     ).orderBy(
         F.desc_nulls_last("z_score_proxy"), F.desc("spend"), "tahun_bulan", "department_name"
     ).limit(limit).drop("spend")

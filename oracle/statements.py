@@ -512,6 +512,17 @@ _DOCUMENTS = {
                    count(*) OVER () AS available
             FROM raw_purchase_requests WHERE status = 'Disetujui')
         WHERE place <= available // 2""",
+    "G5_replacement": """
+        WITH approved AS (
+            SELECT pr_id, row_number() OVER (ORDER BY md5('42|' || pr_id), pr_id) - 1 AS place,
+                   count(*) OVER () AS available
+            FROM raw_purchase_requests WHERE status = 'Disetujui'),
+        draws AS (
+            SELECT CAST('0x' || substr(md5('42|draw|' || (j - 1)), 1, 15) AS BIGINT) AS drawn
+            FROM (SELECT row_number() OVER () AS j FROM raw_purchase_orders))
+        SELECT pr_id, count(*) AS times
+        FROM draws JOIN approved ON place = drawn % (SELECT max(available) FROM approved)
+        GROUP BY pr_id""",
     "G6": f"""
         SELECT {typed("gr_id:i quantity_variance:i variance_pct:d receipt_status:s "
                       "lead_time_days:i is_on_time:b")}

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from datetime import date
 from decimal import Decimal
 
@@ -84,14 +85,34 @@ def test_samples_of_other_seeds_differ(spark):
     assert 150 < len(one & two) < 350
 
 
-def test_drawing_with_replacement(spark):
-    rows = spark.range(10_000)
-    drawn = documents.sample_with_replacement(rows, "id", seed=1)
-    counts = sorted((row.id, row["count"]) for row in drawn.groupBy("id").count().collect())
-    assert abs(sum(n for _, n in counts) - 10_000) < 400
-    assert abs(len(counts) - 6_321) < 250  # a share of 1/e is never drawn
-    again = documents.sample_with_replacement(rows.repartition(5), "id", seed=1)
-    assert sorted((row.id, row["count"]) for row in again.groupBy("id").count().collect()) == counts
+@pytest.mark.parametrize("held,wanted", [(10_000, 0), (10_000, 1), (10_000, 10_000), (3, 5_000), (1, 40), (0, 10)])
+def test_drawing_with_replacement_has_its_size(spark, held, wanted):
+    rows = spark.range(held).withColumn("other", F.col("id") * 2)
+    drawn = documents.sample_with_replacement(rows, wanted, "id", seed=1)
+    assert drawn.columns == rows.columns
+    counts = dict(drawn.groupBy("id").count().collect())
+    by_hash = sorted(range(held), key=lambda k: (hashlib.md5(f"1|{k}".encode()).hexdigest(), k))
+    expected = Counter(
+        by_hash[int(hashlib.md5(f"1|draw|{j}".encode()).hexdigest()[:15], 16) % held] for j in range(wanted if held else 0)
+    )
+    assert counts == expected and sum(counts.values()) == (wanted if held else 0)
+    again = documents.sample_with_replacement(rows.repartition(5), wanted, "id", seed=1)
+    assert dict(again.groupBy("id").count().collect()) == counts
+
+
+def test_draws_with_replacement_are_even(spark):
+    """The share never drawn is 1/e, and the spread over tenths of the ids is that of chance."""
+    drawn = documents.sample_with_replacement(spark.range(10_000), 10_000, "id", seed=3)
+    tenths = [row["count"] for row in drawn.groupBy((F.col("id") / 1000).cast("int")).count().collect()]
+    assert abs(drawn.distinct().count() - 6_321) < 150
+    assert sum((n - 1000) ** 2 / 1000 for n in tenths) < 28  # chi-square of nine degrees, one in a thousand
+
+
+def test_a_row_without_key_can_be_drawn(spark):
+    rows = spark.createDataFrame([(None,), (1,), (2,)], "id long")
+    assert documents.sample_rows(rows, 5, "id", seed=1).count() == 3
+    drawn = documents.sample_with_replacement(rows, 200, "id", seed=1)
+    assert drawn.count() == 200 and drawn.where("id is null").count() > 20
 
 
 def test_profile_and_shapes(raw):

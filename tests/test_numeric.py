@@ -2,12 +2,25 @@ from __future__ import annotations
 
 from decimal import ROUND_HALF_UP, Decimal
 from fractions import Fraction
+from math import isqrt
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.numeric import fulfilment, in_units, mean, percent, rate_of, ratio, value_of
+from ledgerlane.functions.numeric import (
+    at_least,
+    deviations,
+    fulfilment,
+    in_units,
+    mean,
+    percent,
+    rate_of,
+    ratio,
+    square,
+    value_of,
+)
 
 PAIRS = st.lists(
     st.tuples(st.integers(-(10**15), 10**15), st.integers(0, 10**12)), min_size=1, max_size=200
@@ -72,3 +85,36 @@ def test_value_is_exact_beyond_the_fast_path(spark):
     assert [r[0] for r in rows.select(value_of(F.col("p"), F.col("q"))).collect()] == [
         Decimal(10**12 * 999_999), Decimal(15)
     ]
+
+
+SERIES = st.lists(
+    st.lists(st.one_of(st.integers(0, 50), st.integers(10**21, 10**21 + 9), st.integers(0, 10**22)),
+             min_size=1, max_size=40),
+    min_size=1, max_size=20,
+)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(series=SERIES)
+def test_deviations_are_rounded_once(spark, series):
+    """Against whole numbers of any size: z = d * sqrt(n / squares), also where doubles cannot tell."""
+    given = [(g, i, Decimal(x)) for g, xs in enumerate([*series, [0, 0, 0, 0, 5], [3, 3]]) for i, x in enumerate(xs)]
+    rows = spark.createDataFrame(given, "g int, i int, x decimal(28,0)")
+    own = Window.partitionBy("g")
+    rows = rows.withColumns({"n": F.count("i").over(own), "s": F.sum("x").over(own)})
+    rows = rows.withColumn("d", F.col("x").cast("decimal(38,0)") * F.col("n") - F.col("s"))
+    squares = tuple(F.sum(part).over(own) for part in square(F.col("d")))
+    found = rows.withColumn("k", deviations(F.col("d"), squares, F.col("n"))).withColumn(
+        "two", at_least(square(F.col("d")), F.col("n"), squares, F.lit(4))
+    ).collect()
+    for g in {row.g for row in found}:
+        own_rows = [row for row in found if row.g == g]
+        xs = [int(row.x) for row in own_rows]
+        n, wide = len(xs), sum((len(xs) * x - sum(xs)) ** 2 for x in xs)
+        for row in own_rows:
+            d = n * int(row.x) - sum(xs)
+            assert row.two == (n * d * d >= 4 * wide)
+            if wide and d > 0:
+                assert row.k == (isqrt(40_000 * n * d * d // wide) + 1) // 2
+            elif not wide:
+                assert row.k is None

@@ -3,6 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlane.operators import quality
 from ledgerlane.plans import checks
@@ -22,6 +23,29 @@ def test_unique_ignores_missing_values(rows):
     assert (found.failing_rows, found.passed) == (1, False)
 
 
+def test_unique_checks_of_all_tables_share_one_shuffle(spark, rows):
+    """Values of every type, against counting them by hand; a third of one column is a single value."""
+    numbers = spark.range(300)
+    wide = numbers.select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") + 1000).cast("int").alias("hot"),
+        (F.col("id") % 250).cast("string").alias("code"),
+        F.date_add(F.lit("2024-01-01"), (F.col("id") % 299).cast("int")).alias("day"),
+        F.timestamp_micros("id").alias("at"),
+        F.when(F.col("id") < 2, F.lit(0.0) * (F.col("id") * 2 - 1)).otherwise(F.col("id")).alias("zero"),
+        F.when(F.col("id") > 5, F.col("id").cast("decimal(20,2)")).alias("money"),
+        F.encode((F.col("id") % 298).cast("string"), "utf-8").alias("bytes"),
+    )
+    found = quality.unique_values({"wide": (wide, wide.columns), "t": (rows, ("id", "kind")), "none": (rows, ())})
+    got = {(r.table, r.column): r.failing_rows for r in found.collect()}
+    assert got == {
+        ("wide", "hot"): 1, ("wide", "code"): 50, ("wide", "day"): 1, ("wide", "at"): 0, ("wide", "zero"): 1,
+        ("wide", "money"): 0, ("wide", "bytes"): 2, ("t", "id"): 1, ("t", "kind"): 1,
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1
+    assert quality.unique(rows.limit(0), "t", "kind").first().passed
+
+
 def test_column_checks_share_one_scan(rows):
     found = quality.column_checks(rows, "t", ["id", "kind"], {"kind": ["a", "b"]}, {"kind": "warn"})
     results = {(r.check, r.column): (r.failing_rows, r.severity) for r in found.collect()}
