@@ -26,6 +26,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("root", help="folder of the layers, reachable by all executors")
     parser.add_argument("--no-gate", action="store_true", help="report even if checks fail")
     parser.add_argument("--keep-bad-rows", action="store_true", help="set rows that do not fit aside")
+    parser.add_argument("--most-bad", type=float, default=1.0, help="share of rows a file may have set aside")
     parser.add_argument("--multi-line", action="store_true", help="allow line breaks inside fields")
     parser.add_argument(
         "--expected", help='JSON file: {"bounds": {name: [low, high]}, "accepted": {table: {column: [values]}}}'
@@ -40,6 +41,7 @@ def main(arguments: list[str] | None = None) -> int:
     done = run(
         spark, given.folder, given.root, datetime.now(timezone.utc), gate=not given.no_gate, bounds=bounds,
         accepted=expected.get("accepted"), keep_bad_rows=given.keep_bad_rows, multi_line=given.multi_line,
+        most_bad=given.most_bad,
     )
     for row in done.loads.collect():  # one row per raw table
         print(f"{row.table}: {row.rows} rows, {row.bad_rows} set aside, {row.status}")

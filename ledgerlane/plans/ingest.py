@@ -19,6 +19,10 @@ SUMMARY = "table string, rows long, bad_rows long, status string, elapsed_s doub
 REJECTED = "rejected"
 
 
+class TooManyBadRows(RuntimeError):
+    """More rows of a file did not fit than the load allows; the table stays as it was."""
+
+
 def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
     """Write each table's declared columns to ``<folder>/<table>.csv``."""
     for name, rows in tables.items():
@@ -27,12 +31,14 @@ def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
 
 def load_table(
     spark: SparkSession, store: LayerStore, folder: str, table: str, loaded: datetime, *,
-    keep_bad_rows: bool = False, multi_line: bool = False,
+    keep_bad_rows: bool = False, multi_line: bool = False, most_bad: float = 1.0,
 ) -> tuple[str, int, int, str, float]:
     """Load one table; a missing file is skipped, any other failure raises and changes nothing.
 
     With ``keep_bad_rows`` rows that do not fit go to the layer ``rejected`` instead of failing the
-    load, and the summary counts them.
+    load, and the summary counts them. If they are more than the share ``most_bad`` of all rows the
+    load fails before it is visible; the rows set aside can be looked at all the same. Both counts are
+    taken while writing.
     """
     started = time.perf_counter()
     try:
@@ -47,23 +53,27 @@ def load_table(
         unfit = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
         bad = store.write(REJECTED, table, with_ingest_time(unfit, loaded))
         rows = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    count = store.write(
-        RAW, table, with_ingest_time(nan_to_null(rows), loaded), bucket_key=BUCKET_KEYS.get(table)
-    )
+    with store.held(RAW):
+        count = store.write(
+            RAW, table, with_ingest_time(nan_to_null(rows), loaded), bucket_key=BUCKET_KEYS.get(table)
+        )
+        if bad > most_bad * (bad + count):
+            raise TooManyBadRows(f"{table}: {bad} of {bad + count} rows do not fit")
     return table, count, bad, "OK", round(time.perf_counter() - started, 2)
 
 
 def ingest(
     spark: SparkSession, store: LayerStore, folder: str, loaded: datetime, *,
-    keep_bad_rows: bool = False, multi_line: bool = False,
+    keep_bad_rows: bool = False, multi_line: bool = False, most_bad: float = 1.0,
 ) -> DataFrame:
     """Load all tables, parents first, and summarise: (table, rows, bad_rows, status, elapsed_s).
 
     The last row is the grand total. Each table is committed by itself, so a failing one leaves
-    the earlier ones loaded and its own former content in place.
+    the earlier ones loaded and its own former content in place, unless the caller holds the layer.
     """
     loads = [
-        load_table(spark, store, folder, table, loaded, keep_bad_rows=keep_bad_rows, multi_line=multi_line)
+        load_table(spark, store, folder, table, loaded, keep_bad_rows=keep_bad_rows, multi_line=multi_line,
+                   most_bad=most_bad)
         for table in LOAD_ORDER
     ]
     total = ("GRAND TOTAL", *(sum(load[k] for load in loads) for k in (1, 2)), "OK", sum(load[4] for load in loads))

@@ -92,6 +92,35 @@ def test_failed_checks_stop_a_run(spark, folder, tmp_path):
         run(spark, folder, str(tmp_path), LOADED)
 
 
+def test_readers_keep_the_former_tables_when_a_check_fails(spark, folder, tmp_path):
+    """The second load has a repeated department; the third is right again and ends where a run that
+    never saw the second one ends."""
+    root = str(tmp_path / "root")
+    accepted = {"dim_items": {"item_category": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]}}
+    run(spark, folder, root, LOADED, gate=False)
+    reader = LayerStore(spark, root)
+    names = [(RAW, "departments"), (RAW, "vendors"), (MARTS, "dim_vendors"), (MARTS, "fct_purchase_order_lines")]
+    before = {name: (reader.version(*name), sorted(map(str, reader.read(*name).collect()))) for name in names}
+    files = sorted(str(path) for path in (tmp_path / "root").glob("*/*/load=*") if "checks" not in str(path))
+    tables = sample_warehouse(spark, SAMPLE).raw_tables()
+    tables["departments"] = tables["departments"].unionAll(tables["departments"].limit(1))
+    tables["vendors"] = tables["vendors"].withColumn("city", F.lit("Bogor"))
+    tables["purchase_orders"] = tables["purchase_orders"].withColumn("status", F.lit("Dibatalkan"))
+    export_csv(tables, str(tmp_path / "csv"))
+    with pytest.raises(ChecksFailed, match="departments.department_id"):
+        run(spark, str(tmp_path / "csv"), root, datetime(2025, 2, 1), accepted=accepted)
+    for name in names:
+        assert (reader.version(*name), sorted(map(str, reader.read(*name).collect()))) == before[name]
+    assert spark.sql("SELECT count(*) FROM marts.dim_vendors WHERE city = 'Bogor' AND record_version > 1").first()[0] == 0
+    left = sorted(str(path) for path in (tmp_path / "root").glob("*/*/load=*") if "checks" not in str(path))
+    assert [path for path in left if "scratch" not in path] == [path for path in files if "scratch" not in path]
+    assert reader.read("checks", "declared").where("NOT passed").count() > 0
+    third = run(spark, folder, root, datetime(2025, 3, 1), gate=False)
+    assert third.marts.vendors.count() == len(before[MARTS, "dim_vendors"][1])
+    assert sorted(map(str, reader.read(MARTS, "fct_purchase_order_lines").collect())) == \
+        before[MARTS, "fct_purchase_order_lines"][1]
+
+
 def test_model_names_in_sql(spark):
     sample_warehouse(spark, SAMPLE).register_views()
     joined = spark.sql("""

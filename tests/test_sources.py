@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlane.plans.ingest import REJECTED, export_csv, ingest, load_table
+from ledgerlane.plans.ingest import REJECTED, TooManyBadRows, export_csv, ingest, load_table
 from ledgerlane.schemas import INGESTED_AT, LOAD_ORDER, RAW_SCHEMAS
 from ledgerlane.sources.csv_files import CORRUPT, infer_types, nan_to_null, read_csv
 from ledgerlane.sources.layers import RAW, Conflict, LayerStore
@@ -207,3 +207,62 @@ def test_a_load_in_buckets_is_found_by_a_later_session(spark, tmp_path):
     assert rows.count() == 100
     plan = rows.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_held_commits_show_together_or_not_at_all(spark, tmp_path):
+    store, other = (LayerStore(spark, str(tmp_path / "s")) for _ in range(2))
+    store.write("marts", "t", years(spark, "a"), ("po_year",))
+    with store.held("marts", "raw"):
+        store.write("marts", "t", years(spark, "b"), ("po_year",))
+        store.replace("marts", "t", years(spark, "c").where("po_year = 2020"), "po_year", [2020])
+        store.write("raw", "n", spark.range(3), bucket_key="id")
+        assert {row.v for row in store.read("marts", "t").collect()} == {"b", "c"}
+        assert {row.v for row in other.read("marts", "t").collect()} == {"a"}
+        assert store.read("raw", "n").count() == 3 and not other.exists("raw", "n")
+    assert {row.v for row in other.read("marts", "t").collect()} == {"b", "c"}
+    assert other.version("marts", "t") == 2 and other.read("raw", "n").count() == 3
+    folders = {path.name for path in (tmp_path / "s").glob("*/*/load=*")}
+    with pytest.raises(ZeroDivisionError), store.held("marts", "raw"):
+        store.write("marts", "t", years(spark, "d"), ("po_year",))
+        store.write("raw", "new", spark.range(3), bucket_key="id")
+        assert store.written("raw", "new")
+        raise ZeroDivisionError
+    assert {row.v for row in store.read("marts", "t").collect()} == {"b", "c"}
+    assert not store.exists("raw", "new") and not store.written("raw", "new")
+    assert {path.name for path in (tmp_path / "s").glob("*/*/load=*")} == folders
+
+
+def test_a_conflict_shows_no_table_of_the_block(spark, tmp_path):
+    store, other = (LayerStore(spark, str(tmp_path / "s")) for _ in range(2))
+    store.write("marts", "t", years(spark, "a"), ("po_year",))
+    with pytest.raises(Conflict, match="po_year=2020"), store.held("marts"):
+        store.write("marts", "first", spark.range(3))
+        store.replace("marts", "t", years(spark, "c").where("po_year = 2020"), "po_year", [2020])
+        other.replace("marts", "t", years(spark, "b").where("po_year = 2020"), "po_year", [2020])
+    assert not other.exists("marts", "first")
+    assert {row.v for row in other.read("marts", "t").where("po_year = 2020").collect()} == {"b"}
+    with store.held("marts"):  # another year has changed since: both stay
+        store.replace("marts", "t", years(spark, "c").where("po_year = 2020"), "po_year", [2020])
+        other.replace("marts", "t", years(spark, "d").where("po_year = 2021"), "po_year", [2021])
+    found = {row.po_year: row.v for row in other.read("marts", "t").collect()}
+    assert (found[2020], found[2021]) == ("c", "d")
+
+
+@pytest.mark.parametrize("bad,shown", [(1, True), (60, False)])
+def test_a_load_that_is_mostly_bad_is_not_shown(spark, file, tmp_path, bad, shown):
+    store = LayerStore(spark, str(tmp_path / "store"))
+    file(f"{HEADER}\n7,D7,N,C,L,M,5,2024-01-02\n")
+    load_table(spark, store, str(tmp_path), "departments", LOADED, keep_bad_rows=True)
+    lines = [f"{'x' if k < bad else k},D{k},N,C,L,M,5,2024-01-02" for k in range(100)]
+    file("\n".join([HEADER, *lines, ""]))
+
+    def load():
+        return load_table(spark, store, str(tmp_path), "departments", LOADED, keep_bad_rows=True, most_bad=0.05)
+
+    if shown:
+        assert load()[1:4] == (99, 1, "OK")
+    else:
+        with pytest.raises(TooManyBadRows, match="departments: 60 of 100 rows"):
+            load()
+    assert store.read(RAW, "departments").count() == (99 if shown else 1)
+    assert store.read(REJECTED, "departments").count() == bad
