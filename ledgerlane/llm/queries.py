@@ -92,5 +92,22 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-# None of these can be said in SQL: tests compare them with brute force, libraries and held-out rows.
-ORACLE_SQL: dict[str, str] = {}
+# The others cannot be said in SQL: tests compare them with brute force, libraries and held-out rows.
+# Sums of products of whole numbers are exact in doubles here, since they stay below 2^53.
+ORACLE_SQL: dict[str, str] = {
+    "op7_top_k": """
+        WITH scaled AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS vector
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scores AS (
+            SELECT q.vec_id AS query_id, v.vec_id,
+                   CAST(list_inner_product(q.vector, v.vector) AS BIGINT) AS score
+            FROM (SELECT DISTINCT * FROM scaled WHERE vec_id % 100 = 0) q
+            JOIN scaled v ON q.vec_id <> v.vec_id AND len(q.vector) = len(v.vector))
+        SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+        FROM scores
+        WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+        QUALIFY row_number() OVER w <= 10""",
+}

@@ -8,6 +8,9 @@ by at most ``slack``: what the unprocessed segments and the quantisation could s
 so few rows lie within twice the slack of the k-th accumulator that rescoring them is cheap,
 processing stops: every other row is proven to score less than k rows do. Rows within the bound are
 rescored with whole numbers.
+
+Scores are exact at every size of the components: sums that may not fit 64 bits are taken with whole
+numbers of any width. Empty vectors meet each other with score 0.
 """
 
 from __future__ import annotations
@@ -60,18 +63,28 @@ class ImpactIndex:
             least = np.abs(query) * self.half
             total = np.zeros(self.vectors.shape[0])
             waiting = _Waiting(self.dim[order], reach[order], len(query))
+            # what adding up a row's impacts in doubles may be off by
+            inexact = 2.0**-50 * len(query) * float(waiting.after(0).sum())
             starts, rows = self.starts, self.rows
             for at, segment in enumerate(order.tolist(), 1):
                 total[rows[starts[segment]:starts[segment + 1]]] += impact[segment]
                 if at % _TEST_EVERY == 0 or at == len(order):
-                    slack = float(np.maximum(waiting.after(at), least).sum()) * (1 + 1e-9) + 1e-6
+                    slack = float(np.maximum(waiting.after(at), least).sum()) * (1 + 1e-9) + 1e-6 + inexact
                     some = total[kept]
                     bound = np.partition(some, len(some) - k)[len(some) - k] - 2 * slack
                     near = kept[some >= bound]
                     if len(near) <= RESCORED or at == len(order):
                         kept = near
                         break
-        return kept, self.vectors[kept] @ query
+        return kept, products(self.vectors[kept], query)
+
+
+def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Exact inner products; an array of Python's whole numbers where 64 bits may be too few."""
+    largest = [int(np.abs(side).max(initial=0)) for side in (vectors, query)]
+    if len(query) * largest[0] * largest[1] < 2**63:
+        return vectors @ query
+    return vectors.astype(object) @ query.astype(object)
 
 
 class _Waiting:
@@ -88,13 +101,23 @@ class _Waiting:
 
 def _best(index: ImpactIndex, ids: np.ndarray, query_id: int, query: np.ndarray, k: int):
     rows, scores = index.search(query, k, ids != query_id)
-    order = np.lexsort((ids[rows], -scores))[:k]
+    if scores.dtype == object:
+        order = np.array(sorted(range(len(rows)), key=lambda i: (-scores[i], ids[rows[i]]))[:k], np.int64)
+    else:
+        order = np.lexsort((ids[rows], -scores))[:k]
     return ids[rows[order]], scores[order]
 
 
 def scaled(vector: Column) -> Column:
-    """floor(1024 * x) of every component, x taken as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * 1024).cast("long"))
+    """floor(1024 * x) of every component, x taken as double; fails where that does not fit a long."""
+    def whole(x: Column) -> Column:
+        wide = x.cast("double") * 1024
+        fits = F.abs(wide) < F.lit(2.0**63)
+        return F.when(fits, F.floor(wide).cast("long")).otherwise(
+            F.raise_error(F.concat(F.lit("component too large: "), x.cast("string"))).cast("long")
+        )
+
+    return F.transform(vector, whole)
 
 
 def usable(vector: Column) -> Column:
@@ -109,7 +132,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     Both tables hold vec_id and ``vector`` (whole numbers). A row of the query's own id is no
     candidate. Rows without a vec_id and vectors that are not usable take no part; vectors of
     different length are not compared. A query row that is repeated counts once; a repeated
-    candidate row is a candidate each time.
+    candidate row is a candidate each time. An empty table gives no row; further columns are not read.
+    One of the k best scores that does not fit a long fails the search.
     """
     count, wanted = vectors.count(), queries.count()
     shards, blocks = -(-count // SHARD_ROWS) or 1, -(-wanted // QUERY_ROWS) or 1
@@ -152,7 +176,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
 def _matrix(rows: pa.Table, dims: int) -> np.ndarray:
     values = rows.column("vector").combine_chunks()
     values = values.chunk(0) if isinstance(values, pa.ChunkedArray) else values
-    return values.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, dims)
+    return values.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(rows.num_rows, dims)
 
 
 def scaled_search(embeddings: DataFrame, every: int = 100, k: int = 10) -> DataFrame:

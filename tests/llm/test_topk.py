@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import math
 
+import duckdb
 import numpy as np
 import pytest
 
 from ledgerlane.llm import topk
+from ledgerlane.llm.queries import ORACLE_SQL, QUERIES
 from ledgerlane.llm.topk import ImpactIndex
+from tests.conftest import SAMPLE
 
 
 def brute(rows, every=100, k=10):
@@ -41,11 +44,34 @@ def test_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(100, [0.5, -0.25]), (1, [0.5, -0.25]), (2, [0.5, -0.25]), (2, [0.5, -0.25]), (3, None), (4, [nan, 1.0]),
             (5, [None, 1.0]), (6, [inf, 0.0]), (None, [1.0, 1.0]), (200, [0.0, 0.0]), (7, [1.0, 2.0, 3.0]), (300, [1.0, 0.5, 0.0]),
-            (400, [nan, 0.0]), (100, [0.5, -0.25]), (8, [-1e-9, 0.0])]
+            (400, [nan, 0.0]), (100, [0.5, -0.25]), (8, [-1e-9, 0.0]), (500, []), (9, []), (600, []), (10, [])]
     frame = spark.createDataFrame([(a, b, 1, "x") for a, b in rows], "vec_id long, embedding array<float>, score int, shard string")
     assert found(frame) == brute(rows)
 
 
+def test_large_components_do_not_wrap(spark):
+    """Products beyond 64 bits that cancel, and rows whose doubles are alike."""
+    rows = [(100, [2.0**30, 2.0**30, 1.0]), (1, [2.0**30, -(2.0**30), 1.0]), (2, [2.0**30, -(2.0**30), 2.0]),
+            (3, [-(2.0**40), 2.0**40, 2.0]), (4, [-(2.0**40), 2.0**30, 3.0]), (5, [-(2.0**30), -(2.0**30), 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found(frame, k=3) == brute(rows, k=3)
+    with pytest.raises(Exception, match="too large"):
+        found(spark.createDataFrame([(100, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>"))
+
+
+def test_expected_sql(spark, given):
+    """The registered query against its SQL on the sample, and the SQL against brute force."""
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SAMPLE}/embeddings.parquet')")
+    expected = connection.execute(ORACLE_SQL["op7_top_k"])
+    names = [column[0] for column in expected.description]
+    result = QUERIES["op7_top_k"](spark, SAMPLE)
+    assert dict(result.dtypes) == {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"}
+    rows = sorted(tuple(row[name] for name in names) for row in result.collect())
+    assert rows == sorted(expected.fetchall())
+    assert rows == brute([(r["vec_id"], r["embedding"]) for r in given("embeddings").collect()])
+
+
 def test_empty_table(spark):
     assert found(spark.createDataFrame([], "vec_id long, embedding array<float>")) == []
 
