@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlane.operators import dimensions, snapshot, staging, tracking
+from ledgerlane.operators import dimensions, lifecycle, snapshot, staging, tracking
 from ledgerlane.plans.warehouse import FACT, Warehouse, sample_warehouse
 from ledgerlane.schemas import BUCKET_KEYS
 from ledgerlane.sources.layers import MARTS, RAW, LayerStore
@@ -277,4 +277,13 @@ def test_only_bounded_tables_are_broadcast_by_request(spark, warehouse):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     hinted = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
     assert len(hinted) == 3 and all("_day" in line for line in hinted)
-    assert plan.count("WindowGroupLimit") == 2  # receipts are cut to one per line before the shuffle
+    # stored receipts lie in buckets of their line: they are cut to one per line where they lie
+    cut = plan.split("WindowGroupLimit")
+    assert len(cut) == 2 and "Exchange" not in cut[1].split("FileScan")[0]
+
+
+def test_receipts_that_lie_elsewhere_are_cut_before_their_shuffle(warehouse):
+    loose = staging.goods_receipts(warehouse.raw("goods_receipts").repartition("gr_id"))
+    plan = lifecycle.latest_receipts(loose)._jdf.queryExecution().executedPlan().toString()
+    last, first = (part.split("FileScan")[0] for part in plan.split("WindowGroupLimit")[1:])
+    assert "hashpartitioning(po_line_id" in last and "hashpartitioning(po_line_id" not in first
