@@ -2,11 +2,14 @@
 
 The tree builder closes what a start tag implies is over (paragraphs, list items, rows, cells,
 options), opens rows around stray cells, and ignores end tags that match nothing. Hidden are head
-matter, scripts, styles, templates, elements with ``hidden``, ``display:none`` or
-``visibility:hidden`` (own style or a simple rule of a style sheet of the page), closed details,
-dialogs that are not open. Blocks start new lines; paragraphs, headings, lists and tables stand
-between blank lines; list items are marked and indented; cells of a table are padded to the width of
-their column. Everything is iterative, so depth is no limit.
+matter, scripts, styles, templates, closed details, dialogs that are not open, elements with
+``hidden``, and what the page's style sheets and own styles hide on a screen (``page_styles``):
+``display:none`` with all inside, ``visibility`` inherited and undone further in. What a browser shows
+only if it cannot show better (inside video, audio, canvas, frames, an object with data) is hidden.
+Texts of drawings and formulas are shown, but for their titles, descriptions and annotations. Blocks
+start new lines; paragraphs, headings, lists and tables stand between blank lines; list items are
+marked and indented; cells of a table are padded to the width of their column, and cells that span
+rows keep their columns in the rows below. Everything is iterative, so depth is no limit.
 """
 
 from __future__ import annotations
@@ -20,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from ledgerlane.llm.common import text_slices
+from ledgerlane.llm.page_styles import Place, Styles
 
 WIDEST = 40  # cells up to this width set the width of their column; longer ones run over
+ALIGNED = 1000  # columns of a table that are aligned; cells beyond follow one another
 
 # Fixed sets of element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = frozenset("head script style template title meta link base iframe noembed noframes object audio video canvas svg math datalist".split())
+UNSEEN = frozenset("head script style template title meta link base iframe noembed noframes audio video canvas datalist".split())
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section
 select summary table ul tr caption""".split())
@@ -34,6 +39,14 @@ SPACED = frozenset("blockquote dl figure h1 h2 h3 h4 h5 h6 hr menu ol p pre tabl
 CLOSES_P = frozenset("""address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer
 form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul""".split())
 LISTS = frozenset("ul ol menu dir".split())
+GROUPS = frozenset("thead tbody tfoot".split())
+# Drawings and formulas: what they never show, what shows text, what ends them, where that may stand inside.
+FOREIGN = frozenset("svg math".split())
+FOREIGN_UNSEEN = frozenset("title desc metadata defs symbol clippath mask annotation annotation-xml".split())
+DRAWN_TEXT = frozenset("text foreignobject".split())
+ENDS_FOREIGN = CLOSES_P | frozenset("b big br code em embed i img s small span strike strong sub sup tt u".split())
+HOLDS_HTML = frozenset("foreignobject mtext mi mo mn ms desc title annotation-xml".split())
+SET_APART = frozenset("text mtr mtd".split())
 # What a start tag ends, if open, and the elements beyond which it does not look.
 IMPLIED_END = {
     "li": (frozenset({"li"}), LISTS | {"table", "td", "th"}),
@@ -51,9 +64,6 @@ IMPLIED_END["tbody"] = IMPLIED_END["tfoot"] = IMPLIED_END["colgroup"] = IMPLIED_
 _TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?>[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>", re.S)
 _CUT_OFF = re.compile(r"<[a-zA-Z/]")
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
-_HIDES = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
-_SELECTOR = re.compile(r"(?:([a-zA-Z][\w-]*)|\*)?((?:[.#][\w-]+)*)$")
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -133,6 +143,9 @@ def parse(page: str) -> Node:
                 continue
             if stack[-1].tag == "head" and tag not in UNSEEN | {"noscript"}:
                 cut(len(stack) - 1)
+            foreign = opened["svg"] or opened["math"]
+            if foreign and tag in ENDS_FOREIGN:
+                close(FOREIGN, HOLDS_HTML)
             if tag in CLOSES_P:
                 close(frozenset({"p"}), frozenset({"button", "table", "td", "th", "caption"}))
             if tag in IMPLIED_END:
@@ -141,49 +154,84 @@ def parse(page: str) -> Node:
                 push(Node("tr", {}))
             node = Node(tag, attributes)
             push(node)
-            if tag in RAW:
+            if tag in RAW and not (foreign and raw.endswith("/")):
                 over = re.compile(rf"</{tag}(?=[\s/>])[^>]*>?", re.I).search(page, at)
                 body = page[at:over.start()] if over else page[at:]
                 node.children.append(html.unescape(body) if tag in ("textarea", "title") else body)
                 at = over.end() if over else size
-            if tag in RAW or tag in VOID or (tag in ("svg", "math") and raw.endswith("/")):
+            if tag in RAW or tag in VOID or (raw.endswith("/") and (tag in FOREIGN or (foreign and not opened["foreignobject"]))):
                 cut(len(stack) - 1)
     return root
 
 
-def _hiding_rules(root: Node) -> list[tuple[str | None, frozenset[str], str | None]]:
-    """(tag, classes, id) of simple selectors that hide."""
-    rules, todo = [], [root]
+def _styles(root: Node) -> Styles:
+    """The style sheets of a page, in the order of the page."""
+    styles, todo = Styles(), [root]
     while todo:
         node = todo.pop()
         if node.tag == "style":
-            for selectors, body in _RULE.findall("".join(map(str, node.children))):
-                if _HIDES.search(body):
-                    for selector in selectors.split(","):
-                        if (m := _SELECTOR.fullmatch(selector.strip())) and m[0]:
-                            marks = re.findall(r"[.#][\w-]+", m[2] or "")
-                            ids = [x[1:] for x in marks if x[0] == "#"]
-                            rules.append((m[1] and m[1].lower(), frozenset(x[1:] for x in marks if x[0] == "."), ids[0] if ids else None))
-        todo += [child for child in node.children if isinstance(child, Node)]
-    return rules
-
-
-def _hidden(node: Node, rules) -> bool:
-    tag, attributes = node.tag, node.attributes
-    if tag in UNSEEN or (tag == "dialog" and "open" not in attributes):
+            styles.add("".join(map(str, node.children)), node.attributes.get("media", ""))
+        todo += [child for child in reversed(node.children) if isinstance(child, Node)]
+    return styles
+
+
+class _Sight:
+    """What can be seen where the walk is: one entry for each element it is inside of."""
+
+    def __init__(self, styles: Styles):
+        self._styles = styles
+        self._places = [Place()]
+        self._visible = [True]
+        self._drawn = [True]  # whether text shows here: not between the shapes of a drawing
+        self._foreign = [""]
+        self._next = (Place(), True, True, "")
+
+    def enters(self, node: Node) -> bool:
+        """Whether the element is displayed; sets what can be seen inside it."""
+        tag, attributes = node.tag, node.attributes
+        place, says = Place(), {}
+        if self._styles:
+            place, says = self._styles.meet(tag, attributes, self._places[-1])
+        elif "style" in attributes:
+            says = Styles().meet(tag, attributes, place)[1]
+        foreign = self._foreign[-1]
+        if tag in UNSEEN or (foreign and tag in FOREIGN_UNSEEN):
+            return False
+        if tag == "input" and attributes.get("type", "").lower() in ("hidden", "checkbox", "radio", "image", "file", "password"):
+            return False
+        if tag == "object" and attributes.get("data"):
+            return False
+        display = says.get("display", "revert")
+        if display == "none" or (
+            display.startswith("revert") and ("hidden" in attributes or (tag == "dialog" and "open" not in attributes))
+        ):
+            return False
+        said = says.get("visibility", "inherit")
+        visible = said in ("visible", "initial") or (self._visible[-1] and said not in ("hidden", "collapse"))
+        drawn = tag != "svg" and (self._drawn[-1] or tag in DRAWN_TEXT)
+        inside = tag if tag in FOREIGN else "" if tag == "foreignobject" else foreign
+        self._next = (place, visible, drawn, inside)
         return True
-    if tag == "input":
-        return attributes.get("type", "").lower() in ("hidden", "checkbox", "radio", "image", "file", "password")
-    if attributes:
-        if "hidden" in attributes or _HIDES.search(attributes.get("style", "")):
-            return True
-    if rules:
-        classes, own = frozenset(attributes.get("class", "").split()), attributes.get("id")
-        return any(
-            (rule[0] is None or rule[0] == tag) and rule[1] <= classes and (rule[2] is None or rule[2] == own)
-            for rule in rules
-        )
-    return False
+
+    @property
+    def visible_next(self) -> bool:
+        return self._next[1]
+
+    def enter(self) -> None:
+        for stack, value in zip((self._places, self._visible, self._drawn, self._foreign), self._next, strict=True):
+            stack.append(value)
+
+    def leave(self) -> None:
+        for stack in (self._places, self._visible, self._drawn, self._foreign):
+            stack.pop()
+
+    @property
+    def text(self) -> bool:
+        return self._visible[-1] and self._drawn[-1]
+
+    @property
+    def foreign(self) -> str:
+        return self._foreign[-1]
 
 
 class _Flow:
@@ -238,8 +286,39 @@ class _Flow:
 
 
 def _span(node: Node, name: str) -> int:
+    """Columns or rows a cell spans; no end (0) is as far as its group of rows goes."""
     value = node.attributes.get(name, "1").strip()
-    return min(max(int(value), 1), 1000) if value.isdecimal() else 1
+    if not value.isdecimal() or len(value) > 9:
+        return 1
+    return min(max(int(value), 1), 1000) if name == "colspan" else min(int(value) or 65534, 65534)
+
+
+def _placed(rows: list[list[tuple[str, int, int]] | None]) -> list[list[tuple[str, int]]]:
+    """Rows of (text, columns spanned), with empty texts where cells of rows above reach down.
+
+    None starts a group of rows, beyond which no cell reaches.
+    """
+    placed, taken = [], {}
+    for row in rows:
+        if row is None:
+            taken = {}
+            continue
+        out, column = [], 0
+        left = {at: rest - 1 for at, rest in taken.items() if rest > 1}
+        for text, columns, deep in row:
+            begin = column
+            while taken.get(column):
+                column += 1
+            if column > begin:
+                out.append(("", column - begin))
+            out.append((text, columns))
+            if deep > 1:
+                left |= dict.fromkeys(range(column, min(column + columns, ALIGNED)), deep - 1)
+            column += columns
+        if row:
+            placed.append(out)
+        taken = left
+    return placed
 
 
 def _table_lines(rows: list[list[tuple[str, int]]]) -> list[str]:
@@ -252,6 +331,15 @@ def _table_lines(rows: list[list[tuple[str, int]]]) -> list[str]:
             if span == 1 and widest <= WIDEST:
                 widths[column] = max(widths.get(column, 0), widest)
             column += span
+    for row in rows:
+        column = 0
+        for text, span in row:
+            if span > 1 and text:
+                widest = max(map(len, text.split("\n")))
+                short = widest - sum(widths.get(column + n, 0) for n in range(span)) - 2 * (span - 1)
+                if short > 0 and widest <= WIDEST:  # a spanning cell widens its last column
+                    widths[column + span - 1] = widths.get(column + span - 1, 0) + short
+            column += span
     lines = []
     for row in rows:
         cells = [(text.split("\n"), span) for text, span in row]
@@ -270,26 +358,34 @@ def render(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    rules = _hiding_rules(root)
+    sight = _Sight(_styles(root))
     flows, tables, lists, pre = [_Flow()], [], [], 0
     todo: list[tuple[Node | str, bool]] = [(root, False)]
     while todo:
         node, leaving = todo.pop()
         flow = flows[-1]
         if isinstance(node, str):
-            flow.raw(node) if pre else flow.inline(node)
+            if sight.text:
+                flow.raw(node) if pre else flow.inline(node)
             continue
         tag = node.tag
         if not leaving:
-            if _hidden(node, rules):
+            if not sight.enters(node):
                 continue
             children = node.children
             if tag == "br":
-                flow.end(keep=True)
+                if sight.visible_next:
+                    flow.end(keep=True)
                 continue
             if tag == "input":
-                flow.inline(node.attributes.get("value", "") or node.attributes.get("placeholder", ""))
+                if sight.visible_next:
+                    flow.inline(node.attributes.get("value", "") or node.attributes.get("placeholder", ""))
                 continue
+            sight.enter()
+            if sight.foreign and tag in SET_APART:
+                flow.inline(" ")
+            if tag in GROUPS and tables:
+                tables[-1][1].append(None)
             if tag == "details" and "open" not in node.attributes:
                 children = [c for c in children if isinstance(c, Node) and c.tag == "summary"][:1]
             if tag in ("td", "th"):
@@ -326,13 +422,19 @@ def render(page: str | None) -> str:
             todo.append((node, True))
             todo.extend((child, False) for child in reversed(children))
             continue
+        shown = sight.text
+        if sight.foreign and tag in SET_APART:
+            flow.inline(" ")
+        sight.leave()
         if tag in ("td", "th"):
             text = flows.pop().text()
-            if tables and tables[-1][1]:
-                tables[-1][1][-1].append((text, _span(node, "colspan")))
+            if tables and tables[-1][1] and tables[-1][1][-1] is not None:
+                tables[-1][1][-1].append((text, _span(node, "colspan"), _span(node, "rowspan")))
             else:
                 flows[-1].raw(text)
         elif tag == "tr":
+            if not shown and tables[-1][1][-1] and not any(text for text, _, _ in tables[-1][1][-1]):
+                tables[-1][1].pop()
             if "_own" in node.attributes:
                 _pour(flow, tables.pop()[1])
         elif tag == "table":
@@ -355,7 +457,7 @@ def render(page: str | None) -> str:
 
 def _pour(flow: _Flow, rows: list) -> None:
     flow.end()
-    for line in _table_lines([row for row in rows if row]):
+    for line in _table_lines(_placed(rows)):
         flow.raw(line)
         flow.end(keep=True)
 
@@ -363,7 +465,8 @@ def _pour(flow: _Flow, rows: list) -> None:
 def rendered(pages: DataFrame) -> DataFrame:
     """Per row: page_id, url, text, n_lines, n_chars. A null or empty page has an empty text.
 
-    Rows are kept as they come, repeated ones too.
+    Rows are kept as they come, repeated ones too; an empty table gives none. Further columns, whatever
+    their names, are not read. A page is laid out whole, however long, in memory that grows with it.
     """
     def lay_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_slices(batches, "html"):
