@@ -190,8 +190,13 @@ class _Sight:
         """Whether the element is displayed; sets what can be seen inside it."""
         tag, attributes = node.tag, node.attributes
         place, says = Place(), {}
+        if tag == "head":
+            return False
         if self._styles:
             place, says = self._styles.meet(tag, attributes, self._places[-1])
+            if len(self._places) == 1:  # the root stands for the body too
+                place, inner = self._styles.meet("body", attributes, place)
+                says |= inner
         elif "style" in attributes:
             says = Styles().meet(tag, attributes, place)[1]
         foreign = self._foreign[-1]
