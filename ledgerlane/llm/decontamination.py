@@ -4,11 +4,17 @@ Texts are compared by their letters and digits alone, lower-cased. An item of m
 differ in k = m // ``PER_EDIT`` of them. Cut into k + 1 pieces, at least one piece is then in the
 document unchanged; an automaton over all pieces finds those, and the distance of the whole item to
 the text around each hit decides.
+
+Matches of an item do not overlap. They are taken from the left: from the first place where an item
+ends within its budget, the end of the least distance no more than 2k characters on counts, and the
+search goes on behind it. An occurrence that overlaps none of the matches is therefore never left out.
+An item of fewer than ``PER_EDIT`` characters has no budget and must stand between word boundaries.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
@@ -17,10 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import pieces, text_slices
+from ledgerlane.llm.common import pieces, stored, text_slices
 
 PER_EDIT = 16
 ITEM_CHARS = 4 << 20  # characters of items that are searched for at once
+# Fixed ranges of scripts that write words without blanks: Thai to Lao, Burmese, Khmer, kana, Han.
+UNSPACED = (("\u0e00", "\u0eff"), ("\u1000", "\u109f"), ("\u1780", "\u17ff"), ("\u3040", "\u30ff"),
+            ("\u3400", "\u9fff"), ("\uf900", "\ufaff"), ("\U00020000", "\U0003ffff"))
 
 
 @functools.lru_cache(maxsize=1)
@@ -41,6 +50,11 @@ def squashed(text: str) -> tuple[str, np.ndarray]:
     return codes[places].astype("<u4").tobytes().decode("utf-32-le"), places
 
 
+def _one_word(before: str, after: str) -> bool:
+    """Whether no word boundary lies between two characters; scripts without blanks have one everywhere."""
+    return all(char.isalnum() and not any(low <= char <= high for low, high in UNSPACED) for char in (before, after))
+
+
 def _masks(pattern: str) -> dict[str, int]:
     masks: dict[str, int] = {}
     for k, char in enumerate(pattern):
@@ -48,18 +62,15 @@ def _masks(pattern: str) -> dict[str, int]:
     return masks
 
 
-def myers(pattern: str, text: str, anchored: bool = False, masks: dict[str, int] | None = None) -> tuple[int, int]:
-    """Least edit distance of the pattern to a part of the text, and the first place it ends at.
+def distances(pattern: str, text: Iterable[str], anchored: bool = False, masks: dict[str, int] | None = None) -> Iterator[int]:
+    """After each character of the text, the least edit distance of the pattern to a part that ends there.
 
     ``anchored``: the part starts with the text.
     """
-    if not pattern:
-        return 0, 0
     masks = _masks(pattern) if masks is None else masks
     every, high = (1 << len(pattern)) - 1, 1 << len(pattern) - 1
     up, down, score = every, 0, len(pattern)
-    best = (score, 0)
-    for k, char in enumerate(text, 1):
+    for char in text:
         equal = masks.get(char, 0)
         vertical = equal | down
         across = (((equal & up) + up) ^ up) | equal
@@ -70,15 +81,44 @@ def myers(pattern: str, text: str, anchored: bool = False, masks: dict[str, int]
             score -= 1
         rises, falls = (rises << 1 | anchored) & every, falls << 1 & every
         up, down = falls | (every & ~(vertical | rises)), rises & vertical
+        yield score
+
+
+def myers(pattern: str, text: str, anchored: bool = False, masks: dict[str, int] | None = None) -> tuple[int, int]:
+    """Least edit distance of the pattern to a part of the text, and the first place it ends at."""
+    if not pattern:
+        return 0, 0
+    best = (len(pattern), 0)
+    for k, score in enumerate(distances(pattern, text, anchored, masks), 1):
         if score < best[0]:
             best = (score, k)
     return best
 
 
+def occurrences(pattern: str, turned: str, text: str, edits: int, masks: dict[str, int]) -> Iterator[tuple[int, int, int]]:
+    """(distance, start, end) of the matches in a text, from the left; ``turned`` is the pattern reversed."""
+    begin = 0
+    while begin < len(text):
+        best, last = None, math.inf
+        for end, score in enumerate(distances(pattern, map(text.__getitem__, range(begin, len(text))), masks=masks), begin + 1):
+            if end > last:
+                break
+            if score <= edits and (best is None or score < best[0]):
+                last = min(last, end + 2 * edits)
+                best = (score, end)
+        if best is None:
+            return
+        distance, end = best
+        # The part that ends here is at most this long.
+        low = max(begin, end - len(pattern) - edits)
+        yield distance, end - myers(turned, text[low:end][::-1], anchored=True)[1], end
+        begin = end
+
+
 class Items:
-    """The pieces of some items in one automaton."""
+    """The pieces of some items in one automaton; items of fewer than ``least`` characters are left out."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], least: int = 1):
         self._items = []
         where: dict[str, list[tuple[int, int]]] = {}
         for item_id, text in items:
@@ -86,6 +126,8 @@ class Items:
             if not pattern:
                 continue
             edits = len(pattern) // PER_EDIT
+            if len(pattern) < least:
+                continue
             cuts = [len(pattern) * k // (edits + 1) for k in range(edits + 2)]
             for first, last in zip(cuts[:-1], cuts[1:], strict=True):
                 where.setdefault(pattern[first:last], []).append((len(self._items), first))
@@ -109,54 +151,73 @@ class Items:
         found = []
         for item, begins in starts.items():
             item_id, pattern, edits, masks, turned = self._items[item]
-            for low, high in _runs(sorted(begins), 2 * edits):
-                low, high = max(0, low - edits), high + len(pattern) + edits
-                window = plain[low:high]
-                distance, end = myers(pattern, window, masks=masks)
-                if distance <= edits:
-                    back = myers(turned, window[:end][::-1], anchored=True)[1]
-                    first, last = low + end - back, low + end - 1
-                    found.append((item_id, distance, int(places[first]), int(places[last]) + 1))
+            if not edits:
+                found += [(item_id, 0, *span) for span in _whole_words(text, places, sorted(begins), len(pattern))]
+                continue
+            for low, high in _windows(sorted(begins), edits, len(pattern)):
+                for distance, first, end in occurrences(pattern, turned, plain[low:high], edits, masks):
+                    found.append((item_id, distance, int(places[low + first]), int(places[low + end - 1]) + 1))
         return sorted(found)
 
 
-def _runs(places: list[int], gap: int) -> Iterator[tuple[int, int]]:
-    first = last = places[0]
-    for place in places[1:]:
-        if place - last > gap:
+def _whole_words(text: str, places: np.ndarray, begins: list[int], size: int) -> Iterator[tuple[int, int]]:
+    """Places in the text of exact hits that cut no word in two and do not overlap, from the left."""
+    free = 0
+    for begin in begins:
+        first, last = int(places[begin]), int(places[begin + size - 1]) + 1
+        cut = (first and _one_word(text[first - 1], text[first])) or (
+            last < len(text) and _one_word(text[last - 1], text[last])
+        )
+        if begin >= free and not cut:
+            free = begin + size
             yield first, last
-            first = place
-        last = place
-    yield first, last
+
+
+def _windows(begins: list[int], edits: int, size: int) -> Iterator[tuple[int, int]]:
+    """Stretches of text that hold every match of an item that would begin about these places, merged."""
+    low, high = max(0, begins[0] - edits), begins[0] + size + edits
+    for begin in begins[1:]:
+        if begin - edits >= high:
+            yield low, high
+            low = begin - edits
+        high = begin + size + edits
+    yield low, high
 
 
 def contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per match: doc_id, item_id, edits, start, end (code points, end exclusive).
 
-    Null and empty texts, on either side, match nothing. An item of fewer than ``PER_EDIT`` letters
-    and digits must occur unchanged. Repeated rows give repeated matches. Items are sent to the
-    tasks in blocks of ``ITEM_CHARS`` characters; every document meets every block.
+    Null and empty texts, on either side, match nothing; neither do empty tables. An item of fewer than
+    ``PER_EDIT`` letters and digits must occur unchanged, as whole words. Repeated documents give
+    repeated matches; a repeated item counts once. Texts are searched whole, however long. Further
+    columns are not read. Items are sent to the tasks in blocks of ``ITEM_CHARS`` characters (or one
+    item); every document meets every block, and one block is held at a time.
     """
     schema = "doc_id long, item_id long, edits int, start int, end int"
     found = None
-    for held in _blocks(benchmark):
-        part = documents.select("doc_id", "text").mapInArrow(functools.partial(_search, held), schema)
+    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    blocks, items = _blocks(benchmark)
+    for block in range(blocks):
+        held = _held(items, block)
+        part = texts.mapInArrow(functools.partial(_search, held), schema)
+        if blocks > 1:
+            part = stored(part, "benchmark-matches")
+            held.destroy()
         found = part if found is None else found.unionAll(part)
     return found
 
 
-def _blocks(benchmark: DataFrame) -> list:
-    """The items in broadcast blocks of bounded size; one empty block if there are none."""
-    items = benchmark.where("text is not null").select("item_id", "text")
+def _blocks(benchmark: DataFrame) -> tuple[int, DataFrame]:
+    """How many blocks there are, and the distinct items with the block each is dealt to by its hash."""
+    items = benchmark.where("text is not null and text != ''").select("item_id", "text").distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = pieces(total, ITEM_CHARS)
-    numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    return [
-        benchmark.sparkSession.sparkContext.broadcast(
-            [(row["item_id"], row["text"]) for row in numbered.where(F.col("block") == block).collect()]
-        )
-        for block in range(blocks)
-    ]
+    return blocks, items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
+
+
+def _held(items: DataFrame, block: int):
+    rows = items.where(F.col("block") == block).collect()
+    return items.sparkSession.sparkContext.broadcast([(row["item_id"], row["text"]) for row in rows])
 
 
 def _search(held, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,15 +237,25 @@ def _search(held, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
-def clean(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a benchmark passage, with all their columns."""
-    for held in _blocks(benchmark):
-        documents = documents.mapInArrow(functools.partial(_without, held), documents.schema)
+def clean(documents: DataFrame, benchmark: DataFrame, least: int = PER_EDIT) -> DataFrame:
+    """The documents without a benchmark passage, with all their columns.
+
+    Items of fewer than ``least`` letters and digits (answers such as "Yes.") are found by
+    ``contaminated`` but are no passage: any clean text may hold them, so they remove no document.
+    With several blocks of items what is left is stored after each.
+    """
+    blocks, items = _blocks(benchmark)
+    for block in range(blocks):
+        held = _held(items, block)
+        documents = documents.mapInArrow(functools.partial(_without, held, least), documents.schema)
+        if blocks > 1:
+            documents = stored(documents, "without-benchmark")
+            held.destroy()
     return documents
 
 
-def _without(held, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    items = Items(held.value)
+def _without(held, least: int, batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    items = Items(held.value, least)
     for piece in text_slices(batches):
         found = [not items.matches(text or "") for text in piece.column("text").to_pylist()]
         yield piece.filter(pa.array(found, pa.bool_()))
