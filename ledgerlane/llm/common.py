@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -137,5 +137,12 @@ def pieces(total: float, each: float) -> int:
     return max(1, math.ceil(total / each))
 
 
-def mapped(rows: DataFrame, step: Callable, schema: str) -> DataFrame:
-    return rows.mapInArrow(step, schema)
+def spare(columns: Iterable[str], *names: str) -> list[str]:
+    """The names, lengthened until none is a column's."""
+    taken, out = {column.lower() for column in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

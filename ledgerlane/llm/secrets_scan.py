@@ -1,10 +1,15 @@
 """Secrets in texts, weighed by who owns their copies; DataFrame functions alone.
 
 Candidates of three base kinds and of some further kinds are found by patterns. Places follow from
-the lengths of the matches and of the text between them. The hash of each candidate's value is
-counted by distinct repositories and owners over the whole corpus: a value that many owners hold is
-a copied example, one that few hold, in however many copies, and that looks random is live. Base spans are always reported;
-further kinds only where their value is live.
+the lengths of the matches and of the text between them. The digest of each candidate's value is
+counted by distinct repositories and owners over the whole corpus. A value is
+
+* an example if ``MANY_OWNERS`` owners hold it, or two owners in ``MANY_REPOSITORIES`` repositories;
+* live if it is none and looks random, in however many copies or repositories of one owner;
+* plain otherwise: a word, a number, a placeholder.
+
+Base spans are always reported; further kinds only where their value is live. Values are kept and
+joined as 128-bit digests and never stored in clear.
 """
 
 from __future__ import annotations
@@ -14,9 +19,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import stored
+from ledgerlane.llm.common import spare, stored
 
 MANY_OWNERS = 4
+MANY_REPOSITORIES = 50
+SALTS = 16  # ways a value or a row that fills a large part of the table is split
 REDACTED = "[secret]"
 
 
@@ -68,14 +75,20 @@ def _found(text: Column, order: int, kind: Kind) -> Column:
 
 
 def _mark() -> Column:
-    """A hash of a row's id and text, by which spans find their rows again."""
-    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
+    """A 128-bit digest of a row's id and text, by which spans find their rows again."""
+    return F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col("text"), F.lit(""))).cast("binary"))
+
+
+def _salted(few: DataFrame, salt: str) -> DataFrame:
+    """One row for each salt, to meet rows that were dealt over the salts."""
+    return few.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
 
 def candidates(documents: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """Per document (row) and match: row, doc_id, mark, kind, start, end, value, digest, owner, repository.
+    """Per document (row) and match: row, doc_id, mark, kind, start, end, digest, random, owner, repository.
 
-    Rows without a match stay once, with a null kind. Null texts are empty.
+    Rows without a match stay once, with a null kind. Null texts are empty. ``mark`` is null where a text
+    has nothing that a pattern could start with. ``random``: the value looks random.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     nothing = F.array().cast("array<struct<kind:int,number:int,gap:int,size:int,value:string>>")
@@ -83,11 +96,11 @@ def candidates(documents: DataFrame, owner: str = "source", repository: str = "d
     rows = (
         documents.select(
             F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
-            _mark().alias("mark"),
+            F.when(F.col("text").rlike(_HINT), _mark()).alias("mark"),
             F.col(owner).cast("string").alias("owner"), F.col(repository).cast("string").alias("repository"),
             text.alias("text"),
         )
-        .withColumn("found", F.when(F.col("text").rlike(_HINT), every).otherwise(nothing))
+        .withColumn("found", F.when(F.col("mark").isNotNull(), every).otherwise(nothing))
         .select("row", "doc_id", "mark", "owner", "repository", F.explode_outer("found").alias("found"))
         .select("row", "doc_id", "mark", "owner", "repository", "found.*")
     )
@@ -99,8 +112,9 @@ def candidates(documents: DataFrame, owner: str = "source", repository: str = "d
     # A dropped match must not take its document with it: its row stays without a kind.
     return placed.select(
         "row", "doc_id", "mark", "owner", "repository",
-        *[F.when(kept, F.col(c)).alias(c) for c in ("kind", "start", "end", "value")],
-        F.when(kept, F.xxhash64("value")).alias("digest"),
+        *[F.when(kept, F.col(c)).alias(c) for c in ("kind", "start", "end")],
+        F.when(kept, F.md5(F.col("value").cast("binary"))).alias("digest"),
+        F.when(kept, _random_looking(F.col("value"))).alias("random"),
     )
 
 
@@ -116,32 +130,41 @@ def _random_looking(value: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """Per digest of a value: distinct owners and repositories, and whether it counts as live."""
-    counted = found.where("kind is not null").groupBy("digest", "value").agg(
-        F.countDistinct("owner").alias("owners"), F.countDistinct("repository").alias("repositories")
+    """Per digest of a value: distinct owners and repositories, and whether it is an example or live."""
+    # Pairs are made distinct first: a value with a third of all rows is one row a task and owner.
+    held = found.where("kind is not null").groupBy("digest", "owner", "repository").agg(F.any_value("random").alias("random"))
+    by_owner = held.groupBy("digest", "owner").agg(
+        F.count("repository").alias("repositories"), F.any_value("random").alias("random")
+    )
+    counted = by_owner.groupBy("digest").agg(
+        F.count("owner").alias("owners"), F.sum("repositories").alias("repositories"),
+        F.any_value("random").alias("random"),
     )
-    # Copies by the same owners, in however many documents, do not make an example.
-    return counted.withColumn("live", (F.col("owners") < MANY_OWNERS) & _random_looking(F.col("value")))
+    spread = (F.col("owners") >= 2) & (F.col("repositories") >= MANY_REPOSITORIES)
+    example = (F.col("owners") >= MANY_OWNERS) | spread
+    return counted.select("digest", "owners", "repositories", example.alias("example"), (~example & F.col("random")).alias("live"))
 
 
 def weighed(documents: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """All candidates with owners, repositories and live; rows without any have a null kind."""
+    """All candidates with owners, repositories, example and live; rows without any have a null kind."""
     found = stored(candidates(documents, owner, repository), "secret-candidates")
-    counted = ownership(found).select("value", "owners", "repositories", "live")
     # Most rows have no candidate; they would all meet in one task of the join.
-    matched = found.where("value is not null").join(counted, "value", "left")
-    rest = found.where("value is null").withColumns({
+    dealt = found.where("digest is not null").withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
+    matched = dealt.join(_salted(ownership(found), "salt"), ["digest", "salt"], "left").drop("salt")
+    rest = found.where("digest is null").withColumns({
         "owners": F.lit(None).cast("long"), "repositories": F.lit(None).cast("long"),
-        "live": F.lit(None).cast("boolean"),
+        "example": F.lit(None).cast("boolean"), "live": F.lit(None).cast("boolean"),
     })
     return matched.unionByName(rest)
 
 
 def scan(documents: DataFrame, owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example.
+    """Per row: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, n_plain.
 
     A document without a match, with a null or an empty text has zero counts, the hash of an empty
-    string and an empty list. Repeated rows are reported as often as they occur.
+    string and an empty list; an empty table has no rows. Repeated rows are reported as often as they
+    occur. Texts are scanned whole, however long. Rows of a null owner or repository hold values of no
+    owner or repository, which are live if they look random. Further columns are not read.
     """
     base = sum(kind.base for kind in KINDS)
     name = F.element_at(F.array(*[F.lit(kind.name) for kind in KINDS]), F.col("kind") + 1)
@@ -158,7 +181,8 @@ def scan(documents: DataFrame, owner: str = "source", repository: str = "doc_id"
             F.sha2(said(F.collect_list(F.when(of_base, span))), 256).alias("base_sha256"),
             said(F.collect_list(F.when(of_base | live, span))).alias("spans"),
             F.count_if(F.col("kind").isNotNull() & live).alias("n_live"),
-            F.count_if(F.col("kind").isNotNull() & ~live).alias("n_example"),
+            F.count_if(F.coalesce("example", F.lit(False))).alias("n_example"),
+            F.count_if(F.col("kind").isNotNull() & ~live & ~F.coalesce("example", F.lit(False))).alias("n_plain"),
         )
         .drop("row")
     )
@@ -168,8 +192,10 @@ def redacted(documents: DataFrame, owner: str = "source", repository: str = "doc
     """The documents, with every live value's span replaced by ``REDACTED`` and n_chars to match.
 
     Overlapping spans are replaced as one. Copied examples stay as they are. Rows and columns stay
-    as they came, rows without a live secret unchanged.
+    as they came, whatever the columns' names, rows without a live secret unchanged. Texts that no
+    pattern could start in are not moved; the others meet their spans by a digest of id and text.
     """
+    mark, salt, held, cut = spare(documents.columns, "mark", "salt", "spans", "cut")
     live = weighed(documents, owner, repository).where("live")
     order = Window.partitionBy("row").orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
@@ -177,19 +203,22 @@ def redacted(documents: DataFrame, owner: str = "source", repository: str = "doc
         live.withColumn("new", F.when(F.col("start") < reach, 0).otherwise(1))
         .withColumn("island", F.sum("new").over(order))
         .groupBy("row", "mark", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .groupBy("row", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans__"))
-        .groupBy("mark").agg(F.any_value("__spans__").alias("__spans__"))  # equal texts have equal spans
-        .withColumnRenamed("mark", "__mark__")
+        .groupBy("row", "mark").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias(held))
+        .groupBy("mark").agg(F.any_value(held).alias(held))  # equal texts have equal spans
+        .withColumnRenamed("mark", mark)
     )
-    text = F.col("text")
-    ends = F.concat(F.array(F.lit(0)), F.col("__spans__.end"))
-    begins = F.concat(F.col("__spans__.start"), F.array(F.length(text)))
+    text, hinted = F.col("text"), F.coalesce(F.col("text").rlike(_HINT), F.lit(False))
+    ends = F.concat(F.array(F.lit(0)), F.col(f"{held}.end"))
+    begins = F.concat(F.col(f"{held}.start"), F.array(F.length(text)))
     between = F.transform(F.arrays_zip(ends.alias("a"), begins.alias("b")), lambda x: F.substring(text, x["a"] + 1, x["b"] - x["a"]))
-    new = F.when(F.col("__spans__").isNull(), text).otherwise(F.array_join(between, REDACTED))
-    columns = [F.col(f"`{name}`") for name in documents.columns]
-    joined = documents.withColumn("__mark__", _mark()).join(spans, "__mark__", "left").withColumn("__new__", new)
-    replaced = {"text": F.col("__new__"), "n_chars": F.when(F.col("__spans__").isNull(), F.col("n_chars")).otherwise(F.length("__new__")).cast("long")} if "n_chars" in documents.columns else {"text": F.col("__new__")}
-    return joined.select(*[
-        replaced[name].alias(name) if name in replaced else column
-        for name, column in zip(documents.columns, columns, strict=True)
-    ])
+    kept = F.col(held).isNull()
+    columns = {name: F.col(f"`{name}`") for name in documents.columns}
+    replaced = {"text": F.col(cut)}
+    if "n_chars" in columns:
+        replaced["n_chars"] = F.when(kept, F.col("n_chars")).otherwise(F.length(cut)).cast(documents.schema["n_chars"].dataType)
+    dealt = documents.where(hinted).withColumn(mark, _mark()).withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    met = dealt.join(_salted(spans, salt), [mark, salt], "left")
+    changed = met.withColumn(cut, F.when(kept, text).otherwise(F.array_join(between, REDACTED))).select(
+        *[replaced.get(name, column).alias(name) for name, column in columns.items()]
+    )
+    return documents.where(~hinted).unionAll(changed)

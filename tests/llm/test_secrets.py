@@ -103,3 +103,29 @@ def test_many_documents_of_one_owner_do_not_make_an_example(docs):
 def test_short_passwords_can_be_live(docs):
     found = secrets_scan.scan(docs((1, "https://bob:x7Kq2p@host/"), (2, "password=required"), (3, "https://eve:aaa111@host/")))
     assert {row["doc_id"]: row["n_live"] for row in found.collect()} == {1: 1, 2: 0, 3: 0}
+
+
+def test_three_classes_and_the_edges_of_the_rule(docs):
+    """Four owners, or two owners in fifty repositories, make an example; one owner never does."""
+    value = [f"https://bob:pa55w0rd{k}xz@host/" for k in range(5)]
+    rows_ = [(k, value[0], "en", f"s{k % 3}") for k in range(49)]  # three owners, too few repositories
+    rows_ += [(100 + k, value[1], "en", f"s{k % 2}") for k in range(50)]  # two owners, fifty repositories
+    rows_ += [(200 + k, value[2], "en", f"s{k % 4}") for k in range(4)]  # four owners
+    rows_ += [(300 + k, value[3], "en", "s0") for k in range(90)]  # one owner
+    rows_ += [(400, "password=required", "en", "s0"), (401, value[4], "en", None)]
+    found = {row["doc_id"]: (row["n_live"], row["n_example"], row["n_plain"]) for row in secrets_scan.scan(docs(*rows_)).collect()}
+    want_ = {0: (1, 0, 0), 100: (0, 1, 0), 200: (0, 1, 0), 300: (1, 0, 0), 400: (0, 0, 1), 401: (1, 0, 0)}
+    assert {k: found[k] for k in want_} == want_
+
+
+def test_no_value_is_stored_in_clear(docs):
+    found = secrets_scan.candidates(docs((1, f"token={KEY}")))
+    assert KEY not in str(found.collect())
+
+
+def test_redacted_keeps_columns_of_any_name(docs):
+    frame = docs((1, f"token={KEY}"), (2, "no")).toDF("doc_id", "text", "lang", "source", "n_chars", "spans", "mark", "salt")
+    found = secrets_scan.redacted(frame)
+    assert found.schema == frame.schema
+    assert sorted(tuple(row) for row in found.collect()) == [
+        (1, "[secret]", "en", "a", 8, 0.5, "x", "y"), (2, "no", "en", "a", 2, 0.5, "x", "y")]
