@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlane.llm import byte_bpe, decontamination, language_id, secrets_scan, simhash
-from ledgerlane.llm.common import held_out, work_folder
+from ledgerlane.llm.common import held_out, spare, work_folder
 
 LEAST_COSINE = 0.05
 
@@ -19,11 +19,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     letter sequences like none of the languages learned.
     """
     known = language_id.prototypes(docs.where(~held_out("doc_id", 4, 2)))
-    found = language_id.with_language(docs, known, "__predicted__", "__cosine__")
-    certain = F.col("__cosine__") >= LEAST_COSINE
-    kept = found.where((F.col("__predicted__") != language_id.UNDETERMINED) & certain)
+    predicted, cosine = spare(docs.columns, "predicted", "cosine")
+    found = language_id.with_language(docs, known, predicted, cosine)
+    kept = found.where((F.col(predicted) != language_id.UNDETERMINED) & (F.col(cosine) >= LEAST_COSINE))
     return kept.select(*[
-        F.col("__predicted__").alias("lang") if name == "lang" else F.col(f"`{name}`") for name in docs.columns
+        F.col(predicted).alias("lang") if name == "lang" else F.col(f"`{name}`") for name in docs.columns
     ])
 
 
