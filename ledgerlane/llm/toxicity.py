@@ -3,8 +3,12 @@
 Per text: densities of three fixed word lists and of a list learned from the training labels, how
 often a listed word stands near the second person, and the rates of capitals, punctuation, digits
 and disguised spellings. Trees are grown on histograms of at most ``FIT_ROWS`` labelled training
-rows, the only bound here, while the learned list is counted over all of them; predictions of rows a
-fold did not see calibrate the score.
+rows, the only bound here, while the learned list is counted over all of them.
+
+Labelled texts are dealt to ``FOLDS`` folds by a hash of the id (copies with other ids may be in others,
+which lets a few texts be learned at all). The features a tree
+or the calibration sees of a labelled text use the list learned without that text's fold, and
+predictions of rows a fold did not see calibrate the score. Other texts use the list of all folds.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from ledgerlane.llm.common import chunked, text_slices, utf8
 FIT_ROWS = 20_000
 #: Copies of the labels of an id, so that rows of a repeated id are dealt to as many tasks.
 SALTS = 8
+FOLDS = 3
 NEAR = 5
 THRESHOLD = 0.3
 
@@ -244,14 +249,14 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array(centres), np.array(means)
 
 
-def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, rate: float = 0.1, folds: int = 3) -> Forest:
+def fit(x: np.ndarray, y: np.ndarray, fold: np.ndarray | None = None, trees: int = 80, rate: float = 0.1) -> Forest:
     """Trees on all given rows, calibrated on predictions of rows left out fold by fold."""
     if not len(y) or y.min() == y.max():
         constant = float(y.mean()) if len(y) else 0.0
         return Forest(*(np.zeros((0, 7)), np.zeros((0, 7)), np.zeros((0, 8))), 0.0, np.array([0.0]), np.array([constant]))
-    fold = np.arange(len(y)) % folds
+    fold = np.arange(len(y)) % FOLDS if fold is None else fold
     raw = np.zeros(len(y))
-    for k in range(folds):
+    for k in range(FOLDS):
         inside, outside = fold != k, fold == k
         if outside.any() and inside.any():
             raw[outside] = Forest(*_grow(x[inside], y[inside], trees, rate), np.zeros(1), np.zeros(1)).raw(x[outside])
@@ -259,10 +264,11 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, rate: float = 0.1, folds:
     return Forest(*_grow(x, y, trees, rate), at, steps)
 
 
-def learned_words(rows: DataFrame) -> dict[str, float]:
-    """Log-odds of all words that surely speak for label 1, from (text, toxic) rows.
+def learned_words(rows: DataFrame) -> list[dict[str, float]]:
+    """Log-odds of all words that surely speak for label 1, from (text, toxic, fold) rows.
 
-    Fewer than five documents of that label are too few for the test of their share.
+    The first list is learned from all rows, the others from all but those of fold 0, 1 and so on. Fewer
+    than five documents of that label are too few for the test of their share.
     """
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in text_slices(batches):
@@ -273,26 +279,39 @@ def learned_words(rows: DataFrame) -> dict[str, float]:
             )
             row_of = np.repeat(np.arange(piece.num_rows), np.diff(first))
             pairs = np.unique(row_of * (len(plain) + 1) + number[numbers]) if len(numbers) else np.empty(0, np.int64)
-            toxic = piece.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[pairs // (len(plain) + 1)]
-            n = np.bincount(pairs % (len(plain) + 1), minlength=len(plain))
-            ones = np.bincount(pairs % (len(plain) + 1), toxic, minlength=len(plain)).astype(np.int64)
+            row, word = pairs // (len(plain) + 1), pairs % (len(plain) + 1)
+            key = word * FOLDS + piece.column("fold").to_numpy(zero_copy_only=False)[row]
+            toxic = piece.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)[row]
+            n = np.bincount(key, minlength=len(plain) * FOLDS)
+            ones = np.bincount(key, toxic, minlength=len(plain) * FOLDS).astype(np.int64)
+            held = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(plain), pa.string()), pa.array(n[:len(plain)], pa.int64()), pa.array(ones[:len(plain)])],
-                names=["word", "n", "ones"],
+                [pa.array(list(plain), pa.string()).take(pa.array(held // FOLDS)), pa.array((held % FOLDS).astype(np.int32)),
+                 pa.array(n[held], pa.int64()), pa.array(ones[held])],
+                names=["word", "fold", "n", "ones"],
             )
 
-    base = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("ones")).first()
-    if not base["n"] or not base["ones"]:
-        return {}
-    share = base["ones"] / base["n"]
-    counted = rows.mapInArrow(count, "word string, n long, ones long").where("word != ''")
-    counted = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"))
-    rise = F.log((F.col("ones") + 0.5 * share) / (F.col("n") - F.col("ones") + 0.5 * (1 - share))) - F.lit(float(np.log(share / (1 - share))) if share < 1 else 0.0)
-    sure = (F.col("ones") - F.col("n") * share) / F.sqrt(F.col("n") * max(share * (1 - share), 1e-9))
-    best = (
-        counted.where("ones >= 5").withColumns({"rise": rise, "sure": sure}).where("sure > 5 and rise > 1").collect()
-    )
-    return {row["word"]: float(row["rise"]) for row in best}
+    base = {row["fold"]: (row["n"], row["ones"]) for row in rows.groupBy("fold").agg(F.count("*").alias("n"), F.sum("toxic").alias("ones")).collect()}
+    counted = rows.mapInArrow(count, "word string, fold int, n long, ones long").where("word != ''")
+    of_fold = lambda column, k: F.sum(F.when(F.col("fold") == k, F.col(column)).otherwise(0)).alias(f"{column}{k}")
+    counted = counted.groupBy("word").agg(*[of_fold(column, k) for column in ("n", "ones") for k in range(FOLDS)])
+
+    def rise(left_out: int) -> Column:
+        """The log-odds of a word if they are sure without one fold (-1: with all), else null."""
+        used = [k for k in range(FOLDS) if k != left_out]
+        rows_, toxic = (sum(base.get(k, (0, 0))[i] for k in used) for i in (0, 1))
+        share = toxic / rows_ if rows_ else 0.0
+        if not 0 < share < 1:
+            return F.lit(None).cast("double")
+        n, ones = (sum(F.col(f"{column}{k}") for k in used) for column in ("n", "ones"))
+        odds = F.log((ones + 0.5 * share) / (n - ones + 0.5 * (1 - share))) - F.lit(float(np.log(share / (1 - share))))
+        sure = (ones - n * share) / F.sqrt(n * max(share * (1 - share), 1e-9))
+        return F.when((ones >= 5) & (sure > 5) & (odds > 1), odds)
+
+    rises = {f"rise{k}": rise(k) for k in range(-1, FOLDS)}
+    best = counted.select("word", *[column.alias(name) for name, column in rises.items()])
+    best = best.where(F.coalesce(*[F.col(name) for name in rises]).isNotNull()).collect()
+    return [{row["word"]: float(row[name]) for row in best if row[name] is not None} for name in rises]
 
 
 def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[Forest, dict[str, float]]:
@@ -300,7 +319,8 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
 
     Labelled documents are taken in the order of a hash of the id, then of the features. Rows with one
     id and equal features count once in the trees, however often they come. Labels without a document
-    take no place. Texts meet the labels by one kind of join at every size.
+    take no place. Texts meet the labels by one kind of join at every size. Without labels of both kinds
+    every score is the share of label 1, or zero. Texts are measured whole.
     """
     labelled = (
         labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -309,31 +329,40 @@ def train(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) ->
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     met = labelled.join(documents.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = met.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(FOLDS)), F.lit(FOLDS)).cast("int").alias("fold")
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic", fold)
     salted = labelled.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("shuffle_hash")
     dealt = texts.withColumn("salt", F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int"))
-    learned = learned_words(dealt.join(salted, ["doc_id", "salt"]).select("text", "toxic"))
+    learned = learned_words(dealt.join(salted, ["doc_id", "salt"]).select("text", "toxic", fold))
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words(learned)
-        for piece in text_slices(batches):
-            x = features(piece.column("text"), words)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id").cast(pa.int64()), piece.column("toxic"),
-                 pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))],
-                names=["doc_id", "toxic", "x"],
-            )
-
-    measured = rows.mapInArrow(measure, "doc_id long, toxic int, x array<float>").distinct()
-    bounded = measured.orderBy(F.xxhash64("doc_id"), "doc_id", "x").limit(fit_rows)
+        words = [_Words(without) for without in learned[1:]]
+        for whole in text_slices(batches):
+            of = whole.column("fold").to_numpy(zero_copy_only=False)
+            for k in np.unique(of).tolist():
+                piece = whole.filter(pa.array(of == k))
+                x = features(piece.column("text"), words[k])
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("doc_id").cast(pa.int64()), piece.column("toxic"), piece.column("fold"),
+                     pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float32()))],
+                    names=["doc_id", "toxic", "fold", "x"],
+                )
+
+    measured = rows.mapInArrow(measure, "doc_id long, toxic int, fold int, x array<float>").distinct()
+    bounded = measured.orderBy(F.xxhash64("doc_id"), "doc_id", "x", "fold").limit(fit_rows)
     table = bounded.toArrow()
     x = table.column("x").combine_chunks()
     x = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)).astype(np.float64)
-    return fit(x, table.column("toxic").to_numpy().astype(np.float64)), learned
+    y, fold_of = table.column("toxic").to_numpy().astype(np.float64), table.column("fold").to_numpy()
+    return fit(x, y, fold_of), learned[0]
 
 
 def scored(documents: DataFrame, forest: Forest, learned: dict[str, float], threshold: float = THRESHOLD) -> DataFrame:
-    """Per row: doc_id, score, predicted (1 if score >= threshold). Null texts score as empty ones."""
+    """Per row: doc_id, score, predicted (1 if score >= threshold). Null texts score as empty ones.
+
+    Repeated rows are scored as often as they come, an empty table gives no rows, equal scores are equal
+    predictions. Texts are measured whole, however long; further columns are not read.
+    """
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _Words(learned)
         for piece in text_slices(batches):

@@ -88,3 +88,21 @@ def test_an_id_with_a_third_of_the_rows(spark, docs):
     assert learned and 0 <= forest.score(np.zeros((1, len(toxicity.FEATURES))))[0] <= 1
     rows = toxicity.toxicity(frame, labels, F.lit(False)).collect()
     assert len(rows) == 118 and all(row["predicted"] == row["doc_id"] % 2 for row in rows)
+
+
+def test_lists_without_a_fold_have_not_seen_its_labels(spark):
+    """As if each list were learned alone, by brute force over the other folds' rows."""
+    rows = [(f"bad{'abc'[k % 3]} thing", int(k % 4 == 0), k % 3) for k in range(240)]
+    rows += [("only here", 1, 1)] * 30 + [("good thing", 0, k % 3) for k in range(90)]
+    frame = spark.createDataFrame(rows, "text string, toxic int, fold int")
+    lists = toxicity.learned_words(frame)
+    assert len(lists) == toxicity.FOLDS + 1
+    assert "only" in lists[0] and "only" in lists[1] and "only" in lists[3] and "only" not in lists[2]
+    for k in range(toxicity.FOLDS):
+        alone = toxicity.learned_words(frame.where(F.col("fold") != k))
+        assert lists[k + 1] == alone[0]
+
+
+def test_fits_with_one_fold_only():
+    x, y = np.random.default_rng(1).random((40, 3)), np.arange(40) % 2.0
+    assert 0 <= toxicity.fit(x, y, np.zeros(40, np.int64)).score(x).min() <= 1
