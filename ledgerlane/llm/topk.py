@@ -65,19 +65,27 @@ class ImpactIndex:
             waiting = _Waiting(self.dim[order], reach[order], len(query))
             # what adding up a row's impacts in doubles may be off by
             inexact = 2.0**-50 * len(query) * float(waiting.after(0).sum())
-            starts, rows = self.starts, self.rows
-            for at, segment in enumerate(order.tolist(), 1):
-                total[rows[starts[segment]:starts[segment + 1]]] += impact[segment]
-                if at % _TEST_EVERY == 0 or at == len(order):
-                    slack = float(np.maximum(waiting.after(at), least).sum()) * (1 + 1e-9) + 1e-6 + inexact
-                    some = total[kept]
-                    bound = np.partition(some, len(some) - k)[len(some) - k] - 2 * slack
-                    near = kept[some >= bound]
-                    if len(near) <= RESCORED or at == len(order):
-                        kept = near
-                        break
+            for low in range(0, len(order), _TEST_EVERY):
+                at = min(low + _TEST_EVERY, len(order))
+                rows, added = self._postings(order[low:at], impact)
+                total += np.bincount(rows, added, minlength=len(total))
+                slack = float(np.maximum(waiting.after(at), least).sum()) * (1 + 1e-9) + 1e-6 + inexact
+                some = total[kept]
+                bound = np.partition(some, len(some) - k)[len(some) - k] - 2 * slack
+                near = kept[some >= bound]
+                if len(near) <= RESCORED or at == len(order):
+                    kept = near
+                    break
         return kept, products(self.vectors[kept], query)
 
+    def _postings(self, segments: np.ndarray, impact: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The rows of some segments one after another, each with its segment's impact."""
+        begins = self.starts[segments]
+        sizes = self.starts[segments + 1] - begins
+        ends = np.cumsum(sizes)
+        places = np.arange(sizes.sum()) + np.repeat(begins - ends + sizes, sizes)
+        return self.rows[places], np.repeat(impact[segments], sizes)
+
 
 def products(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     """Exact inner products; an array of Python's whole numbers where 64 bits may be too few."""

@@ -102,3 +102,16 @@ def test_stops_before_all_rows_are_rescored():
     vectors = (draw.standard_normal((8000, 32)) * 128).astype(np.int64)
     rows, _ = ImpactIndex(vectors).search(vectors[0], 10, np.ones(8000, bool))
     assert len(rows) <= topk.RESCORED
+
+
+def test_postings_of_a_batch_are_added_up_at_once():
+    draw = np.random.default_rng(6)
+    index = ImpactIndex((draw.standard_normal((500, 8)) * 128).astype(np.int64))
+    segments = draw.permutation(len(index.dim))[:50]
+    impact = draw.standard_normal(len(index.dim))
+    rows, added = index._postings(segments, impact)
+    expected = np.zeros(500)
+    for segment in segments:
+        expected[index.rows[index.starts[segment]:index.starts[segment + 1]]] += impact[segment]
+    assert np.allclose(np.bincount(rows, added, minlength=500), expected)
+    assert [len(part) for part in index._postings(segments[:0], impact)] == [0, 0]
