@@ -138,6 +138,11 @@ RELATIONSHIPS = (
     ("item_sk", "dim_items", "item_sk"),
 )
 
+#: Fact columns that the relationship checks read, and those that any check reads.
+KEY_COLUMNS = tuple(column for column, _, _ in RELATIONSHIPS)
+_FACT = "fct_purchase_order_lines"
+FACT_CHECKED = tuple(dict.fromkeys((*UNIQUE[_FACT], *NOT_NULL[_FACT], *ACCEPTED[_FACT], *KEY_COLUMNS)))
+
 # Allowed sizes of the marts on the reference data set.
 SMOKE_BOUNDS = {
     "dim_date rows": (3652, 3652),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.operators import dimensions, history, lifecycle, snapshot, staging, tracking
 from ledgerlane.schemas import BUCKET_KEYS, LOAD_ORDER
-from ledgerlane.sources.layers import MARTS, RAW, SCRATCH, LayerStore, shared_folder
+from ledgerlane.sources.layers import MARTS, RAW, SCRATCH, LayerStore, deal_for, shared_folder
 from ledgerlane.sources.sample import SampleTables
 
 FACT = "fct_purchase_order_lines"
@@ -44,9 +44,10 @@ class Marts:
 class Warehouse:
     """Raw tables, staging views and marts over one source.
 
-    With a store, raw tables and marts are written once, on first use, and read back from then on;
-    staging and lifecycle stay plans. Without one everything stays a plan. ``keep_raw`` is off for
-    a source that is stored already.
+    With a store, raw tables and dimensions are written once, on first use, and read back from then on;
+    staging and lifecycle stay plans, and so does the fact until ``update_fact`` stores it: a report
+    reads few of its columns, and only these are moved. Without a store everything stays a plan.
+    ``keep_raw`` is off for a source that is stored already.
     """
 
     def __init__(self, spark: SparkSession, source: Source, store: LayerStore | None = None, *,
@@ -223,11 +224,18 @@ class Warehouse:
         m.fact.createOrReplaceTempView("fct_purchase_order_lines")
 
     def fact(self) -> DataFrame:
-        stored = self._kept(MARTS, FACT, lambda: self.fact_sources().fact(), FACT_PARTITIONS)
-        return stored.select(*snapshot.FACT_COLUMNS)
-
-    def marts(self) -> Marts:
-        return Marts(self.dates(), self.departments(), self.items(), self.vendors(), self.fact())
+        """The fact as it is stored, or a plan from which readers take the columns they name."""
+        if self._store is not None and self._store.written(MARTS, FACT):
+            return self._store.read(MARTS, FACT).select(*snapshot.FACT_COLUMNS)
+        return self.build_fact()
+
+    def marts(self, several_scans: Sequence[str] = ()) -> Marts:
+        """What reports read. With ``several_scans`` the fact has these columns alone and is stored
+        before it is read, for readers that scan it more than once."""
+        fact = self.fact()
+        if several_scans:
+            fact = self.keep("fact_columns", fact.select(*several_scans))
+        return Marts(self.dates(), self.departments(), self.items(), self.vendors(), fact)
 
     def discard(self) -> None:
         """Delete the stored tables; they are written again on their next use."""
@@ -248,7 +256,7 @@ def sample_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     application = spark.sparkContext.applicationId
     if (application, folder) not in _warehouses:
         root = f"{shared_folder(spark)}/ledgerlane-{application}/{len(_warehouses)}"
-        _warehouses[application, folder] = Warehouse(
-            spark, SampleTables(spark, folder).table, LayerStore(spark, root, transient=True)
-        )
+        tables = SampleTables(spark, folder)
+        deal_for(spark, tables.rows())
+        _warehouses[application, folder] = Warehouse(spark, tables.table, LayerStore(spark, root, transient=True))
     return _warehouses[application, folder]

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
-from ledgerlane.plans.warehouse import Warehouse, sample_warehouse
+from ledgerlane.plans.warehouse import FACT, Warehouse, sample_warehouse
+from ledgerlane.sources.layers import MARTS, LayerStore
 from ledgerlane.sources.sample import SampleTables
 from tests.conftest import SAMPLE
 
@@ -114,3 +115,24 @@ def test_without_a_store_the_plan_runs_from_the_given_tables(spark):
     stored = sample_warehouse(spark, SAMPLE)
     assert lazy.fact().exceptAll(stored.fact()).count() == 0
     assert lazy.fact().count() == stored.fact().count()
+
+
+def test_lines_are_moved_to_their_order_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lazy = Warehouse(spark, SampleTables(spark, SAMPLE).table)
+        plan = lazy.raw("purchase_order_lines")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2  # the lines and the orders
+    assert "l_linenumber" not in plan.split("Exchange hashpartitioning(")[1].split(")")[0]
+
+
+def test_reports_store_no_fact_and_checks_the_columns_they_scan(spark, tmp_path):
+    store = LayerStore(spark, str(tmp_path / "s"))
+    warehouse = Warehouse(spark, SampleTables(spark, SAMPLE).table, store)
+    assert registered.monthly_order_value(warehouse.marts()).count() == 80
+    assert not store.exists(MARTS, FACT)
+    kept = warehouse.marts(registered.checks.KEY_COLUMNS).fact
+    assert kept.columns == list(registered.checks.KEY_COLUMNS)
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()

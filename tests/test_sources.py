@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.plans.ingest import REJECTED, TooManyBadRows, export_csv, ingest, load_table
 from ledgerlane.schemas import INGESTED_AT, LOAD_ORDER, RAW_SCHEMAS
+from ledgerlane.sources import layers
 from ledgerlane.sources.csv_files import CORRUPT, infer_types, nan_to_null, read_csv
 from ledgerlane.sources.layers import RAW, Conflict, LayerStore
 
@@ -266,3 +267,19 @@ def test_a_load_that_is_mostly_bad_is_not_shown(spark, file, tmp_path, bad, show
             load()
     assert store.read(RAW, "departments").count() == (99 if shown else 1)
     assert store.read(REJECTED, "departments").count() == bad
+
+
+def test_shuffles_and_buckets_grow_with_the_largest_table(spark, tmp_path):
+    try:
+        layers.deal_for(spark, 100)
+        assert layers.shuffle_partitions(spark) == 4
+        layers.deal_for(spark, 20 * layers.TASK_ROWS + 1)
+        assert layers.shuffle_partitions(spark) == 21
+        layers.deal_for(spark, 100)
+        store = LayerStore(spark, str(tmp_path / "s"))
+        store.write("raw", "t", spark.range(100), bucket_key="id")
+        assert store._state("raw", "t")["buckets"] == [21, "id"]
+        assert store.read("raw", "t").count() == 100
+        assert list((tmp_path / "s").rglob("*.zstd.parquet"))
+    finally:
+        spark.conf.unset(layers._FIRST_PARTITIONS)
