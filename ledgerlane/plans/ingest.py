@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import time
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.schemas import BUCKET_KEYS, LOAD_ORDER, RAW_SCHEMAS
 from ledgerlane.sources.csv_files import CORRUPT, nan_to_null, read_csv, with_ingest_time, write_csv
-from ledgerlane.sources.layers import RAW, LayerStore
+from ledgerlane.sources.layers import RAW, SCRATCH, LayerStore
 
 SUMMARY = "table string, rows long, bad_rows long, status string, elapsed_s double"
 
@@ -29,6 +32,23 @@ def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
         write_csv(rows.select(*RAW_SCHEMAS[name].fieldNames()), f"{folder}/{name}.csv")
 
 
+_LONGEST_METHOD = "spark.sql.codegen.hugeMethodLimit"
+
+
+@contextmanager
+def _short_methods(spark: SparkSession) -> Iterator[None]:
+    """Have Spark deal a stage over methods that the JVM compiles, which it leaves out above 8,000 bytes.
+
+    The casts and checks of a table's cells come to more in one method and would be interpreted.
+    """
+    before = spark.conf.get(_LONGEST_METHOD)
+    spark.conf.set(_LONGEST_METHOD, 8000)
+    try:
+        yield
+    finally:
+        spark.conf.set(_LONGEST_METHOD, before)
+
+
 def load_table(
     spark: SparkSession, store: LayerStore, folder: str, table: str, loaded: datetime, *,
     keep_bad_rows: bool = False, multi_line: bool = False, most_bad: float = 1.0,
@@ -38,9 +58,9 @@ def load_table(
     With ``keep_bad_rows`` rows that do not fit go to the layer ``rejected`` instead of failing the
     load, and the summary counts them. If they are more than the share ``most_bad`` of all rows the
     load fails before it is visible; the rows set aside can be looked at all the same. Both counts are
-    taken while writing.
+    taken while writing. The file is parsed once: its rows are stored and dealt to both layers from there.
     """
-    started = time.perf_counter()
+    started, parsed = time.perf_counter(), f"{SCRATCH}/{uuid.uuid4().hex}"
     try:
         rows = read_csv(spark, f"{folder}/{table}.csv", RAW_SCHEMAS[table],
                         keep_bad_rows=keep_bad_rows, multi_line=multi_line)
@@ -49,16 +69,22 @@ def load_table(
             raise
         return table, 0, 0, "SKIPPED", 0.0
     bad = 0
-    if keep_bad_rows:
-        unfit = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-        bad = store.write(REJECTED, table, with_ingest_time(unfit, loaded))
-        rows = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    with store.held(RAW):
-        count = store.write(
-            RAW, table, with_ingest_time(nan_to_null(rows), loaded), bucket_key=BUCKET_KEYS.get(table)
-        )
-        if bad > most_bad * (bad + count):
-            raise TooManyBadRows(f"{table}: {bad} of {bad + count} rows do not fit")
+    try:
+        if keep_bad_rows:
+            with _short_methods(spark):
+                store.write(parsed, table, rows)
+            rows = store.read(parsed, table)
+            unfit = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+            bad = store.write(REJECTED, table, with_ingest_time(unfit, loaded))
+            rows = rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        with store.held(RAW):
+            count = store.write(
+                RAW, table, with_ingest_time(nan_to_null(rows), loaded), bucket_key=BUCKET_KEYS.get(table)
+            )
+            if bad > most_bad * (bad + count):
+                raise TooManyBadRows(f"{table}: {bad} of {bad + count} rows do not fit")
+    finally:
+        store.drop(parsed)
     return table, count, bad, "OK", round(time.perf_counter() - started, 2)
 
 

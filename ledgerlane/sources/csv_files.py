@@ -59,14 +59,16 @@ def read_csv(
     }
     if multi_line:
         found = read_records(spark, path, texts.fieldNames())
-        cells = F.from_csv("record", ", ".join(f"`{f.name}` string" for f in read.fields), options).alias("cells")
+        # taken out of an array, cells are no expression that a filter above is written out in: a record
+        # would be parsed again for each time its cells are named
+        cells = F.inline(F.array(F.from_csv("record", ", ".join(f"`{f.name}` string" for f in read.fields), options)))
         open_end = F.concat(F.lit("quotes do not pair up: "), F.substring("record", 1, 200))
         if keep_bad_rows:
-            rows = found.select(cells, F.when(~F.col("whole"), open_end).alias("_open")).select("cells.*", "_open")
+            rows = found.select(cells, F.when(~F.col("whole"), open_end).alias("_open"))
             rows = rows.withColumn(CORRUPT, F.coalesce("_open", CORRUPT)).drop("_open")
         else:
             sure = F.when(F.col("whole"), True).otherwise(F.raise_error(open_end).cast("boolean"))
-            rows = found.where(sure).select(cells).select("cells.*")
+            rows = found.where(sure).select(cells)
     else:
         rows = (
             spark.read.option("header", True).option("encoding", "UTF-8").option("enforceSchema", False)

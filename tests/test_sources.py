@@ -66,6 +66,24 @@ def test_a_load_sets_bad_rows_aside(spark, file, tmp_path):
     assert store.read(REJECTED, "departments").first()[CORRUPT].startswith("x,D2")
 
 
+def test_a_record_is_parsed_once(spark, file, tmp_path, monkeypatch):
+    path = file(f'{HEADER}\n1,D1,"dua\nbaris",C,L,M,5,2024-01-02\nx,D2,N,C,L,M,5,2024-01-02\n')
+    rows = read_csv(spark, path, SCHEMA, keep_bad_rows=True, multi_line=True)
+    for kept in (rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)):
+        assert kept.count() == 1
+        assert kept._jdf.queryExecution().optimizedPlan().toString().count("from_csv") == 1
+    stored, write = [], LayerStore.write
+    monkeypatch.setattr(LayerStore, "write", lambda self, layer, table, given, *a, **k: (
+        stored.append("from_csv" in given._jdf.queryExecution().optimizedPlan().toString()),
+        write(self, layer, table, given, *a, **k))[1])
+    store = LayerStore(spark, str(tmp_path / "store"))
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    done = load_table(spark, store, str(tmp_path), "departments", LOADED, keep_bad_rows=True, multi_line=True)
+    assert done[:4] == ("departments", 1, 1, "OK") and sorted(stored) == [False, False, True]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+    assert not list((tmp_path / "store" / "scratch").iterdir())
+
+
 def test_line_breaks_inside_fields(spark, file):
     path = file(f'{HEADER}\n1,D1,"dua\nbaris",C,L,M,5,2024-01-02\n')
     assert read_csv(spark, path, SCHEMA, multi_line=True).first().department_name == "dua\nbaris"
