@@ -81,9 +81,10 @@ def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     w = sample_warehouse(spark, folder)
     root = f"{shared_folder(spark)}/ledgerlane-{spark.sparkContext.applicationId}/csv-{uuid.uuid4().hex}"
     store = LayerStore(spark, root, transient=True)
-    for name, rows in w.raw_tables().items():
-        declared = rows.select(*RAW_SCHEMAS[name].fieldNames())
-        write_csv(_as_found_in_files(declared), f"{root}/files/{name}.csv")
+    with ingest.short_methods(spark):
+        for name, rows in w.raw_tables().items():
+            declared = rows.select(*RAW_SCHEMAS[name].fieldNames())
+            write_csv(_as_found_in_files(declared), f"{root}/files/{name}.csv")
     loads = ingest.ingest(spark, store, f"{root}/files", LOADED, keep_bad_rows=True, multi_line=True)
     parts = [_measured(store.read(RAW, name), name) for name in LOAD_ORDER]
     measured = functools.reduce(DataFrame.unionByName, parts)

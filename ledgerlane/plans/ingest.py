@@ -36,10 +36,10 @@ _LONGEST_METHOD = "spark.sql.codegen.hugeMethodLimit"
 
 
 @contextmanager
-def _short_methods(spark: SparkSession) -> Iterator[None]:
+def short_methods(spark: SparkSession) -> Iterator[None]:
     """Have Spark deal a stage over methods that the JVM compiles, which it leaves out above 8,000 bytes.
 
-    The casts and checks of a table's cells come to more in one method and would be interpreted.
+    What is done with all cells of a table comes to more in one method and would be interpreted.
     """
     before = spark.conf.get(_LONGEST_METHOD)
     spark.conf.set(_LONGEST_METHOD, 8000)
@@ -71,7 +71,7 @@ def load_table(
     bad = 0
     try:
         if keep_bad_rows:
-            with _short_methods(spark):
+            with short_methods(spark):
                 store.write(parsed, table, rows)
             rows = store.read(parsed, table)
             unfit = rows.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
