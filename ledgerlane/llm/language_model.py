@@ -9,21 +9,21 @@ unseen word. The state picks the class, so each text has one probability.
 Training is truncated backpropagation through time in numpy, ``EPOCHS`` times over all training
 documents. They are dealt into parts of about ``PART_TOKENS``; in each round every part trains on its
 share of the round from common weights, and the parts' weights and moments, whose size is fixed, are
-averaged by tokens. Word counts, classes and shares are those of all training documents. In scoring, a block of documents is dealt over lanes; a lane runs
-through its documents in windows, carries its state from window to window and clears it between
-documents.
+averaged by tokens. Word counts, classes and shares are those of all training documents. In scoring,
+many documents are dealt over lanes; a lane runs through its documents in windows, carries its state
+from window to window and clears it between documents.
 
-Counts travel by block too: each block lists its distinct words once, a join adds their counts, and
-the list meets the block's texts again. So no table of all words is ever sent to a task.
+Texts are cut into words once: each block lists its distinct words and keeps its documents as numbers
+in that list. A join adds counts and codes to the list, which meets the block's documents again. So no
+table of all words is ever sent to a task. Training and scoring read the stored codes.
 """
 
 from __future__ import annotations
 
 import heapq
 import pickle
-import zlib
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlane.llm.common import chunked, pieces, stored, text_slices, utf8, work_folder
+from ledgerlane.llm.common import chunked, pieces, slices, stored, utf8, work_folder
 
 HEAD = 1024
 CLASS_WORDS = 32
@@ -42,10 +42,13 @@ ROUNDS = 8
 PART_TOKENS = 4_000_000
 MERGED = 32
 BLOCK_TOKENS = 1_500_000
+SCORED_TOKENS = 4_000_000
 BLOCK_BYTES = 32_000_000
 OFTEN = 1000
 LANES = 512
 WINDOW = 48
+ROWS = 640
+SCORED_ROWS = 2048
 END = " "  # no word holds a blank
 _LN10 = np.log(10)
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -70,8 +73,7 @@ def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words.dictionary, numbers, first
 
 
-def tail_class(word: str) -> int:
-    return zlib.crc32(word[-2:].encode()) % TAIL
+_PARAMETERS = ("table", "recur", "bias", "classes", "class_bias", "words", "word_bias")
 
 
 @dataclass
@@ -101,7 +103,7 @@ class Network:
         )
 
     def parameters(self) -> list[np.ndarray]:
-        return [self.table, self.recur, self.bias, self.classes, self.class_bias, self.words, self.word_bias]
+        return [getattr(self, name) for name in _PARAMETERS]
 
     def class_of(self, codes: np.ndarray) -> np.ndarray:
         n = len(self.head)
@@ -118,30 +120,76 @@ class Network:
 
     def log_probability(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Natural log of class times word, the word's part for head words alone."""
-        group = self.class_of(codes)
-        out = _log_softmax_at(states @ self.classes + self.class_bias, group)
-        inside = np.flatnonzero(codes < len(self.head))
-        order = inside[np.argsort(group[inside], kind="stable")]
-        bounds = np.searchsorted(group[order], np.arange(len(self.words) + 1))
-        for k in range(len(self.words)):
-            some = order[bounds[k]:bounds[k + 1]]
-            if len(some):
-                out[some] += _log_softmax_at(states[some] @ self.words[k] + self.word_bias[k], codes[some] % CLASS_WORDS)
+        if len(codes) > SCORED_ROWS:
+            cuts = range(0, len(codes), SCORED_ROWS)
+            return np.concatenate([self.log_probability(states[at:at + SCORED_ROWS], codes[at:at + SCORED_ROWS]) for at in cuts])
+        order, codes, bounds = self._by_class(codes)
+        states = _with_ones(states, order)
+        logits = self._class_logits(states)
+        found = _picked(logits, self.class_of(codes)) - np.log(_exp_sums(logits))
+        logits = self._word_logits(states, bounds)
+        found[:len(logits)] += _picked(logits, codes[:len(logits)] % CLASS_WORDS) - np.log(_exp_sums(logits))
+        out = np.empty_like(found)
+        out[order] = found
         return out
 
+    def _by_class(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """An order that puts the codes of a class together, the codes in it, and where head classes begin."""
+        order = np.argsort(codes.astype(np.int16), kind="stable")
+        codes = codes[order]
+        firsts = np.minimum(np.arange(len(self.words) + 1) * CLASS_WORDS, len(self.head))
+        return order, codes, np.searchsorted(codes, firsts)
+
+    def _class_logits(self, states: np.ndarray) -> np.ndarray:
+        return _shifted(states @ np.vstack([self.classes, self.class_bias]), states, self.classes, self.class_bias)
+
+    def _word_logits(self, states: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """For the states of head words, ordered by class: the logits of the words of their class."""
+        weights = np.concatenate([self.words, self.word_bias[:, None]], axis=1)
+        logits = np.empty((bounds[-1], CLASS_WORDS), np.result_type(states, weights))
+        for k, low, high in _filled(bounds):
+            np.matmul(states[low:high], weights[k], out=logits[low:high])
+        return _shifted(logits, states[:bounds[-1]], self.words, self.word_bias)
+
+
+def _with_ones(states: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """States in an order, with a one behind each, which stands for the bias."""
+    out = np.ones((len(order), STATE + 1), states.dtype)
+    out[:, :STATE] = states
+    return out.take(order, axis=0)
+
+
+def _filled(bounds: np.ndarray) -> list[tuple[int, int, int]]:
+    """The number and the bounds of each part that is not empty."""
+    ends = bounds.tolist()
+    return [(k, low, high) for k, (low, high) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if low < high]
+
+
+def _shifted(logits: np.ndarray, states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Logits whose exponentials neither overflow nor all vanish: less their maximum, unless the weights
+    are so small that no state can bring them there."""
+    if len(logits):
+        reach = np.abs(weights).sum(axis=-2) * max(float(states.max()), -float(states.min()))
+        if not ((bias + reach).max() < 60 and (bias - reach).max(axis=-1).min() > -60):
+            logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
 
-def _log_softmax_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
-    picked = logits[np.arange(len(logits)), chosen]
-    return picked - np.log(np.exp(logits, out=logits).sum(axis=1))
+def _picked(rows: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    return rows.ravel()[np.arange(len(rows)) * rows.shape[1] + chosen]
 
 
-def _output_gradient(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    logits -= logits.max(axis=1, keepdims=True)
+def _exp_sums(logits: np.ndarray) -> np.ndarray:
+    """Sums of the exponentials of each row; these take the place of the logits."""
     np.exp(logits, out=logits)
-    logits /= logits.sum(axis=1, keepdims=True)
-    logits[np.arange(len(logits)), chosen] -= 1
-    return logits
+    return logits @ np.ones(logits.shape[1], logits.dtype)
+
+
+def _output_gradient(logits: np.ndarray, chosen: np.ndarray, share: float) -> np.ndarray:
+    """The scale of each row of the gradient; the rows without it take the place of the logits."""
+    sums = _exp_sums(logits)
+    logits.ravel()[np.arange(len(logits)) * logits.shape[1] + chosen] -= sums
+    return (share / sums)[:, None]
 
 
 @dataclass
@@ -171,20 +219,46 @@ def learn(
     starts = np.arange(lanes) * (len(codes) - length) // max(1, lanes - 1)
     places = starts + np.arange(length)[:, None]
     state = np.zeros((lanes, STATE), np.float32)
-    parameters = network.parameters()
+    # all parameters in one array, and so their moments: an update is a few passes over them
+    p, first, second = (_flat(arrays) for arrays in (network.parameters(), moments.first, moments.second))
+    trained = replace(network, **dict(zip(_PARAMETERS, _parts(p, network.parameters()), strict=True)))
+    slope, part = np.empty_like(p), np.empty_like(p)
     for at in range(0, length, window):
         some = places[at:at + window]
-        gradients, state = _window_gradients(network, before[some], codes[some], state, end)
-        size = np.sqrt(sum(float((g * g).sum()) for g in gradients))
+        gradients, state = _window_gradients(trained, before[some], codes[some], state, end)
+        np.concatenate([g.ravel() for g in gradients], out=slope)
+        size = float(np.sqrt(slope @ slope))
         scale = min(1.0, 1.0 / size) if size else 1.0
         moments.updates += 1
         pace = rate * (1 - 0.9 * (begin + (finish - begin) * at / length))
         first_part, second_part = 1 - 0.9**moments.updates, 1 - 0.995**moments.updates
-        for p, g, m, v in zip(parameters, gradients, moments.first, moments.second, strict=True):
-            g *= scale
-            m += 0.1 * (g - m)
-            v += 0.005 * (g * g - v)
-            p -= pace * (m / first_part) / (np.sqrt(v / second_part) + 1e-8)
+        slope *= scale
+        np.subtract(slope, first, out=part)
+        part *= 0.1
+        first += part
+        slope *= slope
+        slope -= second
+        slope *= 0.005
+        second += slope
+        np.divide(second, second_part, out=part)
+        np.sqrt(part, out=part)
+        part += 1e-8
+        np.divide(first, part, out=part)
+        part *= pace / first_part
+        p -= part
+    for old, new in ((network.parameters(), p), (moments.first, first), (moments.second, second)):
+        for array, values in zip(old, _parts(new, old), strict=True):
+            array[...] = values
+
+
+def _flat(arrays: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([array.ravel() for array in arrays])
+
+
+def _parts(flat: np.ndarray, like: list[np.ndarray]) -> list[np.ndarray]:
+    """Views of one array in the shapes of others."""
+    ends = np.cumsum([array.size for array in like])
+    return [flat[end - array.size:end].reshape(array.shape) for end, array in zip(ends, like, strict=True)]
 
 
 def fit(network: Network, texts: list[np.ndarray], end: int, epochs: int = EPOCHS, lanes: int = 128, window: int = 20, rate: float = 6e-3) -> Network:
@@ -197,51 +271,100 @@ def fit(network: Network, texts: list[np.ndarray], end: int, epochs: int = EPOCH
 
 
 def _window_gradients(network: Network, x: np.ndarray, y: np.ndarray, state: np.ndarray, end: int):
+    """Gradients over a window (steps, lanes) and the state behind it.
+
+    Inside, a state has a column a lane, so each gate is a block of rows, and a last row of ones that
+    stands for the bias. Only what needs the next state is worked out step by step.
+    """
     steps, lanes = x.shape
-    kept, states = [], []
+    kind = network.table.dtype
+    both = 2 * STATE
+    sign = np.repeat(np.array([-1, 1], kind), [both, STATE])  # both gates go into an exponential
+    given = np.ascontiguousarray((network.table * sign)[x].transpose(0, 2, 1))
+    recur = np.zeros((3 * STATE, STATE + 1), kind)
+    recur[:, :STATE] = (network.recur * sign).T
+    recur[both:, STATE] = network.bias
+    opened = (x != end).astype(kind)[:, None]
+    entered, gates = np.ones((steps, STATE + 1, lanes), kind), np.empty((steps, both, lanes), kind)
+    inner, new, left = (np.empty((steps, STATE, lanes), kind) for _ in range(3))
+    state = state.T
     for t in range(steps):
-        open_ = (x[t] != end).astype(np.float32)[:, None]
-        state = state * open_
-        new, *parts = network.step(network.table[x[t]], state)
-        kept.append((state, open_, *parts))
-        states.append(new)
-        state = new
-    every, codes = np.concatenate(states), y.ravel()
-    group = network.class_of(codes)
-    share = np.float32(1 / lanes)
-    by_class = _output_gradient(every @ network.classes + network.class_bias, group) * share
-    d_states = by_class @ network.classes.T
-    d_words, d_word_bias = np.zeros_like(network.words), np.zeros_like(network.word_bias)
-    order = np.argsort(group, kind="stable")
-    bounds = np.searchsorted(group[order], np.arange(len(network.words) + 1)).tolist()  # head classes come first
-    for k, (low, high) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
-        if low == high:
-            continue
-        some = order[low:high]
-        by_word = _output_gradient(every[some] @ network.words[k] + network.word_bias[k], codes[some] % CLASS_WORDS) * share
-        d_words[k], d_word_bias[k] = every[some].T @ by_word, by_word.sum(0)
-        d_states[some] += by_word @ network.words[k].T
-    d_recur, d_bias = np.zeros_like(network.recur), np.zeros_like(network.bias)
-    inputs = np.empty((steps, lanes, 3 * STATE), np.float32)
-    ahead = np.zeros((lanes, STATE), np.float32)
+        np.multiply(state, opened[t], out=entered[t, :STATE])
+        gate = np.matmul(recur[:both], entered[t], out=gates[t])
+        gate += given[t, :both]
+        np.exp(gate, out=gate)
+        gate += 1
+        np.reciprocal(gate, out=gate)
+        np.matmul(recur[both:], entered[t], out=inner[t])
+        fresh = np.multiply(gate[STATE:], inner[t], out=new[t])
+        fresh += given[t, both:]
+        np.tanh(fresh, out=fresh)
+        state = np.subtract(entered[t, :STATE], fresh, out=left[t])
+        state *= gate[:STATE]
+        state += fresh
+
+    order, codes, bounds = network._by_class(y.ravel())
+    states, share = _with_ones(left.transpose(0, 2, 1).reshape(steps * lanes, STATE), order), kind.type(1 / lanes)
+    group, back = network.class_of(codes), np.ascontiguousarray(network.classes.T)
+    d_classes, d_ordered = np.zeros((STATE + 1, back.shape[0]), kind), np.empty((len(codes), STATE), kind)
+    for at in range(0, len(codes), ROWS):  # what a processor's cache holds
+        some = states[at:at + ROWS]
+        by_class = network._class_logits(some)
+        scale = _output_gradient(by_class, group[at:at + ROWS], share)
+        d_classes += (some * scale).T @ by_class
+        np.multiply(by_class @ back, scale, out=d_ordered[at:at + ROWS])
+    by_word = network._word_logits(states, bounds)
+    scale = _output_gradient(by_word, codes[:len(by_word)] % CLASS_WORDS, share)
+    scaled, d_inside = states[:len(by_word)] * scale, np.empty((len(by_word), STATE), kind)
+    d_words = np.zeros((len(network.words), STATE + 1, CLASS_WORDS), kind)
+    for k, low, high in _filled(bounds):
+        np.matmul(scaled[low:high].T, by_word[low:high], out=d_words[k])
+        np.matmul(by_word[low:high], network.words[k].T, out=d_inside[low:high])
+    d_inside *= scale
+    d_ordered[:len(by_word)] += d_inside
+    d_states = np.empty_like(d_ordered)
+    d_states[order] = d_ordered
+    d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, STATE).transpose(0, 2, 1))
+
+    keep, reset = gates[:, :STATE], gates[:, STATE:]
+    shut = 1 - gates
+    to_new = shut[:, :STATE] * (1 - new * new)
+    d_gates = np.empty((steps, 3, STATE, lanes), kind)  # first of a state's gates and inner part by the state
+    np.subtract(entered[:, :STATE], new, out=d_gates[:, 0])
+    d_gates[:, 0] *= keep
+    d_gates[:, 0] *= shut[:, :STATE]
+    np.multiply(to_new, reset, out=d_gates[:, 2])
+    np.multiply(d_gates[:, 2], inner, out=d_gates[:, 1])
+    d_gates[:, 1] *= shut[:, STATE:]
+    keep *= opened
+    ahead, through = np.zeros((STATE, lanes), kind), np.empty((STATE, lanes), kind)
     for t in reversed(range(steps)):
-        state_in, open_, keep, reset, inner, new = kept[t]
-        d = d_states[t * lanes:(t + 1) * lanes] + ahead
-        d_new = d * (1 - keep) * (1 - new * new)
-        d_inner = d_new * reset
-        d_gates = np.concatenate([
-            d * (state_in - new) * keep * (1 - keep), d_new * inner * reset * (1 - reset), d_inner
-        ], axis=1)
-        inputs[t, :, :2 * STATE], inputs[t, :, 2 * STATE:] = d_gates[:, :2 * STATE], d_new
-        d_recur += state_in.T @ d_gates
-        d_bias += d_inner.sum(0)
-        ahead = (d * keep + d_gates @ network.recur.T) * open_
-    d_table = np.zeros_like(network.table)
-    given = x.ravel()
-    order = np.argsort(given, kind="stable")
-    rows, firsts = np.unique(given[order], return_index=True)
-    d_table[rows] = np.add.reduceat(inputs.reshape(-1, 3 * STATE)[order], firsts)
-    return [d_table, d_recur, d_bias, every.T @ by_class, by_class.sum(0), d_words, d_word_bias], state
+        d = d_states[t]
+        d += ahead
+        d_gates[t] *= d
+        np.matmul(network.recur, d_gates[t].reshape(3 * STATE, lanes), out=through)
+        through *= opened[t]
+        np.multiply(d, keep[t], out=ahead)
+        ahead += through
+    rows = d_gates.reshape(steps, 3 * STATE, lanes).transpose(0, 2, 1)
+    d_recur = np.matmul(entered, rows).sum(0)
+    np.multiply(d_states, to_new, out=d_gates[:, 2])
+    d_table = _summed(x.ravel(), rows.reshape(steps * lanes, 3 * STATE), len(network.table))
+    return [
+        d_table, d_recur[:STATE], d_recur[STATE, both:], d_classes[:STATE], d_classes[STATE], d_words[:, :STATE], d_words[:, STATE],
+    ], left[-1].T
+
+
+def _summed(codes: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
+    """Sums of rows by code: products with marks of the code's place among ``CLASS_WORDS`` neighbours."""
+    parts = -(-count // CLASS_WORDS)
+    out = np.zeros((parts * CLASS_WORDS, rows.shape[1]), rows.dtype)
+    order = np.argsort(codes.astype(np.int16), kind="stable")
+    codes, rows = codes[order], rows.take(order, axis=0)
+    marks = (codes % CLASS_WORDS == np.arange(CLASS_WORDS)[:, None]).astype(rows.dtype)
+    for k, low, high in _filled(np.searchsorted(codes, np.arange(parts + 1) * CLASS_WORDS)):
+        np.matmul(marks[:, low:high], rows[low:high], out=out[k * CLASS_WORDS:(k + 1) * CLASS_WORDS])
+    return out[:count]
 
 
 def document_logs(network: Network, codes: np.ndarray, starts: np.ndarray, end: int, lanes: int = LANES) -> np.ndarray:
@@ -283,24 +406,54 @@ def document_logs(network: Network, codes: np.ndarray, starts: np.ndarray, end:
     return np.add.reduceat(out, starts[:-1]) if len(lengths) else np.empty(0)
 
 
-def _lexicon(rows: DataFrame) -> DataFrame:
-    """Per block: its distinct words and their training counts, the end of a document among them."""
-    def list_words(key: tuple, given: pa.Table) -> pa.Table:
+_NUMBERED = "block long, number long, word string, n long, doc_id long, training boolean, key long, numbers binary"
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Per block: its distinct words with their training counts, the end of a document among them, and
+    its rows as the numbers of their words. A row of the result is one or the other."""
+    def number(key: tuple, given: pa.Table) -> pa.Table:
         words, numbers, first = words_of(given.column("text").combine_chunks())
-        weights = np.where(given.column("training").to_numpy(), given.column("n").to_numpy(), 0)
+        times, training = given.column("n").to_numpy(), given.column("training").to_numpy()
+        weights = np.where(training, times, 0)
         counted = np.bincount(numbers, np.repeat(weights, np.diff(first)), minlength=len(words))
+        numbers, bounds = _with_ends(numbers, first, len(words))
+        listed, texts = len(words) + 1, given.num_rows
+        blank = lambda size, kind: pa.nulls(size, kind)
         return pa.table({
-            "block": pa.array(np.full(len(words) + 1, key[0].as_py())),
-            "word": pa.concat_arrays([words.cast(pa.string()), pa.array([END])]),
-            "n": pa.array(np.append(counted, weights.sum()).astype(np.int64)),
+            "block": pa.array(np.full(listed + texts, key[0].as_py())),
+            "number": pa.chunked_array([pa.array(np.arange(listed)), blank(texts, pa.int64())]),
+            "word": pa.chunked_array([pa.concat_arrays([words.cast(pa.string()), pa.array([END])]), blank(texts, pa.string())]),
+            "n": pa.chunked_array([pa.array(np.append(counted, weights.sum()).astype(np.int64)), pa.array(times)]),
+            **{
+                name: pa.chunked_array([blank(listed, kind), *given.column(name).cast(kind).chunks], kind)
+                for name, kind in (("doc_id", pa.int64()), ("training", pa.bool_()), ("key", pa.int64()))
+            },
+            "numbers": pa.chunked_array([blank(listed, pa.binary()), _binary(numbers.astype(np.int32), bounds)]),
         })
 
-    return rows.groupBy("block").applyInArrow(list_words, "block long, word string, n long")
+    return rows.groupBy("block").applyInArrow(number, _NUMBERED)
+
+
+def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Lists of numbers as bytes."""
+    offsets = (values.itemsize * bounds).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _values(column: pa.Array | pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Lists of numbers from bytes: all numbers and the bounds of each list."""
+    lengths = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // np.dtype(kind).itemsize
+    whole = b"".join(value.as_buffer() for value in column)
+    return np.frombuffer(whole, kind), np.concatenate([[0], np.cumsum(lengths)])
 
 
 def _block_count(documents: DataFrame) -> int:
     """Blocks by tokens, an end for each row among them, or by bytes: whichever takes more."""
-    blanks = F.length("text") - F.length(F.translate("text", _BLANKS, ""))
+    words = F.col("text")
+    for blank in _BLANKS:
+        words = F.replace(words, F.lit(blank), F.lit(""))
+    blanks = F.octet_length("text") - F.octet_length(words)
     size = documents.agg(F.sum(blanks + 1).alias("tokens"), F.sum(F.octet_length("text").cast("long")).alias("bytes")).first()
     return max(pieces(size["tokens"] or 0, BLOCK_TOKENS), pieces(size["bytes"] or 0, BLOCK_BYTES))
 
@@ -320,7 +473,7 @@ def _dealt(documents: DataFrame) -> DataFrame:
     if often.head(1):
         one = keyed.join(F.broadcast(often), "key", "left_semi").groupBy(*keyed.columns).agg(F.count("*").alias("n"))
         rows = rows.join(F.broadcast(often), "key", "left_anti").unionByName(one)
-    return rows.withColumn("block", F.pmod("key", blocks)).drop("key")
+    return rows.withColumn("block", F.pmod("key", blocks))
 
 
 def scored(documents: DataFrame, held: Column) -> DataFrame:
@@ -333,8 +486,10 @@ def scored(documents: DataFrame, held: Column) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         (~held).alias("training"),
     )
-    dealt = _dealt(documents)
-    lexicon = stored(_lexicon(dealt), "lm-lexicon")
+    folder = work_folder(documents.sparkSession, "lm-numbers")
+    _numbered(_dealt(documents)).write.option("compression", "zstd").parquet(folder)
+    numbered = documents.sparkSession.read.schema(_NUMBERED).parquet(folder)
+    lexicon = numbered.where("word IS NOT NULL")
     counts = stored(
         lexicon.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm-counts"
     )
@@ -348,26 +503,51 @@ def scored(documents: DataFrame, held: Column) -> DataFrame:
         for row in counts.where(~F.col("word").isin(head)).groupBy(tail_of.cast("int").alias("k"))
         .agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
     }
-    network = _fitted(documents.where("training"), head, tokens)
-    held_model = documents.sparkSession.sparkContext.broadcast(pickle.dumps((network, tails)))
-    known = lexicon.join(counts, "word", "left").select("block", "word", F.coalesce("c", F.lit(0)).alias("c"))
+    ranks = documents.sparkSession.createDataFrame(pa.table({"rank": np.arange(len(head)), "word": head}))
+    known = lexicon.join(counts, "word", "left").join(F.broadcast(ranks), "word", "left").select(
+        F.col("block").alias("of"), "number", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("rank", tail_of + len(head)).alias("code"),
+    )
+    texts = numbered.where("word IS NULL").select("block", "doc_id", "training", "key", "n", "numbers")
+
+    def encode(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
+        return _coded_block(len(head), tails, tokens, distinct, texts, words)
+
+    coded = stored(
+        texts.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
+            encode,
+            "doc_id long, training boolean, n long, place long, n_tokens long, n_known long, base double, rest double, codes binary",
+        ),
+        "lm-codes",
+    )
+    _deleted(documents, folder)
+    network = _fitted(coded.where("training"), head, tokens)
+    held_model = documents.sparkSession.sparkContext.broadcast(pickle.dumps(network))
 
-    def score(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
-        model, shares = pickle.loads(held_model.value)
-        return _score_block(model, shares, tokens, distinct, texts, words)
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = pickle.loads(held_model.value)
+        for some in _gathered(batches):
+            yield from _scored_rows(model, tokens, some).to_batches()
 
-    return dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+    return coded.mapInArrow(
         score,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
 
 
-def _codes(words: pa.Array, head: list[str]) -> np.ndarray:
-    found = pc.index_in(words.cast(pa.string()), pa.array(head, pa.string()))
-    codes = pc.fill_null(found, -1).to_numpy(zero_copy_only=False).astype(np.int64)
-    other = np.flatnonzero(codes < 0)
-    codes[other] = [len(head) + tail_class(word) for word in words.take(pa.array(other)).to_pylist()]
-    return codes
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of several batches together, of ``SCORED_TOKENS`` or one row: with many documents at a time
+    a long one holds up the others little."""
+    held, size = [], 0
+    for batch in batches:
+        for piece in slices(batch, "codes", 2 * SCORED_TOKENS):
+            more = pc.sum(piece.column("n_tokens")).as_py() or 0
+            if held and size + more > SCORED_TOKENS:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+            held.append(piece)
+            size += more
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def _with_ends(numbers: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -378,8 +558,8 @@ def _with_ends(numbers: np.ndarray, first: np.ndarray, end: int) -> tuple[np.nda
 def _fitted(training: DataFrame, head: list[str], tokens: int) -> Network:
     """Train on all rows given: rounds of training in every part, weights averaged after each.
 
-    The encoded rows are stored once, dealt by a hash of id and text into parts and rounds; repeated
-    rows of a slice go to different parts. A round passes over its share of each part.
+    The encoded rows are stored by round, dealt by a hash of id and text into parts and rounds; repeated
+    rows go to different parts. A round passes over its share of each part.
     """
     network = Network.fresh(head)
     if not tokens:
@@ -388,24 +568,14 @@ def _fitted(training: DataFrame, head: list[str], tokens: int) -> Network:
     parts = pieces(tokens, PART_TOKENS)
     rounds = min(ROUNDS, parts)
     spark = training.sparkSession
-
-    def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in text_slices(batches):
-            words, numbers, first = words_of(piece.column("text"))
-            codes, bounds = _with_ends(_codes(words, head)[numbers], first, 0)
-            place = piece.column("place").to_numpy()
-            dealt = place + _repeats(place)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(dealt % parts), pa.array((dealt // parts % rounds).astype(np.int32)), piece.column("place"),
-                 pa.Array.from_buffers(pa.binary(), len(place), [
-                     None, pa.py_buffer((2 * bounds).astype(np.int32)), pa.py_buffer(codes.astype(np.int16)),
-                 ])],
-                names=["part", "round", "place", "codes"],
-            )
-
-    folder = work_folder(spark, "lm-codes")
-    coded = training.select(F.xxhash64("doc_id", "text").alias("place"), "text")
-    coded = coded.mapInArrow(encode, "part long, round int, place long, codes binary").repartition(parts, "part")
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy")
+    dealt = F.coalesce(F.try_add("place", "copy"), F.col("copy"))
+    part = F.pmod(dealt, F.lit(parts))
+    turn = F.pmod(F.call_function("div", dealt - F.pmod(dealt, F.lit(parts)), F.lit(parts)), F.lit(rounds))
+    coded = training.select("place", "codes", copy).select(
+        part.alias("part"), turn.cast("int").alias("round"), "place", "codes"
+    ).repartition(parts, "part")
+    folder = work_folder(spark, "lm-rounds")
     coded.sortWithinPartitions("round", "part", "place").write.partitionBy("round").parquet(folder)
     coded = spark.read.schema(coded.schema).parquet(folder)
     for k in range(EPOCHS * rounds):
@@ -413,9 +583,15 @@ def _fitted(training: DataFrame, head: list[str], tokens: int) -> Network:
             coded.where(F.col("round") == k % rounds).select("part", "codes"), parts, network, moments,
             k / (EPOCHS * rounds), (k + 1) / (EPOCHS * rounds),
         )
+    _deleted(training, folder)
+    return network
+
+
+def _deleted(rows: DataFrame, folder: str) -> None:
+    """Take a work folder away that no plan reads any more."""
+    spark = rows.sparkSession
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return network
 
 
 def _repeats(values: np.ndarray) -> np.ndarray:
@@ -488,26 +664,41 @@ def _round(
     return Network(head, *mean[:count]), Moments(mean[count:2 * count], mean[2 * count:], updates)
 
 
-def _score_block(network: Network, shares: dict, tokens: int, distinct: int, texts: pa.Table, known: pa.Table) -> pa.Table:
-    words, numbers, first = words_of(texts.column("text").combine_chunks())
-    words = pa.concat_arrays([words.cast(pa.string()), pa.array([END])])
-    place = pc.index_in(words, known.column("word").combine_chunks()).to_numpy(zero_copy_only=False)
-    counts = known.column("c").to_numpy()[place.astype(np.int64)]
-    codes = _codes(words, network.head)
-    tail = np.zeros(len(words))
-    rare = np.flatnonzero(codes >= len(network.head))
+def _coded_block(head: int, shares: dict, tokens: int, distinct: int, texts: pa.Table, known: pa.Table) -> pa.Table:
+    """A block's rows as codes, with what their scores owe to the counts alone."""
+    number = known.column("number").to_numpy()
+    counts, codes = np.empty(len(number), np.int64), np.empty(len(number), np.int16)
+    counts[number], codes[number] = known.column("c").to_numpy(), known.column("code").to_numpy()
+    tail = np.zeros(len(number))
+    rare = np.flatnonzero(codes >= head)
     sums = np.array([sum(shares.get(k, (0, 0))) + 1 for k in range(TAIL)], np.float64)
-    tail[rare] = np.log((counts[rare] + 1) / sums[codes[rare] - len(network.head)])
-    numbers, bounds = _with_ends(numbers, first, len(words) - 1)
+    tail[rare] = np.log((counts[rare] + 1) / sums[codes[rare] - head])
     base = np.log10((counts + 1) / (tokens + distinct + 1))
-    logs = document_logs(network, codes[numbers], bounds, 0)
+    numbers, bounds = _values(texts.column("numbers"), np.int32)
     per_row = lambda values: np.add.reduceat(values[numbers], bounds[:-1])
+    place = texts.column("key").to_numpy()
     return pa.table({
         "doc_id": texts.column("doc_id"),
-        "held_out": pc.invert(texts.column("training")),
+        "training": texts.column("training"),
+        "n": texts.column("n"),
+        "place": pa.array(place + _repeats(place)),
         "n_tokens": pa.array(np.diff(bounds)),
         "n_known": pa.array(per_row((counts > 0).astype(np.int64))),
-        "train_tokens": pa.array(np.full(texts.num_rows, tokens, np.int64)),
-        "base_score": pa.array(per_row(base)),
-        "score": pa.array((logs + per_row(tail)) / _LN10),
-    }).take(pa.array(np.repeat(np.arange(texts.num_rows), texts.column("n").to_numpy())))
+        "base": pa.array(per_row(base)),
+        "rest": pa.array(per_row(tail)),
+        "codes": _binary(codes[numbers], bounds),
+    })
+
+
+def _scored_rows(network: Network, tokens: int, rows: pa.Table) -> pa.Table:
+    codes, bounds = _values(rows.column("codes"), np.int16)
+    logs = document_logs(network, codes.astype(np.int64), bounds, 0)
+    return pa.table({
+        "doc_id": rows.column("doc_id"),
+        "held_out": pc.invert(rows.column("training")),
+        "n_tokens": rows.column("n_tokens"),
+        "n_known": rows.column("n_known"),
+        "train_tokens": pa.array(np.full(rows.num_rows, tokens, np.int64)),
+        "base_score": rows.column("base"),
+        "score": pa.array((logs + rows.column("rest").to_numpy()) / _LN10),
+    }).take(pa.array(np.repeat(np.arange(rows.num_rows), rows.column("n").to_numpy())))

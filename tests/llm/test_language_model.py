@@ -133,6 +133,54 @@ def test_gradients(network):
             assert abs((up - down) / 2e-5 - slope[k]) < 1e-4 * max(1, abs(slope[k]))
 
 
+@pytest.mark.parametrize("most", [1, 50, 10_000])
+def test_large_logits_and_pieces_of_states(network, monkeypatch, most):
+    """Exponentials of these logits overflow in single precision unless they are shifted."""
+    network.class_bias[:] *= 200
+    network.words *= 300
+    states = np.random.default_rng(4).uniform(-1, 1, (120, lm.STATE)).astype(np.float32)
+    codes = np.random.default_rng(5).integers(0, len(network.head) + lm.TAIL, 120)
+    monkeypatch.setattr(lm, "SCORED_ROWS", most)
+    found = network.log_probability(states, codes)
+    group = network.class_of(codes)
+    wide = states.astype(np.float64)
+
+    def logs(logits, chosen):
+        logits = logits - logits.max(1, keepdims=True)
+        return logits[np.arange(len(logits)), chosen] - np.log(np.exp(logits).sum(1))
+
+    want = logs(wide @ network.classes + network.class_bias, group)
+    for i in np.flatnonzero(codes < len(network.head)):
+        want[i] += logs(wide[i:i + 1] @ network.words[group[i]] + network.word_bias[group[i]], codes[i:i + 1] % lm.CLASS_WORDS)[0]
+    assert np.isfinite(found).all() and np.allclose(found, want, rtol=1e-4, atol=1e-2)
+
+
+def test_texts_are_cut_into_words_once(docs, monkeypatch):
+    """Words are counted by block and the block's rows kept as their numbers, the end of a row behind each."""
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 10)
+    rows = [(k, f"a b{k % 3} a") for k in range(12)] + [(99, "")]
+    frame = docs(*rows).select("doc_id", "text", (F.col("doc_id") < 6).alias("training"))
+    found = lm._numbered(lm._dealt(frame)).collect()
+    words = {(r["block"], r["number"]): (r["word"], r["n"]) for r in found if r["word"] is not None}
+    said = {
+        r["doc_id"]: [words[r["block"], int(k)][0] for k in np.frombuffer(r["numbers"], np.int32)]
+        for r in found if r["word"] is None
+    }
+    assert said == {k: [*text.split(), lm.END] for k, text in rows}
+    total = collections.Counter()
+    for word, n in words.values():
+        total[word] += n
+    assert total == {"a": 12, "b0": 2, "b1": 2, "b2": 2, lm.END: 6} and len({b for b, _ in words}) > 1
+
+
+def test_sums_by_code():
+    draw = np.random.default_rng(6)
+    codes, rows = draw.integers(0, 100, 300), draw.standard_normal((300, 5))
+    want = np.zeros((100, 5))
+    np.add.at(want, codes, rows)
+    assert np.allclose(lm._summed(codes, rows, 100), want)
+
+
 def test_training_learns_an_order():
     text = np.array([3, 1, 2] * 400 + [0])
     network = lm.fit(lm.Network.fresh([f"w{k}" for k in range(10)]), [text] * 4, 0, epochs=8, lanes=4)
