@@ -25,9 +25,9 @@ def _result(check: str, table: str, column: str, severity: str, failing: Column)
 
 
 def _comparable(rows: DataFrame, column: str) -> tuple[Column, Column]:
-    """A value as a whole number or as text, whichever tells its values apart; the other is missing."""
+    """A value as a whole number or as bytes, whichever tells its values apart; the other is missing."""
     kind, value = rows.schema[column].dataType, F.col(f"`{column}`")
-    number, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+    number, text = F.lit(None).cast("long"), F.lit(None).cast("binary")
     if isinstance(kind, (T.IntegralType, T.BooleanType)):
         number = value.cast("long")
     elif isinstance(kind, T.DateType):
@@ -35,14 +35,23 @@ def _comparable(rows: DataFrame, column: str) -> tuple[Column, Column]:
     elif isinstance(kind, T.TimestampType):
         number = F.unix_micros(value)
     elif isinstance(kind, (T.FloatType, T.DoubleType)):
-        text = (value + F.lit(0.0)).cast("string")  # both zeros are one value
+        text = (value + F.lit(0.0)).cast("string").cast("binary")  # both zeros are one value
     elif isinstance(kind, T.BinaryType):
-        text = F.hex(value)
+        text = value
     else:
-        text = value.cast("string")
+        text = _packed(value.cast("string"))
     return number, text
 
 
+def _packed(text: Column) -> Column:
+    """Text as bytes: hexadecimal digits, as of surrogate keys, two in a byte. A byte in front tells which,
+    so different texts stay different."""
+    digits = F.unhex(text)
+    return F.when(F.lower(F.hex(digits)) == text, F.concat(F.lit(b"\x01"), digits)).otherwise(
+        F.concat(F.lit(b"\x00"), text.cast("binary"))
+    )
+
+
 def unique_values(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], severity: str = ERROR) -> DataFrame:
     """Values that occur more than once, for some columns of each table; missing values do not count.
 

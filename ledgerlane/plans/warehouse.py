@@ -234,7 +234,13 @@ class Warehouse:
         before it is read, for readers that scan it more than once."""
         fact = self.fact()
         if several_scans:
-            fact = self.keep("fact_columns", fact.select(*several_scans))
+            key, line = "fct_po_line_sk", "po_line_id"
+            if key in several_scans and line in several_scans:
+                # the key is made of the line's, so it is made again in place of being stored
+                kept = self.keep("fact_columns", fact.select(*(name for name in several_scans if name != key)))
+                fact = kept.withColumn(key, dimensions.surrogate_key(F.col(line))).select(*several_scans)
+            else:
+                fact = self.keep("fact_columns", fact.select(*several_scans))
         return Marts(self.dates(), self.departments(), self.items(), self.vendors(), fact)
 
     def discard(self) -> None:

@@ -46,6 +46,32 @@ def test_unique_checks_of_all_tables_share_one_shuffle(spark, rows):
     assert quality.unique(rows.limit(0), "t", "kind").first().passed
 
 
+def test_unique_texts_of_digits_and_others(spark):
+    """Digits packed two in a byte are not taken for other digits or for the text of their bytes."""
+    texts = ["616263", "abc", "ABCD", "abcd", "00", "0", "000", "", "\x00", "\x01", "0x", "6A", "6a", None, None]
+    found = quality.unique(spark.createDataFrame([(x,) for x in texts], "v string"), "t", "v").first()
+    assert (found.failing_rows, found.passed) == (0, True)
+    twice = spark.createDataFrame([(x,) for x in texts + ["616263", "ABCD", ""]], "v string")
+    assert quality.unique(twice, "t", "v").first().failing_rows == 3
+
+
+def test_surrogate_keys_move_half_their_digits(spark):
+    keys = spark.range(10).select(F.md5(F.col("id").cast("string")).alias("v"))
+    number, text = quality._comparable(keys, "v")
+    assert {tuple(r) for r in keys.select(number.isNull(), F.length(text)).collect()} == {(True, 17)}
+
+
+def test_checked_columns_of_the_fact_leave_out_its_key(spark):
+    """The key of the fact is not stored a second time, and is the same."""
+    w = sample_warehouse(spark, SAMPLE)
+    checked = w.marts(checks.FACT_CHECKED).fact
+    assert tuple(checked.columns) == checks.FACT_CHECKED
+    names = ("po_line_id", "fct_po_line_sk")
+    assert checked.select(*names).exceptAll(w.fact().select(*names)).count() == 0
+    stored = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in checked.inputFiles()})
+    assert "po_line_id" in stored.columns and "fct_po_line_sk" not in stored.columns
+
+
 def test_column_checks_share_one_scan(rows):
     found = quality.column_checks(rows, "t", ["id", "kind"], {"kind": ["a", "b"]}, {"kind": "warn"})
     results = {(r.check, r.column): (r.failing_rows, r.severity) for r in found.collect()}

@@ -301,3 +301,19 @@ def test_shuffles_and_buckets_grow_with_the_largest_table(spark, tmp_path):
         assert list((tmp_path / "s").rglob("*.zstd.parquet"))
     finally:
         spark.conf.unset(layers._FIRST_PARTITIONS)
+
+
+def test_scans_of_large_tables_have_small_tasks(spark):
+    """So that values a task keeps to combine equal ones stay in memory; a smaller setting stays."""
+    try:
+        layers.deal_for(spark, 100)
+        assert spark.conf.get(layers._READ_BYTES) != str(layers.TASK_BYTES)
+        layers.deal_for(spark, 20 * layers.TASK_ROWS + 1)
+        assert spark.conf.get(layers._READ_BYTES) == str(layers.TASK_BYTES)
+        spark.conf.unset(layers._FIRST_PARTITIONS)
+        spark.conf.set(layers._READ_BYTES, "1m")
+        layers.deal_for(spark, 20 * layers.TASK_ROWS + 1)
+        assert spark.conf.get(layers._READ_BYTES) == "1m"
+    finally:
+        spark.conf.unset(layers._FIRST_PARTITIONS)
+        spark.conf.unset(layers._READ_BYTES)
