@@ -14,14 +14,16 @@ many documents are dealt over lanes; a lane runs through its documents in window
 from window to window and clears it between documents.
 
 Texts are cut into words once: each block lists its distinct words and keeps its documents as numbers
-in that list. A join adds counts and codes to the list, which meets the block's documents again. So no
-table of all words is ever sent to a task. Training and scoring read the stored codes.
+in that list. The lists are cut into buckets by a hash of the word and travel as packed rows, one for a
+block and bucket; each bucket is counted over all blocks, and counts and codes come back to the block's
+documents. So no table of all words is ever sent to a task. Training and scoring read the stored codes.
 """
 
 from __future__ import annotations
 
 import heapq
 import pickle
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
@@ -42,13 +44,17 @@ ROUNDS = 8
 PART_TOKENS = 4_000_000
 MERGED = 32
 BLOCK_TOKENS = 1_500_000
+BLOCKS_A_BUCKET = 2
+HASHED = 64
 SCORED_TOKENS = 4_000_000
 BLOCK_BYTES = 32_000_000
 OFTEN = 1000
 LANES = 512
 WINDOW = 48
 ROWS = 640
-SCORED_ROWS = 2048
+SCORED_ROWS = 1024
+UPDATED = 16_384
+MARKED = 16
 END = " "  # no word holds a blank
 _LN10 = np.log(10)
 _BLANKS = " \t\n\x0b\x0c\r"
@@ -120,14 +126,14 @@ class Network:
 
     def log_probability(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
         """Natural log of class times word, the word's part for head words alone."""
-        if len(codes) > SCORED_ROWS:
-            cuts = range(0, len(codes), SCORED_ROWS)
-            return np.concatenate([self.log_probability(states[at:at + SCORED_ROWS], codes[at:at + SCORED_ROWS]) for at in cuts])
         order, codes, bounds = self._by_class(codes)
-        states = _with_ones(states, order)
-        logits = self._class_logits(states)
-        found = _picked(logits, self.class_of(codes)) - np.log(_exp_sums(logits))
-        logits = self._word_logits(states, bounds)
+        states, group = _with_ones(states).take(order, axis=0), self.class_of(codes)
+        weights, small = self._class_weights(), self._small(states)
+        found = np.empty(len(codes), states.dtype)
+        for at in range(0, len(codes), SCORED_ROWS):  # what a processor's cache holds
+            logits = _logits(states[at:at + SCORED_ROWS], weights, small)
+            found[at:at + SCORED_ROWS] = _picked(logits, group[at:at + SCORED_ROWS]) - np.log(_exp_sums(logits))
+        logits = self._word_logits(states, bounds, small)
         found[:len(logits)] += _picked(logits, codes[:len(logits)] % CLASS_WORDS) - np.log(_exp_sums(logits))
         out = np.empty_like(found)
         out[order] = found
@@ -140,23 +146,36 @@ class Network:
         firsts = np.minimum(np.arange(len(self.words) + 1) * CLASS_WORDS, len(self.head))
         return order, codes, np.searchsorted(codes, firsts)
 
-    def _class_logits(self, states: np.ndarray) -> np.ndarray:
-        return _shifted(states @ np.vstack([self.classes, self.class_bias]), states, self.classes, self.class_bias)
+    def _class_weights(self) -> np.ndarray:
+        return np.vstack([self.classes, self.class_bias])
 
-    def _word_logits(self, states: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    def _small(self, states: np.ndarray) -> bool:
+        """Whether the weights are so small that no such state's exponentials overflow or all vanish."""
+        most = max(float(states.max()), -float(states.min())) if len(states) else 0
+        for weights, bias in ((self.classes, self.class_bias), (self.words, self.word_bias)):
+            reach = np.abs(weights).sum(axis=-2) * most
+            if not ((bias + reach).max() < 60 and (bias - reach).max(axis=-1).min() > -60):
+                return False
+        return True
+
+    def _word_logits(self, states: np.ndarray, bounds: np.ndarray, small: bool) -> np.ndarray:
         """For the states of head words, ordered by class: the logits of the words of their class."""
         weights = np.concatenate([self.words, self.word_bias[:, None]], axis=1)
         logits = np.empty((bounds[-1], CLASS_WORDS), np.result_type(states, weights))
         for k, low, high in _filled(bounds):
             np.matmul(states[low:high], weights[k], out=logits[low:high])
-        return _shifted(logits, states[:bounds[-1]], self.words, self.word_bias)
+        return _shifted(logits, small)
+
 
+def _with_ones(states: np.ndarray) -> np.ndarray:
+    """States, by row, with a one behind each, which stands for the bias."""
+    out = np.ones((*states.shape[:-1], STATE + 1), states.dtype)
+    out[..., :STATE] = states
+    return out.reshape(-1, STATE + 1)
 
-def _with_ones(states: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """States in an order, with a one behind each, which stands for the bias."""
-    out = np.ones((len(order), STATE + 1), states.dtype)
-    out[:, :STATE] = states
-    return out.take(order, axis=0)
+
+def _logits(states: np.ndarray, weights: np.ndarray, small: bool) -> np.ndarray:
+    return _shifted(states @ weights, small)
 
 
 def _filled(bounds: np.ndarray) -> list[tuple[int, int, int]]:
@@ -165,13 +184,10 @@ def _filled(bounds: np.ndarray) -> list[tuple[int, int, int]]:
     return [(k, low, high) for k, (low, high) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if low < high]
 
 
-def _shifted(logits: np.ndarray, states: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Logits whose exponentials neither overflow nor all vanish: less their maximum, unless the weights
-    are so small that no state can bring them there."""
-    if len(logits):
-        reach = np.abs(weights).sum(axis=-2) * max(float(states.max()), -float(states.min()))
-        if not ((bias + reach).max() < 60 and (bias - reach).max(axis=-1).min() > -60):
-            logits -= logits.max(axis=1, keepdims=True)
+def _shifted(logits: np.ndarray, small: bool) -> np.ndarray:
+    """Logits whose exponentials neither overflow nor all vanish: less their maximum, unless they are small."""
+    if len(logits) and not small:
+        logits -= logits.max(axis=1, keepdims=True)
     return logits
 
 
@@ -232,25 +248,30 @@ def learn(
         moments.updates += 1
         pace = rate * (1 - 0.9 * (begin + (finish - begin) * at / length))
         first_part, second_part = 1 - 0.9**moments.updates, 1 - 0.995**moments.updates
-        slope *= scale
-        np.subtract(slope, first, out=part)
-        part *= 0.1
-        first += part
-        slope *= slope
-        slope -= second
-        slope *= 0.005
-        second += slope
-        np.divide(second, second_part, out=part)
-        np.sqrt(part, out=part)
-        part += 1e-8
-        np.divide(first, part, out=part)
-        part *= pace / first_part
-        p -= part
+        for low in range(0, len(p), UPDATED):  # what a processor's cache holds
+            some = slice(low, low + UPDATED)
+            _updated(p[some], first[some], second[some], slope[some], part[some], scale, pace / first_part, second_part)
     for old, new in ((network.parameters(), p), (moments.first, first), (moments.second, second)):
         for array, values in zip(old, _parts(new, old), strict=True):
             array[...] = values
 
 
+def _updated(p, first, second, slope, part, scale: float, pace: float, second_part: float) -> None:
+    """Move parameters by their moments, in place; ``slope`` and ``part`` are used up."""
+    np.multiply(slope, 0.1 * scale, out=part)
+    first *= 0.9
+    first += part
+    slope *= slope
+    slope *= 0.005 * scale**2
+    second *= 0.995
+    second += slope
+    np.sqrt(second, out=part)
+    part += 1e-8 * second_part**0.5
+    np.divide(first, part, out=part)
+    part *= pace * second_part**0.5
+    p -= part
+
+
 def _flat(arrays: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([array.ravel() for array in arrays])
 
@@ -279,41 +300,21 @@ def _window_gradients(network: Network, x: np.ndarray, y: np.ndarray, state: np.
     steps, lanes = x.shape
     kind = network.table.dtype
     both = 2 * STATE
-    sign = np.repeat(np.array([-1, 1], kind), [both, STATE])  # both gates go into an exponential
-    given = np.ascontiguousarray((network.table * sign)[x].transpose(0, 2, 1))
-    recur = np.zeros((3 * STATE, STATE + 1), kind)
-    recur[:, :STATE] = (network.recur * sign).T
-    recur[both:, STATE] = network.bias
     opened = (x != end).astype(kind)[:, None]
-    entered, gates = np.ones((steps, STATE + 1, lanes), kind), np.empty((steps, both, lanes), kind)
-    inner, new, left = (np.empty((steps, STATE, lanes), kind) for _ in range(3))
-    state = state.T
-    for t in range(steps):
-        np.multiply(state, opened[t], out=entered[t, :STATE])
-        gate = np.matmul(recur[:both], entered[t], out=gates[t])
-        gate += given[t, :both]
-        np.exp(gate, out=gate)
-        gate += 1
-        np.reciprocal(gate, out=gate)
-        np.matmul(recur[both:], entered[t], out=inner[t])
-        fresh = np.multiply(gate[STATE:], inner[t], out=new[t])
-        fresh += given[t, both:]
-        np.tanh(fresh, out=fresh)
-        state = np.subtract(entered[t, :STATE], fresh, out=left[t])
-        state *= gate[:STATE]
-        state += fresh
+    entered, gates, inner, new, left = _run(network, x, state, opened)
 
     order, codes, bounds = network._by_class(y.ravel())
-    states, share = _with_ones(left.transpose(0, 2, 1).reshape(steps * lanes, STATE), order), kind.type(1 / lanes)
+    states, share = _with_ones(left.transpose(0, 2, 1)).take(order, axis=0), kind.type(1 / lanes)
+    weights, small = network._class_weights(), network._small(states)
     group, back = network.class_of(codes), np.ascontiguousarray(network.classes.T)
     d_classes, d_ordered = np.zeros((STATE + 1, back.shape[0]), kind), np.empty((len(codes), STATE), kind)
     for at in range(0, len(codes), ROWS):  # what a processor's cache holds
         some = states[at:at + ROWS]
-        by_class = network._class_logits(some)
+        by_class = _logits(some, weights, small)
         scale = _output_gradient(by_class, group[at:at + ROWS], share)
         d_classes += (some * scale).T @ by_class
         np.multiply(by_class @ back, scale, out=d_ordered[at:at + ROWS])
-    by_word = network._word_logits(states, bounds)
+    by_word = network._word_logits(states, bounds, small)
     scale = _output_gradient(by_word, codes[:len(by_word)] % CLASS_WORDS, share)
     scaled, d_inside = states[:len(by_word)] * scale, np.empty((len(by_word), STATE), kind)
     d_words = np.zeros((len(network.words), STATE + 1, CLASS_WORDS), kind)
@@ -322,13 +323,16 @@ def _window_gradients(network: Network, x: np.ndarray, y: np.ndarray, state: np.
         np.matmul(by_word[low:high], network.words[k].T, out=d_inside[low:high])
     d_inside *= scale
     d_ordered[:len(by_word)] += d_inside
-    d_states = np.empty_like(d_ordered)
-    d_states[order] = d_ordered
-    d_states = np.ascontiguousarray(d_states.reshape(steps, lanes, STATE).transpose(0, 2, 1))
+    back_to = np.empty_like(order)
+    back_to[order] = np.arange(len(order))
+    d_states = d_ordered.take(back_to, axis=0).reshape(steps, lanes, STATE)
+    d_states = np.ascontiguousarray(d_states.transpose(0, 2, 1))
 
     keep, reset = gates[:, :STATE], gates[:, STATE:]
     shut = 1 - gates
-    to_new = shut[:, :STATE] * (1 - new * new)
+    to_new = new * new
+    np.subtract(1, to_new, out=to_new)
+    to_new *= shut[:, :STATE]
     d_gates = np.empty((steps, 3, STATE, lanes), kind)  # first of a state's gates and inner part by the state
     np.subtract(entered[:, :STATE], new, out=d_gates[:, 0])
     d_gates[:, 0] *= keep
@@ -339,31 +343,65 @@ def _window_gradients(network: Network, x: np.ndarray, y: np.ndarray, state: np.
     keep *= opened
     ahead, through = np.zeros((STATE, lanes), kind), np.empty((STATE, lanes), kind)
     for t in reversed(range(steps)):
-        d = d_states[t]
+        d, by_gate = d_states[t], d_gates[t]
         d += ahead
-        d_gates[t] *= d
-        np.matmul(network.recur, d_gates[t].reshape(3 * STATE, lanes), out=through)
+        by_gate *= d
+        np.matmul(network.recur, by_gate.reshape(3 * STATE, lanes), out=through)
         through *= opened[t]
         np.multiply(d, keep[t], out=ahead)
         ahead += through
-    rows = d_gates.reshape(steps, 3 * STATE, lanes).transpose(0, 2, 1)
-    d_recur = np.matmul(entered, rows).sum(0)
-    np.multiply(d_states, to_new, out=d_gates[:, 2])
-    d_table = _summed(x.ravel(), rows.reshape(steps * lanes, 3 * STATE), len(network.table))
+    rows = np.ascontiguousarray(d_gates.reshape(steps, 3 * STATE, lanes).transpose(0, 2, 1))
+    flat = rows.reshape(steps * lanes, 3 * STATE)
+    d_recur = entered.transpose(1, 0, 2).reshape(STATE + 1, steps * lanes) @ flat
+    d_states *= to_new
+    rows[:, :, both:] = d_states.transpose(0, 2, 1)
+    d_table = _summed(x.ravel(), flat, len(network.table))
     return [
         d_table, d_recur[:STATE], d_recur[STATE, both:], d_classes[:STATE], d_classes[STATE], d_words[:, :STATE], d_words[:, STATE],
     ], left[-1].T
 
 
+def _run(network: Network, x: np.ndarray, state: np.ndarray, opened: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``Network.step`` over a window (steps, lanes): what each step enters with, its gates, its inner
+    part, the new state it offers and the one it leaves."""
+    steps, lanes = x.shape
+    kind = network.table.dtype
+    both = 2 * STATE
+    sign = np.repeat(np.array([-1, 1], kind), [both, STATE])  # both gates go into an exponential
+    given = (network.table * sign).take(x.ravel(), axis=0).reshape(steps, lanes, 3 * STATE)
+    given = np.ascontiguousarray(given.transpose(0, 2, 1))
+    recur = np.zeros((3 * STATE, STATE + 1), kind)
+    recur[:, :STATE] = (network.recur * sign).T
+    recur[both:, STATE] = network.bias
+    entered, across = np.ones((steps, STATE + 1, lanes), kind), np.empty((steps, 3 * STATE, lanes), kind)
+    new, left = (np.empty((steps, STATE, lanes), kind) for _ in range(2))
+    state = state.T
+    for t in range(steps):
+        np.multiply(state, opened[t], out=entered[t, :STATE])
+        np.matmul(recur, entered[t], out=across[t])
+        gate, inner, offered = across[t, :both], across[t, both:], given[t]
+        gate += offered[:both]
+        np.exp(gate, out=gate)
+        gate += 1
+        np.reciprocal(gate, out=gate)
+        fresh = np.multiply(gate[STATE:], inner, out=new[t])
+        fresh += offered[both:]
+        np.tanh(fresh, out=fresh)
+        state = np.subtract(entered[t, :STATE], fresh, out=left[t])
+        state *= gate[:STATE]
+        state += fresh
+    return entered, across[:, :both], across[:, both:], new, left
+
+
 def _summed(codes: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
-    """Sums of rows by code: products with marks of the code's place among ``CLASS_WORDS`` neighbours."""
-    parts = -(-count // CLASS_WORDS)
-    out = np.zeros((parts * CLASS_WORDS, rows.shape[1]), rows.dtype)
+    """Sums of rows by code: products with marks of the code's place among ``MARKED`` neighbours."""
+    parts = -(-count // MARKED)
+    out = np.zeros((parts * MARKED, rows.shape[1]), rows.dtype)
     order = np.argsort(codes.astype(np.int16), kind="stable")
     codes, rows = codes[order], rows.take(order, axis=0)
-    marks = (codes % CLASS_WORDS == np.arange(CLASS_WORDS)[:, None]).astype(rows.dtype)
-    for k, low, high in _filled(np.searchsorted(codes, np.arange(parts + 1) * CLASS_WORDS)):
-        np.matmul(marks[:, low:high], rows[low:high], out=out[k * CLASS_WORDS:(k + 1) * CLASS_WORDS])
+    marks = (codes % MARKED == np.arange(MARKED)[:, None]).astype(rows.dtype)
+    for k, low, high in _filled(np.searchsorted(codes, np.arange(parts + 1) * MARKED)):
+        np.matmul(marks[:, low:high], rows[low:high], out=out[k * MARKED:(k + 1) * MARKED])
     return out[:count]
 
 
@@ -390,49 +428,141 @@ def document_logs(network: Network, codes: np.ndarray, starts: np.ndarray, end:
         for lane in range(active):
             part = rows[lane][at:at + WINDOW]
             places[:len(part), lane] = part
-        states, wanted = [], []
-        for t in range(WINDOW):
-            n = int((places[t] >= 0).sum())  # longer lanes come first
-            if not n:
-                break
-            here = places[t, :n]
-            x = before[here]
-            inside = state[:n] * (x != end).astype(np.float32)[:, None]
-            state[:n] = network.step(network.table[x], inside)[0]
-            states.append(state[:n].copy())
-            wanted.append(here)
-        wanted = np.concatenate(wanted)
-        out[wanted] = network.log_probability(np.concatenate(states), codes[wanted])
+        places = places[:min(WINDOW, int(sizes[0]) - at)]
+        x = before[places]
+        left = _run(network, x, state[:active], (x != end).astype(np.float32)[:, None])[-1]
+        state[:active] = left[-1].T
+        inside = np.flatnonzero(places.ravel() >= 0)  # a lane that ends here does not go on
+        wanted, states = places.ravel(), left.transpose(0, 2, 1).reshape(-1, STATE)
+        if len(inside) < len(wanted):
+            wanted, states = wanted[inside], states[inside]
+        out[wanted] = network.log_probability(states, codes[wanted])
     return np.add.reduceat(out, starts[:-1]) if len(lengths) else np.empty(0)
 
 
+_PACKED = (
+    "block long, bucket int, first long, words binary, counts binary, "
+    "doc_id long, training boolean, key long, n long, numbers binary"
+)
 _NUMBERED = "block long, number long, word string, n long, doc_id long, training boolean, key long, numbers binary"
+_COUNTED = (
+    "block long, bucket int, first long, counts binary, marks binary, word string, place int, k int, c long, v long"
+)
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """Per block: its distinct words with their training counts, the end of a document among them, and
-    its rows as the numbers of their words. A row of the result is one or the other."""
-    def number(key: tuple, given: pa.Table) -> pa.Table:
+def _packed(rows: DataFrame, buckets: int) -> DataFrame:
+    """Per block: its distinct words by bucket, one row a bucket, with their training counts, the end of
+    a document among them, and its rows as the numbers of their words. A bucket's words are numbered from
+    ``first``; a word's bucket is a hash of its bytes, so blocks agree on it."""
+    def pack(key: tuple, given: pa.Table) -> pa.Table:
         words, numbers, first = words_of(given.column("text").combine_chunks())
         times, training = given.column("n").to_numpy(), given.column("training").to_numpy()
         weights = np.where(training, times, 0)
         counted = np.bincount(numbers, np.repeat(weights, np.diff(first)), minlength=len(words))
+        counted = np.append(counted, weights.sum()).astype(np.int64)
         numbers, bounds = _with_ends(numbers, first, len(words))
-        listed, texts = len(words) + 1, given.num_rows
-        blank = lambda size, kind: pa.nulls(size, kind)
-        return pa.table({
-            "block": pa.array(np.full(listed + texts, key[0].as_py())),
-            "number": pa.chunked_array([pa.array(np.arange(listed)), blank(texts, pa.int64())]),
-            "word": pa.chunked_array([pa.concat_arrays([words.cast(pa.string()), pa.array([END])]), blank(texts, pa.string())]),
-            "n": pa.chunked_array([pa.array(np.append(counted, weights.sum()).astype(np.int64)), pa.array(times)]),
-            **{
-                name: pa.chunked_array([blank(listed, kind), *given.column(name).cast(kind).chunks], kind)
-                for name, kind in (("doc_id", pa.int64()), ("training", pa.bool_()), ("key", pa.int64()))
-            },
-            "numbers": pa.chunked_array([blank(listed, pa.binary()), _binary(numbers.astype(np.int32), bounds)]),
-        })
-
-    return rows.groupBy("block").applyInArrow(number, _NUMBERED)
+        words = pa.concat_arrays([words.cast(pa.large_string()), pa.array([END], pa.large_string())])
+        bucket = _bucket_of(words, buckets)
+        order = np.argsort(bucket, kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        data, ends = utf8(pc.binary_join_element_wise(words.take(pa.array(order)), *(pa.scalar(x, words.type) for x in ("", "\n"))))
+        filled, cuts = np.unique(bucket[order], return_index=True)
+        cuts = np.append(cuts, len(order))
+        listed, texts = len(filled), given.num_rows
+        block = key[0].as_py()
+        return pa.concat_tables([
+            _rows(_PACKED, listed, block=np.full(listed, block), bucket=filled.astype(np.int32), first=cuts[:-1],
+                  words=_binary(data, ends[cuts]), counts=_binary(counted[order], cuts)),
+            _rows(_PACKED, texts, block=np.full(texts, block), doc_id=given.column("doc_id"), training=given.column("training"),
+                  key=given.column("key"), n=times, numbers=_binary(number[numbers], bounds)),
+        ])
+
+    return rows.groupBy("block").applyInArrow(pack, _PACKED)
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """The packed rows with a row a word: a row of the result is a word of a block or one of its texts."""
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["words"] is None:
+                    out = {name: [row[name]] for name in ("block", "n", "doc_id", "training", "key", "numbers")}
+                else:
+                    words = row["words"].decode().split("\n")[:-1]
+                    numbers = range(row["first"], row["first"] + len(words))
+                    out = {"block": [row["block"]] * len(words), "number": numbers, "word": words, "n": np.frombuffer(row["counts"], np.int64)}
+                yield from _rows(_NUMBERED, len(out["block"]), **out).to_batches()
+
+    return _packed(rows, 2).mapInArrow(unpack, _NUMBERED)
+
+
+_KINDS = {
+    "long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(),
+}
+
+
+def _rows(schema: str, count: int, **columns) -> pa.Table:
+    """A table of the schema; columns that are not given are null."""
+    kinds = {name: _KINDS[kind] for name, kind in (part.split() for part in schema.split(","))}
+    given = {
+        name: columns[name] if isinstance(columns.get(name), pa.Array | pa.ChunkedArray)
+        else pa.array(columns[name], kind) if name in columns else pa.nulls(count, kind)
+        for name, kind in kinds.items()
+    }
+    return pa.table({name: column.cast(kinds[name]) for name, column in given.items()})
+
+
+def _bucket_of(words: pa.Array, buckets: int) -> np.ndarray:
+    """A number below ``buckets`` for each word, by a sum of its first bytes, weighted by their places."""
+    out, factors = [], np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, HASHED, np.uint64)
+    for at in range(0, len(words), 1 << 16):
+        data, starts = utf8(pc.binary_slice(words.slice(at, 1 << 16).cast(pa.large_binary()), 0, HASHED).cast(pa.large_string(), safe=False))
+        places = np.arange(len(data)) - np.repeat(starts[:-1], np.diff(starts))
+        sums = np.add.reduceat((data + np.uint64(1)) * factors[places], starts[:-1])  # no word is empty
+        sums ^= sums >> np.uint64(32)
+        out.append((sums * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets))
+    return np.concatenate(out).astype(np.int64)
+
+
+def _tail_of(words: pa.Array) -> np.ndarray:
+    """The tail class of each word, from its last two characters; words end in a line feed here."""
+    ends = pc.utf8_slice_codeunits(words, -3, -1).dictionary_encode()
+    found = np.array([zlib.crc32(end.encode()) % TAIL for end in ends.dictionary.to_pylist()], np.int32)
+    return found[ends.indices.to_numpy()]
+
+
+def _counted_bucket(given: pa.Table) -> pa.Table:
+    """The words of a bucket, counted over all blocks.
+
+    For each block the counts of its words and their marks: the tail class, and for the ``HEAD`` most
+    frequent words of the bucket, which follow as rows, ``TAIL`` times their place and one. The end of a
+    document is always among these. The last rows are the sums of each tail class.
+    """
+    data, _ = _values(given.column("words"), np.uint8)
+    ends = np.append(0, np.flatnonzero(data == ord("\n")) + 1)
+    words = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]).dictionary_encode()
+    numbers, words = words.indices.to_numpy(), words.dictionary
+    counts, bounds = _values(given.column("counts"), np.int64)
+    c = np.bincount(numbers, counts, minlength=len(words)).astype(np.int64)
+    k = _tail_of(words)
+    is_end = pc.equal(words, END + "\n").to_numpy(zero_copy_only=False)
+    first = np.where(is_end, np.iinfo(np.int64).max, c)
+    least = max(1, np.partition(first, -HEAD)[-HEAD] if len(first) > HEAD else 1)
+    some = np.flatnonzero(first >= least)
+    said = pc.ascii_rtrim(words.take(pa.array(some)), "\n")
+    order = pc.sort_indices(pa.table({"c": first[some], "word": said}), [("c", "descending"), ("word", "ascending")])[:HEAD]
+    best = some[order.to_numpy()]
+    marks = k.copy()
+    marks[best] += TAIL * np.arange(1, len(best) + 1, dtype=np.int32)
+    bucket = given.column("bucket")[0].as_py()
+    live = k[c > 0]
+    return pa.concat_tables([
+        _rows(_COUNTED, given.num_rows, block=given.column("block"), bucket=given.column("bucket"), first=given.column("first"),
+              counts=_binary(c[numbers], bounds), marks=_binary(marks[numbers], bounds)),
+        _rows(_COUNTED, len(best), bucket=np.full(len(best), bucket), word=said.take(order), place=np.arange(len(best)), k=k[best], c=c[best]),
+        _rows(_COUNTED, TAIL, k=np.arange(TAIL), c=np.bincount(k, c, minlength=TAIL).astype(np.int64), v=np.bincount(live, minlength=TAIL)),
+    ])
 
 
 def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
@@ -458,13 +588,13 @@ def _block_count(documents: DataFrame) -> int:
     return max(pieces(size["tokens"] or 0, BLOCK_TOKENS), pieces(size["bytes"] or 0, BLOCK_BYTES))
 
 
-def _dealt(documents: DataFrame) -> DataFrame:
+def _dealt(documents: DataFrame, blocks: int | None = None) -> DataFrame:
     """Rows with a block by id and text and the number of rows they stand for.
 
     A row that comes more than ``OFTEN`` times, and in more than one of 100,000 rows, becomes one;
     so at most 100,000 keys are broadcast.
     """
-    blocks = F.lit(_block_count(documents))
+    blocks = F.lit(blocks or _block_count(documents))
     keyed = documents.withColumn("key", F.xxhash64("doc_id", "text"))
     counted = stored(keyed.groupBy("key").count().where(F.col("count") > OFTEN), "lm-often")
     least = keyed.count() // 100_000 if counted.head(1) else 0
@@ -486,31 +616,32 @@ def scored(documents: DataFrame, held: Column) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
         (~held).alias("training"),
     )
-    folder = work_folder(documents.sparkSession, "lm-numbers")
-    _numbered(_dealt(documents)).write.option("compression", "zstd").parquet(folder)
-    numbered = documents.sparkSession.read.schema(_NUMBERED).parquet(folder)
-    lexicon = numbered.where("word IS NOT NULL")
-    counts = stored(
-        lexicon.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "lm-counts"
-    )
-    total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    tokens, distinct = total["n"], total["v"]
-    best = counts.where(F.col("word") != END).orderBy(F.desc("c"), "word").limit(HEAD - 1).collect()
-    head = [END, *(row["word"] for row in best)]
-    tail_of = F.pmod(F.crc32(F.encode(F.substring("word", -2, 2), "UTF-8")), F.lit(TAIL))
+    spark, blocks = documents.sparkSession, _block_count(documents)
+    folder = work_folder(spark, "lm-numbers")
+    _packed(_dealt(documents, blocks), pieces(blocks, BLOCKS_A_BUCKET)).write.option("compression", "zstd").parquet(folder)
+    packed = spark.read.schema(_PACKED).parquet(folder)
+    counting = work_folder(spark, "lm-counts")
+    lexicon = packed.where("words IS NOT NULL").select("block", "bucket", "first", "words", "counts")
+    lexicon.groupBy("bucket").applyInArrow(_counted_bucket, _COUNTED).write.option("compression", "zstd").parquet(counting)
+    counted = spark.read.schema(_COUNTED).parquet(counting)
     tails = {
         row["k"]: (row["n"], row["v"])
-        for row in counts.where(~F.col("word").isin(head)).groupBy(tail_of.cast("int").alias("k"))
-        .agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()
+        for row in counted.where("v IS NOT NULL").groupBy("k").agg(F.sum("c").alias("n"), F.sum("v").alias("v")).collect()
     }
-    ranks = documents.sparkSession.createDataFrame(pa.table({"rank": np.arange(len(head)), "word": head}))
-    known = lexicon.join(counts, "word", "left").join(F.broadcast(ranks), "word", "left").select(
-        F.col("block").alias("of"), "number", F.coalesce("c", F.lit(0)).alias("c"), F.coalesce("rank", tail_of + len(head)).alias("code"),
-    )
-    texts = numbered.where("word IS NULL").select("block", "doc_id", "training", "key", "n", "numbers")
+    tokens, distinct = (sum(values) for values in zip((0, 0), *tails.values(), strict=True))
+    frequent = counted.where("word IS NOT NULL").select("word", "bucket", "place", "k", "c")
+    best = frequent.where((F.col("word") != END) & (F.col("c") > 0)).orderBy(F.desc("c"), "word").limit(HEAD - 1).collect()
+    best = [*frequent.where(F.col("word") == END).collect(), *best]
+    head = [END, *(row["word"] for row in best[1:])]
+    for row in best:
+        n, v = tails[row["k"]]
+        tails[row["k"]] = n - row["c"], v - (row["c"] > 0)
+    ranks = {row["bucket"] * HEAD + row["place"]: rank for rank, row in enumerate(best)}
+    known = counted.where("block IS NOT NULL").select(F.col("block").alias("of"), "bucket", "first", "counts", "marks")
+    texts = packed.where("words IS NULL").select("block", "doc_id", "training", "key", "n", "numbers")
 
     def encode(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
-        return _coded_block(len(head), tails, tokens, distinct, texts, words)
+        return _coded_block(len(head), ranks, tails, tokens, distinct, texts, words)
 
     coded = stored(
         texts.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(
@@ -520,6 +651,7 @@ def scored(documents: DataFrame, held: Column) -> DataFrame:
         "lm-codes",
     )
     _deleted(documents, folder)
+    _deleted(documents, counting)
     network = _fitted(coded.where("training"), head, tokens)
     held_model = documents.sparkSession.sparkContext.broadcast(pickle.dumps(network))
 
@@ -664,12 +796,25 @@ def _round(
     return Network(head, *mean[:count]), Moments(mean[count:2 * count], mean[2 * count:], updates)
 
 
-def _coded_block(head: int, shares: dict, tokens: int, distinct: int, texts: pa.Table, known: pa.Table) -> pa.Table:
-    """A block's rows as codes, with what their scores owe to the counts alone."""
-    number = known.column("number").to_numpy()
-    counts, codes = np.empty(len(number), np.int64), np.empty(len(number), np.int16)
-    counts[number], codes[number] = known.column("c").to_numpy(), known.column("code").to_numpy()
-    tail = np.zeros(len(number))
+def _coded_block(
+    head: int, ranks: dict, shares: dict, tokens: int, distinct: int, texts: pa.Table, known: pa.Table
+) -> pa.Table:
+    """A block's rows as codes, with what their scores owe to the counts alone.
+
+    ``ranks``: of the head words, by their bucket and their place among its most frequent words.
+    """
+    known = known.sort_by("first")
+    counts, bounds = _values(known.column("counts"), np.int64)
+    marks, _ = _values(known.column("marks"), np.int32)
+    codes = (head + marks % TAIL).astype(np.int16)
+    some = np.flatnonzero(marks >= TAIL)
+    bucket = np.repeat(known.column("bucket").to_numpy().astype(np.int64), np.diff(bounds))[some]
+    places, order = np.unique(np.fromiter(ranks, np.int64, len(ranks)), return_index=True)
+    wanted = bucket * HEAD + marks[some] // TAIL - 1
+    found = np.searchsorted(places, wanted).clip(max=max(0, len(places) - 1))
+    hit = places[found] == wanted if len(places) else np.zeros(len(some), bool)
+    codes[some[hit]] = np.fromiter(ranks.values(), np.int16, len(ranks))[order[found[hit]]]
+    tail = np.zeros(len(codes))
     rare = np.flatnonzero(codes >= head)
     sums = np.array([sum(shares.get(k, (0, 0))) + 1 for k in range(TAIL)], np.float64)
     tail[rare] = np.log((counts[rare] + 1) / sums[codes[rare] - head])
