@@ -361,33 +361,36 @@ def _window_gradients(network: Network, x: np.ndarray, y: np.ndarray, state: np.
     ], left[-1].T
 
 
-def _run(network: Network, x: np.ndarray, state: np.ndarray, opened: np.ndarray) -> tuple[np.ndarray, ...]:
+def _run(
+    network: Network, x: np.ndarray, state: np.ndarray, opened: np.ndarray, learning: bool = True
+) -> tuple[np.ndarray, ...]:
     """``Network.step`` over a window (steps, lanes): what each step enters with, its gates, its inner
-    part, the new state it offers and the one it leaves."""
+    part, the new state it offers and the one it leaves. Only the last are kept if not ``learning``."""
     steps, lanes = x.shape
     kind = network.table.dtype
     both = 2 * STATE
     sign = np.repeat(np.array([-1, 1], kind), [both, STATE])  # both gates go into an exponential
-    given = (network.table * sign).take(x.ravel(), axis=0).reshape(steps, lanes, 3 * STATE)
-    given = np.ascontiguousarray(given.transpose(0, 2, 1))
+    table = network.table * sign
     recur = np.zeros((3 * STATE, STATE + 1), kind)
     recur[:, :STATE] = (network.recur * sign).T
     recur[both:, STATE] = network.bias
-    entered, across = np.ones((steps, STATE + 1, lanes), kind), np.empty((steps, 3 * STATE, lanes), kind)
-    new, left = (np.empty((steps, STATE, lanes), kind) for _ in range(2))
+    kept = steps if learning else 1
+    entered, across = np.ones((kept, STATE + 1, lanes), kind), np.empty((kept, 3 * STATE, lanes), kind)
+    new, left = (np.empty((size, STATE, lanes), kind) for size in (kept, steps))
     state = state.T
     for t in range(steps):
-        np.multiply(state, opened[t], out=entered[t, :STATE])
-        np.matmul(recur, entered[t], out=across[t])
-        gate, inner, offered = across[t, :both], across[t, both:], given[t]
+        at = t % kept
+        before = np.multiply(state, opened[t], out=entered[at, :STATE])
+        np.matmul(recur, entered[at], out=across[at])
+        gate, inner, offered = across[at, :both], across[at, both:], table.take(x[t], axis=0).T
         gate += offered[:both]
         np.exp(gate, out=gate)
         gate += 1
         np.reciprocal(gate, out=gate)
-        fresh = np.multiply(gate[STATE:], inner, out=new[t])
+        fresh = np.multiply(gate[STATE:], inner, out=new[at])
         fresh += offered[both:]
         np.tanh(fresh, out=fresh)
-        state = np.subtract(entered[t, :STATE], fresh, out=left[t])
+        state = np.subtract(before, fresh, out=left[t])
         state *= gate[:STATE]
         state += fresh
     return entered, across[:, :both], across[:, both:], new, left
@@ -430,7 +433,7 @@ def document_logs(network: Network, codes: np.ndarray, starts: np.ndarray, end:
             places[:len(part), lane] = part
         places = places[:min(WINDOW, int(sizes[0]) - at)]
         x = before[places]
-        left = _run(network, x, state[:active], (x != end).astype(np.float32)[:, None])[-1]
+        left = _run(network, x, state[:active], (x != end).astype(np.float32)[:, None], learning=False)[-1]
         state[:active] = left[-1].T
         inside = np.flatnonzero(places.ravel() >= 0)  # a lane that ends here does not go on
         wanted, states = places.ravel(), left.transpose(0, 2, 1).reshape(-1, STATE)

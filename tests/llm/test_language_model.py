@@ -173,6 +173,42 @@ def test_texts_are_cut_into_words_once(docs, monkeypatch):
     assert total == {"a": 12, "b0": 2, "b1": 2, "b2": 2, lm.END: 6} and len({b for b, _ in words}) > 1
 
 
+def test_words_travel_packed(docs, monkeypatch):
+    """One row for a block and bucket, however many words; blocks agree on a word's bucket."""
+    monkeypatch.setattr(lm, "BLOCK_TOKENS", 50)
+    frame = docs(*((k, " ".join(f"w{j}" for j in range(k, k + 40))) for k in range(12)))
+    found = lm._packed(lm._dealt(frame.select("doc_id", "text", F.lit(True).alias("training"))), 3).where("words IS NOT NULL").collect()
+    buckets = collections.defaultdict(set)
+    for row in found:
+        words = row["words"].decode().split("\n")[:-1]
+        assert len(words) == len(np.frombuffer(row["counts"], np.int64))
+        for word in words:
+            buckets[word].add(row["bucket"])
+    assert set(buckets) == {*(f"w{j}" for j in range(51)), lm.END} and all(len(b) == 1 for b in buckets.values())
+    assert len(found) == len({(r["block"], r["bucket"]) for r in found}) and len({r["block"] for r in found}) > 3
+
+
+def test_bucket_counts_and_codes(monkeypatch):
+    """Over both blocks; the end first, ties by the bytes of the word, which may be smaller than a line feed."""
+    monkeypatch.setattr(lm, "HEAD", 3)
+    longs = lambda *values: np.array(values, np.int64).tobytes()
+    given = pa.table({
+        "block": [0, 1], "bucket": pa.array([4, 4], pa.int32()), "first": [0, 0],
+        "words": [b"a\nb\na\x01\n \n", b"b\nc\n"], "counts": [longs(2, 1, 2, 1), longs(1, 0)],
+    })
+    found = lm._counted_bucket(given).to_pylist()
+    assert [np.frombuffer(r["counts"], np.int64).tolist() for r in found[:2]] == [[2, 2, 2, 1], [2, 0]]
+    assert [(r["word"], r["c"]) for r in found[2:5]] == [(" ", 1), ("a", 2), ("a\x01", 2)]
+    assert sum(r["c"] for r in found[5:]) == 7 and sum(r["v"] for r in found[5:]) == 4
+    ranks = {4 * lm.HEAD + r["place"]: k for k, r in enumerate(found[2:5])}
+    texts = pa.table({
+        "doc_id": [1], "training": [True], "n": [1], "key": [5], "numbers": [np.array([0, 1, 2, 3], np.int32).tobytes()],
+    })
+    known = pa.Table.from_pylist(found[:1]).set_column(1, "bucket", pa.array([4], pa.int32()))
+    codes = lm._coded_block(3, ranks, {}, 7, 4, texts, known).column("codes")[0].as_py()
+    assert np.frombuffer(codes, np.int16).tolist() == [1, 3 + zlib.crc32(b"b") % lm.TAIL, 2, 0]
+
+
 def test_sums_by_code():
     draw = np.random.default_rng(6)
     codes, rows = draw.integers(0, 100, 300), draw.standard_normal((300, 5))
