@@ -782,13 +782,15 @@ def _round(
             yield train(part, texts)
 
     def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("part", "ascending"), ("tokens", "ascending")])
         columns = (rows.column(name).to_pylist() for name in ("tokens", "updates", "weights"))
         return pa.table(_weights(key[0].as_py(), *_merged(*columns)))
 
     trained = coded.mapInArrow(run, _WEIGHTS)
     while parts > MERGED:
         parts = pieces(parts, MERGED)
-        trained = trained.groupBy(F.floor(F.col("part") / MERGED).alias("part")).applyInArrow(merge, _WEIGHTS)
+        above = trained.withColumn("above", F.floor(F.col("part") / MERGED))
+        trained = above.groupBy("above").applyInArrow(merge, _WEIGHTS)
     rows = trained.collect()
     now.destroy()
     if not rows:

@@ -233,6 +233,18 @@ def test_every_training_document_is_learned(docs, monkeypatch):
     assert found["train_tokens"] == 2500 * 41 + 500 * 801 and found["score"] > found["base_score"] / 2
 
 
+def test_weights_of_many_parts_are_averaged_as_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(lm, "PART_TOKENS", 100)
+    draw = np.random.default_rng(3)
+    rows = [(place, 1, np.append(draw.integers(1, 9, 30), 0).astype(np.int16).tobytes()) for place in range(20)]
+    training = spark.createDataFrame(rows, "place long, n long, codes binary")
+    head = [f"w{k}" for k in range(10)]
+    flat = lm._fitted(training, head, 620)
+    monkeypatch.setattr(lm, "MERGED", 2)
+    for mean, other in zip(flat.parameters(), lm._fitted(training, head, 620).parameters(), strict=True):
+        assert np.allclose(mean, other, atol=1e-5)
+
+
 def test_lanes_cover_every_code(network, monkeypatch):
     seen = []
     whole = lm._window_gradients
