@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerlane.schemas import BUCKET_KEYS, LOAD_ORDER, RAW_SCHEMAS
 from ledgerlane.sources.csv_files import CORRUPT, nan_to_null, read_csv, with_ingest_time, write_csv
-from ledgerlane.sources.layers import RAW, SCRATCH, LayerStore
+from ledgerlane.sources.layers import COMPILED_BYTES, LONGEST_METHOD, RAW, SCRATCH, LayerStore
 
 SUMMARY = "table string, rows long, bad_rows long, status string, elapsed_s double"
 
@@ -32,21 +32,18 @@ def export_csv(tables: dict[str, DataFrame], folder: str) -> None:
         write_csv(rows.select(*RAW_SCHEMAS[name].fieldNames()), f"{folder}/{name}.csv")
 
 
-_LONGEST_METHOD = "spark.sql.codegen.hugeMethodLimit"
-
-
 @contextmanager
 def short_methods(spark: SparkSession) -> Iterator[None]:
     """Have Spark deal a stage over methods that the JVM compiles, which it leaves out above 8,000 bytes.
 
     What is done with all cells of a table comes to more in one method and would be interpreted.
     """
-    before = spark.conf.get(_LONGEST_METHOD)
-    spark.conf.set(_LONGEST_METHOD, 8000)
+    before = spark.conf.get(LONGEST_METHOD)
+    spark.conf.set(LONGEST_METHOD, COMPILED_BYTES)
     try:
         yield
     finally:
-        spark.conf.set(_LONGEST_METHOD, before)
+        spark.conf.set(LONGEST_METHOD, before)
 
 
 def load_table(

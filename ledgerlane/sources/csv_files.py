@@ -78,12 +78,19 @@ def read_csv(
         name: F.when(~F.col(f"`{name}`").isin(*MISSING_WORDS), F.col(f"`{name}`"))
         for name in texts.fieldNames()
     })
-    values = {field.name: _value(field.name, field.dataType) for field in schema.fields}
+    # each value is named where it is tested and where it is given, so it is made by a step of its own
+    kinds = {field.name: field.dataType for field in schema.fields if not isinstance(field.dataType, T.StringType)}
+    prefix, taken = "_", {name.lower() for name in rows.columns}
+    while any(f"{prefix}{name}".lower() in taken for name in kinds):
+        prefix += "_"
+    typed_as = {name: f"{prefix}{name}" for name in kinds}
+    rows = rows.withColumns({typed_as[name]: _value(name, kind) for name, kind in kinds.items()})
     unfit = reduce(
-        lambda a, b: a | b, [F.col(f"`{name}`").isNotNull() & value.isNull() for name, value in values.items()]
+        lambda a, b: a | b,
+        [F.col(f"`{name}`").isNotNull() & F.col(f"`{typed_as[name]}`").isNull() for name in kinds], F.lit(False),
     )
     whole = F.concat_ws(",", *[F.coalesce(f"`{name}`", F.lit("")) for name in texts.fieldNames()])
-    typed = [value.alias(name) for name, value in values.items()]
+    typed = [F.col(f"`{typed_as.get(name, name)}`").alias(name) for name in texts.fieldNames()]
     if keep_bad_rows:
         corrupt = F.coalesce(F.col(CORRUPT), F.when(unfit, whole)).alias(CORRUPT)
         return rows.select(*typed, corrupt)

@@ -4,11 +4,12 @@ import csv
 import io
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
 from ledgerlane.sources.csv_files import CORRUPT, read_csv
-from ledgerlane.sources.csv_records import read_records
+from ledgerlane.sources.csv_records import _found, _lines, _splits, read_records
 
 NAMES = ["a", "b", "c"]
 SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in NAMES])
@@ -70,3 +71,32 @@ def test_empty_files(spark, tmp_path):
     (tmp_path / "none.csv").write_text("")
     (tmp_path / "head.csv").write_text("a,b,c\n")
     assert read_csv(spark, str(tmp_path), SCHEMA, multi_line=True).collect() == []
+
+
+def test_lines_are_put_together_a_batch_at_a_time():
+    lines = ["a,b,c\r", '1,"x', "", 'y",z\r', "\u00a0", "  \r", "2,p,q", '3,"open']
+    batch = pa.RecordBatch.from_pydict({"value": lines, "mark": [29] * len(lines)})
+    middle, *rest = (
+        pa.RecordBatch.from_pydict({"value": values, "mark": [mark] * len(values)})
+        for values, mark in ((["on"], 34), (["on"], 38), (['end",r', "4,s,t"], 38))
+    )
+    whole, begin, middle, end, last = (found.to_pydict() for found in _found(NAMES, [batch, middle, *rest]))
+    assert whole["record"] == ['1,"x\n\ny",z', "2,p,q"] and set(whole["at"]) == {-1}
+    assert [(p["record"], p["split"], p["at"], p["ends"], p["opens"]) for p in (begin, middle)] == [
+        (['3,"open'], [7], [1], [False], [True]), (["on"], [8], [0], [False], [False])]
+    assert (end["record"], end["at"], end["ends"], end["opens"]) == (['on\nend",r'], [0], [True], [False])
+    assert last["record"] == ["4,s,t"]
+
+
+def test_only_splits_that_a_record_crosses_are_read_again(spark, tmp_path, small_splits):
+    (tmp_path / "t.csv").write_text("a,b,c\n" + "1,x,y\n" * 100 + '2,"' + "long\n" * 60 + '",z\n' + "3,x,y\n" * 100)
+    found = _splits(_lines(spark, str(tmp_path))).collect()
+    crossed = [row.start for row in found if row.crossed]
+    assert 0 < len(crossed) < len(found) / 2 and min(crossed) > 400 and max(crossed) < 1000
+    assert len(read_records(spark, str(tmp_path), NAMES).collect()) == 201
+
+
+def test_a_split_that_is_not_known_fails_the_read():
+    batch = pa.RecordBatch.from_arrays([pa.array(["1,x,y"]), pa.nulls(1, pa.int64())], names=["value", "mark"])
+    with pytest.raises(RuntimeError, match="splits changed"):
+        list(_found(NAMES, [batch]))
