@@ -2,18 +2,37 @@
 
 Join order: lines first meet their latest receipt on the line key, then the order on the order
 key. The result leaves the last join clustered by order, so the stored fact keeps the lines of an
-order next to each other and counting distinct orders later combines them before its shuffle.
+order next to each other and counting distinct orders later combines them before its shuffle. What is
+moved for it is made small first: labels go as their places in the declared lists, keys as bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlane.functions.numeric import fulfilment, value_of
-from ledgerlane.schemas import LIFECYCLE_STAGES, MONEY, PERCENT
+from ledgerlane.functions.text import coded_label, label_code, packed_key, unpacked_key
+from ledgerlane.schemas import (
+    DISCOUNT_TIERS,
+    INSPECTION_STATUSES,
+    LIFECYCLE_STAGES,
+    MONEY,
+    ORDER_STATUSES,
+    PERCENT,
+    RECEIPT_STATUSES,
+    SHORTAGES,
+    TIMELINESS,
+)
+
+# Columns of lines and receipts that mostly hold one of a few labels; any other text stays as it is.
+_LINE_LABELS = {"discount_tier": DISCOUNT_TIERS, "line_status": ORDER_STATUSES}
+_RECEIPT_LABELS = {
+    "receipt_status": RECEIPT_STATUSES, "delivery_timeliness": TIMELINESS, "shortage_severity": SHORTAGES,
+    "inspection_status": INSPECTION_STATUSES,
+}
 
 
 def latest_receipts(receipts: DataFrame) -> DataFrame:
@@ -41,6 +60,23 @@ def stage(cancelled: Column, opened: Column, receipt: Column, received: Column,
     )
 
 
+def _packed(rows: DataFrame, alias: str, labels: Mapping[str, Sequence[str]]
+            ) -> tuple[DataFrame, Callable[[str], Column]]:
+    """Rows with their labels and surrogate keys made small, under an alias, and what gives a column of
+    them as it was, under its name."""
+    packed, given = {}, {}
+    for name in rows.columns:
+        if name in labels:
+            place, other = f"_place_{name}", f"_other_{name}"
+            packed[place], packed[other] = label_code(F.col(name), labels[name])
+            given[name] = coded_label(F.col(f"{alias}.{place}"), F.col(f"{alias}.{other}"), labels[name])
+        elif name.endswith("_sk"):
+            packed[f"_bytes_{name}"] = packed_key(F.col(name))
+            given[name] = unpacked_key(F.col(f"{alias}._bytes_{name}"))
+    small = rows.withColumns(packed).drop(*given) if given else rows
+    return small.alias(alias), lambda name: given.get(name, F.col(f"{alias}.{name}")).alias(name)
+
+
 def order_lifecycle(
     lines: DataFrame,
     orders: DataFrame,
@@ -55,7 +91,9 @@ def order_lifecycle(
     ``receipts`` holds at most one row per line (see :func:`latest_receipts`). The extras name
     columns the caller attached to a side beforehand and wants carried through.
     """
-    line, order, gr = lines.alias("line"), orders.alias("ord"), receipts.alias("gr")
+    line, of_line = _packed(lines, "line", _LINE_LABELS)
+    gr, of_receipt = _packed(receipts, "gr", _RECEIPT_LABELS)
+    order = orders.alias("ord")
     joined = line.join(gr, F.col("line.line_id") == F.col("gr.po_line_id"), "left").join(
         order, F.col("line.po_id") == F.col("ord.po_id")
     )
@@ -97,7 +135,7 @@ def order_lifecycle(
         "line.discount_pct",
         "line.discount_amount_idr",
         "line.has_discount",
-        "line.discount_tier",
+        of_line("discount_tier"),
         F.col("line.gross_total_price_idr").alias("gross_total_ordered_idr"),
         F.col("line.net_total_price_idr").alias("net_total_ordered_idr"),
         value.alias("net_total_received_idr"),
@@ -108,12 +146,12 @@ def order_lifecycle(
         (F.col("gr.lead_time_days") - F.col("ord.expected_lead_time_days"))
         .alias("lead_time_variance_days"),
         "ord.po_status",
-        "line.line_status",
+        of_line("line_status"),
         stage(F.col("ord.is_cancelled"), F.col("ord.is_open"), F.col("gr.gr_id"), received, ordered)
         .alias("lifecycle_stage"),
-        "gr.receipt_status",
-        "gr.delivery_timeliness",
-        "gr.shortage_severity",
+        of_receipt("receipt_status"),
+        of_receipt("delivery_timeliness"),
+        of_receipt("shortage_severity"),
         "gr.is_on_time",
         "gr.is_short_delivery",
         "gr.is_over_delivery",
@@ -124,11 +162,11 @@ def order_lifecycle(
         F.coalesce(F.col("gr.needs_reinspection"), F.lit(False)).alias("needs_reinspection"),
         "line.unit_of_measure",
         "gr.warehouse_location",
-        "gr.inspection_status",
+        of_receipt("inspection_status"),
         "ord.payment_terms",
         "ord.is_cancelled",
         "ord.is_completed",
-        *[f"line.{name}" for name in line_extras],
+        *[of_line(name) for name in line_extras],
         *[f"ord.{name}" for name in order_extras],
-        *[f"gr.{name}" for name in receipt_extras],
+        *[of_receipt(name) for name in receipt_extras],
     )

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlane.functions.text import packed_key
+
 ERROR, WARN = "error", "warn"
 
 
@@ -39,19 +41,10 @@ def _comparable(rows: DataFrame, column: str) -> tuple[Column, Column]:
     elif isinstance(kind, T.BinaryType):
         text = value
     else:
-        text = _packed(value.cast("string"))
+        text = packed_key(value.cast("string"))
     return number, text
 
 
-def _packed(text: Column) -> Column:
-    """Text as bytes: hexadecimal digits, as of surrogate keys, two in a byte. A byte in front tells which,
-    so different texts stay different."""
-    digits = F.unhex(text)
-    return F.when(F.lower(F.hex(digits)) == text, F.concat(F.lit(b"\x01"), digits)).otherwise(
-        F.concat(F.lit(b"\x00"), text.cast("binary"))
-    )
-
-
 def unique_values(tables: Mapping[str, tuple[DataFrame, Sequence[str]]], severity: str = ERROR) -> DataFrame:
     """Values that occur more than once, for some columns of each table; missing values do not count.
 

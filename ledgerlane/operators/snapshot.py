@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlane.functions.text import packed_key, unpacked_key
 from ledgerlane.operators.dimensions import surrogate_key
 from ledgerlane.operators.lifecycle import latest_receipts, order_lifecycle
+from ledgerlane.operators.tracking import among
 
 # The columns of the fact in their published order.
 FACT_COLUMNS = (
@@ -47,6 +49,18 @@ def _with_key(df: DataFrame, dimension: DataFrame, natural: str, key: str) -> Da
     return df.join(dimension.select(natural, key), natural, "left")
 
 
+def _with_key_apart(df: DataFrame, own: str, dimension: DataFrame, natural: str, key: str) -> DataFrame:
+    """The same for rows that lie by their own key: this and the natural key alone go to the dimension, and
+    the surrogate key comes back as bytes. The rows stay where they are. Repeated rows each get theirs."""
+    pairs = df.select(own, natural).distinct()
+    found = pairs.join(dimension.select(natural, key), natural, "left").select(
+        F.col(own).alias("_own"), F.col(natural).alias("_natural"), packed_key(F.col(key)).alias("_key")
+    )
+    # no second equal key, as rows and pairs already lie by the first alone
+    same = (F.col(own) == F.col("_own")) & (F.col(natural).bitwiseXOR(F.col("_natural")) == 0)
+    return df.join(found, same, "left").withColumn(key, unpacked_key(F.col("_key"))).drop("_own", "_natural", "_key")
+
+
 #: What a stored row remembers of its sources, besides the columns above.
 SOURCE_HASH = "source_hash"
 
@@ -84,6 +98,10 @@ class Sources:
         joined = lines.join(orders, "po_id").join(receipts, "po_line_id", "left")
         return joined.select("po_line_id", "po_id", "new_year", _joined_hash().alias("new_hash"))
 
+    def without(self, ids: DataFrame, count: int) -> Sources:
+        """Without the lines of these ids (line_id), which are ``count``, so they are never joined."""
+        return replace(self, lines=among(self.lines, ids, count, "line_id", "left_anti"))
+
     def only(self, changed: DataFrame) -> Sources:
         """Cut down to the changed lines, so only these are joined."""
         ids = changed.where("new_hash IS NOT NULL").select(F.col("po_line_id").alias("line_id"))
@@ -127,7 +145,7 @@ def sources(
     orders = _with_key(orders, current, "vendor_id", "vendor_sk")
     orders = _with_key(orders, departments, "department_id", "department_sk")
     lines = with_date_key(lines, dates, "delivery_date_expected", "date_key_delivery_expected")
-    lines = _with_key(lines, items, "item_id", "item_sk")
+    lines = _with_key_apart(lines, "line_id", items, "item_id", "item_sk")
     newest = with_date_key(latest_receipts(receipts), dates, "gr_date", "date_key_gr_date")
     return Sources(
         _hashed(lines, "line_hash"), _hashed(orders, "order_hash"), _hashed(newest, "receipt_hash")

@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,13 +116,17 @@ class Warehouse:
         """The fact as a plan over raw tables and stored dimensions."""
         return self.fact_sources().fact().select(*snapshot.FACT_COLUMNS)
 
-    def refreshed_fact(self, stored: DataFrame, former: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    def refreshed_fact(self, stored: DataFrame | Sequence[snapshot.Sources],
+                       former: Mapping[str, DataFrame] | None = None) -> DataFrame:
         """A fact of earlier sources, brought up to date with the present ones.
 
         With the earlier sources' fingerprints only what changed is looked at; without them the whole
-        fact is compared with the present sources.
+        fact is compared with the present sources. A fact that is not stored is given by its sources, in
+        parts by their lines: of these the changed lines are left out before they are joined.
         """
         if former is None:
+            if not isinstance(stored, DataFrame):
+                stored = reduce(DataFrame.unionByName, [part.fact() for part in stored])
             given = self.fact_sources()
             changed = snapshot.changes(stored, given)
             if self._store is not None:
@@ -130,8 +135,12 @@ class Warehouse:
         changes = tracking.Changes(former, self._fingerprints(), self._scratch())
         if changes.everything:
             return self.build_fact()
-        kept = tracking.among(stored, changes.lines.toDF("po_line_id"), changes.count, "po_line_id", "left_anti")
-        return kept.select(*snapshot.FACT_COLUMNS).unionByName(self._built(changes).select(*snapshot.FACT_COLUMNS))
+        if isinstance(stored, DataFrame):
+            kept = [tracking.among(stored, changes.lines.toDF("po_line_id"), changes.count, "po_line_id", "left_anti")]
+        else:
+            kept = [part.without(changes.lines, changes.count).fact() for part in stored]
+        parts = [rows.select(*snapshot.FACT_COLUMNS) for rows in (*kept, self._built(changes))]
+        return reduce(DataFrame.unionByName, parts)
 
     def _fingerprints(self) -> dict[str, DataFrame]:
         sources = (self.raw(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts"))

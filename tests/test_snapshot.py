@@ -5,9 +5,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerlane.functions import text
 from ledgerlane.operators import dimensions, lifecycle, snapshot, staging, tracking
 from ledgerlane.plans.warehouse import FACT, Warehouse, sample_warehouse
-from ledgerlane.schemas import BUCKET_KEYS
+from ledgerlane.schemas import BUCKET_KEYS, RECEIPT_STATUSES
 from ledgerlane.sources.layers import MARTS, RAW, LayerStore
 from tests.conftest import SAMPLE
 
@@ -287,3 +288,29 @@ def test_receipts_that_lie_elsewhere_are_cut_before_their_shuffle(warehouse):
     plan = lifecycle.latest_receipts(loose)._jdf.queryExecution().executedPlan().toString()
     last, first = (part.split("FileScan")[0] for part in plan.split("WindowGroupLimit")[1:])
     assert "hashpartitioning(po_line_id" in last and "hashpartitioning(po_line_id" not in first
+
+
+def test_a_former_fact_in_parts_is_brought_up_to_date(spark, warehouse):
+    """Given by its sources, the changed lines are left out before they are joined."""
+    lines, orders, receipts = (warehouse.raw(t) for t in ("purchase_order_lines", "purchase_orders", "goods_receipts"))
+    more = lines.withColumn("quantity_ordered", F.col("quantity_ordered") + (F.col("line_id") % 3 == 0).cast("int"))
+    halves = [more.where("line_id % 2 = 0"), more.where("line_id % 2 <> 0")]
+    dims = dimensions_of(warehouse)
+    known = tracking.fingerprints(more, orders, receipts, *dims)
+    parts = [
+        snapshot.sources(staging.purchase_order_lines(half), staging.purchase_orders(orders), staging.goods_receipts(receipts), *dims)
+        for half in halves
+    ]
+    full = warehouse.fact()
+    for found in (warehouse.refreshed_fact(parts, known), warehouse.refreshed_fact(parts).select(*full.columns)):
+        assert found.exceptAll(full).count() == 0 and found.count() == full.count()
+
+
+def test_labels_and_keys_come_back_as_they_were(spark):
+    texts = [None, "", " ", "Kurang", "kurang", "Lebih", "0a", "0A", "abc", "\u00e9", "d41d8cd98f00b204e9800998ecf8427e"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    place, other = text.label_code(F.col("t"), RECEIPT_STATUSES)
+    coded = rows.select("t", place.alias("p"), other.alias("o"), text.packed_key(F.col("t")).alias("k"))
+    back = coded.select("t", text.coded_label(F.col("p"), F.col("o"), RECEIPT_STATUSES).alias("l"), text.unpacked_key(F.col("k")).alias("u"))
+    assert all(row.t == row.l == row.u for row in back.collect())
+    assert coded.where("t = 'Kurang'").first().o is None and len(coded.where("length(t) = 32").first().k) == 17
