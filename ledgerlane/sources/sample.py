@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlane.functions.text import document_number, pick, zero_filled
+from ledgerlane.functions.text import coded_label, document_number, label_code, pick, zero_filled
 from ledgerlane.operators.documents import (
     RECEIVABLE,
     with_order_totals,
@@ -20,6 +20,7 @@ from ledgerlane.operators.documents import (
     with_request_totals,
 )
 from ledgerlane.schemas import (
+    BUCKET_KEYS,
     INGESTED_AT,
     INSPECTION_STATUSES,
     ORDER_STATUSES,
@@ -27,6 +28,7 @@ from ledgerlane.schemas import (
     RAW_SCHEMAS,
     VENDOR_TYPES,
 )
+from ledgerlane.sources.layers import shuffle_partitions
 
 #: Moves the test data's 1995-2001 dates into the calendar, 1995-01-01 to 2018-01-01.
 DAYS_FORWARD = 8401
@@ -144,6 +146,13 @@ class SampleTables:
             F.lit("2018-01-01").cast("date").alias("created_at"),
         )
 
+    def _given_orders(self, key: str) -> DataFrame:
+        """What purchasing documents take from the given orders, moved to their key before it is written out."""
+        rows = self._given("orders").select(
+            (F.col("o_orderkey") + 1).alias(key), "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
+        )
+        return rows.repartition(key)
+
     def _order_day(self) -> Column:
         return F.date_add(F.col("o_orderdate").cast("date"), DAYS_FORWARD)
 
@@ -151,15 +160,15 @@ class SampleTables:
         return self._given("nation").agg(F.count(F.lit(1))).scalar()
 
     def _requests(self) -> DataFrame:
-        key = F.col("o_orderkey")
+        key = F.col("pr_id") - 1
         day = F.date_sub(self._order_day(), (key % 12 + 3).cast("int"))
         status = F.when(key % 10 == 0, "Ditolak").when(key % 10 == 1, "Pending Approval").otherwise(
             "Disetujui"
         )
         granted = status == "Disetujui"
-        return self._given("orders").select(
-            (key + 1).alias("pr_id"),
-            document_number("PR", day, key + 1, 9).alias("pr_number"),
+        return self._given_orders("pr_id").select(
+            "pr_id",
+            document_number("PR", day, F.col("pr_id"), 9).alias("pr_number"),
             day.alias("pr_date"),
             (F.col("o_custkey") % self._department_count() + 1).alias("department_id"),
             F.concat(F.lit("Requester "), F.col("o_custkey")).alias("requester_name"),
@@ -182,15 +191,15 @@ class SampleTables:
 
     def _orders(self) -> DataFrame:
         """Orders of approved requests; some share a request, a few lack their date."""
-        key, customer = F.col("o_orderkey"), F.col("o_custkey")
+        key, customer = F.col("po_id") - 1, F.col("o_custkey")
         opened, part, done, dropped = ORDER_STATUSES
         vendors = self._given("supplier").agg(F.count(F.lit(1))).scalar()
         day = F.when(key % 997 != 0, self._order_day())
-        return self._given("orders").filter(key % 10 >= 2).select(
-            (key + 1).alias("po_id"),
-            document_number("PO", day, key + 1, 9).alias("po_number"),
+        return self._given_orders("po_id").filter(key % 10 >= 2).select(
+            "po_id",
+            document_number("PO", day, F.col("po_id"), 9).alias("po_number"),
             day.alias("po_date"),
-            F.when(key % 10 == 3, key).otherwise(key + 1).alias("pr_id"),
+            F.when(key % 10 == 3, key).otherwise(F.col("po_id")).alias("pr_id"),
             (customer % vendors + 1).alias("vendor_id"),
             (customer % self._department_count() + 1).alias("department_id"),
             F.date_add(day, (key % 28 + 3).cast("int")).alias("expected_delivery_date"),
@@ -210,12 +219,12 @@ class SampleTables:
         return with_order_totals(self._orders(), raw("purchase_order_lines"))
 
     def _lines(self) -> DataFrame:
-        """One line per order, line number and part.
+        """One line per order, line number and part, with what it takes from its order.
 
         Test rows that repeat all three are deliveries of one line: quantities and amounts are
         added up. No part of an order is lost, and the line key is built from the three numbers
-        without numbering rows within an order. Rows are moved once, to their order: there they are
-        added up and meet it.
+        without numbering rows within an order. Rows are moved to their order, where they are added
+        up and meet it, and then to the bucket of their key, before anything is derived from them.
         """
         merged = self._given("lineitem").select(
             (F.col("l_orderkey") + 1).alias("po_id"), "l_linenumber", F.col("l_partkey").alias("part"),
@@ -227,12 +236,23 @@ class SampleTables:
             F.sum("cents").alias("cents"),
             F.max("discount").alias("discount"),
         )
+        place, other = label_code(F.col("status"), ORDER_STATUSES)
+        order = self._orders().select(
+            "po_id", F.col("expected_delivery_date").alias("delivery_date_expected"), "created_at",
+            place.alias("status_place"), other.alias("status_other"),
+        )
         parts = self._given("part").agg(F.max("p_partkey") + 1).scalar()
+        key = (F.col("po_id") * 10 + F.col("l_linenumber")) * parts + F.col("part")
+        return merged.join(order, "po_id").withColumn("line_id", key).repartition(
+            shuffle_partitions(self._spark), BUCKET_KEYS["purchase_order_lines"]
+        )
+
+    def purchase_order_lines(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         order, part, discount = F.col("po_id") - 1, F.col("part"), F.col("discount")
         price = F.call_function("div", F.col("cents"), F.col("quantity"))
         ordered = F.when((part + order) % 97 == 0, 0).otherwise(F.col("quantity"))
-        return merged.select(
-            ((F.col("po_id") * 10 + F.col("l_linenumber")) * parts + part).alias("line_id"),
+        return self._lines().select(
+            "line_id",
             "po_id",
             (part + 1).alias("item_id"),
             F.col("l_linenumber").alias("line_number"),
@@ -242,16 +262,10 @@ class SampleTables:
             (discount + F.call_function("div", discount, F.lit(2))).alias("discount_pct"),
             (price * ordered).alias("total_price"),
             pick(part % 3, NOTES).alias("notes"),
-        )
-
-    def purchase_order_lines(self, raw: Callable[[str], DataFrame]) -> DataFrame:
-        order = self._orders().select(
-            "po_id",
-            F.col("expected_delivery_date").alias("delivery_date_expected"),
-            F.col("status").alias("line_status"),
+            "delivery_date_expected",
+            coded_label(F.col("status_place"), F.col("status_other"), ORDER_STATUSES).alias("line_status"),
             "created_at",
         )
-        return self._lines().join(order, "po_id")
 
     def goods_receipts(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         """One receipt per receivable line and, for one line in ten, an earlier partial one.
