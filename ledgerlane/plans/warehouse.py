@@ -271,7 +271,7 @@ def sample_warehouse(spark: SparkSession, folder: str) -> Warehouse:
     application = spark.sparkContext.applicationId
     if (application, folder) not in _warehouses:
         root = f"{shared_folder(spark)}/ledgerlane-{application}/{len(_warehouses)}"
-        tables = SampleTables(spark, folder)
+        tables = SampleTables(spark, folder, to_buckets=True)
         deal_for(spark, tables.rows())
         _warehouses[application, folder] = Warehouse(spark, tables.table, LayerStore(spark, root, transient=True))
     return _warehouses[application, folder]

@@ -57,11 +57,12 @@ class SampleTables:
 
     ``raw`` gives the finished raw tables, so one table can be derived from another: orders take
     their totals from the lines, requests from the orders, and receipts come from the lines. The
-    order lines of the given tables are grouped once.
+    order lines of the given tables are grouped once. ``to_buckets`` is for tables that are stored: lines
+    go to the bucket of their key before they are written out.
     """
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._spark, self._folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, *, to_buckets: bool = False) -> None:
+        self._spark, self._folder, self._to_buckets = spark, folder, to_buckets
 
     def _given(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
@@ -224,7 +225,7 @@ class SampleTables:
         Test rows that repeat all three are deliveries of one line: quantities and amounts are
         added up. No part of an order is lost, and the line key is built from the three numbers
         without numbering rows within an order. Rows are moved to their order, where they are added
-        up and meet it, and then to the bucket of their key, before anything is derived from them.
+        up and meet it, and then to their bucket if they have one, before anything is derived from them.
         """
         merged = self._given("lineitem").select(
             (F.col("l_orderkey") + 1).alias("po_id"), "l_linenumber", F.col("l_partkey").alias("part"),
@@ -243,9 +244,10 @@ class SampleTables:
         )
         parts = self._given("part").agg(F.max("p_partkey") + 1).scalar()
         key = (F.col("po_id") * 10 + F.col("l_linenumber")) * parts + F.col("part")
-        return merged.join(order, "po_id").withColumn("line_id", key).repartition(
-            shuffle_partitions(self._spark), BUCKET_KEYS["purchase_order_lines"]
-        )
+        keyed = merged.join(order, "po_id").withColumn("line_id", key)
+        if not self._to_buckets:
+            return keyed
+        return keyed.repartition(shuffle_partitions(self._spark), BUCKET_KEYS["purchase_order_lines"])
 
     def purchase_order_lines(self, raw: Callable[[str], DataFrame]) -> DataFrame:
         order, part, discount = F.col("po_id") - 1, F.col("part"), F.col("discount")

@@ -12,6 +12,8 @@ from ledgerlane.schemas import INGESTED_AT, LOAD_ORDER, RAW_SCHEMAS
 from ledgerlane.sources import layers
 from ledgerlane.sources.csv_files import CORRUPT, infer_types, nan_to_null, read_csv
 from ledgerlane.sources.layers import RAW, Conflict, LayerStore
+from ledgerlane.sources.sample import SampleTables
+from tests.conftest import SAMPLE
 
 LOADED = datetime(2025, 1, 1, 12, 30)
 SCHEMA = RAW_SCHEMAS["departments"]
@@ -318,3 +320,13 @@ def test_scans_of_large_tables_have_small_tasks(spark):
     finally:
         spark.conf.unset(layers._FIRST_PARTITIONS)
         spark.conf.unset(layers._READ_BYTES)
+
+
+def test_lines_go_to_their_bucket_before_they_are_written_out(spark):
+    given = SampleTables(spark, SAMPLE, to_buckets=True)
+    rows = given.table("purchase_order_lines", None)
+    plan = rows.repartition(layers.shuffle_partitions(spark), "line_id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(line_id") == 1
+    assert plan.index("Exchange hashpartitioning(line_id") > plan.index("line_status")
+    plain = SampleTables(spark, SAMPLE).table("purchase_order_lines", None)
+    assert rows.exceptAll(plain).count() == plain.exceptAll(rows).count() == 0
